@@ -1,0 +1 @@
+"""Intentionally empty: the workload is batch only, so there is nothing to stream."""
