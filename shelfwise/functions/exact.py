@@ -18,9 +18,15 @@ def total(name: str) -> Column:
 
 
 def quotient(num: Column, den: Column) -> Column:
-    """num / den with twelve decimals; NULL when the denominator is zero."""
+    """Quotient of sums and counts with twelve decimals; NULL when the denominator is zero."""
     den = den.cast("decimal(24,4)")
-    return num.cast("decimal(28,6)") / F.when(den != 0, den)
+    return num.cast("decimal(30,8)") / F.when(den != 0, den)
+
+
+def quotient_of_means(num: Column, den: Column) -> Column:
+    """Quotient of averages, which are small but have up to twelve decimals of their own."""
+    den = den.cast("decimal(22,12)")
+    return num.cast("decimal(24,12)") / F.when(den != 0, den)
 
 
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:
@@ -32,6 +38,10 @@ def growth(new: Column, old: Column, digits: int = 2) -> Column:
     return percent(new - old, old, digits)
 
 
+def growth_of_means(new: Column, old: Column, digits: int = 2) -> Column:
+    return F.round(quotient_of_means((new - old) * 100, old), digits)
+
+
 def mean(name: str, digits: int | None = None) -> Column:
     """Average of a measure; by default with four decimals more than the measure has."""
     return F.round(quotient(total(name), F.count(name)), SCALES[name] + 4 if digits is None else digits)

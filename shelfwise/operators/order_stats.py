@@ -5,73 +5,92 @@ are located level by level instead: a coarse histogram finds the interval of eac
 a finer one is taken only inside those intervals, and so on down to single values. Every
 pass is a map-side combined count over a few columns, and a histogram's size depends on
 the declared decimal type, not on the number of rows, so a value that fills a third of
-the table costs no more than any other.
+the table costs no more than any other. Only the located values, one per wanted rank,
+reach the driver; they become literals in the filters of the next pass.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 Levels = list[tuple[str, Column]]
+Ranks = dict[str, Callable[[Column], Column]]
 
 FIRST = Window.unboundedPreceding
 NOW = Window.currentRow
 
 
+@dataclass
+class Found:
+    """Where a wanted rank lies: its values per level and its place among equal rows."""
+
+    n: int
+    rank_in_ties: int
+    values: dict
+
+
 def amount_levels(column: str, width: int = 10) -> Levels:
     """Two levels for a DECIMAL(10,4) amount: at most 10^5 intervals, then 10^5 values in one."""
     return [(f"_{column}_interval", F.floor(F.col(column) / F.lit(width))), (column, F.col(column))]
 
 
-def rows_at_ranks(df: DataFrame, levels: Levels, ranks: dict[str, Callable[[Column], Column]]) -> DataFrame:
+def rows_at_ranks(df: DataFrame, levels: Levels, ranks: Ranks) -> dict[str, Found]:
     """The values at the given 1-based ranks of `df` sorted by the levels.
 
-    Each rank is a function of the row count. Returns one row per label: `label`, `n`,
-    `rank_in_ties` (position among the rows with these very values) and the level columns.
+    Each rank is a function of the row count. An empty table finds nothing.
     """
-    names = [n for n, _ in levels]
+    exprs = dict(levels)
+    names = list(exprs)
     keyed = df.select([expr.alias(name) for name, expr in levels])
+    types = {f.name: f.dataType for f in keyed.schema}
     rows = F.count(F.lit(1)).alias("_rows")
-    tally = keyed.groupBy(names[0]).agg(rows)
-    order = Window.orderBy(names[0])
-    counted = tally.withColumn("_upto", F.sum("_rows").over(order.rowsBetween(FIRST, NOW))).withColumn(
-        "n", F.sum("_rows").over(Window.partitionBy()))
-    asked = F.explode(F.array(*[
-        F.struct(F.lit(label).alias("label"), rank(F.col("n")).cast("bigint").alias("rank"))
-        for label, rank in ranks.items()
-    ]))
-    found = counted.withColumn("_ask", asked).select(
-        F.col("_ask.label").alias("label"), "n", F.col("_ask.rank").alias("_rank"), "_rows", "_upto", names[0])
-    found = _inside(found, names[:1])
-    for depth in range(1, len(names)):
-        prefix = names[:depth]
-        # One row per label at most, so the broadcast is bounded by the question.
-        part = keyed.join(F.broadcast(found.select(prefix).distinct()), prefix)
-        tally = part.groupBy(names[: depth + 1]).agg(rows)
-        order = Window.partitionBy(prefix).orderBy(names[depth])
-        counted = tally.withColumn("_upto", F.sum("_rows").over(order.rowsBetween(FIRST, NOW)))
-        found = _inside(
-            counted.join(F.broadcast(found.withColumnRenamed("rank_in_ties", "_rank")), prefix), names[: depth + 1])
-    return found
 
+    def hits(tally: DataFrame, prefix: list[str], asked: Column, n: Column):
+        order = Window.partitionBy(*prefix).orderBy(names[len(prefix)]).rowsBetween(FIRST, NOW)
+        upto = tally.withColumn("_upto", F.sum("_rows").over(order)).withColumn("_n", n)
+        wanted = upto.withColumn("_ask", F.explode(asked))
+        before, rank = F.col("_upto") - F.col("_rows"), F.col("_ask.rank")
+        return wanted.where((rank > before) & (rank <= F.col("_upto"))).select(
+            F.col("_ask.label").alias("_label"), "_n", (rank - before).alias("_rank"), *names[: len(prefix) + 1]).collect()
 
-def _inside(found: DataFrame, names: list[str]) -> DataFrame:
-    before = F.col("_upto") - F.col("_rows")
-    hit = (F.col("_rank") > before) & (F.col("_rank") <= F.col("_upto"))
-    return found.where(hit).select("label", "n", (F.col("_rank") - before).alias("rank_in_ties"), *names)
+    def ask(label: str, rank: Column) -> Column:
+        return F.struct(F.lit(label).alias("label"), rank.cast("bigint").alias("rank"))
 
+    def same(row, prefix: list[str]) -> Column:
+        return reduce(lambda a, b: a & b, [F.col(c) == F.lit(row[c]).cast(types[c]) for c in prefix])
 
-def values_at_ranks(
-    df: DataFrame, column: str, ranks: dict[str, Callable[[Column], Column]], levels: Levels | None = None,
-) -> DataFrame:
+    found = hits(
+        keyed.groupBy(names[0]).agg(rows), [], F.array(*[ask(k, r(F.col("_n"))) for k, r in ranks.items()]),
+        F.sum("_rows").over(Window.partitionBy()))
+    for depth in range(1, len(names)):
+        if not found:
+            return {}
+        prefix = names[:depth]
+        groups: dict[tuple, list] = {}
+        for row in found:
+            groups.setdefault(tuple(row[c] for c in prefix), []).append(row)
+        inside = keyed.where(reduce(lambda a, b: a | b, [same(g[0], prefix) for g in groups.values()]))
+        asked = reduce(
+            lambda chain, g: chain.when(same(g[0], prefix), F.array(*[ask(r["_label"], F.lit(r["_rank"])) for r in g])),
+            groups.values(), F)
+        found = hits(inside.groupBy(names[: depth + 1]).agg(rows), prefix, asked, F.lit(found[0]["_n"]))
+    return {r["_label"]: Found(r["_n"], r["_rank"], {c: r[c] for c in names}) for r in found}
+
+
+def values_at_ranks(df: DataFrame, column: str, ranks: Ranks, levels: Levels | None = None) -> DataFrame:
     """One row with one column per label, and the row count as `n`."""
     levels = levels or amount_levels(column)
-    found = rows_at_ranks(df.where(F.col(column).isNotNull()), levels, ranks)
-    picked = [F.max(F.when(F.col("label") == label, F.col(column))).alias(label) for label in ranks]
-    return found.agg(*picked, F.max("n").alias("n"))
+    present = df.where(F.col(column).isNotNull())
+    kind = df.schema[column].dataType
+    found = rows_at_ranks(present, levels, ranks)
+    n = next(iter(found.values())).n if found else 0
+    values = {label: found[label].values[column] if label in found else None for label in ranks}
+    return df.sparkSession.range(1).select(
+        *[F.lit(v).cast(kind).alias(label) for label, v in values.items()], F.lit(n).cast("bigint").alias("n"))
 
 
 def rank_below(percent: int) -> Callable[[Column], Column]:
@@ -117,22 +136,17 @@ def tile_summary(
     by count. Returns `tile`, `records`, `sum_<c>` and, for `bounds`, `min_<c>` and `max_<c>`.
     """
     cuts = {str(t): (lambda n, t=t: tile_end(F.lit(t).cast("bigint"), n, tiles)) for t in range(1, tiles)}
-    edge = F.struct(*keys)
-    edges = (
-        rows_at_ranks(df, levels, cuts)
-        .agg(F.sort_array(F.collect_list(F.struct(F.col("label").cast("int"), edge.alias("edge")))).alias("edges"))
-        .scalar()
-    )
-
-    def at(i: int) -> Column:
-        return F.get(edges, F.lit(i))["edge"]
+    kinds = {c: df.schema[c].dataType for c in keys}
+    edges = [
+        F.struct(*[F.lit(found.values[c]).cast(kinds[c]).alias(c) for c in keys])
+        for found in rows_at_ranks(df, levels, cuts).values()]
 
     def ones(test: Callable[[Column], Column]) -> Column:
-        return reduce(lambda a, b: a + b, [F.when(test(at(i)), 1).otherwise(0) for i in range(tiles - 1)])
+        return reduce(lambda a, b: a + b, [F.when(test(edge), 1).otherwise(0) for edge in edges], F.lit(0))
 
     # Rows strictly between two edges share a tile; rows equal to an edge are split below.
     parts = (
-        df.select(*keys, *[c for c in sums if c not in keys], edge.alias("_key"))
+        df.select(*keys, *[c for c in sums if c not in keys], F.struct(*keys).alias("_key"))
         .withColumn("_below", ones(lambda e: F.col("_key") > e))
         .withColumn("_on_edge", ones(lambda e: F.col("_key") == e) > 0)
         .groupBy("_below", "_on_edge")

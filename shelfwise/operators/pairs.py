@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 ITEM, OUTLET, SALES = "item_identifier", "outlet_identifier", "sales"
 ROW_COLUMNS = [ITEM, "item_type", OUTLET, "outlet_type", SALES, "item_visibility"]
 TIES = [OUTLET, "item_visibility", "item_type"]
+MAX_LEADERS = 31
 
 
 def _first_rows(df: DataFrame, within: list[str], order: list, n: int) -> DataFrame:
@@ -58,21 +59,19 @@ def distribution_gaps(fact: DataFrame, leaders: DataFrame, n: int = 25) -> DataF
     """Stores that lack a leading product, best product first.
 
     `leaders` has at most 31 rows with a unique `place` from 0 and an `item_identifier`.
-    Each store's stock of leaders is one bit mask, combined map-side; no store is paired
-    with a product before it is known to lack it.
+    Each store's stock of leaders is one bit mask, combined map-side; a store meets a
+    product only where the mask lacks it.
     """
     items = leaders.groupBy(ITEM).agg(F.bit_or(F.expr("shiftleft(1, place)")).alias("bits"))
-    marked = fact.select(OUTLET, "outlet_type", "outlet_location_type", ITEM).join(F.broadcast(items), ITEM, "left")
-    stocked = marked.groupBy(OUTLET, "outlet_type", "outlet_location_type").agg(
-        F.coalesce(F.bit_or("bits"), F.lit(0)).alias("mask"))
+    attributes = [OUTLET, "outlet_type", "outlet_location_type"]
+    marked = fact.select(*attributes, ITEM).join(F.broadcast(items), ITEM, "left")
+    stocked = marked.groupBy(*attributes).agg(F.coalesce(F.bit_or("bits"), F.lit(0)).alias("mask"))
     # The mask of a store covers all its rows, also where its attributes disagree between rows.
     known = stocked.withColumn("mask", F.bit_or("mask").over(Window.partitionBy(OUTLET)))
-    table = leaders.agg(F.sort_array(F.collect_list(F.struct("place", *[c for c in leaders.columns if c != "place"]))))
-    listed = F.filter(table.scalar(), lambda p: F.expr("1").cast("int").bitwiseAND(
-        F.call_function("shiftright", F.col("mask"), p["place"])) == 0)
+    places = known.withColumn("place", F.explode(F.sequence(F.lit(0), F.lit(MAX_LEADERS - 1))))
+    lacking = places.where(F.call_function("shiftright", "mask", "place").bitwiseAND(F.lit(1)) == 0).drop("mask")
     return (
-        known.select(OUTLET, "outlet_type", "outlet_location_type", F.explode(listed).alias("missing"))
-        .orderBy("missing.place", OUTLET, "outlet_type", "outlet_location_type")
+        lacking.join(F.broadcast(leaders), "place")
+        .orderBy("place", *attributes)
         .limit(n)
-        .select("missing.*", OUTLET, "outlet_type", "outlet_location_type")
     )

@@ -31,8 +31,8 @@ def _bucket(keyed: DataFrame, rows: int, bucket_rows: int) -> DataFrame:
     # Binary search: take a step of 2^k whenever the split point there is still at or below the key.
     steps = F.array(*[F.lit(2 ** k) for k in range(buckets.bit_length(), -1, -1)])
     place = F.aggregate(steps, F.lit(0), lambda at, width: F.when(
-        F.get(splits, at + width - 1) <= F.col("_key"), at + width).otherwise(at))
-    return keyed.withColumn("_bucket", place)
+        F.get("_splits", at + width - 1) <= F.col("_key"), at + width).otherwise(at))
+    return keyed.withColumn("_splits", splits).withColumn("_bucket", place).drop("_splits")
 
 
 def running_before(
