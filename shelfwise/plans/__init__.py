@@ -1,0 +1,3 @@
+"""Importing this package registers every report."""
+
+from . import advanced, business, dashboard, frames, kpis, pipeline, profile, quality  # noqa: F401
