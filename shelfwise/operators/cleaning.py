@@ -97,8 +97,8 @@ def medians_by_type(rows: DataFrame) -> DataFrame:
 def impute(rows: DataFrame, by_item: DataFrame, by_type: DataFrame) -> DataFrame:
     """Fill weight (own median, else the category's) and visibility; flag what was filled.
 
-    No side is hinted: the planner broadcasts a lookup when its size allows it and else
-    sort-merge joins, where adaptive execution splits a hot item.
+    No side is hinted. With stored lookups the planner knows their size: it broadcasts a
+    small one and else sort-merge joins, where adaptive execution splits a hot item.
     """
     weight = F.coalesce(F.col("item_weight"), F.col("item_median_weight"), F.col("type_median_weight"))
     visibility = F.coalesce(F.col("item_visibility"), F.col("type_median_visibility"))
@@ -144,6 +144,10 @@ def finish(rows: DataFrame, by_item: DataFrame, by_type: DataFrame, base_year: i
 
 
 def clean(raw: DataFrame, base_year: int = BASE_YEAR, strict: bool = True) -> DataFrame:
-    """The whole pipeline as one lazy plan, for extracts that need no stages in between."""
+    """The whole pipeline as one lazy plan, with one shuffle shared by all uses of the unique rows.
+
+    For extracts of moderate size. The workspace stores the unique rows and the lookups in
+    between, which a large extract needs: only a join of stored tables is split on a hot item.
+    """
     rows = raw.transform(type_columns, strict).transform(drop_copies)
     return finish(rows, median_weight_by_item(rows), medians_by_type(rows), base_year)

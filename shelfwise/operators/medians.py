@@ -12,8 +12,10 @@ def grouped_median(df: DataFrame, keys: list[str], value: str, alias: str, count
     What remains per key is its distinct values, whose number the decimal type bounds
     whatever the row count. `count` names a column of row counts that are already added up.
     """
-    rows = F.sum(count) if count else F.count(F.lit(1))
-    tally = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(rows.alias("_rows"))
+    rows = F.sum(F.when(F.col(value).isNotNull(), F.col(count))) if count else F.count(value)
+    # Missing values are dropped by their count: a filter on the value itself would be pushed
+    # below a de-duplication, and several medians could no longer share its shuffle.
+    tally = df.groupBy(*keys, value).agg(rows.alias("_rows")).where(F.col("_rows") > 0)
     within = Window.partitionBy(*keys)
     upto = within.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counted = tally.withColumn("_upto", F.sum("_rows").over(upto)).withColumn("_all", F.sum("_rows").over(within))

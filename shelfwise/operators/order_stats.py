@@ -13,9 +13,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 Levels = list[tuple[str, Column]]
 Ranks = dict[str, Callable[[Column], Column]]
@@ -34,8 +33,17 @@ class Found:
 
 
 def amount_levels(column: str, width: int = 10) -> Levels:
-    """Two levels for a DECIMAL(10,4) amount: at most 10^5 intervals, then 10^5 values in one."""
-    return [(f"_{column}_interval", F.floor(F.col(column) / F.lit(width))), (column, F.col(column))]
+    """Two levels for a DECIMAL(10,4) amount: at most 10^5 intervals, then 10^5 values in one.
+
+    The interval only has to grow with the value, so it is taken from the double.
+    """
+    return [(f"_{column}_interval", F.floor(F.col(column).cast("double") / width)), (column, F.col(column))]
+
+
+def literal(value, kind: T.DataType) -> str:
+    """SQL literal of a located value. One parsed text per condition builds far faster than many columns."""
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"CAST('{text}' AS {kind.simpleString()})"
 
 
 def rows_at_ranks(df: DataFrame, levels: Levels, ranks: Ranks) -> dict[str, Found]:
@@ -57,15 +65,13 @@ def rows_at_ranks(df: DataFrame, levels: Levels, ranks: Ranks) -> dict[str, Foun
         return wanted.where((rank > before) & (rank <= F.col("_upto"))).select(
             F.col("_ask.label").alias("_label"), "_n", (rank - before).alias("_rank"), *names[: len(prefix) + 1]).collect()
 
-    def ask(label: str, rank: Column) -> Column:
-        return F.struct(F.lit(label).alias("label"), rank.cast("bigint").alias("rank"))
-
-    def same(row, prefix: list[str]) -> Column:
-        return reduce(lambda a, b: a & b, [F.col(c) == F.lit(row[c]).cast(types[c]) for c in prefix])
+    def same(row, prefix: list[str]) -> str:
+        return " AND ".join(f"{c} = {literal(row[c], types[c])}" for c in prefix)
 
-    found = hits(
-        keyed.groupBy(names[0]).agg(rows), [], F.array(*[ask(k, r(F.col("_n"))) for k, r in ranks.items()]),
-        F.sum("_rows").over(Window.partitionBy()))
+    first = F.array(*[
+        F.struct(F.lit(label).alias("label"), rank(F.col("_n")).cast("bigint").alias("rank"))
+        for label, rank in ranks.items()])
+    found = hits(keyed.groupBy(names[0]).agg(rows), [], first, F.sum("_rows").over(Window.partitionBy()))
     for depth in range(1, len(names)):
         if not found:
             return {}
@@ -73,11 +79,14 @@ def rows_at_ranks(df: DataFrame, levels: Levels, ranks: Ranks) -> dict[str, Foun
         groups: dict[tuple, list] = {}
         for row in found:
             groups.setdefault(tuple(row[c] for c in prefix), []).append(row)
-        inside = keyed.where(reduce(lambda a, b: a | b, [same(g[0], prefix) for g in groups.values()]))
-        asked = reduce(
-            lambda chain, g: chain.when(same(g[0], prefix), F.array(*[ask(r["_label"], F.lit(r["_rank"])) for r in g])),
-            groups.values(), F)
-        found = hits(inside.groupBy(names[: depth + 1]).agg(rows), prefix, asked, F.lit(found[0]["_n"]))
+        inside = keyed.where(" OR ".join(f"({same(g[0], prefix)})" for g in groups.values()))
+        branches = []
+        for g in groups.values():
+            asked = ", ".join(f"named_struct('label', '{r['_label']}', 'rank', {r['_rank']}L)" for r in g)
+            branches.append(f"WHEN {same(g[0], prefix)} THEN array({asked})")
+        found = hits(
+            inside.groupBy(names[: depth + 1]).agg(rows), prefix, F.expr(f"CASE {' '.join(branches)} END"),
+            F.lit(found[0]["_n"]))
     return {r["_label"]: Found(r["_n"], r["_rank"], {c: r[c] for c in names}) for r in found}
 
 
@@ -138,17 +147,15 @@ def tile_summary(
     cuts = {str(t): (lambda n, t=t: tile_end(F.lit(t).cast("bigint"), n, tiles)) for t in range(1, tiles)}
     kinds = {c: df.schema[c].dataType for c in keys}
     edges = [
-        F.struct(*[F.lit(found.values[c]).cast(kinds[c]).alias(c) for c in keys])
+        "named_struct(" + ", ".join(f"'{c}', {literal(found.values[c], kinds[c])}" for c in keys) + ")"
         for found in rows_at_ranks(df, levels, cuts).values()]
-
-    def ones(test: Callable[[Column], Column]) -> Column:
-        return reduce(lambda a, b: a + b, [F.when(test(edge), 1).otherwise(0) for edge in edges], F.lit(0))
+    below = " + ".join(["0", *[f"CAST(_key > {edge} AS INT)" for edge in edges]])
+    on_edge = " OR ".join(["false", *[f"_key = {edge}" for edge in edges]])
 
     # Rows strictly between two edges share a tile; rows equal to an edge are split below.
     parts = (
         df.select(*keys, *[c for c in sums if c not in keys], F.struct(*keys).alias("_key"))
-        .withColumn("_below", ones(lambda e: F.col("_key") > e))
-        .withColumn("_on_edge", ones(lambda e: F.col("_key") == e) > 0)
+        .withColumns({"_below": F.expr(below), "_on_edge": F.expr(on_edge)})
         .groupBy("_below", "_on_edge")
         .agg(
             F.count(F.lit(1)).alias("_rows"),

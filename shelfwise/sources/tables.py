@@ -22,6 +22,12 @@ def _pick(labels: list[str], key: str) -> Column:
     return F.element_at(F.array(*map(F.lit, labels)), (F.col(key) % len(labels) + 1).cast("int"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out when a small input comes in fewer splits than there are cores; large inputs stay as read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def raw_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     def read(name: str, *columns: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
@@ -33,7 +39,7 @@ def raw_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Copies are made by exploding, so the table is read and joined once.
     copies = F.when(F.col("l_orderkey") % COPY_EVERY == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     joined = (
-        lines.withColumn("_copy", F.explode(copies))
+        spread(lines).withColumn("_copy", F.explode(copies))
         .join(read("orders", "o_orderkey", "o_orderdate", "o_orderpriority"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(read("part", "p_partkey", "p_type", "p_size"), F.col("l_partkey") == F.col("p_partkey"))
         .join(read("supplier", "s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
