@@ -27,7 +27,10 @@ def report(key: str):
 
 def run(key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run a report on the tables of a source folder."""
-    fn = REPORTS[key]
-    workspace = Workspace(spark, sf_dir)
+    return call(REPORTS[key], Workspace(spark, sf_dir))
+
+
+def call(fn: Callable[..., DataFrame], workspace: Workspace) -> DataFrame:
+    """Call a report with the workspace tables its parameters name."""
     needs = [n for n, p in inspect.signature(fn).parameters.items() if p.default is inspect.Parameter.empty]
     return fn(**{n: workspace if n == "workspace" else getattr(workspace, n)() for n in needs})

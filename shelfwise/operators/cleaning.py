@@ -144,7 +144,7 @@ def finish(rows: DataFrame, by_item: DataFrame, by_type: DataFrame, base_year: i
 
 
 def clean(raw: DataFrame, base_year: int = BASE_YEAR, strict: bool = True) -> DataFrame:
-    """The whole pipeline as one lazy plan, with one shuffle shared by all uses of the unique rows.
+    """The whole pipeline as one lazy plan; the planner reuses the de-duplication shuffle where it can.
 
     For extracts of moderate size. The workspace stores the unique rows and the lookups in
     between, which a large extract needs: only a join of stored tables is split on a hot item.

@@ -37,11 +37,14 @@ def _bucket(keyed: DataFrame, rows: int, bucket_rows: int) -> DataFrame:
 
 def running_before(
     df: DataFrame, order: list[Column], weights: dict[str, Column], single_task_rows: int = SINGLE_TASK_ROWS,
-    bucket_rows: int = BUCKET_ROWS,
+    bucket_rows: int = BUCKET_ROWS, rows: int | None = None,
 ) -> DataFrame:
-    """Add, per weight, its sum over all rows that come earlier. `order` ascends and is unique per row."""
+    """Add, per weight, its sum over all rows that come earlier. `order` ascends and is unique per row.
+
+    `rows` saves the count where the caller knows it.
+    """
     zeros = {name: F.lit(0) for name in weights}
-    rows = df.count()
+    rows = df.count() if rows is None else rows
     if rows <= single_task_rows:
         frame = Window.orderBy(*order).rowsBetween(*BEFORE)
         return df.withColumns({n: F.coalesce(F.sum(w).over(frame), zeros[n]) for n, w in weights.items()})
@@ -63,11 +66,13 @@ def with_row_number(df: DataFrame, order: list[Column], alias: str, **sizes) ->
     return running_before(df, order, {alias: F.lit(1)}, **sizes).withColumn(alias, F.col(alias).cast("bigint") + 1)
 
 
-def with_tile(df: DataFrame, order: list[Column], tiles: int, alias: str, **sizes) -> DataFrame:
+def with_tile(
+    df: DataFrame, order: list[Column], tiles: int, alias: str, rows: int | None = None, **sizes,
+) -> DataFrame:
     """Global NTILE for a unique ascending order."""
-    rows = df.count()
+    rows = df.count() if rows is None else rows
     small, extra = divmod(rows, tiles)
-    numbered = with_row_number(df, order, alias, **sizes)
+    numbered = with_row_number(df, order, alias, rows=rows, **sizes)
     place, edge = F.col(alias) - 1, extra * (small + 1)
     tile = F.when(place < edge, F.floor(place / (small + 1)) + 1)
     return numbered.withColumn(alias, tile.otherwise(F.floor((place - edge) / max(small, 1)) + extra + 1))
@@ -75,7 +80,7 @@ def with_tile(df: DataFrame, order: list[Column], tiles: int, alias: str, **size
 
 def with_rank(
     df: DataFrame, value: Column, alias: str, within: list[str] = (), ties: str | None = None,
-    single_task_rows: int = SINGLE_TASK_ROWS, bucket_rows: int = BUCKET_ROWS,
+    single_task_rows: int = SINGLE_TASK_ROWS, bucket_rows: int = BUCKET_ROWS, rows: int | None = None,
 ) -> DataFrame:
     """RANK by an ascending value, NULLs last, over the table or within some columns.
 
@@ -84,7 +89,7 @@ def with_rank(
     """
     keys = [*within, "_blank", "_level"]
     valued = df.withColumns({"_blank": value.isNull(), "_level": value})
-    if df.count() <= single_task_rows:
+    if (df.count() if rows is None else rows) <= single_task_rows:
         frame = Window.partitionBy(*within).orderBy("_blank", "_level")
         ranked = valued.withColumn(alias, F.rank().over(frame).cast("bigint"))
         if ties:

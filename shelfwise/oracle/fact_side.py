@@ -6,7 +6,7 @@ from ..functions import bands
 from ..plans.advanced import SEGMENTS
 from ..plans.business import ABC_LABELS, FORMAT_COLUMNS, QUINTILE_LABELS, SUMMARY_LINES
 from .base import (
-    N, N_SHARE, PARTS, PER_STORE, PRODUCTS, REV, SHARE, STORES, avg, big, dbl, hu, mean, nested, oracle, pct, ratio, rnd)
+    N, N_SHARE, PER_STORE, PRODUCTS, REV, SHARE, STORES, avg, big, hu, mean, nested, oracle, pct, ratio, rnd)
 
 AVG_SALE, AVG_RATE = avg("sales"), avg("rating")
 TIER, OUTLET, CAT = "outlet_location_type AS tier", "outlet_identifier AS outlet", "item_type AS category"
@@ -410,5 +410,3 @@ oracle("a13_deep_dive", " UNION ALL ".join(
     for part, key in (("headline", "category"), ("top_products", "product"), ("stores", "outlet"), ("trend", "year_month"))))
 oracle("a14_range_filter", """SELECT count(*) FILTER (order_date >= DATE '2000-01-01' AND order_date < DATE '2001-01-01') AS range_rows,
   count(*) FILTER (year(order_date) = 2000) AS partition_rows FROM fact""")
-
-__all__ = ["PARTS", "dbl"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..plans.profile import DECISIONS, GAP_NOTES, LISTED_COLUMNS
 from ..schema import ALLOWED_VALUES, CHECKS, COLUMN_ROLES, RAW_COLUMNS, REPORT_COLUMNS, REQUIRED_COLUMNS
-from .base import LABEL, PARTS, big, dbl, oracle, pct, ratio, rnd
+from .base import LABEL, big, dbl, oracle, pct, ratio, rnd
 
 DECIMALS = {"item_weight", "item_visibility", "sales", "rating"}
 INTEGERS = {
@@ -200,4 +200,3 @@ def _integrity() -> None:
 
 
 register()
-__all__ = ["PARTS"]

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .. import catalog
 from ..catalog import report
-from ..functions import measures as M
-from ..functions.exact import growth, growth_of_means, mean, mean_from, percent, quotient, quotient_of_means, total
+from ..functions import measures as M, rolled as R
+from ..functions.exact import growth, growth_of_means, mean_from, percent, quotient, quotient_of_means, total
 from ..operators.calendar import month_spine
 from ..operators.pairs import distribution_gaps, widest_pairs
 from ..operators.ranking import with_rank, with_tile
@@ -65,12 +66,12 @@ def outlet_scorecard(outlets: DataFrame) -> DataFrame:
     stores = rolled.select(
         *keys, "_sales", mean_from(F.col("_sales"), F.col("_rows"), "sales").alias("_sale"),
         mean_from(F.col("_rating"), F.col("_rows"), "rating").alias("_rate"))
-    n = one_row(stores.agg(F.count(F.lit(1)).alias("n")))["n"]
-    ranked = with_tile(stores, [-F.col("_sales"), *[F.col(k) for k in keys]], 4, "revenue_quartile")
+    n = stores.count()
+    ranked = with_tile(stores, [-F.col("_sales"), *[F.col(k) for k in keys]], 4, "revenue_quartile", rows=n)
     for column, alias in (("_sales", "_place"), ("_sale", "basket_rank"), ("_rate", "rating_rank")):
-        ranked = with_rank(ranked, -F.col(column), alias, ties="_ties" if column == "_sales" else None)
+        ranked = with_rank(ranked, -F.col(column), alias, ties="_ties" if column == "_sales" else None, rows=n)
     # Counted from the bottom: stores with less revenue, and stores with at most this revenue.
-    at_most = n - F.col("_place") + 1
+    at_most = F.lit(n) - F.col("_place") + 1
     below = at_most - F.col("_ties")
     verdict = (
         F.when((F.col("_place") <= 3) & (F.col("rating_rank") <= 5), "Benchmark store - replicate")
@@ -80,8 +81,8 @@ def outlet_scorecard(outlets: DataFrame) -> DataFrame:
     return ranked.select(
         F.col("outlet_identifier").alias("outlet"), "outlet_type", F.col("outlet_location_type").alias("tier"),
         F.round("_sales", 2).alias("revenue"), "revenue_quartile",
-        F.coalesce(percent(below, n - 1, 1), F.lit(0)).alias("revenue_percentile"),
-        percent(at_most, n, 1).alias("cumulative_dist"),
+        F.coalesce(percent(below, F.lit(n - 1), 1), F.lit(0)).alias("revenue_percentile"),
+        percent(at_most, F.lit(n), 1).alias("cumulative_dist"),
         F.round("_sale", 2).alias("avg_sale"), "basket_rank", F.round("_rate", 2).alias("avg_rating"), "rating_rank",
         verdict.alias("verdict"),
     ).orderBy(F.desc("revenue"), "outlet")
@@ -100,8 +101,8 @@ def rank_comparison(products: DataFrame, n: int = 3) -> DataFrame:
 
 
 @report("a04_contribution_curve")
-def contribution_curve(fact: DataFrame) -> DataFrame:
-    summary = summarise(fact, CATEGORY, total("sales").alias("_sales"))
+def contribution_curve(cells: DataFrame) -> DataFrame:
+    summary = summarise(cells, CATEGORY, R.total("sales").alias("_sales"))
     order = Window.orderBy(F.desc("_sales"), "category")
     whole = F.sum("_sales").over(Window.partitionBy())
     running = F.sum("_sales").over(order.rowsBetween(*SO_FAR))
@@ -133,10 +134,10 @@ def best_and_worst_category(fact: DataFrame) -> DataFrame:
 
 
 @report("a06_timeline")
-def timeline(fact: DataFrame) -> DataFrame:
+def timeline(cells: DataFrame) -> DataFrame:
     now, back, ahead = F.col("_sales"), F.lag("_sales").over(in_month_order()), F.lead("_sales").over(in_month_order())
     above = F.when(now > moving_average(-2, 0, 8), "Above trend").otherwise("Below trend")
-    return by_month(fact).select(
+    return by_month(cells).select(
         "year_month", F.round(now, 2).alias("revenue"), F.round(back, 2).alias("prev_month"),
         growth(now, back, 1).alias("mom_pct"), F.round(ahead, 2).alias("next_month"),
         growth(ahead, now, 1).alias("next_month_pct"), moving_average(-2, 0).alias("moving_avg_3m"),
@@ -146,9 +147,9 @@ def timeline(fact: DataFrame) -> DataFrame:
 
 
 @report("a07_vs_network")
-def against_network(fact: DataFrame) -> DataFrame:
-    network = one_row(fact.agg(mean("sales").alias("sale"), mean("rating").alias("rate")))
-    summary = summarise(fact, CATEGORY, M.revenue(), mean("sales").alias("_sale"), mean("rating").alias("_rate"))
+def against_network(cells: DataFrame) -> DataFrame:
+    network = one_row(cells.agg(R.mean("sales").alias("sale"), R.mean("rating").alias("rate")))
+    summary = summarise(cells, CATEGORY, R.revenue(), R.mean("sales").alias("_sale"), R.mean("rating").alias("_rate"))
     dear, liked = F.col("_sale") > network["sale"], F.col("_rate") > network["rate"]
     assessment = (
         F.when(dear & liked, "Outperforms on both").when(dear, "Commercially strong, satisfaction lags")
@@ -202,11 +203,11 @@ def missing_products(fact: DataFrame, products: DataFrame, leaders: int = 20, n:
 
 
 @report("a11_month_spine")
-def month_check(fact: DataFrame) -> DataFrame:
+def month_check(cells: DataFrame) -> DataFrame:
     """Months are summed before they meet the calendar, so only a few rows are joined."""
-    spine = month_spine(fact).select(F.date_format("month_start", "yyyy-MM").alias("year_month"))
+    spine = month_spine(cells, "first_day", "last_day").select(F.date_format("month_start", "yyyy-MM").alias("year_month"))
     rows = F.coalesce("records", F.lit(0))
-    return spine.join(by_month(fact), "year_month", "left").select(
+    return spine.join(by_month(cells), "year_month", "left").select(
         "year_month", rows.alias("records"), F.round(F.coalesce("_sales", F.lit(0).cast("decimal(28,4)")), 2).alias("revenue"),
         F.when(rows == 0, "NO DATA - investigate").otherwise("OK").alias("data_check"),
     ).orderBy("year_month")
@@ -216,10 +217,10 @@ def month_check(fact: DataFrame) -> DataFrame:
 
 
 @report("v1_category_performance")
-def category_performance(fact: DataFrame) -> DataFrame:
+def category_performance(products: DataFrame) -> DataFrame:
     summary = summarise(
-        fact, CATEGORY, M.records(), M.products(), total("sales").alias("_sales"), M.avg_sale(), M.avg_rating(),
-        mean("item_visibility", 4).alias("avg_visibility"), mean("item_weight", 2).alias("avg_weight_kg"))
+        products, CATEGORY, R.records(), R.products(), R.total("sales").alias("_sales"), R.avg_sale(), R.avg_rating(),
+        R.mean("item_visibility", 4).alias("avg_visibility"), R.mean("item_weight", 2).alias("avg_weight_kg"))
     return summary.select(
         "category", "records", "products", F.round("_sales", 2).alias("revenue"),
         share_of_all("_sales").alias("pct_of_revenue"), "avg_sale", "avg_rating", "avg_visibility", "avg_weight_kg")
@@ -234,9 +235,9 @@ def outlet_view(fact: DataFrame) -> DataFrame:
 
 
 @report("v3_monthly_trend")
-def monthly_trend(fact: DataFrame) -> DataFrame:
+def monthly_trend(cells: DataFrame) -> DataFrame:
     previous = F.lag("_sales").over(in_month_order())
-    monthly = by_month(fact, F.max("order_year").alias("year"), F.max("order_month").alias("month_no"), M.avg_rating())
+    monthly = by_month(cells, F.max("order_year").alias("year"), F.max("order_month").alias("month_no"), R.avg_rating())
     return monthly.select(
         "year_month", "year", "month_no", "records", F.round("_sales", 2).alias("revenue"), "avg_rating",
         F.round(previous, 2).alias("prev_month_revenue"), growth(F.col("_sales"), previous).alias("mom_pct_change"),
@@ -254,11 +255,11 @@ def product_master(products: DataFrame) -> DataFrame:
         mean_from(F.col("item_visibility"), rows, "item_visibility", 4).alias("avg_visibility"))
     bench = product_bench(stats, "_sales", "_rate")
     names = {k: v[0][3:].split(" (")[0] for k, v in SEGMENTS.items()}
-    down = -F.col("_sales")
-    ranked = with_rank(stats, down, "revenue_rank_overall")
-    ranked = with_rank(ranked, down, "revenue_rank_in_category", ["item_type"])
+    down, n = -F.col("_sales"), products.count()
+    ranked = with_rank(stats, down, "revenue_rank_overall", rows=n)
+    ranked = with_rank(ranked, down, "revenue_rank_in_category", ["item_type"], rows=n)
     order = [down, F.col("item_identifier"), F.col("item_type"), F.col("item_fat_content")]
-    ranked = with_tile(ranked, order, 4, "revenue_quartile")
+    ranked = with_tile(ranked, order, 4, "revenue_quartile", rows=n)
     return ranked.select(
         F.col("item_identifier").alias("product"), F.col("item_type").alias("category"),
         F.col("item_fat_content").alias("fat_content"), F.col("records").alias("outlets_stocked"),
@@ -268,9 +269,9 @@ def product_master(products: DataFrame) -> DataFrame:
 
 
 @report("v5_executive_kpis")
-def executive_kpis(fact: DataFrame) -> DataFrame:
+def executive_kpis(products: DataFrame, outlets: DataFrame) -> DataFrame:
     averages = {"avg_sale": ("sales", 2), "avg_rating": ("rating", 2), "avg_visibility": ("item_visibility", 4)}
-    return totals(fact).select(
+    return totals(products, outlets).select(
         F.round("sales", 2).alias("total_revenue"), F.col("records").alias("total_records"),
         F.col("products").alias("total_products"), F.col("categories").alias("total_categories"),
         F.col("outlets").alias("total_outlets"),
@@ -287,10 +288,10 @@ VIEWS = {
 }
 
 
-def create_views(spark: SparkSession, fact: DataFrame, products: DataFrame) -> list[str]:
+def create_views(workspace) -> list[str]:
     """Register the reporting layer as temporary views, so every consumer shares one definition."""
     for name, build in VIEWS.items():
-        build(products if build is product_master else fact).createOrReplaceTempView(name)
+        catalog.call(build, workspace).createOrReplaceTempView(name)
     return list(VIEWS)
 
 
@@ -309,12 +310,13 @@ PREVIEW_KEYS = {
 }
 
 
-def preview_views(spark: SparkSession, fact: DataFrame, products: DataFrame) -> dict[str, DataFrame]:
-    create_views(spark, fact, products)
+def preview_views(workspace) -> dict[str, DataFrame]:
+    create_views(workspace)
     previews = {}
     for name, (order, n) in PREVIEWS.items():
-        view = spark.table(name)
-        previews[name] = view.orderBy(*[F.expr(o.split()[0]).desc() if o.endswith("DESC") else F.col(o) for o in order]).limit(n) if order else view
+        view = workspace.spark.table(name)
+        keys = [F.desc(o.split()[0]) if o.endswith(" DESC") else F.col(o) for o in order]
+        previews[name] = view.orderBy(*keys).limit(n) if keys else view
     return previews
 
 
@@ -322,7 +324,7 @@ def preview_views(spark: SparkSession, fact: DataFrame, products: DataFrame) ->
 def view_previews(workspace) -> DataFrame:
     """First rows of every view in one table: view, key and revenue."""
     result = None
-    for name, preview in preview_views(workspace.spark, workspace.fact(), workspace.products()).items():
+    for name, preview in preview_views(workspace).items():
         key, amount = PREVIEW_KEYS[name]
         rows = preview.select(
             F.lit(name).alias("view_name"), F.expr(key).alias("row_key"), F.col(amount).cast("decimal(30,2)").alias("revenue"))

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..catalog import report
-from ..functions import bands, measures as M
+from ..functions import bands, measures as M, rolled as R
 from ..functions.exact import growth, growth_of_means, mean, mean_from, percent, quotient, total
 from ..operators.calendar import month_spine
 from ..operators.ranking import running_before, with_rank
@@ -163,8 +163,8 @@ CATEGORY = {"category": "item_type"}
 
 
 @report("q09_category_share")
-def category_share(fact: DataFrame) -> DataFrame:
-    summary = summarise(fact, CATEGORY, total("sales").alias("_sales"), M.records(), M.products(), M.avg_sale())
+def category_share(products: DataFrame) -> DataFrame:
+    summary = summarise(products, CATEGORY, R.total("sales").alias("_sales"), R.records(), R.products(), R.avg_sale())
     # The default range frame: categories of equal revenue share one cumulative value.
     running = F.sum("_sales").over(Window.orderBy(F.desc("_sales")).rangeBetween(Window.unboundedPreceding, 0))
     return summary.select(
@@ -175,8 +175,8 @@ def category_share(fact: DataFrame) -> DataFrame:
 
 
 @report("q10_weakest_categories")
-def weakest_categories(fact: DataFrame, n: int = 5) -> DataFrame:
-    summary = summarise(fact, CATEGORY, total("sales").alias("_sales"), M.products(), M.avg_sale(), M.avg_rating())
+def weakest_categories(products: DataFrame, n: int = 5) -> DataFrame:
+    summary = summarise(products, CATEGORY, R.total("sales").alias("_sales"), R.products(), R.avg_sale(), R.avg_rating())
     shares = summary.select(
         "category", F.round("_sales", 2).alias("revenue"), share_of_all("_sales").alias("pct_of_revenue"), "products",
         "avg_sale", "avg_rating")
@@ -184,10 +184,10 @@ def weakest_categories(fact: DataFrame, n: int = 5) -> DataFrame:
 
 
 @report("q11_strategic_role")
-def strategic_role(fact: DataFrame) -> DataFrame:
-    bench = one_row(fact.agg(
-        mean("sales").alias("sale"), quotient(F.count(F.lit(1)), F.count_distinct("item_type")).alias("rows")))
-    summary = summarise(fact, CATEGORY, mean("sales").alias("_sale"), M.records(), M.revenue())
+def strategic_role(cells: DataFrame) -> DataFrame:
+    bench = one_row(cells.agg(
+        R.mean("sales").alias("sale"), quotient(F.sum("records"), F.count_distinct("item_type")).alias("rows")))
+    summary = summarise(cells, CATEGORY, R.mean("sales").alias("_sale"), R.records(), R.revenue())
     dear, rare, busy = F.col("_sale") > bench["sale"], F.col("records") < bench["rows"], F.col("records") > bench["rows"]
     role = (
         F.when(dear & rare, "Premium niche - high value, low volume")
@@ -201,8 +201,8 @@ def strategic_role(fact: DataFrame) -> DataFrame:
 
 
 @report("q12_popularity")
-def popularity(fact: DataFrame) -> DataFrame:
-    summary = summarise(fact, CATEGORY, M.records(), total("sales").alias("_sales"))
+def popularity(cells: DataFrame) -> DataFrame:
+    summary = summarise(cells, CATEGORY, R.records(), R.total("sales").alias("_sales"))
     gap = share_of_all("_sales", 10) - share_of_all("records", 10)
     return summary.select(
         "category", "records", share_of_all("records").alias("pct_of_records"), F.round("_sales", 2).alias("revenue"),
@@ -224,18 +224,18 @@ FORMAT_COLUMNS = dict(zip(
     ALLOWED_VALUES["outlet_type"], ["grocery_store", "supermarket_t1", "supermarket_t2", "supermarket_t3"]))
 
 
-def format_pivot(fact: DataFrame, key: dict[str, str]) -> DataFrame:
+def format_pivot(cells: DataFrame, key: dict[str, str]) -> DataFrame:
     """Unrounded revenue per format, one column each; the formats are listed, so no pass finds them."""
-    keyed = fact.select(*[F.col(c).alias(k) for k, c in key.items()], "outlet_type", "sales")
-    pivoted = keyed.groupBy(*key).pivot("outlet_type", list(FORMAT_COLUMNS)).agg(total("sales"))
+    keyed = cells.select(*[F.col(c).alias(k) for k, c in key.items()], "outlet_type", "sales")
+    pivoted = keyed.groupBy(*key).pivot("outlet_type", list(FORMAT_COLUMNS)).agg(R.total("sales"))
     return pivoted.fillna(0)
 
 
 @report("q14_category_x_format")
-def category_by_format(fact: DataFrame) -> DataFrame:
+def category_by_format(cells: DataFrame) -> DataFrame:
     columns = [F.col(f).alias(c) for f, c in FORMAT_COLUMNS.items()]
     whole = reduce(lambda a, b: a + b, [F.col(f) for f in FORMAT_COLUMNS])
-    return format_pivot(fact, CATEGORY).select(
+    return format_pivot(cells, CATEGORY).select(
         "category", *[F.round(c, 0).alias(n) for c, n in zip(columns, FORMAT_COLUMNS.values())],
         F.round(whole, 0).alias("total"),
     ).orderBy(F.desc("total"), "category")
@@ -248,11 +248,11 @@ STORE = {"outlet": "outlet_identifier", "outlet_type": "outlet_type", "outlet_si
 
 
 @report("q15_best_stores")
-def best_stores(fact: DataFrame, n: int = 5) -> DataFrame:
+def best_stores(outlets: DataFrame, n: int = 5) -> DataFrame:
     keys = {**STORE, "opened": "outlet_establishment_year"}
-    summary = summarise(fact, keys, total("sales").alias("_sales"), M.avg_sale(), M.avg_rating())
+    summary = summarise(outlets, keys, R.total("sales").alias("_sales"), R.avg_sale(), R.avg_rating())
     first = summary.orderBy(F.desc("_sales"), "outlet").limit(n)
-    all_sales = one_row(fact.agg(total("sales").alias("s")))["s"]
+    all_sales = one_row(outlets.agg(R.total("sales").alias("s")))["s"]
     # The rank of the first rows depends on these rows alone.
     return first.select(
         *keys, F.round("_sales", 2).alias("revenue"), percent(F.col("_sales"), all_sales).alias("pct_of_revenue"),
@@ -261,53 +261,53 @@ def best_stores(fact: DataFrame, n: int = 5) -> DataFrame:
 
 
 @report("q16_worst_stores")
-def worst_stores(fact: DataFrame, n: int = 5) -> DataFrame:
-    network = one_row(fact.agg(mean("sales").alias("m")))["m"]
-    summary = summarise(fact, STORE, M.revenue(), mean("sales").alias("_sale"), M.records(), M.avg_rating())
+def worst_stores(outlets: DataFrame, n: int = 5) -> DataFrame:
+    network = one_row(outlets.agg(R.mean("sales").alias("m")))["m"]
+    summary = summarise(outlets, STORE, R.revenue(), R.mean("sales").alias("_sale"), R.records(), R.avg_rating())
     return top(summary.select(
         *STORE, "revenue", F.round("_sale", 2).alias("avg_sale"), "records", "avg_rating",
         F.round(F.col("_sale") - network, 2).alias("avg_sale_vs_network")), n, "revenue", "outlet")
 
 
 @report("q17_revenue_per_store_format")
-def revenue_per_store_by_format(fact: DataFrame) -> DataFrame:
+def revenue_per_store_by_format(outlets: DataFrame) -> DataFrame:
     return summarise(
-        fact, ["outlet_type"], M.stores(), M.revenue("total_revenue"), M.revenue_per_store(), M.avg_sale(),
-        M.avg_rating(),
+        outlets, ["outlet_type"], R.stores(), R.revenue("total_revenue"), R.revenue_per_store(), R.avg_sale(),
+        R.avg_rating(),
     ).orderBy(F.desc("revenue_per_store"), "outlet_type")
 
 
-def _with_share(fact: DataFrame, keys: dict[str, str], *measures) -> DataFrame:
-    summary = summarise(fact, keys, total("sales").alias("_sales"), *measures)
+def _with_share(rollup: DataFrame, keys: dict[str, str], *measures) -> DataFrame:
+    summary = summarise(rollup, keys, R.total("sales").alias("_sales"), *measures)
     return summary.withColumns({
         "revenue": F.round("_sales", 2), "pct_of_revenue": share_of_all("_sales")}).drop("_sales")
 
 
 @report("q18_tier_performance")
-def tier_returns(fact: DataFrame) -> DataFrame:
+def tier_returns(outlets: DataFrame) -> DataFrame:
     return _with_share(
-        fact, {"tier": "outlet_location_type"}, M.stores(), M.revenue_per_store(), M.avg_sale(), M.avg_rating(),
+        outlets, {"tier": "outlet_location_type"}, R.stores(), R.revenue_per_store(), R.avg_sale(), R.avg_rating(),
     ).orderBy(F.desc("revenue_per_store"), "tier")
 
 
 @report("q19_size_performance")
-def size_returns(fact: DataFrame) -> DataFrame:
+def size_returns(outlets: DataFrame) -> DataFrame:
     return _with_share(
-        fact, {"outlet_size": "outlet_size"}, M.stores(), M.revenue_per_store(), M.avg_sale(),
+        outlets, {"outlet_size": "outlet_size"}, R.stores(), R.revenue_per_store(), R.avg_sale(),
     ).orderBy(F.desc("revenue_per_store"), "outlet_size")
 
 
 @report("q20_store_age")
-def store_age(fact: DataFrame) -> DataFrame:
+def store_age(outlets: DataFrame) -> DataFrame:
     keys = {"opened": "outlet_establishment_year", "age_years": "outlet_age_years"}
-    return summarise(fact, keys, M.stores(), M.revenue(), M.revenue_per_store(), M.avg_sale()).orderBy("opened")
+    return summarise(outlets, keys, R.stores(), R.revenue(), R.revenue_per_store(), R.avg_sale()).orderBy("opened")
 
 
 @report("q21_format_x_tier")
-def format_by_tier(fact: DataFrame) -> DataFrame:
+def format_by_tier(outlets: DataFrame) -> DataFrame:
     keys = {"outlet_type": "outlet_type", "tier": "outlet_location_type"}
     summary = summarise(
-        fact, keys, M.stores(), M.revenue(), M.revenue_per_store(), M.revenue_per_store("_rate", 8), M.avg_sale())
+        outlets, keys, R.stores(), R.revenue(), R.revenue_per_store(), R.revenue_per_store("_rate", 8), R.avg_sale())
     ranked = summary.withColumn("opportunity_rank", F.rank().over(Window.orderBy(F.desc("_rate"))))
     return ranked.drop("_rate").orderBy("opportunity_rank", *keys)
 
@@ -353,22 +353,21 @@ def visibility_uplift(fact: DataFrame) -> DataFrame:
 
 
 @report("q25_fat_compare")
-def fat_content_comparison(fact: DataFrame) -> DataFrame:
-    shares = _with_share(fact, {"item_fat_content": "item_fat_content"}, M.records(), M.avg_sale(), M.avg_rating())
+def fat_content_comparison(cells: DataFrame) -> DataFrame:
+    shares = _with_share(cells, {"item_fat_content": "item_fat_content"}, R.records(), R.avg_sale(), R.avg_rating())
     return shares.withColumn("pct_of_records", share_of_all("records")).orderBy(F.desc("revenue"))
 
 
 @report("q26_fat_by_category")
-def fat_content_by_category(fact: DataFrame) -> DataFrame:
+def fat_content_by_category(cells: DataFrame) -> DataFrame:
     low, regular = F.col("item_fat_content") == "Low Fat", F.col("item_fat_content") == "Regular"
 
     def rating_of(test: Column) -> Column:
-        rated = F.when(test, F.col("rating").cast("decimal(18,2)"))
-        return F.round(quotient(F.sum(rated), F.count(rated)), 2)
+        return F.round(quotient(F.sum(F.when(test, F.col("rating"))), F.sum(F.when(test, F.col("records")))), 2)
 
     return summarise(
-        fact, CATEGORY, M.revenue_when(low, "low_fat_revenue"), M.revenue_when(regular, "regular_revenue"),
-        percent(F.sum(F.when(low, F.col("sales").cast("decimal(18,4)")).otherwise(0)), total("sales"), 1).alias("low_fat_share_pct"),
+        cells, CATEGORY, R.revenue_when(low, "low_fat_revenue"), R.revenue_when(regular, "regular_revenue"),
+        percent(F.sum(F.when(low, F.col("sales")).otherwise(0)), R.total("sales"), 1).alias("low_fat_share_pct"),
         rating_of(low).alias("low_fat_rating"), rating_of(regular).alias("regular_rating"),
     ).orderBy(F.desc("low_fat_share_pct"), "category")
 
@@ -376,13 +375,15 @@ def fat_content_by_category(fact: DataFrame) -> DataFrame:
 @report("q27_rating_vs_sales")
 def rating_against_sales(fact: DataFrame) -> DataFrame:
     label = bands.band(F.col("rating"), bands.RATING_LIMITS_5, bands.RATING_LABELS_5)
-    banded = fact.select(label.alias("rating_band"), "sales")
-    return _with_share(banded, {"rating_band": "rating_band"}, M.records(), M.avg_sale()).orderBy("rating_band")
+    summary = fact.groupBy(label.alias("rating_band")).agg(M.records(), M.avg_sale(), total("sales").alias("_sales"))
+    return summary.select(
+        "rating_band", "records", "avg_sale", F.round("_sales", 2).alias("revenue"),
+        share_of_all("_sales").alias("pct_of_revenue")).orderBy("rating_band")
 
 
 @report("q28_under_exposed")
-def under_exposed(fact: DataFrame, products: DataFrame, n: int = 15) -> DataFrame:
-    network = one_row(fact.agg(mean("item_visibility").alias("m")))["m"]
+def under_exposed(products: DataFrame, n: int = 15) -> DataFrame:
+    network = one_row(products.agg(R.mean("item_visibility").alias("m")))["m"]
     hidden = by_product(products).where(
         (F.col("avg_visibility") < network) & (F.col("revenue") > average_item_revenue(products)))
     return top(
@@ -393,11 +394,11 @@ def under_exposed(fact: DataFrame, products: DataFrame, n: int = 15) -> DataFram
 
 
 @report("q29_weight_profile")
-def weight_profile(fact: DataFrame) -> DataFrame:
+def weight_profile(cells: DataFrame) -> DataFrame:
     return summarise(
-        fact, CATEGORY, mean("item_weight", 2).alias("avg_weight_kg"),
-        F.round(total("item_weight"), 0).alias("total_weight_kg"), M.revenue(),
-        F.round(quotient(total("sales"), total("item_weight")), 2).alias("revenue_per_kg"),
+        cells, CATEGORY, R.mean("item_weight", 2).alias("avg_weight_kg"),
+        F.round(R.total("item_weight"), 0).alias("total_weight_kg"), R.revenue(),
+        F.round(quotient(R.total("sales"), R.total("item_weight")), 2).alias("revenue_per_kg"),
         F.sum("item_weight_imputed").alias("rows_with_imputed_weight"),
     ).orderBy(F.desc("revenue_per_kg"), "category")
 
@@ -412,8 +413,8 @@ def in_month_order():
     return Window.orderBy("year_month")
 
 
-def by_month(fact: DataFrame, *measures) -> DataFrame:
-    return summarise(fact, {"year_month": "order_year_month"}, total("sales").alias("_sales"), M.records(), *measures)
+def by_month(cells: DataFrame, *measures) -> DataFrame:
+    return summarise(cells, {"year_month": "order_year_month"}, R.total("sales").alias("_sales"), R.records(), *measures)
 
 
 def moving_average(first: int, last: int, digits: int = 2) -> Column:
@@ -423,18 +424,18 @@ def moving_average(first: int, last: int, digits: int = 2) -> Column:
 
 
 @report("q30_mom_trend")
-def month_on_month(fact: DataFrame) -> DataFrame:
+def month_on_month(cells: DataFrame) -> DataFrame:
     previous = F.lag("_sales").over(in_month_order())
-    return by_month(fact).select(
+    return by_month(cells).select(
         "year_month", "records", F.round("_sales", 2).alias("revenue"), F.round(previous, 2).alias("prev_month_revenue"),
         F.round(F.col("_sales") - previous, 2).alias("mom_change"), growth(F.col("_sales"), previous).alias("mom_pct_change"),
     ).orderBy("year_month")
 
 
 @report("q31_running_total")
-def running_totals(fact: DataFrame) -> DataFrame:
+def running_totals(cells: DataFrame) -> DataFrame:
     in_year = Window.partitionBy(F.substring("year_month", 1, 4)).orderBy("year_month").rowsBetween(*SO_FAR)
-    return by_month(fact).select(
+    return by_month(cells).select(
         "year_month", F.round("_sales", 2).alias("monthly_revenue"),
         F.round(F.sum("_sales").over(in_month_order().rowsBetween(*SO_FAR)), 2).alias("running_total_all_time"),
         F.round(F.sum("_sales").over(in_year), 2).alias("running_total_ytd"),
@@ -442,29 +443,29 @@ def running_totals(fact: DataFrame) -> DataFrame:
 
 
 @report("q32_moving_avg")
-def moving_averages(fact: DataFrame) -> DataFrame:
-    return by_month(fact).select(
+def moving_averages(cells: DataFrame) -> DataFrame:
+    return by_month(cells).select(
         "year_month", F.round("_sales", 2).alias("revenue"), moving_average(-2, 0).alias("moving_avg_3m"),
         F.round(F.col("_sales") - moving_average(-2, 0, 8), 2).alias("deviation_from_trend"),
     ).orderBy("year_month")
 
 
 @report("q33_yoy_by_month")
-def year_on_year(fact: DataFrame) -> DataFrame:
+def year_on_year(cells: DataFrame) -> DataFrame:
     """Twelve rows back is one year back only if no month is missing, so the months come from the calendar."""
-    spine = month_spine(fact).select(F.date_format("month_start", "yyyy-MM").alias("year_month"))
+    spine = month_spine(cells, "first_day", "last_day").select(F.date_format("month_start", "yyyy-MM").alias("year_month"))
     before = F.lag("_sales", MONTHS_PER_YEAR).over(in_month_order())
-    compared = spine.join(by_month(fact), "year_month", "left").select(
+    compared = spine.join(by_month(cells), "year_month", "left").select(
         "year_month", F.round("_sales", 2).alias("revenue"), F.round(before, 2).alias("same_month_last_year"),
         F.round(F.col("_sales") - before, 2).alias("yoy_change"), growth(F.col("_sales"), before).alias("yoy_pct_growth"))
     return compared.where(F.col("revenue").isNotNull()).orderBy("year_month")
 
 
 @report("q34_full_year")
-def full_year(fact: DataFrame) -> DataFrame:
+def full_year(cells: DataFrame) -> DataFrame:
     yearly = summarise(
-        fact, {"year": "order_year"}, M.records(), total("sales").alias("_sales"), mean("sales").alias("_sale"),
-        M.avg_rating())
+        cells, {"year": "order_year"}, R.records(), R.total("sales").alias("_sales"), R.mean("sales").alias("_sale"),
+        R.avg_rating())
     years = Window.orderBy("year")
 
     before = {c: F.lag(c).over(years) for c in ("_sales", "_sale")}
@@ -476,10 +477,10 @@ def full_year(fact: DataFrame) -> DataFrame:
 
 
 @report("q35_seasonality")
-def seasonality(fact: DataFrame) -> DataFrame:
+def seasonality(cells: DataFrame) -> DataFrame:
     monthly = summarise(
-        fact, {"month_no": "order_month"}, F.max("order_month_name").alias("month_name"), total("sales").alias("_sales"),
-        M.avg_sale())
+        cells, {"month_no": "order_month"}, F.max("order_month_name").alias("month_name"), R.total("sales").alias("_sales"),
+        R.avg_sale())
     whole = F.sum("_sales").over(Window.partitionBy())
     return monthly.select(
         "month_no", "month_name", F.round("_sales", 2).alias("revenue"), "avg_sale",
@@ -490,9 +491,9 @@ def seasonality(fact: DataFrame) -> DataFrame:
 
 
 @report("q36_quarterly")
-def quarterly(fact: DataFrame) -> DataFrame:
+def quarterly(cells: DataFrame) -> DataFrame:
     keys = {"year": "order_year", "quarter": "order_quarter"}
-    summary = summarise(fact, keys, M.records(), total("sales").alias("_sales"), M.avg_sale())
+    summary = summarise(cells, keys, R.records(), R.total("sales").alias("_sales"), R.avg_sale())
     previous = F.lag("_sales").over(Window.orderBy("year", "quarter"))
     return summary.select(
         "year", "quarter", F.concat("year", F.lit("-Q"), "quarter").alias("period"), "records",
@@ -503,21 +504,21 @@ def quarterly(fact: DataFrame) -> DataFrame:
 # -------------------------------------------------------------------------- strategic
 
 
-def year_columns(fact: DataFrame, keys: dict[str, str], years: tuple[int, ...]) -> DataFrame:
+def year_columns(cells: DataFrame, keys: dict[str, str], years: tuple[int, ...]) -> DataFrame:
     """Revenue per key, one column `rev_<year>` per listed year, NULL where there is none."""
     renamed = [F.col(c).alias(k) for k, c in keys.items()]
-    pivoted = fact.select(*renamed, "order_year", "sales").groupBy(*keys).pivot("order_year", list(years)).agg(total("sales"))
+    pivoted = cells.select(*renamed, "order_year", "sales").groupBy(*keys).pivot("order_year", list(years)).agg(R.total("sales"))
     return pivoted.select(*keys, *[F.col(str(y)).alias(f"rev_{y}") for y in years])
 
 
 @report("q37_category_growth")
-def category_growth(fact: DataFrame, years: tuple[int, int] = COMPARED_YEARS) -> DataFrame:
+def category_growth(cells: DataFrame, years: tuple[int, int] = COMPARED_YEARS) -> DataFrame:
     first, second = (F.col(f"rev_{y}") for y in years)
     change = growth(second, first, 10)
     verdict = (
         F.when(change >= 25, "Accelerating - invest").when(change >= 10, "Growing - maintain")
         .when(change >= 0, "Flat - review").otherwise("Declining - act now"))
-    return year_columns(fact, CATEGORY, years).select(
+    return year_columns(cells, CATEGORY, years).select(
         "category", F.round(first, 2).alias(f"revenue_{years[0]}"), F.round(second, 2).alias(f"revenue_{years[1]}"),
         F.round(second - first, 2).alias("absolute_growth"), growth(second, first).alias("growth_pct"),
         verdict.alias("verdict"),
@@ -571,15 +572,15 @@ SUMMARY_LINES = {
 }
 
 
-def leader(fact: DataFrame, column: str, amount: Column) -> Column:
+def leader(rollup: DataFrame, column: str, amount: Column) -> Column:
     """The value of a column with the largest amount; ties go to the first in order."""
-    first = fact.groupBy(column).agg(amount.alias("_amount")).orderBy(F.desc("_amount"), column).limit(1)
+    first = rollup.groupBy(column).agg(amount.alias("_amount")).orderBy(F.desc("_amount"), column).limit(1)
     return one_row(first.select(column))[column]
 
 
 @report("q40_exec_summary")
-def executive_summary(fact: DataFrame) -> DataFrame:
-    sums = totals(fact)
+def executive_summary(products: DataFrame, outlets: DataFrame, cells: DataFrame) -> DataFrame:
+    sums = totals(products, outlets)
 
     def text(number: Column, digits: int) -> Column:
         return F.format_number(F.round(number, digits), digits)
@@ -591,10 +592,10 @@ def executive_summary(fact: DataFrame) -> DataFrame:
         text(quotient(F.col("rating"), F.col("records")), 2),
         F.concat_ws(" / ", F.col("products").cast("string"), F.col("categories").cast("string")),
         F.col("outlets").cast("string"),
-        leader(fact, "item_type", total("sales")),
-        leader(fact, "outlet_identifier", total("sales")),
-        leader(fact, "outlet_type", quotient(total("sales"), F.count_distinct("outlet_identifier"))),
-        leader(fact, "order_month_name", total("sales")),
+        leader(cells, "item_type", R.total("sales")),
+        leader(outlets, "outlet_identifier", R.total("sales")),
+        leader(outlets, "outlet_type", quotient(R.total("sales"), F.count_distinct("outlet_identifier"))),
+        leader(cells, "order_month_name", R.total("sales")),
     ]
     lines = F.array(*[
         F.struct(F.lit(metric).alias("metric"), value.alias("value"), F.lit(why).alias("why_it_matters"))

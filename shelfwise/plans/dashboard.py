@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..catalog import report
 from ..functions import bands, measures as M
 from ..functions.exact import quotient, total
+from ..operators.rollups import outlet_rollup, product_rollup
 from ..operators.segments import apply_filters, summarise
 from .kpis import totals
 
@@ -50,10 +51,14 @@ def top_bottom_products(fact: DataFrame, n: int = 10) -> DataFrame:
 def pivots(fact: DataFrame, n: int = 10) -> DataFrame:
     """Nine pivots in long form: pivot, label, value. The plain ones share one pass over the fact."""
     fields = pivot_fields()
-    rows = F.array(*[F.struct(F.lit(name).alias("pivot"), field.alias("label")) for name, (field, _) in fields.items()])
+    rows = F.array(*[F.struct(F.lit(name).alias("pivot"), F.col(name).alias("label")) for name in fields])
     counted = [name for name, (_, how) in fields.items() if how == "count"]
-    plain = fact.select("sales", F.inline(rows)).groupBy("pivot", "label").agg(
-        total("sales").alias("_sales"), F.count(F.lit(1)).alias("_rows"))
+    # Rows are summed per combination of labels first; months, categories and enumerated labels
+    # allow only so many, and just these are multiplied by the pivots.
+    labels = fact.select("sales", *[field.alias(name) for name, (field, _) in fields.items()])
+    cells = labels.groupBy(*fields).agg(total("sales").alias("sales"), F.count(F.lit(1)).alias("records"))
+    plain = cells.select("sales", "records", F.inline(rows)).groupBy("pivot", "label").agg(
+        F.sum("sales").cast("decimal(28,4)").alias("_sales"), F.sum("records").alias("_rows"))
     value = F.when(F.col("pivot").isin(counted), F.col("_rows").cast("decimal(28,4)")).otherwise(F.col("_sales"))
     products = top_bottom(fact, "item_identifier", n)
     named = F.concat("list", F.lit("_prod")).alias("pivot")
@@ -73,7 +78,7 @@ CARDS = {
 
 
 @report("d_kpi_cards")
-def kpi_cards(fact: DataFrame) -> DataFrame:
+def kpi_cards(products: DataFrame, outlets: DataFrame) -> DataFrame:
     rows = F.col("records")
 
     def text(value: Column, digits: int) -> Column:
@@ -90,7 +95,7 @@ def kpi_cards(fact: DataFrame) -> DataFrame:
     cards = F.array(*[
         F.struct(F.lit(label).alias("card"), value.alias("value"), F.lit(hint).alias("hint"))
         for (label, hint), value in zip(CARDS.items(), values)])
-    return totals(fact).select(F.inline(cards))
+    return totals(products, outlets).select(F.inline(cards))
 
 
 FILTER_FIELDS = ["item_type", "outlet_type", "outlet_location_type", "outlet_size", "order_year", "item_fat_content"]
@@ -107,7 +112,7 @@ def filtered_dashboard(fact: DataFrame, choice: dict[str, list]) -> dict[str, Da
     if unknown:
         raise ValueError(f"no filter for {sorted(unknown)}")
     chosen = apply_filters(fact, choice)
-    return {"pivots": pivots(chosen), "kpis": kpi_pivot(chosen), "cards": kpi_cards(chosen)}
+    return {"pivots": pivots(chosen), "kpis": kpi_pivot(chosen), "cards": kpi_cards(product_rollup(chosen), outlet_rollup(chosen))}
 
 
 @report("d_cross_filter")

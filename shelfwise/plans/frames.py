@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..catalog import report
-from ..functions import bands, measures as M
+from ..functions import bands, measures as M, rolled as R
 from ..functions.exact import growth, growth_of_means, mean, mean_from, percent, quotient, quotient_of_means, total
 from ..operators.order_stats import quantiles_interpolated
 from ..operators.ranking import with_row_number
@@ -21,11 +21,11 @@ from .business import SO_FAR, FORMAT_COLUMNS, abc_classes, year_columns
 from .kpis import day_type, totals
 
 
-def revenue4() -> Column:
-    return M.revenue("revenue", 4)
+def revenue4(measures=M) -> Column:
+    return measures.revenue("revenue", 4)
 
 
-def averages4(*names: str) -> list[Column]:
+def averages4(*names: str, mean=mean) -> list[Column]:
     alias = {"sales": "avg_sale", "rating": "avg_rating", "item_visibility": "avg_visibility", "item_weight": "avg_weight"}
     return [mean(n, 4).alias(alias[n]) for n in names]
 
@@ -37,19 +37,19 @@ def share_of_total(df: DataFrame, column: str, alias: str, digits: int = 2) -> D
 
 
 @report("p_share")
-def category_shares(fact: DataFrame) -> DataFrame:
-    return share_of_total(summarise(fact, ["item_type"], revenue4()), "revenue", "pct_of_total")
+def category_shares(cells: DataFrame) -> DataFrame:
+    return share_of_total(summarise(cells, ["item_type"], revenue4(R)), "revenue", "pct_of_total")
 
 
 @report("p_kpis")
-def kpis(fact: DataFrame) -> DataFrame:
+def kpis(fact: DataFrame, products: DataFrame, outlets: DataFrame) -> DataFrame:
     rows, sales = F.col("records"), F.col("sales")
     median = one_row(quantiles_interpolated(fact, "sales", {"m": 50}))["m"]
 
     def average(column: str, digits: int, count: Column = rows) -> Column:
         return F.round(quotient(F.col(column), count), digits)
 
-    return totals(fact).select(
+    return totals(products, outlets).select(
         F.round(sales, 2).alias("total_revenue"), rows.alias("total_records"), F.col("products").alias("total_products"),
         F.col("categories").alias("total_categories"), F.col("outlets").alias("total_outlets"),
         F.col("types").alias("total_outlet_types"), F.col("tiers").alias("total_tiers"),
@@ -57,15 +57,15 @@ def kpis(fact: DataFrame) -> DataFrame:
         average("item_weight", 2, F.col("weighed")).alias("avg_weight"), average("item_visibility", 4).alias("avg_visibility"),
         F.round(quotient(sales, F.col("outlets")), 2).alias("revenue_per_outlet"),
         F.date_format("first_day", "yyyy-MM-dd").alias("period_start"), F.date_format("last_day", "yyyy-MM-dd").alias("period_end"),
-        percent(F.col("weights_imputed"), rows).alias("pct_weight_imputed"),
-        percent(F.col("visibility_imputed"), rows).alias("pct_visibility_imputed"))
+        percent(F.col("item_weight_imputed"), rows).alias("pct_weight_imputed"),
+        percent(F.col("item_visibility_imputed"), rows).alias("pct_visibility_imputed"))
 
 
 @report("p_category")
-def category(fact: DataFrame) -> DataFrame:
+def category(products: DataFrame) -> DataFrame:
     summary = summarise(
-        fact, ["item_type"], M.records(), M.products(), revenue4(),
-        *averages4("sales", "rating", "item_visibility", "item_weight"))
+        products, ["item_type"], R.records(), R.products(), revenue4(R),
+        *averages4("sales", "rating", "item_visibility", "item_weight", mean=R.mean))
     shared = summary.withColumn("pct_of_revenue", share_of_all("revenue"))
     running = F.sum("pct_of_revenue").over(Window.orderBy(F.desc("revenue"), "item_type").rowsBetween(*SO_FAR))
     return shared.withColumns({
@@ -104,8 +104,11 @@ def segment_table(fact: DataFrame, column: str) -> DataFrame:
 def segment_tables(fact: DataFrame) -> DataFrame:
     """All four segment tables from one pass over the fact."""
     labels = F.array(*[F.struct(F.lit(t).alias("dimension"), F.col(c).alias("label")) for t, c in SEGMENT_TABLES.items()])
-    summary = fact.select("outlet_identifier", "sales", "rating", F.inline(labels)).groupBy("dimension", "label").agg(
-        *_segment_measures())
+    keys = ["outlet_identifier", *SEGMENT_TABLES.values()]
+    stores = fact.groupBy(*keys).agg(M.records(), total("sales").alias("sales"), total("rating").alias("rating"))
+    # Rows are summed per store first, so only that small table is multiplied by the four dimensions.
+    summary = stores.select("outlet_identifier", "records", "sales", "rating", F.inline(labels)).groupBy("dimension", "label").agg(
+        R.stores(), R.records(), revenue4(R), *averages4("sales", "rating", mean=R.mean))
     whole = F.sum("revenue").over(Window.partitionBy("dimension"))
     return summary.withColumns({
         "pct_of_revenue": percent(F.col("revenue"), whole),
@@ -114,8 +117,8 @@ def segment_tables(fact: DataFrame) -> DataFrame:
 
 
 @report("p_monthly")
-def monthly(fact: DataFrame) -> DataFrame:
-    summary = summarise(fact, ["order_year_month"], M.records(), revenue4(), *averages4("sales", "rating"))
+def monthly(cells: DataFrame) -> DataFrame:
+    summary = summarise(cells, ["order_year_month"], R.records(), revenue4(R), *averages4("sales", "rating", mean=R.mean))
     order = Window.orderBy("order_year_month")
     last3 = order.rowsBetween(-2, 0)
     now, before = F.col("revenue"), F.lag("revenue").over(order)
@@ -129,8 +132,8 @@ def monthly(fact: DataFrame) -> DataFrame:
 
 
 @report("p_yearly")
-def yearly(fact: DataFrame) -> DataFrame:
-    summary = summarise(fact, ["order_year"], M.records(), revenue4(), *averages4("sales", "rating"))
+def yearly(cells: DataFrame) -> DataFrame:
+    summary = summarise(cells, ["order_year"], R.records(), revenue4(R), *averages4("sales", "rating", mean=R.mean))
     order = Window.orderBy("order_year")
     return summary.withColumns({
         "yoy_growth_pct": growth(F.col("revenue"), F.lag("revenue").over(order)),
@@ -139,8 +142,8 @@ def yearly(fact: DataFrame) -> DataFrame:
 
 
 @report("p_seasonality")
-def seasonality(fact: DataFrame) -> DataFrame:
-    summary = summarise(fact, ["order_month", "order_month_name"], revenue4(), *averages4("sales"))
+def seasonality(cells: DataFrame) -> DataFrame:
+    summary = summarise(cells, ["order_month", "order_month_name"], revenue4(R), *averages4("sales", mean=R.mean))
     everything = Window.partitionBy()
     rows, whole = F.count(F.lit(1)).over(everything), F.sum("revenue").over(everything)
     return summary.withColumns({
@@ -226,9 +229,9 @@ def visibility_quintiles(fact: DataFrame) -> DataFrame:
 
 
 @report("p_pivot_format")
-def category_by_format(fact: DataFrame) -> DataFrame:
+def category_by_format(cells: DataFrame) -> DataFrame:
     formats = list(FORMAT_COLUMNS)
-    pivoted = fact.groupBy("item_type").pivot("outlet_type", formats).agg(total("sales")).fillna(0)
+    pivoted = cells.groupBy("item_type").pivot("outlet_type", formats).agg(R.total("sales")).fillna(0)
     return pivoted.select("item_type", *[F.round(f"`{f}`", 0).alias(f) for f in formats]).orderBy("item_type")
 
 
@@ -252,30 +255,30 @@ def outlet_growth(outlets: DataFrame) -> DataFrame:
 
 
 @report("p_category_growth")
-def category_growth(fact: DataFrame) -> DataFrame:
-    years = all_years(fact)
-    return _growth_table(year_columns(fact, {"item_type": "item_type"}, years), ["item_type"], years)
+def category_growth(cells: DataFrame) -> DataFrame:
+    years = all_years(cells)
+    return _growth_table(year_columns(cells, {"item_type": "item_type"}, years), ["item_type"], years)
 
 
 @report("p_weekday")
-def weekday(fact: DataFrame) -> DataFrame:
-    return fact.groupBy(day_type()).agg(M.records(), M.revenue(), M.avg_sale()).orderBy("day_type")
+def weekday(cells: DataFrame) -> DataFrame:
+    return cells.groupBy(day_type()).agg(R.records(), R.revenue(), R.avg_sale()).orderBy("day_type")
 
 
-def aggregate_tables(fact: DataFrame, products_rollup: DataFrame, outlets: DataFrame) -> dict[str, DataFrame]:
+def aggregate_tables(fact: DataFrame, products_rollup: DataFrame, outlets: DataFrame, cells: DataFrame) -> dict[str, DataFrame]:
     """All aggregate tables by name."""
     lists = top_and_bottom(products_rollup)
     return {
-        "kpis": kpis(fact), "category": category(fact), "outlet": outlet(fact),
+        "kpis": kpis(fact, products_rollup, outlets), "category": category(products_rollup), "outlet": outlet(fact),
         **{name: segment_table(fact, column) for name, column in SEGMENT_TABLES.items()},
-        "monthly": monthly(fact), "yearly": yearly(fact), "seasonality": seasonality(fact),
+        "monthly": monthly(cells), "yearly": yearly(cells), "seasonality": seasonality(cells),
         "products": products(products_rollup),
         "top_products": lists.where(F.col("list") == "top").drop("list"),
         "bottom_products": lists.where(F.col("list") == "bottom").drop("list"),
         "segments": segments(products_rollup), "abc": abc(products_rollup), "sales_bands": sales_bands(fact),
         "rating_dist": rating_distribution(fact), "visibility_quintiles": visibility_quintiles(fact),
-        "cat_by_outlet_type": category_by_format(fact).withColumnsRenamed({f: f.lower().replace(" ", "_") for f in FORMAT_COLUMNS}),
-        "outlet_growth": outlet_growth(outlets), "category_growth": category_growth(fact), "weekday": weekday(fact),
+        "cat_by_outlet_type": category_by_format(cells).withColumnsRenamed({f: f.lower().replace(" ", "_") for f in FORMAT_COLUMNS}),
+        "outlet_growth": outlet_growth(outlets), "category_growth": category_growth(cells), "weekday": weekday(cells),
     }
 
 
@@ -283,7 +286,7 @@ def aggregate_tables(fact: DataFrame, products_rollup: DataFrame, outlets: DataF
 def stored_aggregates(workspace) -> DataFrame:
     """Write every aggregate table, read each back and count it."""
     folder = workspace.path("aggregates")
-    tables = aggregate_tables(workspace.fact(), workspace.products(), workspace.outlets())
+    tables = aggregate_tables(workspace.fact(), workspace.products(), workspace.outlets(), workspace.cells())
     files.write_aggregates(tables, folder)
     result = None
     for name in tables:
@@ -294,7 +297,7 @@ def stored_aggregates(workspace) -> DataFrame:
 
 
 @report("p_facts")
-def headline_facts(fact: DataFrame, products: DataFrame, outlets: DataFrame) -> DataFrame:
+def headline_facts(fact: DataFrame, products: DataFrame, outlets: DataFrame, cells: DataFrame) -> DataFrame:
     """One record of headline figures, each taken from one of the aggregate tables."""
     def first(by: Column, *fields: str) -> list[Column]:
         return [F.max_by(f, by).alias(f"top_{f}") for f in fields]
@@ -302,9 +305,9 @@ def headline_facts(fact: DataFrame, products: DataFrame, outlets: DataFrame) ->
     def last(by: Column, *fields: str) -> list[Column]:
         return [F.min_by(f, by).alias(f"end_{f}") for f in fields]
 
-    cat, out, types = category(fact), outlet(fact), segment_table(fact, "outlet_type")
+    cat, out, types = category(products), outlet(fact), segment_table(fact, "outlet_type")
     tiers, sizes, fat = (segment_table(fact, SEGMENT_TABLES[t]) for t in ("tier", "outlet_size", "fat_content"))
-    months, years, vis = seasonality(fact), yearly(fact), visibility_quintiles(fact)
+    months, years, vis = seasonality(cells), yearly(cells), visibility_quintiles(fact)
     stats = product_stats(products)
     revenue, per_store = F.col("revenue"), F.col("revenue_per_store")
     place = F.row_number().over(Window.orderBy(F.desc("revenue"), "item_type"))
@@ -333,12 +336,12 @@ def headline_facts(fact: DataFrame, products: DataFrame, outlets: DataFrame) ->
             F.count_if(low).alias("low_count"), F.sum(F.when(low, revenue)).alias("low_revenue"),
             F.count_if(F.col("segment") == "Star").alias("stars"),
             F.count_if(F.col("segment") == "Delist candidate").alias("delist")),
-        "day": weekday(fact).agg(where("day_type", "Weekend", "avg_sale", "weekend"), where("day_type", "Weekday", "avg_sale", "weekday")),
-        "grow": category_growth(fact).agg(F.max_by("item_type", "growth_pct").alias("item_type"), F.max("growth_pct").alias("growth_pct")),
+        "day": weekday(cells).agg(where("day_type", "Weekend", "avg_sale", "weekend"), where("day_type", "Weekday", "avg_sale", "weekday")),
+        "grow": category_growth(cells).agg(F.max_by("item_type", "growth_pct").alias("item_type"), F.max("growth_pct").alias("growth_pct")),
         "fat": fat.agg(where("item_fat_content", "Low Fat", "pct_of_revenue", "low_fat")),
     }
     low_revenue = F.coalesce("prod.low_revenue", F.lit(0).cast("decimal(28,4)"))
-    base = kpis(fact).select("*", *[one_row(df).alias(name) for name, df in one_rows.items()])
+    base = kpis(fact, products, outlets).select("*", *[one_row(df).alias(name) for name, df in one_rows.items()])
     picked = {
         "total_revenue": "total_revenue", "total_records": "total_records", "total_products": "total_products",
         "avg_sale": "avg_sale", "median_sale": "median_sale", "avg_rating": "avg_rating", "outlets": "total_outlets",
@@ -372,7 +375,7 @@ def headline_facts(fact: DataFrame, products: DataFrame, outlets: DataFrame) ->
 
 @report("sink_facts_json")
 def stored_facts(workspace) -> DataFrame:
-    facts = headline_facts(workspace.fact(), workspace.products(), workspace.outlets())
+    facts = headline_facts(workspace.fact(), workspace.products(), workspace.outlets(), workspace.cells())
     path = workspace.path("facts_json")
     files.write_facts(facts, path)
     return files.read_facts(workspace.spark, path, facts.schema)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..catalog import report
-from ..functions import bands, measures as M
-from ..functions.exact import mean, percent, quotient, total
+from ..functions import bands, measures as M, rolled as R
+from ..functions.exact import percent, quotient, total
 from ..operators.order_stats import amount_levels, quantiles_by_rank, tile_summary
 from ..operators.segments import one_row, share_of_all, summarise
 from ..schema import UNKNOWN
@@ -26,35 +26,23 @@ def visibility_tiles(fact: DataFrame, tiles: int) -> DataFrame:
         fact, visibility_levels(), VISIBILITY_KEYS, tiles, ["sales", "rating", "item_visibility"], ["item_visibility"])
 
 
-def totals(fact: DataFrame) -> DataFrame:
-    """One row: sums, averages and the distinct counts of both dimensions.
-
-    The distinct counts run over two roll-ups by key, not over row copies per counted column.
-    """
-    items = fact.groupBy("item_identifier", "item_type").agg(
-        F.count(F.lit(1)).alias("records"), total("sales").alias("sales"), total("rating").alias("rating"),
-        total("item_weight").alias("item_weight"), F.count("item_weight").alias("weighed"),
-        total("item_visibility").alias("item_visibility"),
-        F.sum("item_weight_imputed").alias("weights_imputed"),
-        F.sum("item_visibility_imputed").alias("visibility_imputed"),
-        F.min("order_date").alias("first_day"), F.max("order_date").alias("last_day"),
-    )
-    summed = ["records", "sales", "rating", "item_weight", "weighed", "item_visibility", "weights_imputed",
-              "visibility_imputed"]
-    products = items.agg(
+def totals(products: DataFrame, outlets: DataFrame) -> DataFrame:
+    """One row: sums of all measures and the distinct counts of both dimensions, from the two roll-ups."""
+    summed = ["records", "sales", "rating", "item_visibility", "item_weight", "weighed", "item_weight_imputed",
+              "item_visibility_imputed"]
+    stores = one_row(outlets.agg(
+        R.stores("outlets"), R.distinct("outlet_type", "types"), R.distinct("outlet_location_type", "tiers"),
+        R.distinct("outlet_size", "sizes")))
+    whole = products.agg(
         *[F.sum(c).alias(c) for c in summed], F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"),
-        M.products("products"), M.distinct("item_type", "categories"))
-    keys = ["outlet_identifier", "outlet_type", "outlet_location_type", "outlet_size"]
-    stores = one_row(fact.select(keys).distinct().agg(
-        M.stores("outlets"), M.distinct("outlet_type", "types"), M.distinct("outlet_location_type", "tiers"),
-        M.distinct("outlet_size", "sizes")))
-    return products.withColumns({c: stores[c] for c in ["outlets", "types", "tiers", "sizes"]})
+        R.products(), R.distinct("item_type", "categories")).withColumn("_stores", stores)
+    return whole.select("*", "_stores.*").drop("_stores")
 
 
 @report("eda_kpis")
-def headline_kpis(fact: DataFrame) -> DataFrame:
+def headline_kpis(products: DataFrame, outlets: DataFrame) -> DataFrame:
     per_row = {"avg_sales_per_record": ("sales", 2), "avg_rating": ("rating", 2), "avg_item_visibility": ("item_visibility", 4)}
-    return totals(fact).select(
+    return totals(products, outlets).select(
         F.round("sales", 2).alias("total_revenue_inr"),
         F.col("records").alias("total_sales_records"),
         F.col("products").alias("distinct_products"),
@@ -72,9 +60,9 @@ def headline_kpis(fact: DataFrame) -> DataFrame:
 
 
 @report("eda_quantiles")
-def sales_quantiles(fact: DataFrame) -> DataFrame:
+def sales_quantiles(fact: DataFrame, cells: DataFrame) -> DataFrame:
     found = quantiles_by_rank(fact, "sales", {"median": 50, "p25": 25, "p75": 75, "p90": 90})
-    average = one_row(fact.agg(mean("sales", 8).alias("m")))["m"]
+    average = one_row(cells.agg(R.mean("sales").alias("m")))["m"]
     return found.select(
         F.round(average, 2).alias("mean_sales"),
         F.round("median", 2).alias("median_sales"),
@@ -84,10 +72,10 @@ def sales_quantiles(fact: DataFrame) -> DataFrame:
 
 
 @report("eda_category")
-def category_inventory(fact: DataFrame) -> DataFrame:
+def category_inventory(products: DataFrame) -> DataFrame:
     by_category = summarise(
-        fact, {"category": "item_type"}, M.records(), M.products(), total("sales").alias("_sales"), M.avg_sale(),
-        M.avg_rating())
+        products, {"category": "item_type"}, R.records(), R.products(), R.total("sales").alias("_sales"), R.avg_sale(),
+        R.avg_rating())
     return by_category.select(
         "category", "records", "products", F.round("_sales", 2).alias("revenue"),
         share_of_all("_sales").alias("pct_of_revenue"), "avg_sale", "avg_rating",
@@ -112,9 +100,9 @@ def outlet_master(fact: DataFrame) -> DataFrame:
     ).orderBy(F.desc("revenue"), "outlet")
 
 
-def _segment(fact: DataFrame, keys: dict[str, str], *measures) -> DataFrame:
+def _segment(rollup: DataFrame, keys: dict[str, str], *measures) -> DataFrame:
     """Revenue and its share per segment, plus the given measures, best segment first."""
-    summary = summarise(fact, keys, total("sales").alias("_sales"), *measures)
+    summary = summarise(rollup, keys, R.total("sales").alias("_sales"), *measures)
     names = [c for c in summary.columns if c not in keys and c != "_sales"]
     return summary.select(
         *keys, F.round("_sales", 2).alias("revenue"), share_of_all("_sales").alias("pct_of_revenue"), *names,
@@ -122,26 +110,26 @@ def _segment(fact: DataFrame, keys: dict[str, str], *measures) -> DataFrame:
 
 
 @report("eda_format")
-def format_performance(fact: DataFrame) -> DataFrame:
+def format_performance(outlets: DataFrame) -> DataFrame:
     return _segment(
-        fact, {"outlet_type": "outlet_type"}, M.stores(), M.records(), M.avg_sale(), M.revenue_per_store(),
-        M.avg_rating())
+        outlets, {"outlet_type": "outlet_type"}, R.stores(), R.records(), R.avg_sale(), R.revenue_per_store(),
+        R.avg_rating())
 
 
 @report("eda_tier")
-def tier_performance(fact: DataFrame) -> DataFrame:
+def tier_performance(outlets: DataFrame) -> DataFrame:
     return _segment(
-        fact, {"tier": "outlet_location_type"}, M.stores(), M.records(), M.avg_sale(), M.revenue_per_store())
+        outlets, {"tier": "outlet_location_type"}, R.stores(), R.records(), R.avg_sale(), R.revenue_per_store())
 
 
 @report("eda_size")
-def size_performance(fact: DataFrame) -> DataFrame:
-    return _segment(fact, {"outlet_size": "outlet_size"}, M.stores(), M.avg_sale(), M.revenue_per_store())
+def size_performance(outlets: DataFrame) -> DataFrame:
+    return _segment(outlets, {"outlet_size": "outlet_size"}, R.stores(), R.avg_sale(), R.revenue_per_store())
 
 
 @report("eda_fat")
-def fat_content_split(fact: DataFrame) -> DataFrame:
-    return _segment(fact, {"item_fat_content": "item_fat_content"}, M.records(), M.avg_sale(), M.avg_rating())
+def fat_content_split(cells: DataFrame) -> DataFrame:
+    return _segment(cells, {"item_fat_content": "item_fat_content"}, R.records(), R.avg_sale(), R.avg_rating())
 
 
 def sales_band():
@@ -181,11 +169,11 @@ def visibility_deciles(fact: DataFrame) -> DataFrame:
 
 
 @report("eda_dq_footprint")
-def quality_footprint(fact: DataFrame) -> DataFrame:
-    counted = fact.agg(
-        M.records("total_rows"), F.sum("item_weight_imputed").alias("imputed_weights"),
+def quality_footprint(cells: DataFrame) -> DataFrame:
+    counted = cells.agg(
+        R.records("total_rows"), F.sum("item_weight_imputed").alias("imputed_weights"),
         F.sum("item_visibility_imputed").alias("imputed_visibility"),
-        F.count_if(F.col("outlet_size") == UNKNOWN).alias("rows_unknown_size"))
+        F.coalesce(F.sum(F.when(F.col("outlet_size") == UNKNOWN, F.col("records"))), F.lit(0)).alias("rows_unknown_size"))
     return counted.select(
         "total_rows", "imputed_weights", percent(F.col("imputed_weights"), F.col("total_rows")).alias("pct_imputed_weight"),
         "imputed_visibility", percent(F.col("imputed_visibility"), F.col("total_rows")).alias("pct_imputed_visibility"),
@@ -194,14 +182,14 @@ def quality_footprint(fact: DataFrame) -> DataFrame:
 
 
 @report("eda_monthly")
-def monthly_revenue(fact: DataFrame) -> DataFrame:
+def monthly_revenue(cells: DataFrame) -> DataFrame:
     keys = {"year_month": "order_year_month"}
-    return summarise(fact, keys, M.records(), M.revenue(), M.avg_sale(), M.avg_rating()).orderBy("year_month")
+    return summarise(cells, keys, R.records(), R.revenue(), R.avg_sale(), R.avg_rating()).orderBy("year_month")
 
 
 @report("eda_yearly")
-def yearly_summary(fact: DataFrame) -> DataFrame:
-    return summarise(fact, {"year": "order_year"}, M.records(), M.revenue(), M.avg_sale(), M.avg_rating()).orderBy("year")
+def yearly_summary(cells: DataFrame) -> DataFrame:
+    return summarise(cells, {"year": "order_year"}, R.records(), R.revenue(), R.avg_sale(), R.avg_rating()).orderBy("year")
 
 
 def day_type():
@@ -209,5 +197,5 @@ def day_type():
 
 
 @report("eda_weekend")
-def weekend_split(fact: DataFrame) -> DataFrame:
-    return fact.groupBy(day_type()).agg(M.records(), M.revenue(), M.avg_sale()).orderBy(F.desc("revenue"))
+def weekend_split(cells: DataFrame) -> DataFrame:
+    return cells.groupBy(day_type()).agg(R.records(), R.revenue(), R.avg_sale()).orderBy(F.desc("revenue"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..schema import FACT_SCHEMA, RAW_COLUMNS, RAW_HEADER, RAW_SCHEMA, REPORT_COLUMNS
+from ..schema import FACT_SCHEMA, RAW_HEADER, RAW_SCHEMA, REPORT_COLUMNS
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
@@ -82,8 +82,3 @@ def write_facts(facts: DataFrame, path: str) -> None:
 def read_facts(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
-
-__all__ = [
-    "RAW_COLUMNS", "read_raw", "write_raw", "row_count", "write_fact", "read_fact", "write_clean_csv",
-    "read_clean_csv", "write_aggregates", "write_facts", "read_facts",
-]

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from .functions.exact import total
-from .operators import cleaning
-from .schema import FACT_COLUMNS, OUTLET_ATTRIBUTES
+from .operators import cleaning, rollups
+from .schema import FACT_COLUMNS
 from .sources.store import stage, stage_path
 from .sources.tables import raw_from_tables
 
@@ -43,18 +42,13 @@ class Workspace:
         return self._stage("fact", build, ["order_year"]).select(FACT_COLUMNS)
 
     def products(self) -> DataFrame:
-        """Measures per (item, category, fat content): the fact rolled up once for all product reports."""
-        def build():
-            return self.fact().groupBy("item_identifier", "item_type", "item_fat_content").agg(
-                F.count(F.lit(1)).alias("records"), total("sales").alias("sales"), total("rating").alias("rating"),
-                total("item_visibility").alias("item_visibility"),
-            )
-        return self._stage("products", build)
+        """Measures per item, category and fat content."""
+        return self._stage("products", lambda: rollups.product_rollup(self.fact()))
 
     def outlets(self) -> DataFrame:
         """Measures per outlet and order year."""
-        def build():
-            return self.fact().groupBy(*OUTLET_ATTRIBUTES, "order_year").agg(
-                F.count(F.lit(1)).alias("records"), total("sales").alias("sales"), total("rating").alias("rating"),
-            )
-        return self._stage("outlets", build)
+        return self._stage("outlets", lambda: rollups.outlet_rollup(self.fact()))
+
+    def cells(self) -> DataFrame:
+        """Measures per month, category and segment."""
+        return self._stage("cells", lambda: rollups.cell_rollup(self.fact()))

@@ -41,13 +41,3 @@ def fact(spark, *rows: dict):
     data = [tuple(typed(c, {**defaults, **r}[c]) for c in names) for r in rows]
     frame = spark.createDataFrame(data, TYPED)
     return frame.transform(add_age).transform(add_date_parts).transform(add_sale_id).select(FACT_COLUMNS)
-
-
-def products(fact_frame):
-    """The product roll-up of a fact table, as the workspace stages it."""
-    from pyspark.sql import functions as F
-
-    from shelfwise.functions.exact import total
-
-    return fact_frame.groupBy("item_identifier", "item_type", "item_fat_content").agg(
-        F.count("*").alias("records"), *[total(c).alias(c) for c in ("sales", "rating", "item_visibility")])

@@ -6,8 +6,9 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import Window, functions as F
 
-from fixtures import fact, products, raw
+from fixtures import fact, raw
 from shelfwise.operators.pairs import widest_pairs
+from shelfwise.operators.rollups import cell_rollup as cells, product_rollup as products
 from shelfwise.operators.segments import apply_filters
 from shelfwise.plans import advanced as A, business as B, dashboard as D, frames as P, kpis as K, profile as R
 
@@ -37,15 +38,15 @@ def test_more_tiles_than_rows(spark):
 
 def test_missing_month_shows_and_yoy_uses_the_calendar(spark):
     f = fact(spark, {"order_date": "2021-01-10"}, {"order_date": "2021-03-10"}, {"order_date": "2022-03-01", "sales": 150})
-    spine = {r["year_month"]: (r["records"], r["data_check"]) for r in A.month_check(f).collect()}
+    spine = {r["year_month"]: (r["records"], r["data_check"]) for r in A.month_check(cells(f)).collect()}
     assert len(spine) == 15 and spine["2021-02"] == (0, "NO DATA - investigate")
-    last = B.year_on_year(f).collect()[-1]
+    last = B.year_on_year(cells(f)).collect()[-1]
     assert (last["same_month_last_year"], last["yoy_pct_growth"]) == (100, 50)
 
 
 def test_growth_on_zero_base_is_null(spark):
     f = fact(spark, {"order_date": "2021-01-10", "sales": 0}, {"order_date": "2021-02-10"})
-    assert B.month_on_month(f).collect()[1]["mom_pct_change"] is None
+    assert B.month_on_month(cells(f)).collect()[1]["mom_pct_change"] is None
 
 
 def test_worst_category_is_the_last_one(spark):
@@ -125,7 +126,9 @@ def test_profile_counts_bad_text(spark):
 def test_sums_survive_large_totals(spark):
     """The sum type leaves room for 10^12 rows of the largest amount."""
     f = fact(spark, {"sales": "999999.9999"})
-    assert f.agg(K.total("sales").alias("s")).schema["s"].dataType.precision == 28
+    rolled = cells(f)
+    assert rolled.schema["sales"].dataType.precision == 28
+    assert rolled.agg(K.R.total("sales").alias("s")).schema["s"].dataType.precision == 38
 
 
 def test_filters_apply_to_every_tile(spark):
@@ -142,7 +145,7 @@ def test_shares_and_classes_cover_everything(spark):
     rnd = random.Random(1)
     f = fact(spark, *[{"item_identifier": f"I{rnd.randrange(30)}", "item_type": f"T{i % 5}", "sales": rnd.randrange(1, 900)} for i in range(200)])
     whole = f.agg(F.sum("sales")).first()[0]
-    assert K.category_inventory(f).agg(F.sum("revenue")).first()[0] == whole
-    assert abs(K.category_inventory(f).agg(F.sum("pct_of_revenue")).first()[0] - 100) < Decimal("0.05")
+    assert K.category_inventory(products(f)).agg(F.sum("revenue")).first()[0] == whole
+    assert abs(K.category_inventory(products(f)).agg(F.sum("pct_of_revenue")).first()[0] - 100) < Decimal("0.05")
     assert B.abc_pareto(products(f)).agg(F.sum("products")).first()[0] == f.select("item_identifier").distinct().count()
-    assert A.contribution_curve(f).collect()[-1]["cumulative_pct"] == 100
+    assert A.contribution_curve(cells(f)).collect()[-1]["cumulative_pct"] == 100
