@@ -133,14 +133,17 @@ def add_date_parts(df: DataFrame) -> DataFrame:
 
 
 def add_sale_id(df: DataFrame) -> DataFrame:
-    """Surrogate key, unique without a global sort; stable once the table is written."""
+    """Surrogate key, unique without a global sort; stable once the table is written.
+
+    Add it in the stage that writes: a task that runs again then replaces all its ids at
+    once, whereas ids made before a shuffle could be handed out twice after a lost executor.
+    """
     return df.withColumn("sale_id", F.monotonically_increasing_id())
 
 
 def finish(rows: DataFrame, by_item: DataFrame, by_type: DataFrame, base_year: int = BASE_YEAR) -> DataFrame:
-    """The steps after de-duplication."""
-    filled = impute(rows, by_item, by_type)
-    return filled.transform(add_age, base_year).transform(add_date_parts).transform(add_sale_id).select(FACT_COLUMNS)
+    """The steps after de-duplication: all fact columns but the key."""
+    return impute(rows, by_item, by_type).transform(add_age, base_year).transform(add_date_parts)
 
 
 def clean(raw: DataFrame, base_year: int = BASE_YEAR, strict: bool = True) -> DataFrame:
@@ -150,4 +153,5 @@ def clean(raw: DataFrame, base_year: int = BASE_YEAR, strict: bool = True) -> Da
     between, which a large extract needs: only a join of stored tables is split on a hot item.
     """
     rows = raw.transform(type_columns, strict).transform(drop_copies)
-    return finish(rows, median_weight_by_item(rows), medians_by_type(rows), base_year)
+    done = finish(rows, median_weight_by_item(rows), medians_by_type(rows), base_year)
+    return done.transform(add_sale_id).select(FACT_COLUMNS)

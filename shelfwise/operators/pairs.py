@@ -38,9 +38,9 @@ def widest_pairs(fact: DataFrame, n: int = 15, factor: int = 3) -> DataFrame:
         .where((F.col("a_store") != F.col("b_store")) & (F.col("high") > F.col("low") * factor))
         .groupBy(ITEM).agg(F.max(F.col("high") - F.col("low")).alias("gap"))
     )
-    chosen = gaps.orderBy(F.desc("gap"), ITEM).limit(n).select(ITEM)
-    # n items at most, so the broadcast is bounded.
-    rows = fact.select(ROW_COLUMNS).join(F.broadcast(chosen), ITEM)
+    # n items at most reach the driver; as literals they let the scan skip files.
+    chosen = [r[ITEM] for r in gaps.orderBy(F.desc("gap"), ITEM).limit(n).collect()]
+    rows = fact.select(ROW_COLUMNS).where(F.col(ITEM).isin(chosen))
     sides = {}
     for prefix, order in (("a_", [F.desc(SALES), *TIES]), ("b_", [F.asc(SALES), *TIES])):
         per_store = _first_rows(rows, [ITEM, OUTLET], order, n)

@@ -13,6 +13,7 @@ from ..schema import OUTLET_ATTRIBUTES
 
 PRODUCT_KEYS = ["item_identifier", "item_type", "item_fat_content"]
 OUTLET_KEYS = [*OUTLET_ATTRIBUTES, "order_year"]
+SHELF_KEYS = [*OUTLET_ATTRIBUTES, "item_type"]
 # Calendar months times enumerated labels times categories: a size that does not grow with the rows.
 CELL_KEYS = [
     "order_year", "order_quarter", "order_month", "order_month_name", "order_year_month", "is_weekend", "item_type",
@@ -37,5 +38,9 @@ def outlet_rollup(fact: DataFrame) -> DataFrame:
     return roll_up(fact, OUTLET_KEYS)
 
 
+def shelf_rollup(fact: DataFrame) -> DataFrame:
+    return roll_up(fact, SHELF_KEYS)
+
+
 def cell_rollup(fact: DataFrame) -> DataFrame:
     return roll_up(fact, CELL_KEYS)

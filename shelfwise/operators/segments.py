@@ -35,6 +35,18 @@ def top(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+LOOKUP_ROWS = 100_000
+
+
+def join_lookup(df: DataFrame, lookup: DataFrame, keys: list[str]) -> DataFrame:
+    """Join a lookup, broadcast if its counted rows are few, else as the planner decides.
+
+    Few keys (categories) would send most of the large side to a handful of tasks.
+    """
+    few = lookup.limit(LOOKUP_ROWS + 1).count() <= LOOKUP_ROWS
+    return df.join(F.broadcast(lookup) if few else lookup, keys)
+
+
 def apply_filters(df: DataFrame, filters: dict[str, list]) -> DataFrame:
     """Keep the rows whose fields are among the chosen values; an empty choice keeps all."""
     for field, chosen in filters.items():

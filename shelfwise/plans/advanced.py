@@ -11,7 +11,7 @@ from ..functions.exact import growth, growth_of_means, mean_from, percent, quoti
 from ..operators.calendar import month_spine
 from ..operators.pairs import distribution_gaps, widest_pairs
 from ..operators.ranking import with_rank, with_tile
-from ..operators.segments import mean_of, one_row, share_of_all, summarise, top
+from ..operators.segments import join_lookup, mean_of, one_row, share_of_all, summarise, top
 from .business import CATEGORY, COMPARED_YEARS, SO_FAR, by_month, by_product, first_per_category, in_month_order, moving_average
 from .kpis import OUTLET_KEYS, outlet_master, totals
 
@@ -94,7 +94,7 @@ def rank_comparison(products: DataFrame, n: int = 3) -> DataFrame:
     first = first_per_category(products, n, "row_number")
     whole = products.groupBy(F.col("item_type").alias("category")).agg(F.sum("sales").alias("_whole"))
     order = Window.partitionBy("category").orderBy(F.desc("_sales"))
-    return first.join(whole, "category").select(
+    return join_lookup(first, whole, ["category"]).select(
         "category", "product", "revenue", percent(F.col("_sales"), F.col("_whole")).alias("pct_of_category"),
         "row_number", F.rank().over(order).alias("rank_with_gaps"), F.dense_rank().over(order).alias("dense_rank"),
     ).orderBy("category", "row_number")
@@ -115,9 +115,9 @@ def contribution_curve(cells: DataFrame) -> DataFrame:
 
 
 @report("a05_first_last")
-def best_and_worst_category(fact: DataFrame) -> DataFrame:
+def best_and_worst_category(shelves: DataFrame) -> DataFrame:
     """Two structs per store, combined map-side, instead of a window over each store."""
-    cells = summarise(fact, {"outlet": "outlet_identifier", "category": "item_type"}, total("sales").alias("_sales"))
+    cells = summarise(shelves, {"outlet": "outlet_identifier", "category": "item_type"}, R.total("sales").alias("_sales"))
     # Ties: the first category in order leads, the last one trails.
     ends = cells.groupBy("outlet").agg(
         F.min(F.struct(-F.col("_sales"), F.col("category"))).alias("_top"),
@@ -168,7 +168,7 @@ def against_own_category(products: DataFrame, n: int = 15) -> DataFrame:
     """The category average is a small aggregate joined back; a window would gather each category."""
     stats = by_product(products)
     peers = stats.groupBy("category").agg(mean_of("_sales", 8).alias("_peer"))
-    compared = stats.join(peers, "category").select(
+    compared = join_lookup(stats, peers, ["category"]).select(
         "product", "category", F.col("revenue").alias("product_revenue"), F.round("_peer", 2).alias("category_avg_revenue"),
         F.round(quotient_of_means((F.col("_sales") - F.col("_peer")) * 100, F.col("_peer")), 1).alias("pct_above_category"),
         "outlets_stocked", "avg_rating")
@@ -227,11 +227,11 @@ def category_performance(products: DataFrame) -> DataFrame:
 
 
 @report("v2_outlet_scorecard")
-def outlet_view(fact: DataFrame) -> DataFrame:
+def outlet_view(fact: DataFrame, shelves: DataFrame) -> DataFrame:
     stocked = summarise(fact, OUTLET_KEYS, M.products("products_stocked"))
     columns = [*OUTLET_KEYS, "records", "categories_stocked", "products_stocked", "revenue", "pct_of_revenue", "avg_sale",
                "avg_rating"]
-    return outlet_master(fact).join(stocked, list(OUTLET_KEYS)).select(columns)
+    return outlet_master(shelves).join(stocked, list(OUTLET_KEYS)).select(columns)
 
 
 @report("v3_monthly_trend")
@@ -338,9 +338,9 @@ CATEGORY_NAMES = {"found": "LARGE", "unknown": "Not A Real Category"}
 
 
 @report("a13_guard")
-def unknown_category(fact: DataFrame, category: str = CATEGORY_NAMES["unknown"]) -> DataFrame:
+def unknown_category(cells: DataFrame, category: str = CATEGORY_NAMES["unknown"]) -> DataFrame:
     """One row that names the error and the valid values if the category does not exist, else no row."""
-    listed = fact.agg(
+    listed = cells.agg(
         F.concat(F.lit("Category not found: "), F.lit(category)).alias("error_message"),
         F.array_join(F.array_sort(F.collect_set("item_type")), ", ").alias("valid_categories"),
         F.count_if(F.col("item_type") == category).alias("_rows"))

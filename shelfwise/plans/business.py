@@ -11,7 +11,7 @@ from ..functions import bands, measures as M, rolled as R
 from ..functions.exact import growth, growth_of_means, mean, mean_from, percent, quotient, total
 from ..operators.calendar import month_spine
 from ..operators.ranking import running_before, with_rank
-from ..operators.segments import mean_of, one_row, share_of_all, summarise, top
+from ..operators.segments import join_lookup, mean_of, one_row, share_of_all, summarise, top
 from ..schema import ALLOWED_VALUES
 from .kpis import totals, visibility_tiles
 
@@ -540,18 +540,18 @@ def store_growth(outlets: DataFrame, years: tuple[int, int] = COMPARED_YEARS) ->
 
 
 @report("q39_store_vs_network")
-def store_against_network(fact: DataFrame, n: int = 20, min_records: int = 15) -> DataFrame:
+def store_against_network(shelves: DataFrame, n: int = 20, min_records: int = 15) -> DataFrame:
     """Benchmark: the unweighted mean of the store averages of a category."""
     cells = summarise(
-        fact, {"outlet": "outlet_identifier", "category": "item_type"}, M.records(), M.revenue(),
-        mean("sales").alias("_sale"))
+        shelves, {"outlet": "outlet_identifier", "category": "item_type"}, R.records(), R.revenue(),
+        R.mean("sales").alias("_sale"))
     network = cells.groupBy("category").agg(mean_of("_sale", 12).alias("_network"))
     own, bench = F.col("_sale"), F.col("_network")
     flag = (
         F.when(own < bench * F.lit("0.80").cast("decimal(3,2)"), "Underperforming - investigate")
         .when(own > bench * F.lit("1.20").cast("decimal(3,2)"), "Outperforming - learn from it")
         .otherwise("In line"))
-    compared = cells.where(F.col("records") >= min_records).join(network, "category").select(
+    compared = join_lookup(cells.where(F.col("records") >= min_records), network, ["category"]).select(
         "outlet", "category", "records", "revenue", F.round(own, 2).alias("store_avg_sale"),
         F.round(bench, 2).alias("network_avg_sale"), growth_of_means(own, bench, 1).alias("pct_vs_network"), flag.alias("flag"))
     return top(compared, n, "pct_vs_network", "outlet", "category")

@@ -89,11 +89,11 @@ OUTLET_KEYS = {
 
 
 @report("eda_outlet_master")
-def outlet_master(fact: DataFrame) -> DataFrame:
+def outlet_master(shelves: DataFrame) -> DataFrame:
     by_outlet = summarise(
-        fact, OUTLET_KEYS, M.records(), M.distinct("item_type", "categories_stocked"), total("sales").alias("_sales"),
-        M.avg_sale(), M.avg_rating())
-    all_sales = one_row(fact.agg(total("sales").alias("s")))["s"]
+        shelves, OUTLET_KEYS, R.records(), R.distinct("item_type", "categories_stocked"), R.total("sales").alias("_sales"),
+        R.avg_sale(), R.avg_rating())
+    all_sales = one_row(shelves.agg(R.total("sales").alias("s")))["s"]
     return by_outlet.select(
         *OUTLET_KEYS, "records", "categories_stocked", F.round("_sales", 2).alias("revenue"),
         percent(F.col("_sales"), all_sales).alias("pct_of_revenue"), "avg_sale", "avg_rating",

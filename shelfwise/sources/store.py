@@ -43,11 +43,6 @@ def stage(
     path = stage_path(spark, source, name)
     with _lock:
         if path not in _written:
-            frame = build()
-            writer = frame.write.mode("overwrite")
-            if partition_by:
-                # Evenly sized files per partition value; AQE splits the hot ones.
-                writer = frame.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
-            writer.parquet(path)
+            build().write.mode("overwrite").partitionBy(*partition_by or []).parquet(path)
             _written.add(path)
     return spark.read.parquet(path)

@@ -8,7 +8,7 @@ from pyspark.sql import Window, functions as F
 
 from fixtures import fact, raw
 from shelfwise.operators.pairs import widest_pairs
-from shelfwise.operators.rollups import cell_rollup as cells, product_rollup as products
+from shelfwise.operators.rollups import cell_rollup as cells, product_rollup as products, shelf_rollup as shelves
 from shelfwise.operators.segments import apply_filters
 from shelfwise.plans import advanced as A, business as B, dashboard as D, frames as P, kpis as K, profile as R
 
@@ -51,7 +51,7 @@ def test_growth_on_zero_base_is_null(spark):
 
 def test_worst_category_is_the_last_one(spark):
     f = fact(spark, *[{"item_type": t, "sales": s} for t, s in (("X", 50), ("Y", 30), ("Z", 10))])
-    got = A.best_and_worst_category(f).first()
+    got = A.best_and_worst_category(shelves(f)).first()
     assert (got["top_category"], got["bottom_category"], got["spread_ratio"]) == ("X", "Z", 5)
     assert got["risk_flag"].startswith("Concentration")
 
