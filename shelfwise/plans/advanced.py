@@ -13,7 +13,7 @@ from ..operators.pairs import distribution_gaps, widest_pairs
 from ..operators.ranking import with_rank, with_tile
 from ..operators.segments import join_lookup, mean_of, one_row, share_of_all, summarise, top
 from .business import CATEGORY, COMPARED_YEARS, SO_FAR, by_month, by_product, first_per_category, in_month_order, moving_average
-from .kpis import OUTLET_KEYS, outlet_master, totals
+from .kpis import OUTLET_KEYS, outlet_master, totals, with_products
 
 # ---------------------------------------------------------------- products and stores
 
@@ -228,10 +228,9 @@ def category_performance(products: DataFrame) -> DataFrame:
 
 @report("v2_outlet_scorecard")
 def outlet_view(fact: DataFrame, shelves: DataFrame) -> DataFrame:
-    stocked = summarise(fact, OUTLET_KEYS, M.products("products_stocked"))
     columns = [*OUTLET_KEYS, "records", "categories_stocked", "products_stocked", "revenue", "pct_of_revenue", "avg_sale",
                "avg_rating"]
-    return outlet_master(shelves).join(stocked, list(OUTLET_KEYS)).select(columns)
+    return with_products(outlet_master(shelves), fact, OUTLET_KEYS).select(columns)
 
 
 @report("v3_monthly_trend")

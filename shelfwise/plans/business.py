@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..catalog import report
 from ..functions import bands, measures as M, rolled as R
-from ..functions.exact import growth, growth_of_means, mean, mean_from, percent, quotient, total
+from ..functions.exact import growth, growth_of_means, mean_from, percent, quotient, total
 from ..operators.calendar import month_spine
 from ..operators.ranking import running_before, with_rank
 from ..operators.segments import join_lookup, mean_of, one_row, share_of_all, summarise, top
 from ..schema import ALLOWED_VALUES
-from .kpis import totals, visibility_tiles
+from .kpis import totals, visibility_tiles, with_products
 
 # The two full years that the growth questions compare.
 COMPARED_YEARS = (1999, 2000)
@@ -313,12 +313,11 @@ def format_by_tier(outlets: DataFrame) -> DataFrame:
 
 
 @report("q22_assortment_breadth")
-def assortment_breadth(fact: DataFrame) -> DataFrame:
+def assortment_breadth(fact: DataFrame, shelves: DataFrame) -> DataFrame:
     keys = {"outlet": "outlet_identifier", "outlet_type": "outlet_type"}
     summary = summarise(
-        fact, keys, M.distinct("item_type", "categories_stocked"), M.products("products_stocked"),
-        total("sales").alias("_sales"))
-    return summary.select(
+        shelves, keys, R.distinct("item_type", "categories_stocked"), R.total("sales").alias("_sales"))
+    return with_products(summary, fact, keys).select(
         *keys, "categories_stocked", "products_stocked", F.round("_sales", 2).alias("revenue"),
         F.round(quotient(F.col("_sales"), F.col("products_stocked")), 2).alias("revenue_per_product"),
     ).orderBy(F.desc("revenue_per_product"), "outlet", "outlet_type")

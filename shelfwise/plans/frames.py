@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .. import catalog
 from ..catalog import report
 from ..functions import bands, measures as M, rolled as R
 from ..functions.exact import growth, growth_of_means, mean, mean_from, percent, quotient, quotient_of_means, total
@@ -18,7 +19,7 @@ from ..schema import OUTLET_ATTRIBUTES
 from ..sources import files
 from .advanced import SEGMENTS, product_bench, quadrant
 from .business import SO_FAR, FORMAT_COLUMNS, abc_classes, year_columns
-from .kpis import day_type, totals
+from .kpis import day_type, totals, with_products
 
 
 def revenue4(measures=M) -> Column:
@@ -75,11 +76,12 @@ def category(products: DataFrame) -> DataFrame:
 
 
 @report("p_outlet")
-def outlet(fact: DataFrame) -> DataFrame:
+def outlet(fact: DataFrame, shelves: DataFrame) -> DataFrame:
+    keys = {c: c for c in OUTLET_ATTRIBUTES}
     summary = summarise(
-        fact, OUTLET_ATTRIBUTES, M.records(), revenue4(), *averages4("sales", "rating"),
-        M.distinct("item_type", "categories_stocked"), M.products("products_stocked"))
-    return share_of_total(summary, "revenue", "pct_of_revenue").orderBy(F.desc("revenue"), "outlet_identifier")
+        shelves, keys, R.records(), revenue4(R), *averages4("sales", "rating", mean=R.mean),
+        R.distinct("item_type", "categories_stocked"))
+    return share_of_total(with_products(summary, fact, keys), "revenue", "pct_of_revenue").orderBy(F.desc("revenue"), "outlet_identifier")
 
 
 # Name of each segment table and its column.
@@ -265,20 +267,23 @@ def weekday(cells: DataFrame) -> DataFrame:
     return cells.groupBy(day_type()).agg(R.records(), R.revenue(), R.avg_sale()).orderBy("day_type")
 
 
-def aggregate_tables(fact: DataFrame, products_rollup: DataFrame, outlets: DataFrame, cells: DataFrame) -> dict[str, DataFrame]:
+def aggregate_tables(workspace) -> dict[str, DataFrame]:
     """All aggregate tables by name."""
-    lists = top_and_bottom(products_rollup)
+    fact = workspace.fact()
+    lists = top_and_bottom(workspace.products())
+    builders = {
+        "kpis": kpis, "category": category, "outlet": outlet, "monthly": monthly, "yearly": yearly,
+        "seasonality": seasonality, "products": products, "segments": segments, "abc": abc, "sales_bands": sales_bands,
+        "rating_dist": rating_distribution, "visibility_quintiles": visibility_quintiles, "outlet_growth": outlet_growth,
+        "category_growth": category_growth, "weekday": weekday,
+    }
+    formats = {f: f.lower().replace(" ", "_") for f in FORMAT_COLUMNS}
     return {
-        "kpis": kpis(fact, products_rollup, outlets), "category": category(products_rollup), "outlet": outlet(fact),
+        **{name: catalog.call(build, workspace) for name, build in builders.items()},
         **{name: segment_table(fact, column) for name, column in SEGMENT_TABLES.items()},
-        "monthly": monthly(cells), "yearly": yearly(cells), "seasonality": seasonality(cells),
-        "products": products(products_rollup),
         "top_products": lists.where(F.col("list") == "top").drop("list"),
         "bottom_products": lists.where(F.col("list") == "bottom").drop("list"),
-        "segments": segments(products_rollup), "abc": abc(products_rollup), "sales_bands": sales_bands(fact),
-        "rating_dist": rating_distribution(fact), "visibility_quintiles": visibility_quintiles(fact),
-        "cat_by_outlet_type": category_by_format(cells).withColumnsRenamed({f: f.lower().replace(" ", "_") for f in FORMAT_COLUMNS}),
-        "outlet_growth": outlet_growth(outlets), "category_growth": category_growth(cells), "weekday": weekday(cells),
+        "cat_by_outlet_type": category_by_format(workspace.cells()).withColumnsRenamed(formats),
     }
 
 
@@ -286,7 +291,7 @@ def aggregate_tables(fact: DataFrame, products_rollup: DataFrame, outlets: DataF
 def stored_aggregates(workspace) -> DataFrame:
     """Write every aggregate table, read each back and count it."""
     folder = workspace.path("aggregates")
-    tables = aggregate_tables(workspace.fact(), workspace.products(), workspace.outlets(), workspace.cells())
+    tables = aggregate_tables(workspace)
     files.write_aggregates(tables, folder)
     result = None
     for name in tables:
@@ -297,7 +302,9 @@ def stored_aggregates(workspace) -> DataFrame:
 
 
 @report("p_facts")
-def headline_facts(fact: DataFrame, products: DataFrame, outlets: DataFrame, cells: DataFrame) -> DataFrame:
+def headline_facts(
+    fact: DataFrame, products: DataFrame, outlets: DataFrame, shelves: DataFrame, cells: DataFrame,
+) -> DataFrame:
     """One record of headline figures, each taken from one of the aggregate tables."""
     def first(by: Column, *fields: str) -> list[Column]:
         return [F.max_by(f, by).alias(f"top_{f}") for f in fields]
@@ -305,7 +312,7 @@ def headline_facts(fact: DataFrame, products: DataFrame, outlets: DataFrame, cel
     def last(by: Column, *fields: str) -> list[Column]:
         return [F.min_by(f, by).alias(f"end_{f}") for f in fields]
 
-    cat, out, types = category(products), outlet(fact), segment_table(fact, "outlet_type")
+    cat, out, types = category(products), outlet(fact, shelves), segment_table(fact, "outlet_type")
     tiers, sizes, fat = (segment_table(fact, SEGMENT_TABLES[t]) for t in ("tier", "outlet_size", "fat_content"))
     months, years, vis = seasonality(cells), yearly(cells), visibility_quintiles(fact)
     stats = product_stats(products)
@@ -375,7 +382,7 @@ def headline_facts(fact: DataFrame, products: DataFrame, outlets: DataFrame, cel
 
 @report("sink_facts_json")
 def stored_facts(workspace) -> DataFrame:
-    facts = headline_facts(workspace.fact(), workspace.products(), workspace.outlets(), workspace.cells())
+    facts = catalog.call(headline_facts, workspace)
     path = workspace.path("facts_json")
     files.write_facts(facts, path)
     return files.read_facts(workspace.spark, path, facts.schema)

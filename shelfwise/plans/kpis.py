@@ -100,6 +100,11 @@ def outlet_master(shelves: DataFrame) -> DataFrame:
     ).orderBy(F.desc("revenue"), "outlet")
 
 
+def with_products(summary: DataFrame, fact: DataFrame, keys: dict[str, str]) -> DataFrame:
+    """Add the distinct products of each group: the only count a roll-up cannot give, so the only pass over the fact."""
+    return summary.join(summarise(fact, keys, M.products("products_stocked")), list(keys))
+
+
 def _segment(rollup: DataFrame, keys: dict[str, str], *measures) -> DataFrame:
     """Revenue and its share per segment, plus the given measures, best segment first."""
     summary = summarise(rollup, keys, R.total("sales").alias("_sales"), *measures)
