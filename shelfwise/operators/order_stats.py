@@ -19,6 +19,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 Levels = list[tuple[str, Column]]
 Ranks = dict[str, Callable[[Column], Column]]
 
+# Rows around the wanted ranks that are few enough to be told apart in one last pass.
+FINISH_ROWS = 1_000_000
+
 FIRST = Window.unboundedPreceding
 NOW = Window.currentRow
 
@@ -49,7 +52,8 @@ def literal(value, kind: T.DataType) -> str:
 def rows_at_ranks(df: DataFrame, levels: Levels, ranks: Ranks) -> dict[str, Found]:
     """The values at the given 1-based ranks of `df` sorted by the levels.
 
-    Each rank is a function of the row count. An empty table finds nothing.
+    Each rank is a function of the row count. An empty table finds nothing. Once few rows
+    are left around the ranks, the remaining levels are settled together.
     """
     exprs = dict(levels)
     names = list(exprs)
@@ -57,13 +61,13 @@ def rows_at_ranks(df: DataFrame, levels: Levels, ranks: Ranks) -> dict[str, Foun
     types = {f.name: f.dataType for f in keyed.schema}
     rows = F.count(F.lit(1)).alias("_rows")
 
-    def hits(tally: DataFrame, prefix: list[str], asked: Column, n: Column):
-        order = Window.partitionBy(*prefix).orderBy(names[len(prefix)]).rowsBetween(FIRST, NOW)
+    def hits(tally: DataFrame, prefix: list[str], finer: list[str], asked: Column, n: Column):
+        order = Window.partitionBy(*prefix).orderBy(*finer).rowsBetween(FIRST, NOW)
         upto = tally.withColumn("_upto", F.sum("_rows").over(order)).withColumn("_n", n)
         wanted = upto.withColumn("_ask", F.explode(asked))
         before, rank = F.col("_upto") - F.col("_rows"), F.col("_ask.rank")
         return wanted.where((rank > before) & (rank <= F.col("_upto"))).select(
-            F.col("_ask.label").alias("_label"), "_n", (rank - before).alias("_rank"), *names[: len(prefix) + 1]).collect()
+            F.col("_ask.label").alias("_label"), "_n", "_rows", (rank - before).alias("_rank"), *prefix, *finer).collect()
 
     def same(row, prefix: list[str]) -> str:
         return " AND ".join(f"{c} = {literal(row[c], types[c])}" for c in prefix)
@@ -71,22 +75,23 @@ def rows_at_ranks(df: DataFrame, levels: Levels, ranks: Ranks) -> dict[str, Foun
     first = F.array(*[
         F.struct(F.lit(label).alias("label"), rank(F.col("_n")).cast("bigint").alias("rank"))
         for label, rank in ranks.items()])
-    found = hits(keyed.groupBy(names[0]).agg(rows), [], first, F.sum("_rows").over(Window.partitionBy()))
-    for depth in range(1, len(names)):
-        if not found:
-            return {}
+    found = hits(keyed.groupBy(names[0]).agg(rows), [], names[:1], first, F.sum("_rows").over(Window.partitionBy()))
+    depth = 1
+    while found and depth < len(names):
         prefix = names[:depth]
         groups: dict[tuple, list] = {}
         for row in found:
             groups.setdefault(tuple(row[c] for c in prefix), []).append(row)
+        few = sum(g[0]["_rows"] for g in groups.values()) <= FINISH_ROWS
+        depth = len(names) if few else depth + 1
         inside = keyed.where(" OR ".join(f"({same(g[0], prefix)})" for g in groups.values()))
         branches = []
         for g in groups.values():
             asked = ", ".join(f"named_struct('label', '{r['_label']}', 'rank', {r['_rank']}L)" for r in g)
             branches.append(f"WHEN {same(g[0], prefix)} THEN array({asked})")
         found = hits(
-            inside.groupBy(names[: depth + 1]).agg(rows), prefix, F.expr(f"CASE {' '.join(branches)} END"),
-            F.lit(found[0]["_n"]))
+            inside.groupBy(names[:depth]).agg(rows), prefix, names[len(prefix):depth],
+            F.expr(f"CASE {' '.join(branches)} END"), F.lit(found[0]["_n"]))
     return {r["_label"]: Found(r["_n"], r["_rank"], {c: r[c] for c in names}) for r in found}
 
 

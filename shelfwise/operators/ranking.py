@@ -85,11 +85,13 @@ def with_rank(
     """RANK by an ascending value, NULLs last, over the table or within some columns.
 
     `ties` also adds the number of rows that share the value. Large tables are ranked on
-    the distinct values with their row counts, so equal values never crowd one task.
+    the distinct values with their row counts. Values shared by more than `bucket_rows` rows
+    get their rank by broadcast, all others by a shuffle that no value can overload.
     """
     keys = [*within, "_blank", "_level"]
     valued = df.withColumns({"_blank": value.isNull(), "_level": value})
-    if (df.count() if rows is None else rows) <= single_task_rows:
+    rows = df.count() if rows is None else rows
+    if rows <= single_task_rows:
         frame = Window.partitionBy(*within).orderBy("_blank", "_level")
         ranked = valued.withColumn(alias, F.rank().over(frame).cast("bigint"))
         if ties:
@@ -103,7 +105,11 @@ def with_rank(
         placed = placed.join(starts, within).withColumn("_before", F.col("_before") - F.col("_start")).drop("_start")
     right = placed.select(*[F.col(k).alias(f"_r{k}") for k in keys], "_before", "_ties")
     same = [F.col(k).eqNullSafe(F.col(f"_r{k}")) for k in keys]
-    joined = valued.join(right, same).withColumn(alias, F.col("_before").cast("bigint") + 1)
+    # At most rows / bucket_rows values are that common, so their broadcast is bounded.
+    common, rare = right.where(F.col("_ties") > bucket_rows), right.where(F.col("_ties") <= bucket_rows)
+    crowded = valued.join(F.broadcast(common), same)
+    others = valued.join(F.broadcast(common), same, "left_anti").join(rare, same)
+    joined = crowded.unionByName(others).withColumn(alias, F.col("_before").cast("bigint") + 1)
     if ties:
         joined = joined.withColumn(ties, F.col("_ties"))
     return joined.select(*df.columns, alias, *([ties] if ties else []))

@@ -306,11 +306,12 @@ def headline_facts(
     fact: DataFrame, products: DataFrame, outlets: DataFrame, shelves: DataFrame, cells: DataFrame,
 ) -> DataFrame:
     """One record of headline figures, each taken from one of the aggregate tables."""
+    # The first field is the label; it decides between equal amounts.
     def first(by: Column, *fields: str) -> list[Column]:
-        return [F.max_by(f, by).alias(f"top_{f}") for f in fields]
+        return [F.max_by(f, F.struct(by, F.col(fields[0]))).alias(f"top_{f}") for f in fields]
 
     def last(by: Column, *fields: str) -> list[Column]:
-        return [F.min_by(f, by).alias(f"end_{f}") for f in fields]
+        return [F.min_by(f, F.struct(by, F.col(fields[0]))).alias(f"end_{f}") for f in fields]
 
     cat, out, types = category(products), outlet(fact, shelves), segment_table(fact, "outlet_type")
     tiers, sizes, fat = (segment_table(fact, SEGMENT_TABLES[t]) for t in ("tier", "outlet_size", "fat_content"))
@@ -327,7 +328,7 @@ def headline_facts(
         "cat": cat.withColumn("_place", place).agg(
             *first(revenue, "item_type", "pct_of_revenue"), *last(revenue, "item_type", "pct_of_revenue"),
             F.sum(F.when(F.col("_place") <= 3, F.col("pct_of_revenue"))).alias("top3"),
-            F.max_by("item_type", "avg_sale").alias("premium"), F.max("avg_sale").alias("premium_avg_sale")),
+            F.max_by("item_type", F.struct("avg_sale", "item_type")).alias("premium"), F.max("avg_sale").alias("premium_avg_sale")),
         "out": out.agg(*first(revenue, "outlet_identifier", "pct_of_revenue", "outlet_type"),
                        *last(revenue, "outlet_identifier", "pct_of_revenue")),
         "fmt": types.agg(*first(per_store, "outlet_type", "revenue_per_store"),
@@ -344,7 +345,7 @@ def headline_facts(
             F.count_if(F.col("segment") == "Star").alias("stars"),
             F.count_if(F.col("segment") == "Delist candidate").alias("delist")),
         "day": weekday(cells).agg(where("day_type", "Weekend", "avg_sale", "weekend"), where("day_type", "Weekday", "avg_sale", "weekday")),
-        "grow": category_growth(cells).agg(F.max_by("item_type", "growth_pct").alias("item_type"), F.max("growth_pct").alias("growth_pct")),
+        "grow": category_growth(cells).agg(F.max_by("item_type", F.struct("growth_pct", "item_type")).alias("item_type"), F.max("growth_pct").alias("growth_pct")),
         "fat": fat.agg(where("item_fat_content", "Low Fat", "pct_of_revenue", "low_fat")),
     }
     low_revenue = F.coalesce("prod.low_revenue", F.lit(0).cast("decimal(28,4)"))

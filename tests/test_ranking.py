@@ -5,6 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import Window, functions as F
 
+from shelfwise.operators import order_stats
 from shelfwise.operators.order_stats import (
     amount_levels, quantiles_by_rank, quantiles_interpolated, rows_at_ranks, tile_summary)
 from shelfwise.operators.ranking import running_before, with_rank, with_row_number, with_tile
@@ -53,6 +54,12 @@ def test_tiles(spark, sizes, tiles):
     assert sorted(want.collect()) == sorted(got.collect())
 
 
+@pytest.fixture(params=[0, 10, order_stats.FINISH_ROWS])
+def finish(request, monkeypatch):
+    """Never, sometimes or at once settle the remaining levels together."""
+    monkeypatch.setattr(order_stats, "FINISH_ROWS", request.param)
+
+
 def amounts(spark, values):
     return spark.createDataFrame([(Decimal(str(v)),) for v in values], "sales decimal(10,4)")
 
@@ -64,7 +71,7 @@ def test_quantile_definitions_differ(spark):
 
 
 @pytest.mark.parametrize("values", [[5], [5, 5, 5, 5], list(range(1, 98)), [3] * 40 + list(range(60)), []])
-def test_quantiles_against_definition(spark, values):
+def test_quantiles_against_definition(spark, values, finish):
     df = amounts(spark, values)
     percents = {"a": 25, "b": 50, "c": 90}
     got = quantiles_by_rank(df, "sales", percents).first()
@@ -78,7 +85,7 @@ def test_quantiles_against_definition(spark, values):
 
 
 @pytest.mark.parametrize("n,tiles", [(3, 5), (101, 5), (101, 10), (1000, 10), (0, 5)])
-def test_tile_summary_splits_ties(spark, n, tiles):
+def test_tile_summary_splits_ties(spark, n, tiles, finish):
     df = spark.range(n).select(
         F.when(F.col("id") % 3 == 0, F.lit("0.05")).otherwise((F.col("id") % 11) / 100).cast("decimal(9,6)").alias("v"),
         (F.col("id") * 7919 % 13 + 0.25).cast("decimal(10,4)").alias("sales"))
@@ -90,7 +97,7 @@ def test_tile_summary_splits_ties(spark, n, tiles):
     assert [tuple(r) for r in got.orderBy("tile").collect()] == [tuple(r) for r in want.orderBy("tile").collect()]
 
 
-def test_ranks_inside_ties(spark):
+def test_ranks_inside_ties(spark, finish):
     found = rows_at_ranks(amounts(spark, [1, 2, 2, 2, 3]), amount_levels("sales"), {"x": lambda n: F.lit(3), "y": lambda n: n})
     assert (found["x"].values["sales"], found["x"].rank_in_ties, found["x"].n) == (2, 2, 5)
     assert found["y"].values["sales"] == 3
