@@ -6,8 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import sentencepiece_bpe, simhash
-from .common import hex_digest, model_path, table
+from . import chat, decontaminate, embedding_dedup, langid, line_dedup, pii, sentencepiece_bpe, simhash, token_counts, toxicity
+from .common import LOWER, UPPER, fold, hex_digest, model_path, table
+
+CONVERSATION = "<|im_end|><|im_start|>assistant ok"
+
+
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        hex_digest(F.array_join("items", ",")).alias("items_sha256"), "contaminated")
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +27,52 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         hex_digest(F.col("decoded")).alias("decoded_sha256"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key is spark.shelfwise.pii.key of the session; the fallback is for trials."""
+    key = spark.conf.get("spark.shelfwise.pii.key", "shelfwise-trial-key")
+    found = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key)
+    def count(kind: str):
+        return F.size(F.filter("pii", lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, pii.KINDS), "text")
+
+
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = model_path("byte_bpe_50k.tiktoken")
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame([(-1, 0, "user", CONVERSATION), (-1, 1, "assistant", CONVERSATION)], given.schema)
+    return chat.digests(chat.format_turns(given.union(added), vocabulary), vocabulary).withColumnRenamed("conv", "conv_id")
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(
+        table(spark, sf_dir, "documents"), model_path("byte_bpe_50k.tiktoken")).withColumnRenamed("id", "doc_id")
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learnt = langid.dictionaries(docs.where(fold("doc_id") % 3 != 1))
+    held_out = F.coalesce(fold("id") % 3 == 1, F.lit(False)).alias("held_out")
+    return langid.predict(docs, learnt).select(F.col("id").alias("doc_id"), held_out, "lang_pred", "score", "accepted")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    held_out = F.coalesce(fold("id") % 5 == 0, F.lit(False)).alias("held_out")
+    return found.select(F.col("id").alias("doc_id"), held_out, "score", "predicted")
+
+
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", line_dedup.host(F.col("url")).alias("host"), line_dedup.html_text(F.col("html")).alias("text"))
+    return line_dedup.drop_boilerplate(pages, "host", "text").select("page_id", "host", "n_lines", "n_dropped", "text")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -25,7 +80,58 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_pii": op3_pii,
+    "op4_chat": op4_chat,
+    "op5_token_counts": op5_token_counts,
+    "op6_language": op6_language,
+    "op7_toxicity": op7_toxicity,
+    "op8_embedding_dedup": op8_embedding_dedup,
+    "op9_line_dedup": op9_line_dedup,
     "op10_simhash": op10_simhash,
 }
-ORACLE_SQL: dict[str, str] = {}
+
+_WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_OP1 = rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[s:s + 9], ' ') AS win
+  FROM items, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(s) WHERE len(w) > 0),
+spans AS (
+  SELECT r, n, s, array_to_string(w[s:s + n - 1], ' ') AS win
+  FROM docs, (SELECT DISTINCT n FROM windows), unnest(range(1, len(w) - n + 2)) AS t(s)),
+met AS (SELECT r, s, spans.n, item_id FROM spans JOIN windows USING (win)),
+hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM met, unnest(range(s, s + n)) AS t(p) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS i FROM met) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+"""
+
+_BLOCKS = "p|div|li|ul|ol|nav|article|section|header|footer|aside|main|h[1-6]|table|tr|td|th|title|body|head|html|blockquote|pre|form"
+_OP9 = rf"""
+WITH bare AS (
+  SELECT page_id, nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '') AS host,
+    regexp_replace(regexp_replace(regexp_replace(html,
+      '(?is)<!--.*?-->|<(?:script|style)\b.*?</(?:script|style)\s*>', ' ', 'g'),
+      '(?i)<br\s*/?>|</?(?:{_BLOCKS})\b[^>]*>', chr(10), 'g'), '<[^>]*>', '', 'g') AS t
+  FROM pages),
+placed AS (
+  SELECT row_number() OVER () AS r, page_id, host, string_split(replace(replace(replace(replace(replace(replace(
+    t, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'), chr(10)) AS lines FROM bare),
+lined AS (SELECT r, host, k, lines[k] AS line, regexp_replace(lines[k], '^[ \t\r]+|[ \t\r]+$', '', 'g') AS key
+  FROM placed, unnest(range(1, len(lines) + 1)) AS u(k)),
+totals AS (SELECT host, count(*) AS site_pages FROM placed WHERE host IS NOT NULL GROUP BY host HAVING count(*) >= 10),
+dropped AS (SELECT host, key FROM lined JOIN totals USING (host) WHERE key <> ''
+  GROUP BY host, key, site_pages HAVING count(DISTINCT r) > 1 AND count(DISTINCT r) > 0.2 * site_pages),
+marked AS (SELECT r, k, line, dropped.key IS NOT NULL AS gone FROM lined LEFT JOIN dropped ON lined.host = dropped.host AND lined.key = dropped.key),
+cleaned AS (SELECT r, count(*) AS n_lines, count_if(gone) AS n_dropped,
+  coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (WHERE NOT gone), '') AS text FROM marked GROUP BY r)
+SELECT page_id, host, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_dropped, 0) AS BIGINT) AS n_dropped, text
+FROM placed LEFT JOIN cleaned USING (r)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_decontamination": _OP1, "op9_line_dedup": _OP9}
