@@ -19,9 +19,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 Levels = list[tuple[str, Column]]
 Ranks = dict[str, Callable[[Column], Column]]
 
-# Rows around the wanted ranks that are few enough to be told apart in one last pass.
-FINISH_ROWS = 1_000_000
-
 FIRST = Window.unboundedPreceding
 NOW = Window.currentRow
 
@@ -52,8 +49,8 @@ def literal(value, kind: T.DataType) -> str:
 def rows_at_ranks(df: DataFrame, levels: Levels, ranks: Ranks) -> dict[str, Found]:
     """The values at the given 1-based ranks of `df` sorted by the levels.
 
-    Each rank is a function of the row count. An empty table finds nothing. Once few rows
-    are left around the ranks, the remaining levels are settled together.
+    Each rank is a function of the row count. An empty table finds nothing. There is one pass
+    per level, so their number is fixed by the types.
     """
     exprs = dict(levels)
     names = list(exprs)
@@ -64,10 +61,13 @@ def rows_at_ranks(df: DataFrame, levels: Levels, ranks: Ranks) -> dict[str, Foun
     def hits(tally: DataFrame, prefix: list[str], finer: list[str], asked: Column, n: Column):
         order = Window.partitionBy(*prefix).orderBy(*finer).rowsBetween(FIRST, NOW)
         upto = tally.withColumn("_upto", F.sum("_rows").over(order)).withColumn("_n", n)
-        wanted = upto.withColumn("_ask", F.explode(asked))
-        before, rank = F.col("_upto") - F.col("_rows"), F.col("_ask.rank")
-        return wanted.where((rank > before) & (rank <= F.col("_upto"))).select(
-            F.col("_ask.label").alias("_label"), "_n", "_rows", (rank - before).alias("_rank"), *prefix, *finer).collect()
+        before = F.col("_upto") - F.col("_rows")
+        # A histogram row keeps the ranks that fall on it; most rows keep none and are gone.
+        here = F.filter(asked, lambda ask: (ask["rank"] > before) & (ask["rank"] <= F.col("_upto")))
+        wanted = upto.withColumn("_here", here).where(F.size("_here") > 0).withColumn("_ask", F.explode("_here"))
+        return wanted.select(
+            F.col("_ask.label").alias("_label"), "_n", "_rows", (F.col("_ask.rank") - before).alias("_rank"),
+            *prefix, *finer).collect()
 
     def same(row, prefix: list[str]) -> str:
         return " AND ".join(f"{c} = {literal(row[c], types[c])}" for c in prefix)
@@ -82,8 +82,7 @@ def rows_at_ranks(df: DataFrame, levels: Levels, ranks: Ranks) -> dict[str, Foun
         groups: dict[tuple, list] = {}
         for row in found:
             groups.setdefault(tuple(row[c] for c in prefix), []).append(row)
-        few = sum(g[0]["_rows"] for g in groups.values()) <= FINISH_ROWS
-        depth = len(names) if few else depth + 1
+        depth += 1
         inside = keyed.where(" OR ".join(f"({same(g[0], prefix)})" for g in groups.values()))
         branches = []
         for g in groups.values():

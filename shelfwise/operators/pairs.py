@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 ITEM, OUTLET, SALES = "item_identifier", "outlet_identifier", "sales"
 ROW_COLUMNS = [ITEM, "item_type", OUTLET, "outlet_type", SALES, "item_visibility"]
 TIES = [OUTLET, "item_visibility", "item_type"]
-MAX_LEADERS = 31
 
 
 def _first_rows(df: DataFrame, within: list[str], order: list, n: int) -> DataFrame:
@@ -38,7 +37,7 @@ def widest_pairs(fact: DataFrame, n: int = 15, factor: int = 3) -> DataFrame:
         .where((F.col("a_store") != F.col("b_store")) & (F.col("high") > F.col("low") * factor))
         .groupBy(ITEM).agg(F.max(F.col("high") - F.col("low")).alias("gap"))
     )
-    # n items at most reach the driver; as literals they let the scan skip files.
+    # n items at most reach the driver.
     chosen = [r[ITEM] for r in gaps.orderBy(F.desc("gap"), ITEM).limit(n).collect()]
     rows = fact.select(ROW_COLUMNS).where(F.col(ITEM).isin(chosen))
     sides = {}
@@ -58,18 +57,20 @@ def widest_pairs(fact: DataFrame, n: int = 15, factor: int = 3) -> DataFrame:
 def distribution_gaps(fact: DataFrame, leaders: DataFrame, n: int = 25) -> DataFrame:
     """Stores that lack a leading product, best product first.
 
-    `leaders` has at most 31 rows with a unique `place` from 0 and an `item_identifier`.
-    Each store's stock of leaders is one bit mask, combined map-side; a store meets a
-    product only where the mask lacks it.
+    `leaders` is a short list, its length a parameter of the question: a unique `place` from 0 and
+    an `item_identifier` per row. A store keeps the set of leaders it stocks, at most that list,
+    and meets a leader only where the set lacks it. A product on several places is stocked on all.
     """
-    items = leaders.groupBy(ITEM).agg(F.bit_or(F.expr("shiftleft(1, place)")).alias("bits"))
     attributes = [OUTLET, "outlet_type", "outlet_location_type"]
-    marked = fact.select(*attributes, ITEM).join(F.broadcast(items), ITEM, "left")
-    stocked = marked.groupBy(*attributes).agg(F.coalesce(F.bit_or("bits"), F.lit(0)).alias("mask"))
-    # The mask of a store covers all its rows, also where its attributes disagree between rows.
-    known = stocked.withColumn("mask", F.bit_or("mask").over(Window.partitionBy(OUTLET)))
-    places = known.withColumn("place", F.explode(F.sequence(F.lit(0), F.lit(MAX_LEADERS - 1))))
-    lacking = places.where(F.call_function("shiftright", "mask", "place").bitwiseAND(F.lit(1)) == 0).drop("mask")
+    items = leaders.groupBy(ITEM).agg(F.collect_set("place").alias("places"))
+    pairs = fact.select(*attributes, ITEM).distinct()
+    marked = pairs.join(F.broadcast(items), ITEM, "left")
+    stocked = marked.groupBy(*attributes).agg(F.array_distinct(F.flatten(F.collect_set("places"))).alias("places"))
+    # The set of a store covers all its rows, also where its attributes disagree between rows.
+    stores = Window.partitionBy(OUTLET)
+    known = stocked.withColumn("places", F.flatten(F.collect_set("places").over(stores)))
+    every = leaders.agg(F.collect_set("place").alias("all")).scalar()
+    lacking = known.withColumn("place", F.explode(F.array_except(every, "places"))).drop("places")
     return (
         lacking.join(F.broadcast(leaders), "place")
         .orderBy("place", *attributes)

@@ -1,115 +1,95 @@
 """Ranks, tiles and running sums over a whole table of entities (products, stores).
 
-Up to SINGLE_TASK_ROWS rows, counted first, one task sorts them: the plain window. Beyond
-that the order is cut into buckets at sampled split points; each bucket is ranked in its
-own task and shifted by what lies before it. The split points only balance the work: the
-result is exact wherever they fall.
+There is one way for every size. The rows are dealt out by ranges of the order and written, with
+the number of the range; each range is summed up in its own task and shifted by the sum of the
+ranges before it. A rank is taken on the distinct values with their row counts, so the table itself
+is read once per rank to count them and once to attach all ranks.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-SINGLE_TASK_ROWS = 1_000_000
-BUCKET_ROWS = 500_000
-MAX_BUCKETS = 10_000
-SAMPLES_PER_BUCKET = 16
+from ..sources.store import written
 
 BEFORE = (Window.unboundedPreceding, -1)
 
 
-def _bucket(keyed: DataFrame, rows: int, bucket_rows: int) -> DataFrame:
-    """Add `_bucket`, the number of split points at or below `_key`."""
-    buckets = int(min(MAX_BUCKETS, rows // bucket_rows + 1))
-    step = max(1, rows // (buckets * SAMPLES_PER_BUCKET))
-    chosen = keyed.where(F.pmod(F.xxhash64("_key"), F.lit(step)) == 0)
-    sorted_keys = chosen.agg(F.sort_array(F.collect_list("_key")).alias("keys"))
-    splits = sorted_keys.select(F.transform(
-        F.sequence(F.lit(1), F.lit(max(1, buckets - 1))),
-        lambda i: F.get("keys", F.floor(i * F.size("keys") / buckets).cast("int")),
-    ).alias("splits")).scalar()
-    # Binary search: take a step of 2^k whenever the split point there is still at or below the key.
-    steps = F.array(*[F.lit(2 ** k) for k in range(buckets.bit_length(), -1, -1)])
-    place = F.aggregate(steps, F.lit(0), lambda at, width: F.when(
-        F.get("_splits", at + width - 1) <= F.col("_key"), at + width).otherwise(at))
-    return keyed.withColumn("_splits", splits).withColumn("_bucket", place).drop("_splits")
-
-
-def running_before(
-    df: DataFrame, order: list[Column], weights: dict[str, Column], single_task_rows: int = SINGLE_TASK_ROWS,
-    bucket_rows: int = BUCKET_ROWS, rows: int | None = None,
-) -> DataFrame:
-    """Add, per weight, its sum over all rows that come earlier. `order` ascends and is unique per row.
-
-    `rows` saves the count where the caller knows it.
+@dataclass
+class Rank:
+    """RANK by an ascending value, NULLs last, over the table or within some columns.
+
+    `ties` also adds the number of rows that share the value.
     """
-    zeros = {name: F.lit(0) for name in weights}
-    rows = df.count() if rows is None else rows
-    if rows <= single_task_rows:
-        frame = Window.orderBy(*order).rowsBetween(*BEFORE)
-        return df.withColumns({n: F.coalesce(F.sum(w).over(frame), zeros[n]) for n, w in weights.items()})
-    keyed = df.withColumn("_key", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)]))
-    keyed = keyed.withColumns({f"_w_{n}": w for n, w in weights.items()})
-    keyed = _bucket(keyed, rows, bucket_rows)
-    across = Window.orderBy("_bucket").rowsBetween(*BEFORE)
-    # At most MAX_BUCKETS rows, so the broadcast is bounded.
-    offsets = keyed.groupBy("_bucket").agg(*[F.sum(f"_w_{n}").alias(f"_t_{n}") for n in weights]).select(
-        "_bucket", *[F.coalesce(F.sum(f"_t_{n}").over(across), zeros[n]).alias(f"_o_{n}") for n in weights])
-    inside = Window.partitionBy("_bucket").orderBy("_key").rowsBetween(*BEFORE)
-    placed = keyed.join(F.broadcast(offsets), "_bucket").withColumns({
-        n: F.col(f"_o_{n}") + F.coalesce(F.sum(f"_w_{n}").over(inside), zeros[n]) for n in weights})
-    return placed.select(*df.columns, *weights)
-
-
-def with_row_number(df: DataFrame, order: list[Column], alias: str, **sizes) -> DataFrame:
+
+    value: Column
+    alias: str
+    within: list[str] = field(default_factory=list)
+    ties: str | None = None
+
+
+def running_before(df: DataFrame, order: list[Column], weights: dict[str, Column]) -> DataFrame:
+    """Add, per weight, its sum over all rows that come earlier. `order` ascends and is unique per row."""
+    keys = {f"_k{i}": column for i, column in enumerate(order)}
+    keyed = df.withColumns(keys).withColumns({f"_w_{n}": w for n, w in weights.items()})
+    dealt = written(keyed.repartitionByRange(*keys).withColumn("_range", F.spark_partition_id()), "order")
+    # One row per range, so at most as many as shuffle partitions.
+    totals = dealt.groupBy("_range").agg(*[F.sum(f"_w_{n}").alias(f"_t_{n}") for n in weights])
+    earlier = Window.orderBy("_range").rowsBetween(*BEFORE)
+    offsets = totals.select("_range", *[F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_o_{n}") for n in weights])
+    inside = Window.partitionBy("_range").orderBy(*keys).rowsBetween(*BEFORE)
+    return dealt.join(F.broadcast(offsets), "_range").select(*df.columns, *[
+        (F.col(f"_o_{n}") + F.coalesce(F.sum(f"_w_{n}").over(inside), F.lit(0))).alias(n) for n in weights])
+
+
+def with_row_number(df: DataFrame, order: list[Column], alias: str) -> DataFrame:
     """Global ROW_NUMBER for a unique ascending order."""
-    return running_before(df, order, {alias: F.lit(1)}, **sizes).withColumn(alias, F.col(alias).cast("bigint") + 1)
+    return running_before(df, order, {alias: F.lit(1)}).withColumn(alias, F.col(alias).cast("bigint") + 1)
 
 
-def with_tile(
-    df: DataFrame, order: list[Column], tiles: int, alias: str, rows: int | None = None, **sizes,
-) -> DataFrame:
-    """Global NTILE for a unique ascending order."""
+def with_tile(df: DataFrame, order: list[Column], tiles: int, alias: str, rows: int | None = None) -> DataFrame:
+    """Global NTILE for a unique ascending order. `rows` saves the count where the caller knows it."""
     rows = df.count() if rows is None else rows
     small, extra = divmod(rows, tiles)
-    numbered = with_row_number(df, order, alias, rows=rows, **sizes)
+    numbered = with_row_number(df, order, alias)
     place, edge = F.col(alias) - 1, extra * (small + 1)
     tile = F.when(place < edge, F.floor(place / (small + 1)) + 1)
     return numbered.withColumn(alias, tile.otherwise(F.floor((place - edge) / max(small, 1)) + extra + 1))
 
 
-def with_rank(
-    df: DataFrame, value: Column, alias: str, within: list[str] = (), ties: str | None = None,
-    single_task_rows: int = SINGLE_TASK_ROWS, bucket_rows: int = BUCKET_ROWS, rows: int | None = None,
-) -> DataFrame:
-    """RANK by an ascending value, NULLs last, over the table or within some columns.
-
-    `ties` also adds the number of rows that share the value. Large tables are ranked on
-    the distinct values with their row counts. Values shared by more than `bucket_rows` rows
-    get their rank by broadcast, all others by a shuffle that no value can overload.
-    """
-    keys = [*within, "_blank", "_level"]
-    valued = df.withColumns({"_blank": value.isNull(), "_level": value})
-    rows = df.count() if rows is None else rows
-    if rows <= single_task_rows:
-        frame = Window.partitionBy(*within).orderBy("_blank", "_level")
-        ranked = valued.withColumn(alias, F.rank().over(frame).cast("bigint"))
-        if ties:
-            ranked = ranked.withColumn(ties, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-        return ranked.drop("_blank", "_level")
-    tally = valued.groupBy(*keys).agg(F.count(F.lit(1)).alias("_ties"))
-    placed = running_before(
-        tally, [F.col(k) for k in keys], {"_before": F.col("_ties")}, single_task_rows, bucket_rows)
-    if within:
-        starts = placed.groupBy(*within).agg(F.min("_before").alias("_start"))
-        placed = placed.join(starts, within).withColumn("_before", F.col("_before") - F.col("_start")).drop("_start")
-    right = placed.select(*[F.col(k).alias(f"_r{k}") for k in keys], "_before", "_ties")
-    same = [F.col(k).eqNullSafe(F.col(f"_r{k}")) for k in keys]
-    # At most rows / bucket_rows values are that common, so their broadcast is bounded.
-    common, rare = right.where(F.col("_ties") > bucket_rows), right.where(F.col("_ties") <= bucket_rows)
-    crowded = valued.join(F.broadcast(common), same)
-    others = valued.join(F.broadcast(common), same, "left_anti").join(rare, same)
-    joined = crowded.unionByName(others).withColumn(alias, F.col("_before").cast("bigint") + 1)
-    if ties:
-        joined = joined.withColumn(ties, F.col("_ties"))
-    return joined.select(*df.columns, alias, *([ties] if ties else []))
+def _tally(df: DataFrame, rank: Rank) -> DataFrame:
+    """(within..., _blank, _level, _before, _ties): rows before each distinct value and rows that share it."""
+    valued = df.withColumns({"_blank": rank.value.isNull(), "_level": rank.value})
+    keys = [*rank.within, "_blank", "_level"]
+    counted = valued.groupBy(*keys).agg(F.count(F.lit(1)).alias("_ties"))
+    placed = running_before(counted, [F.col(k) for k in keys], {"_before": F.col("_ties")})
+    if rank.within:
+        # Groups lie one after another: the rows before a group are the least of its values' counts.
+        placed = written(placed, "tally")
+        starts = placed.groupBy(*[F.col(k).alias(f"_s{j}") for j, k in enumerate(rank.within)]).agg(F.min("_before").alias("_start"))
+        same = [F.col(k).eqNullSafe(F.col(f"_s{j}")) for j, k in enumerate(rank.within)]
+        placed = placed.join(starts, same).select(*keys, (F.col("_before") - F.col("_start")).alias("_before"), "_ties")
+    return written(placed, "tally")
+
+
+def with_ranks(df: DataFrame, *ranks: Rank) -> DataFrame:
+    """Add all ranks. The counted values are stored tables, so the planner knows which are small, and
+    AQE splits a value that many rows share."""
+    out, added = df, []
+    for i, rank in enumerate(ranks):
+        tally = _tally(df, rank).withColumnsRenamed(
+            {"_before": f"_before{i}", "_ties": f"_ties{i}", "_blank": f"_blank{i}", "_level": f"_level{i}"}
+            | {k: f"_in{i}_{j}" for j, k in enumerate(rank.within)})
+        same = [rank.value.isNull() == F.col(f"_blank{i}"), rank.value.eqNullSafe(F.col(f"_level{i}"))] + [
+            F.col(k).eqNullSafe(F.col(f"_in{i}_{j}")) for j, k in enumerate(rank.within)]
+        out = out.join(tally, same)
+        added.append((F.col(f"_before{i}").cast("bigint") + 1).alias(rank.alias))
+        if rank.ties:
+            added.append(F.col(f"_ties{i}").alias(rank.ties))
+    return out.select(*df.columns, *added)
+
+
+def with_rank(df: DataFrame, value: Column, alias: str, within: list[str] = (), ties: str | None = None) -> DataFrame:
+    return with_ranks(df, Rank(value, alias, list(within), ties))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.exact import percent, quotient
+from ..sources.store import written
 
 
 def summarise(df: DataFrame, keys: dict[str, str] | list[str], *measures: Column) -> DataFrame:
@@ -35,16 +36,13 @@ def top(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-LOOKUP_ROWS = 100_000
-
-
 def join_lookup(df: DataFrame, lookup: DataFrame, keys: list[str]) -> DataFrame:
-    """Join a lookup, broadcast if its counted rows are few, else as the planner decides.
+    """Join a lookup that is stored first: it is built once, and the planner knows its size.
 
-    Few keys (categories) would send most of the large side to a handful of tasks.
+    Few keys (categories) would send most of the large side to a handful of tasks; a table of so
+    few rows is broadcast.
     """
-    few = lookup.limit(LOOKUP_ROWS + 1).count() <= LOOKUP_ROWS
-    return df.join(F.broadcast(lookup) if few else lookup, keys)
+    return df.join(written(lookup, "lookup"), keys)
 
 
 def apply_filters(df: DataFrame, filters: dict[str, list]) -> DataFrame:

@@ -10,8 +10,9 @@ from ..functions import measures as M, rolled as R
 from ..functions.exact import growth, growth_of_means, mean_from, percent, quotient, quotient_of_means, total
 from ..operators.calendar import month_spine
 from ..operators.pairs import distribution_gaps, widest_pairs
-from ..operators.ranking import with_rank, with_tile
+from ..operators.ranking import Rank, with_ranks, with_tile
 from ..operators.segments import join_lookup, mean_of, one_row, share_of_all, summarise, top
+from ..sources.store import written
 from .business import CATEGORY, COMPARED_YEARS, SO_FAR, by_month, by_product, first_per_category, in_month_order, moving_average
 from .kpis import OUTLET_KEYS, outlet_master, totals, with_products
 
@@ -27,6 +28,14 @@ SEGMENTS = {
     (False, False): ("4. Delist candidate (low revenue, low rating)", "Free the shelf space for an A-item."),
 }
 
+# The short names of the same quadrants.
+SEGMENT_NAMES = {
+    (True, True): "Star",
+    (True, False): "Fix quality",
+    (False, True): "Promote",
+    (False, False): "Delist candidate",
+}
+
 
 def quadrant(revenue: Column, rating: Column, bench: Column, labels: dict) -> Column:
     """Label of the side of both benchmarks (`revenue`, `rating`) a product is on."""
@@ -66,10 +75,12 @@ def outlet_scorecard(outlets: DataFrame) -> DataFrame:
     stores = rolled.select(
         *keys, "_sales", mean_from(F.col("_sales"), F.col("_rows"), "sales").alias("_sale"),
         mean_from(F.col("_rating"), F.col("_rows"), "rating").alias("_rate"))
+    stores = written(stores, "stores")
     n = stores.count()
-    ranked = with_tile(stores, [-F.col("_sales"), *[F.col(k) for k in keys]], 4, "revenue_quartile", rows=n)
-    for column, alias in (("_sales", "_place"), ("_sale", "basket_rank"), ("_rate", "rating_rank")):
-        ranked = with_rank(ranked, -F.col(column), alias, ties="_ties" if column == "_sales" else None, rows=n)
+    tiled = with_tile(stores, [-F.col("_sales"), *[F.col(k) for k in keys]], 4, "revenue_quartile", rows=n)
+    ranked = with_ranks(
+        written(tiled, "stores"), Rank(-F.col("_sales"), "_place", ties="_ties"), Rank(-F.col("_sale"), "basket_rank"),
+        Rank(-F.col("_rate"), "rating_rank"))
     # Counted from the bottom: stores with less revenue, and stores with at most this revenue.
     at_most = F.lit(n) - F.col("_place") + 1
     below = at_most - F.col("_ties")
@@ -253,18 +264,17 @@ def product_master(products: DataFrame) -> DataFrame:
         mean_from(F.col("rating"), rows, "rating").alias("_rate"),
         mean_from(F.col("item_visibility"), rows, "item_visibility", 4).alias("avg_visibility"))
     bench = product_bench(stats, "_sales", "_rate")
-    names = {k: v[0][3:].split(" (")[0] for k, v in SEGMENTS.items()}
-    down, n = -F.col("_sales"), products.count()
-    ranked = with_rank(stats, down, "revenue_rank_overall", rows=n)
-    ranked = with_rank(ranked, down, "revenue_rank_in_category", ["item_type"], rows=n)
+    down = -F.col("_sales")
     order = [down, F.col("item_identifier"), F.col("item_type"), F.col("item_fat_content")]
-    ranked = with_tile(ranked, order, 4, "revenue_quartile", rows=n)
+    tiled = written(with_tile(stats, order, 4, "revenue_quartile"), "products")
+    ranked = with_ranks(
+        tiled, Rank(down, "revenue_rank_overall"), Rank(down, "revenue_rank_in_category", ["item_type"]))
     return ranked.select(
         F.col("item_identifier").alias("product"), F.col("item_type").alias("category"),
         F.col("item_fat_content").alias("fat_content"), F.col("records").alias("outlets_stocked"),
         F.round("_sales", 2).alias("revenue"), "avg_sale", F.round("_rate", 2).alias("avg_rating"), "avg_visibility",
         "revenue_rank_overall", "revenue_rank_in_category", "revenue_quartile",
-        quadrant(F.col("_sales"), F.col("_rate"), bench, names).alias("segment"))
+        quadrant(F.col("_sales"), F.col("_rate"), bench, SEGMENT_NAMES).alias("segment"))
 
 
 @report("v5_executive_kpis")

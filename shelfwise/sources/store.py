@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import tempfile
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,3 +49,11 @@ def stage(
             build().write.mode("overwrite").partitionBy(*partition_by or []).parquet(path)
             _written.add(path)
     return spark.read.parquet(path)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Store a step inside a report under a name of its own, then read it."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/shelfwise/{spark.sparkContext.applicationId}/steps/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 
 from shelfwise.session import build_session
@@ -6,7 +8,7 @@ from shelfwise.session import build_session
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = build_session(
-        "shelfwise-tests", "local[4]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
+        "shelfwise-tests", os.environ.get("TEST_MASTER", "local[4]"), spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
         spark__driver__memory="4g", spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
     yield session

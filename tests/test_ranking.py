@@ -1,16 +1,13 @@
-"""Distributed ranks against the plain definitions, with both code paths."""
+"""Distributed ranks against the plain definitions."""
 
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import Window, functions as F
 
-from shelfwise.operators import order_stats
 from shelfwise.operators.order_stats import (
     amount_levels, quantiles_by_rank, quantiles_interpolated, rows_at_ranks, tile_summary)
-from shelfwise.operators.ranking import running_before, with_rank, with_row_number, with_tile
-
-SIZES = [{}, {"single_task_rows": 0, "bucket_rows": 40}, {"single_task_rows": 0, "bucket_rows": 7}]
+from shelfwise.operators.ranking import Rank, running_before, with_rank, with_ranks, with_row_number, with_tile
 
 
 def entities(spark, n=500):
@@ -21,45 +18,36 @@ def entities(spark, n=500):
         .otherwise(F.col("id") * 37 % 101).cast("decimal(10,4)").alias("value"))
 
 
-@pytest.mark.parametrize("sizes", SIZES)
-def test_row_number_and_running_sum(spark, sizes):
+def test_row_number_and_running_sum(spark):
     df = entities(spark).fillna(0, ["value"])
     order = [-F.col("value"), F.col("key")]
     plain = Window.orderBy(*order)
     want = df.select("key", F.row_number().over(plain).alias("n"), F.coalesce(
         F.sum("value").over(plain.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("s"))
-    got = with_row_number(df, order, "n", **sizes).join(running_before(df, order, {"s": F.col("value")}, **sizes), "key")
+    got = with_row_number(df, order, "n").join(running_before(df, order, {"s": F.col("value")}), "key")
     assert sorted(want.collect()) == sorted(got.select("key", "n", "s").collect())
 
 
-@pytest.mark.parametrize("sizes", SIZES)
 @pytest.mark.parametrize("within", [[], ["part"]])
-def test_rank_with_ties_and_nulls(spark, sizes, within):
+def test_rank_with_ties_and_nulls(spark, within):
     df = entities(spark)
     value = -F.col("value")
     plain = Window.partitionBy(*within).orderBy(value.asc_nulls_last())
     equal = Window.partitionBy(*within, value)
     want = df.select("key", F.rank().over(plain).alias("r"), F.count(F.lit(1)).over(equal).alias("t"))
-    got = with_rank(df, value, "r", within, ties="t", **sizes).select("key", "r", "t")
+    got = with_rank(df, value, "r", within, ties="t").select("key", "r", "t")
     assert sorted(want.collect()) == sorted(got.collect())
 
 
-@pytest.mark.parametrize("sizes", SIZES)
 @pytest.mark.parametrize("tiles", [1, 4, 7, 600])
-def test_tiles(spark, sizes, tiles):
+def test_tiles(spark, tiles):
     df = entities(spark)
     order = [F.col("part"), F.col("key")]
     want = df.select("key", F.ntile(tiles).over(Window.orderBy(*order)).alias("t"))
-    got = with_tile(df, order, tiles, "t", **sizes).select("key", "t")
+    got = with_tile(df, order, tiles, "t").select("key", "t")
     assert sorted(want.collect()) == sorted(got.collect())
 
 
-@pytest.fixture(params=[0, 10, order_stats.FINISH_ROWS])
-def finish(request, monkeypatch):
-    """Never, sometimes or at once settle the remaining levels together."""
-    monkeypatch.setattr(order_stats, "FINISH_ROWS", request.param)
-
-
 def amounts(spark, values):
     return spark.createDataFrame([(Decimal(str(v)),) for v in values], "sales decimal(10,4)")
 
@@ -71,7 +59,7 @@ def test_quantile_definitions_differ(spark):
 
 
 @pytest.mark.parametrize("values", [[5], [5, 5, 5, 5], list(range(1, 98)), [3] * 40 + list(range(60)), []])
-def test_quantiles_against_definition(spark, values, finish):
+def test_quantiles_against_definition(spark, values):
     df = amounts(spark, values)
     percents = {"a": 25, "b": 50, "c": 90}
     got = quantiles_by_rank(df, "sales", percents).first()
@@ -85,7 +73,7 @@ def test_quantiles_against_definition(spark, values, finish):
 
 
 @pytest.mark.parametrize("n,tiles", [(3, 5), (101, 5), (101, 10), (1000, 10), (0, 5)])
-def test_tile_summary_splits_ties(spark, n, tiles, finish):
+def test_tile_summary_splits_ties(spark, n, tiles):
     df = spark.range(n).select(
         F.when(F.col("id") % 3 == 0, F.lit("0.05")).otherwise((F.col("id") % 11) / 100).cast("decimal(9,6)").alias("v"),
         (F.col("id") * 7919 % 13 + 0.25).cast("decimal(10,4)").alias("sales"))
@@ -97,7 +85,21 @@ def test_tile_summary_splits_ties(spark, n, tiles, finish):
     assert [tuple(r) for r in got.orderBy("tile").collect()] == [tuple(r) for r in want.orderBy("tile").collect()]
 
 
-def test_ranks_inside_ties(spark, finish):
+def test_ranks_inside_ties(spark):
     found = rows_at_ranks(amounts(spark, [1, 2, 2, 2, 3]), amount_levels("sales"), {"x": lambda n: F.lit(3), "y": lambda n: n})
     assert (found["x"].values["sales"], found["x"].rank_in_ties, found["x"].n) == (2, 2, 5)
     assert found["y"].values["sales"] == 3
+
+
+def test_several_ranks_read_their_input_once_each_and_once_more(spark, tmp_path):
+    path = str(tmp_path / "entities")
+    entities(spark, 50).write.parquet(path)
+    got = with_ranks(spark.read.parquet(path), Rank(F.col("value"), "a"), Rank(-F.col("value"), "b", ties="t"))
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation") <= 2 + 2
+    plain = Window.orderBy(F.col("value").asc_nulls_last())
+    want = entities(spark, 50).select("key", F.rank().over(plain).alias("a"))
+    assert sorted(want.collect()) == sorted(got.select("key", "a").collect())
+
+
+def test_ranks_of_an_empty_table(spark):
+    assert with_ranks(entities(spark, 0), Rank(F.col("value"), "a"), Rank(F.col("value"), "b", ["part"])).count() == 0

@@ -70,6 +70,14 @@ def test_distribution_gap(spark):
     assert [(r["proven_product"], r["missing_from_outlet"]) for r in got] == [("B", "O2")]
 
 
+def test_distribution_gap_beyond_any_word_size(spark):
+    """40 leaders; one store lacks the last two, the other has all."""
+    stocked = [{"item_identifier": f"I{i:02d}", "sales": 1000 - i, "outlet_identifier": "FULL"} for i in range(40)]
+    f = fact(spark, *stocked, *[{**r, "outlet_identifier": "GAP", "sales": 1} for r in stocked[:38]])
+    got = A.missing_products(f, products(f), leaders=40).select("proven_product", "missing_from_outlet")
+    assert rows(got) == [("I38", "GAP"), ("I39", "GAP")]
+
+
 def test_pair_needs_three_times_the_sales(spark):
     for strong, want in ((31, 1), (30, 0)):
         f = fact(spark, {"outlet_identifier": "O1", "sales": 10}, {"outlet_identifier": "O2", "sales": strong})
