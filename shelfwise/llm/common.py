@@ -2,31 +2,30 @@
 
 from __future__ import annotations
 
-import uuid
 from pathlib import PurePosixPath
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..sources.store import shared_dir
+from ..sources.store import written  # noqa: F401  (for the operators)
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Store `df` as Parquet in the shared folder and read it back.
-
-    Cuts lineage without relying on any executor, and gives the planner the real size.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/shelfwise/{spark.sparkContext.applicationId}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that `df` has no column of, whatever its own are called."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z become a-z, every other character stays; `lower` does just that where a text is pure ASCII."""
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

@@ -13,10 +13,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import written
+from .common import fresh, written
 
-#: A line on more than this share of a site's pages is boilerplate.
-RATIO = 0.2
+#: A line on more than this share of a site's pages is boilerplate, if it is on at least so many.
+RATIO, MIN_LINE_PAGES = 0.05, 5
 #: Sites with fewer pages are left alone: there a share says nothing.
 MIN_PAGES = 10
 #: Boilerplate lines (16 bytes each) up to which the lists are broadcast; beyond, they are joined by a shuffle.
@@ -53,32 +53,36 @@ def _digest(line: Column) -> Column:
     return F.when(bare != "", F.unhex(F.md5(bare)))
 
 
-def boilerplate(df: DataFrame, site: str, text: str, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate(df: DataFrame, site: str, text: str, ratio: float = RATIO, min_pages: int = MIN_PAGES,
+                min_line_pages: int = MIN_LINE_PAGES) -> DataFrame:
     """(site, digest, pages, site_pages) of the lines over the ratio. Rows without a site have none."""
     placed = df.where(F.col(site).isNotNull()).select(F.col(site).alias("site"), F.col(text).alias("text"))
     totals = placed.groupBy("site").agg(F.count("*").alias("site_pages")).where(F.col("site_pages") >= min_pages)
     counts = (placed.select("site", F.explode(F.array_distinct(F.transform(_lines(F.col("text")), _digest))).alias("digest"))
-              .where("digest is not null").groupBy("site", "digest").agg(F.count("*").alias("pages")).where("pages > 1"))
+              .where("digest is not null").groupBy("site", "digest").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_line_pages))
     return counts.join(totals, "site").where(F.col("pages") > F.lit(ratio) * F.col("site_pages"))
 
 
-def drop_boilerplate(df: DataFrame, site: str, text: str, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def drop_boilerplate(df: DataFrame, site: str, text: str, ratio: float = RATIO, min_pages: int = MIN_PAGES,
+                     min_line_pages: int = MIN_LINE_PAGES) -> DataFrame:
     """`df` with `text` cleaned, and the columns n_lines and n_dropped.
 
     Blank lines stay and count as lines. A row with a null text keeps it (no lines); a row without
     a site, or of a site with fewer than `min_pages` rows, keeps its text. No row is dropped, also
-    if all its lines are. Repeated rows count as pages each.
+    if all its lines are. Repeated rows count as pages each. Columns n_lines and n_dropped of `df` are
+    replaced, all others stay.
     """
-    lines = written(boilerplate(df, site, text, ratio, min_pages), "boilerplate")
+    lines = written(boilerplate(df, site, text, ratio, min_pages, min_line_pages), "boilerplate")
     lists = written(lines.groupBy(F.col("site").alias("_site")).agg(F.collect_list("digest").alias("_drop")), "boilerplate-lists")
     if lines.count() <= BROADCAST_LINES:
         lists = F.broadcast(lists)
-    joined = df.join(lists, df[site] == F.col("_site"), "left").withColumn("_lines", _lines(F.col(text)))
-    kept = F.when(F.col("_drop").isNull(), F.col("_lines")).otherwise(
-        F.filter("_lines", lambda line: ~F.coalesce(F.array_contains("_drop", _digest(line)), F.lit(False))))
-    cleaned = joined.withColumn("_kept", kept)
-    n_lines = F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size("_lines")).cast("bigint")
-    n_kept = F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size("_kept")).cast("bigint")
+    place, drop, all_lines, kept = fresh(df, "_site", "_drop", "_lines", "_kept")
+    lists = lists.withColumnsRenamed({"_site": place, "_drop": drop})
+    joined = df.join(lists, df[site] == lists[place], "left").withColumn(all_lines, _lines(F.col(text)))
+    cleaned = joined.withColumn(kept, F.when(F.col(drop).isNull(), F.col(all_lines)).otherwise(
+        F.filter(all_lines, lambda line: ~F.coalesce(F.array_contains(drop, _digest(line)), F.lit(False)))))
+    n_lines = F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size(all_lines)).cast("bigint")
+    n_kept = F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size(kept)).cast("bigint")
     cleaned = cleaned.withColumns({"n_lines": n_lines, "n_dropped": n_lines - n_kept})
-    cleaned = cleaned.withColumn(text, F.when(F.col(text).isNotNull(), F.array_join("_kept", "\n")))
-    return cleaned.drop("_site", "_drop", "_lines", "_kept")
+    cleaned = cleaned.withColumn(text, F.when(F.col(text).isNotNull(), F.array_join(kept, "\n")))
+    return cleaned.drop(place, drop, all_lines, kept)

@@ -24,6 +24,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import fresh
+
 KINDS = ("card", "ssn", "phone", "ipv4", "date", "email")
 ROUNDS = 8
 
@@ -164,24 +166,23 @@ def pseudonymise(df: DataFrame, key: str, text_column: str = "text") -> DataFram
 
     The original values appear nowhere in the result. A null text stays null, with no pii; a text
     without valid values stays as it is. Rows are neither moved nor dropped, so repeated rows
-    repeat and an empty table stays empty. A text's values are handled where the row is read:
+    repeat and an empty table stays empty. A column pii of `df` is replaced, all others stay. A text's values are handled where the row is read:
     nothing is shuffled, and no key's weight matters.
     """
     if not key:
         raise ValueError("a key is needed: without one anybody can turn pseudonyms back")
     text = F.coalesce(F.col(text_column), F.lit(""))
-    found = F.regexp_extract_all(text, F.lit(_ALL), F.lit(0))
-    between = F.split(text, _ALL, -1)
-    kinds = F.transform("_found", lambda value: F.struct(value.alias("value"), _kind(value).alias("kind")))
-    places = F.transform("_kinds", lambda x: F.struct(x["value"].alias("value"), x["kind"].alias("kind"), F.when(
-        x["kind"].isNotNull(), _permuted(key, x["kind"], F.coalesce(_rank(x["kind"], x["value"]), F.struct(
-            *[F.lit(1).cast("bigint").alias(n) for n in "uvab"])))).alias("place")))
-    replaced = F.transform("_places", lambda x: F.struct(x["kind"].alias("kind"), F.coalesce(
+    matches, named, placed, replaced, between = fresh(df, "_matches", "_named", "_placed", "_replaced", "_between")
+    kinds = F.transform(matches, lambda value: F.struct(value.alias("value"), _kind(value).alias("kind")))
+    nowhere = F.struct(*[F.lit(1).cast("bigint").alias(n) for n in "uvab"])
+    places = F.transform(named, lambda x: F.struct(x["value"].alias("value"), x["kind"].alias("kind"), F.when(
+        x["kind"].isNotNull(), _permuted(key, x["kind"], F.coalesce(_rank(x["kind"], x["value"]), nowhere))).alias("place")))
+    pseudonyms = F.transform(placed, lambda x: F.struct(x["kind"].alias("kind"), F.coalesce(
         _written_back(key, x["kind"], x["value"], x["place"]), x["value"]).alias("pseudonym")))
-    pieces = F.zip_with("_between", "_replaced", lambda a, b: F.concat(a, F.coalesce(b["pseudonym"], F.lit(""))))
-    out = df.withColumn("_found", found)
-    out = out.withColumn("_kinds", kinds).withColumn("_places", places).withColumn("_replaced", replaced)
-    out = out.withColumn("_between", F.when(F.size("_found") > 0, between))
-    cleaned = F.when(F.size("_found") > 0, F.array_join(pieces, "")).otherwise(F.col(text_column))
-    return out.withColumn(text_column, cleaned).withColumn(
-        "pii", F.filter("_replaced", lambda x: x["kind"].isNotNull())).drop("_found", "_kinds", "_places", "_replaced", "_between")
+    pieces = F.zip_with(between, replaced, lambda a, b: F.concat(a, F.coalesce(b["pseudonym"], F.lit(""))))
+    out = df.withColumn(matches, F.regexp_extract_all(text, F.lit(_ALL), F.lit(0)))
+    out = out.withColumn(named, kinds).withColumn(placed, places).withColumn(replaced, pseudonyms)
+    out = out.withColumn(between, F.when(F.size(matches) > 0, F.split(text, _ALL, -1)))
+    cleaned = F.when(F.size(matches) > 0, F.array_join(pieces, "")).otherwise(F.col(text_column))
+    out = out.withColumn(text_column, cleaned).withColumn("pii", F.filter(replaced, lambda x: x["kind"].isNotNull()))
+    return out.drop(matches, named, placed, replaced, between)

@@ -126,7 +126,7 @@ lined AS (SELECT r, host, k, lines[k] AS line, regexp_replace(lines[k], '^[ \t\r
   FROM placed, unnest(range(1, len(lines) + 1)) AS u(k)),
 totals AS (SELECT host, count(*) AS site_pages FROM placed WHERE host IS NOT NULL GROUP BY host HAVING count(*) >= 10),
 dropped AS (SELECT host, key FROM lined JOIN totals USING (host) WHERE key <> ''
-  GROUP BY host, key, site_pages HAVING count(DISTINCT r) > 1 AND count(DISTINCT r) > 0.2 * site_pages),
+  GROUP BY host, key, site_pages HAVING count(DISTINCT r) >= 5 AND count(DISTINCT r) > 0.05 * site_pages),
 marked AS (SELECT r, k, line, dropped.key IS NOT NULL AS gone FROM lined LEFT JOIN dropped ON lined.host = dropped.host AND lined.key = dropped.key),
 cleaned AS (SELECT r, count(*) AS n_lines, count_if(gone) AS n_dropped,
   coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (WHERE NOT gone), '') AS text FROM marked GROUP BY r)

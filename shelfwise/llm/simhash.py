@@ -16,7 +16,7 @@ from itertools import combinations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import written
+from .common import fresh, written
 from .components import components
 
 BITS = 64
@@ -143,8 +143,9 @@ def keep_one(df: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     """
     found = near_duplicates(df, id_column, text_column, radius)
     first = found.groupBy("class").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash")).alias("first"))
-    kept = first.select(F.col("first.id").alias("_kept_id"), F.col("first.text_hash").alias("_kept_hash")).distinct()
+    own_id, own_hash = fresh(df, "_id", "_hash")
+    kept = first.select("first.id", "first.text_hash").distinct()
     # A row that repeats id and text has the same class, so the pair names one text.
-    marked = df.withColumn("_kept_hash", F.xxhash64(text_column)).withColumn("_kept_id", F.col(id_column))
-    same = [marked["_kept_id"].eqNullSafe(kept["_kept_id"]), marked["_kept_hash"] == kept["_kept_hash"]]
-    return marked.join(kept, same, "left_semi").dropDuplicates(["_kept_id", "_kept_hash"]).drop("_kept_id", "_kept_hash")
+    marked = df.withColumns({own_hash: F.xxhash64(text_column), own_id: F.col(id_column)})
+    same = [marked[own_id].eqNullSafe(kept["id"]), marked[own_hash] == kept["text_hash"]]
+    return marked.join(kept, same, "left_semi").dropDuplicates([own_id, own_hash]).drop(own_id, own_hash)
