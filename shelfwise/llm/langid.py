@@ -3,7 +3,7 @@
 A zstandard raw-content dictionary per language holds text of that language. A text is compressed
 with each; the language whose dictionary gives the fewest bytes is the prediction. Texts are
 compressed in blocks, each with a fresh dictionary, so that a long text doesn't become its own
-dictionary and memory stays bounded; the whole text counts.
+dictionary and memory stays bounded; the whole text counts, in lower case.
 
 The dictionaries are the fitted model: a bounded sample of labelled texts, at most `ROWS` texts
 and `DICTIONARY` bytes a language, chosen by the order of the texts' hashes, each distinct text once.
@@ -21,9 +21,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import written
 
 #: Bounds of the sample a language's dictionary is made of.
-ROWS, DICTIONARY = 400, 96_000
+ROWS, DICTIONARY = 400, 250_000
 #: Bytes compressed at once, and the compressor's level.
-BLOCK, LEVEL = 8_192, 3
+BLOCK, LEVEL = 2_048, 9
 #: Share by which the second best must be larger, or the prediction is marked as rejected.
 MARGIN = 0.01
 UNKNOWN = "und"
@@ -49,7 +49,7 @@ def dictionaries(labelled: DataFrame, text_column: str = "text", lang_column: st
     out: dict[str, list[str]] = {}
     for row in found.orderBy("lang", "rank").toLocalIterator():
         out.setdefault(row["lang"], []).append(row["text"])
-    return {lang: "\n".join(texts).encode()[:size] for lang, texts in out.items()}
+    return {lang: "\n".join(texts).lower().encode()[:size] for lang, texts in out.items()}
 
 
 class Classifier:
@@ -66,7 +66,7 @@ class Classifier:
 
     def sizes(self, text: str) -> dict[str, int]:
         """Compressed bytes of the whole text per language."""
-        data = memoryview(text.encode())
+        data = memoryview(text.lower().encode())
         blocks = [data[i:i + BLOCK] for i in range(0, len(data), BLOCK)]
         return {lang: sum(len(c.compress(block)) for block in blocks) for lang, c in self.compressors.items()}
 
