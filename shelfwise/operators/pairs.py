@@ -15,7 +15,7 @@ def _first_rows(df: DataFrame, within: list[str], order: list, n: int) -> DataFr
     return df.withColumn("_rn", F.row_number().over(window)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def widest_pairs(fact: DataFrame, n: int = 15, factor: int = 3) -> DataFrame:
+def widest_pairs(fact: DataFrame, stocks: DataFrame, n: int = 15, factor: int = 3) -> DataFrame:
     """The n pairs (strong row, weak row) of one item in two stores with the largest gap in
     sales, where strong > factor * weak. Columns carry the prefixes `a_` and `b_`.
 
@@ -26,9 +26,10 @@ def widest_pairs(fact: DataFrame, n: int = 15, factor: int = 3) -> DataFrame:
       so n rows per item and store are enough.
     * A partner rules out one store, thus at most n of those, so the 2n best (weakest) rows
       per item are enough.
-    The result is the exact top n of all pairs.
+    The result is the exact top n of all pairs. `stocks` is the product x outlet roll-up, which
+    settles the items; the fact is read for these few only.
     """
-    stores = fact.groupBy(ITEM, OUTLET).agg(F.max(SALES).alias("high"), F.min(SALES).alias("low"))
+    stores = stocks.groupBy(ITEM, OUTLET).agg(F.max("high").alias("high"), F.min("low").alias("low"))
     best = _first_rows(stores, [ITEM], [F.desc("high"), OUTLET], 2).select(
         ITEM, F.col(OUTLET).alias("a_store"), "high")
     weakest = _first_rows(stores, [ITEM], ["low", OUTLET], 2).select(ITEM, F.col(OUTLET).alias("b_store"), "low")
@@ -54,7 +55,7 @@ def widest_pairs(fact: DataFrame, n: int = 15, factor: int = 3) -> DataFrame:
     )
 
 
-def distribution_gaps(fact: DataFrame, leaders: DataFrame, n: int = 25) -> DataFrame:
+def distribution_gaps(stocks: DataFrame, leaders: DataFrame, n: int = 25) -> DataFrame:
     """Stores that lack a leading product, best product first.
 
     `leaders` is a short list, its length a parameter of the question: a unique `place` from 0 and
@@ -63,7 +64,7 @@ def distribution_gaps(fact: DataFrame, leaders: DataFrame, n: int = 25) -> DataF
     """
     attributes = [OUTLET, "outlet_type", "outlet_location_type"]
     items = leaders.groupBy(ITEM).agg(F.collect_set("place").alias("places"))
-    pairs = fact.select(*attributes, ITEM).distinct()
+    pairs = stocks.select(*attributes, ITEM).distinct()
     marked = pairs.join(F.broadcast(items), ITEM, "left")
     stocked = marked.groupBy(*attributes).agg(F.array_distinct(F.flatten(F.collect_set("places"))).alias("places"))
     # The set of a store covers all its rows, also where its attributes disagree between rows.

@@ -20,6 +20,10 @@ CELL_KEYS = [
     "item_fat_content", "outlet_type", "outlet_size", "outlet_location_type",
 ]
 
+STOCK_KEYS = [*PRODUCT_KEYS, *OUTLET_ATTRIBUTES]
+# A rating has one decimal, so this is a few dozen rows per category.
+RATING_KEYS = ["item_type", "stars"]
+
 
 def roll_up(fact: DataFrame, keys: list[str]) -> DataFrame:
     return fact.groupBy(*keys).agg(
@@ -42,5 +46,17 @@ def shelf_rollup(fact: DataFrame) -> DataFrame:
     return roll_up(fact, SHELF_KEYS)
 
 
+def stock_rollup(fact: DataFrame) -> DataFrame:
+    """Product x outlet: what is sold where, with the largest and smallest sale."""
+    return fact.groupBy(*STOCK_KEYS).agg(
+        F.count(F.lit(1)).alias("records"), total("sales").alias("sales"), total("rating").alias("rating"),
+        F.max("sales").alias("high"), F.min("sales").alias("low"))
+
+
+def rating_rollup(fact: DataFrame) -> DataFrame:
+    """Category x rating; `stars` is the rating, `rating` its sum."""
+    return roll_up(fact.withColumn("stars", F.col("rating")), RATING_KEYS)
+
+
 def cell_rollup(fact: DataFrame) -> DataFrame:
     return roll_up(fact, CELL_KEYS)

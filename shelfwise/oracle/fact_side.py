@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from ..functions import bands
-from ..plans.advanced import SEGMENTS
-from ..plans.business import ABC_LABELS, FORMAT_COLUMNS, QUINTILE_LABELS, SUMMARY_LINES
+from . import values as bands
 from .base import (
     N, N_SHARE, PER_STORE, PRODUCTS, REV, SHARE, STORES, avg, big, hu, mean, nested, oracle, pct, ratio, rnd)
+from .values import ABC_LABELS, FORMAT_COLUMNS, QUINTILE_LABELS, SEGMENTS, SHORT, SUMMARY_LINES
 
 AVG_SALE, AVG_RATE = avg("sales"), avg("rating")
 TIER, OUTLET, CAT = "outlet_location_type AS tier", "outlet_identifier AS outlet", "item_type AS category"
@@ -294,7 +293,6 @@ def quadrant(labels: dict, revenue: str = "s", rating: str = "g") -> str:
 
 
 names, actions = ({k: v[i] for k, v in SEGMENTS.items()} for i in (0, 1))
-SHORT = {k: v[0][3:].split(" (")[0] for k, v in SEGMENTS.items()}
 oracle("a01_segmentation", f"""SELECT {quadrant(names)} AS segment, {N} AS products, {rnd('sum(s)')} AS revenue,
   {pct('sum(s)', 'sum(sum(s)) OVER ()')} AS pct_of_revenue, {ratio('sum(g)', 'count(*)', 2, 6)} AS avg_rating,
   {quadrant(actions)} AS recommended_action FROM prod, bench GROUP BY 1, 6""", f"{PROD}, {BENCH}")

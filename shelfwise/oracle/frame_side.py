@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from ..functions import bands
-from ..plans.business import FORMAT_COLUMNS
-from ..plans.dashboard import CARDS, EXAMPLE_CHOICE
-from ..plans.frames import SEGMENT_TABLES
+from . import values as bands
 from .base import N, N_SHARE, PARTS, PRODUCTS, REV, SHARE, STORES, avg, dbl, hu, mean, nested, oracle, pct, ratio, rnd
-from .fact_side import DAY, SHORT, abc, cases, group, grouped_digits, quadrant
+from .fact_side import DAY, abc, cases, group, grouped_digits, quadrant
+from .values import CARDS, EXAMPLE_CHOICE, FORMAT_COLUMNS, SEGMENT_TABLES, SHORT
 
 YEARS = range(1995, 2002)
 REV4 = rnd("sum(sales)", 4)
@@ -171,9 +169,16 @@ TABLES = {
     "cat_by_outlet_type": "p_pivot_format", "outlet_growth": "p_outlet_growth", "category_growth": "p_category_growth",
     "weekday": "p_weekday",
 }
-_counts = [f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {nested(key)}" for name, key in TABLES.items()]
-_counts += [
-    f"SELECT '{name}_products', count(*) FROM {nested('p_top_bottom')} WHERE list = '{name}'" for name in ("top", "bottom")]
+WITHOUT_REVENUE = {"kpis", "cat_by_outlet_type", "outlet_growth", "category_growth"}
+
+
+def _counted(name: str, rows: str, where: str = "") -> str:
+    revenue = "NULL" if name in WITHOUT_REVENUE else "round(sum(revenue), 0)"
+    return f"SELECT '{name}' AS table_name, count(*) AS row_count, CAST({revenue} AS DOUBLE) AS revenue FROM {rows} {where}"
+
+
+_counts = [_counted(name, nested(key)) for name, key in TABLES.items()]
+_counts += [_counted(f"{name}_products", nested("p_top_bottom"), f"WHERE list = '{name}'") for name in ("top", "bottom")]
 oracle("sink_aggregates", " UNION ALL ".join(_counts))
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ..plans.profile import DECISIONS, GAP_NOTES, LISTED_COLUMNS
-from ..schema import ALLOWED_VALUES, CHECKS, COLUMN_ROLES, RAW_COLUMNS, REPORT_COLUMNS, REQUIRED_COLUMNS
 from .base import LABEL, big, dbl, oracle, pct, ratio, rnd
+from .values import (
+    ALLOWED_VALUES, CHECKS, COLUMN_ROLES, DECISIONS, GAP_NOTES, LISTED_COLUMNS, RAW_COLUMNS, REPORT_COLUMNS, REQUIRED_COLUMNS)
 
 DECIMALS = {"item_weight", "item_visibility", "sales", "rating"}
 INTEGERS = {
@@ -106,7 +106,7 @@ def _profile() -> None:
     oracle("prof_ranges", f"""SELECT count(*) AS total_rows, count(*) FILTER (v = 0) AS zero_visibility,
         count(*) FILTER (v < 0 OR v > 1) AS visibility_out_of_range, count(*) FILTER (s <= 0) AS non_positive_sales,
         count(*) FILTER (r < 1 OR r > 5) AS rating_out_of_range,
-        count(*) FILTER (length(rtrim(split_part(rating, '.', 2), '0')) > 1) AS rating_over_precise,
+        count(*) FILTER (length(split_part(trim(rating), '.', 2)) > 1) AS rating_over_precise,
         count(*) FILTER (w <= 0) AS non_positive_weight, count(*) FILTER (d IS NULL) AS unparseable_dates,
         {pct('count(*) FILTER (v = 0)', 'count(*)')} AS pct_zero_visibility FROM t""",
         """t AS (SELECT CAST(item_visibility AS DOUBLE) AS v, CAST(sales AS DOUBLE) AS s, CAST(rating AS DOUBLE) AS r, rating,

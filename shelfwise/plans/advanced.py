@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .. import catalog
 from ..catalog import report
 from ..functions import measures as M, rolled as R
-from ..functions.exact import growth, growth_of_means, mean_from, percent, quotient, quotient_of_means, total
+from ..functions.exact import growth, growth_of_means, mean_from, percent, quotient, quotient_of_means
 from ..operators.calendar import month_spine
 from ..operators.pairs import distribution_gaps, widest_pairs
 from ..operators.ranking import Rank, with_ranks, with_tile
@@ -187,13 +187,13 @@ def against_own_category(products: DataFrame, n: int = 15) -> DataFrame:
 
 
 @report("a09_store_pairs")
-def store_pairs(fact: DataFrame, n: int = 15, factor: int = 3) -> DataFrame:
+def store_pairs(fact: DataFrame, stocks: DataFrame, n: int = 15, factor: int = 3) -> DataFrame:
     shelf = F.col("a_item_visibility") > F.col("b_item_visibility") * F.lit("1.5").cast("decimal(2,1)")
     cause = (
         F.when(shelf, "Likely shelf placement - weak store gives it far less space")
         .when(F.col("a_outlet_type") != F.col("b_outlet_type"), "Store format difference - may be structural")
         .otherwise("Same format, similar visibility - investigate execution locally"))
-    return widest_pairs(fact, n, factor).select(
+    return widest_pairs(fact, stocks, n, factor).select(
         F.col("a_item_identifier").alias("product"), F.col("a_item_type").alias("category"),
         F.col("a_outlet_identifier").alias("strong_outlet"), F.round("a_sales", 2).alias("strong_sales"),
         F.round("a_item_visibility", 4).alias("strong_visibility"),
@@ -203,11 +203,11 @@ def store_pairs(fact: DataFrame, n: int = 15, factor: int = 3) -> DataFrame:
 
 
 @report("a10_distribution_gaps")
-def missing_products(fact: DataFrame, products: DataFrame, leaders: int = 20, n: int = 25) -> DataFrame:
+def missing_products(stocks: DataFrame, products: DataFrame, leaders: int = 20, n: int = 25) -> DataFrame:
     best = by_product(products).orderBy(F.desc("_sales"), "product", "category").limit(leaders)
     place = F.row_number().over(Window.orderBy(F.desc("_sales"), "product", "category")) - 1
     table = best.select(F.col("product").alias("item_identifier"), "category", "_sales", place.alias("place"))
-    return distribution_gaps(fact, table, n).select(
+    return distribution_gaps(stocks, table, n).select(
         F.col("item_identifier").alias("proven_product"), "category", F.round("_sales", 2).alias("product_revenue"),
         F.col("outlet_identifier").alias("missing_from_outlet"), "outlet_type", F.col("outlet_location_type").alias("tier"),
         F.lit("Distribution gap - list this product here").alias("action"))
@@ -238,10 +238,10 @@ def category_performance(products: DataFrame) -> DataFrame:
 
 
 @report("v2_outlet_scorecard")
-def outlet_view(fact: DataFrame, shelves: DataFrame) -> DataFrame:
+def outlet_view(stocks: DataFrame, shelves: DataFrame) -> DataFrame:
     columns = [*OUTLET_KEYS, "records", "categories_stocked", "products_stocked", "revenue", "pct_of_revenue", "avg_sale",
                "avg_rating"]
-    return with_products(outlet_master(shelves), fact, OUTLET_KEYS).select(columns)
+    return with_products(outlet_master(shelves), stocks, OUTLET_KEYS).select(columns)
 
 
 @report("v3_monthly_trend")
@@ -351,65 +351,64 @@ def unknown_category(cells: DataFrame, category: str = CATEGORY_NAMES["unknown"]
     """One row that names the error and the valid values if the category does not exist, else no row."""
     listed = cells.agg(
         F.concat(F.lit("Category not found: "), F.lit(category)).alias("error_message"),
+        # The one-cell list is what is asked for; it holds the few categories of the roll-up.
         F.array_join(F.array_sort(F.collect_set("item_type")), ", ").alias("valid_categories"),
         F.count_if(F.col("item_type") == category).alias("_rows"))
     return listed.where(F.col("_rows") == 0).drop("_rows")
 
 
-def in_category(fact: DataFrame, category: str) -> DataFrame:
-    return fact.where(F.col("item_type") == category)
+def in_category(rollup: DataFrame, category: str) -> DataFrame:
+    return rollup.where(F.col("item_type") == category)
 
 
 @report("a13_headline")
-def category_headline(fact: DataFrame, category: str = CATEGORY_NAMES["found"]) -> DataFrame:
-    everything = one_row(fact.agg(total("sales").alias("s")))["s"]
-    summary = in_category(fact, category).agg(
-        total("sales").alias("_sales"), M.records(), M.products(), M.avg_sale(), M.avg_rating())
+def category_headline(products: DataFrame, category: str = CATEGORY_NAMES["found"]) -> DataFrame:
+    everything = one_row(products.agg(R.total("sales").alias("s")))["s"]
+    summary = in_category(products, category).agg(
+        R.total("sales").alias("_sales"), R.records(), R.products(), R.avg_sale(), R.avg_rating())
     return summary.select(
         F.lit(category).alias("category"), F.round("_sales", 2).alias("revenue"),
         percent(F.col("_sales"), everything).alias("pct_of_business"), "records", "products", "avg_sale", "avg_rating")
 
 
 @report("a13_top_products")
-def category_top_products(fact: DataFrame, category: str = CATEGORY_NAMES["found"], n: int = 10) -> DataFrame:
+def category_top_products(products: DataFrame, category: str = CATEGORY_NAMES["found"], n: int = 10) -> DataFrame:
     items = summarise(
-        in_category(fact, category), {"product": "item_identifier"}, M.revenue(), M.records("outlets_stocked"),
-        M.avg_rating())
+        in_category(products, category), {"product": "item_identifier"}, R.revenue(), R.records("outlets_stocked"),
+        R.avg_rating())
     return top(items, n, F.desc("revenue"), "product")
 
 
 @report("a13_stores")
-def category_stores(fact: DataFrame, category: str = CATEGORY_NAMES["found"]) -> DataFrame:
+def category_stores(shelves: DataFrame, category: str = CATEGORY_NAMES["found"]) -> DataFrame:
     keys = {"outlet": "outlet_identifier", "outlet_type": "outlet_type"}
-    return summarise(in_category(fact, category), keys, M.revenue(), M.avg_sale()).orderBy(F.desc("revenue"), "outlet")
+    return summarise(in_category(shelves, category), keys, R.revenue(), R.avg_sale()).orderBy(F.desc("revenue"), "outlet")
 
 
 @report("a13_trend")
-def category_trend(fact: DataFrame, category: str = CATEGORY_NAMES["found"]) -> DataFrame:
+def category_trend(cells: DataFrame, category: str = CATEGORY_NAMES["found"]) -> DataFrame:
     keys = {"year_month": "order_year_month"}
-    return summarise(in_category(fact, category), keys, M.revenue(), M.records()).orderBy("year_month")
+    return summarise(in_category(cells, category), keys, R.revenue(), R.records()).orderBy("year_month")
 
 
-DEEP_DIVE = {
-    "headline": category_headline, "top_products": category_top_products, "stores": category_stores,
-    "trend": category_trend,
-}
-
-
-def category_deep_dive(fact: DataFrame, category: str) -> dict[str, DataFrame]:
+def category_deep_dive(products: DataFrame, shelves: DataFrame, cells: DataFrame, category: str) -> dict[str, DataFrame]:
     """The four results of a category, or the error row alone for an unknown one."""
-    if in_category(fact, category).isEmpty():
-        return {"error": unknown_category(fact, category)}
-    return {name: build(fact, category) for name, build in DEEP_DIVE.items()}
+    if in_category(cells, category).isEmpty():
+        return {"error": unknown_category(cells, category)}
+    return {
+        "headline": category_headline(products, category), "top_products": category_top_products(products, category),
+        "stores": category_stores(shelves, category), "trend": category_trend(cells, category)}
 
 
 @report("a13_deep_dive")
-def deep_dive_rows(fact: DataFrame, category: str = CATEGORY_NAMES["found"]) -> DataFrame:
+def deep_dive_rows(
+    products: DataFrame, shelves: DataFrame, cells: DataFrame, category: str = CATEGORY_NAMES["found"],
+) -> DataFrame:
     """The deep dive as one table: part, row key and revenue."""
     keys = {"headline": "category", "top_products": "product", "stores": "outlet", "trend": "year_month",
             "error": "error_message"}
     result = None
-    for part, rows in category_deep_dive(fact, category).items():
+    for part, rows in category_deep_dive(products, shelves, cells, category).items():
         amount = F.col("revenue") if "revenue" in rows.columns else F.lit(None)
         rows = rows.select(
             F.lit(part).alias("part"), F.col(keys[part]).alias("row_key"), amount.cast("decimal(30,2)").alias("revenue"))

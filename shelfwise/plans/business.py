@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..catalog import report
-from ..functions import bands, measures as M, rolled as R
-from ..functions.exact import growth, growth_of_means, mean_from, percent, quotient, total
+from ..functions import bands, rolled as R
+from ..functions.exact import growth, growth_of_means, mean_from, percent, quotient
 from ..operators.calendar import month_spine
 from ..operators.ranking import running_before, with_rank
 from ..operators.segments import join_lookup, mean_of, one_row, share_of_all, summarise, top
@@ -211,11 +211,15 @@ def popularity(cells: DataFrame) -> DataFrame:
 
 
 @report("q13_category_ratings")
-def category_ratings(fact: DataFrame) -> DataFrame:
+def category_ratings(ratings: DataFrame) -> DataFrame:
+    n, stars = F.col("records"), F.col("stars").cast("decimal(10,2)")
+    count, first, second = F.sum(n), F.sum(stars * n), F.sum(stars * stars * n)
+    # Sample variance from exact sums; undefined for a single row.
+    spread = (count * second - first * first).cast("double") / F.nullif((count * (count - 1)).cast("double"), F.lit(0.0))
     return summarise(
-        fact, CATEGORY, M.avg_rating(), F.round(F.min("rating"), 1).alias("worst_rating"),
-        F.round(F.max("rating"), 1).alias("best_rating"),
-        F.round(F.stddev_samp("rating"), 2).alias("rating_consistency"), M.records(), M.revenue(),
+        ratings, CATEGORY, R.avg_rating(), F.round(F.min("stars"), 1).alias("worst_rating"),
+        F.round(F.max("stars"), 1).alias("best_rating"),
+        F.round(F.sqrt(spread), 2).alias("rating_consistency"), R.records(), R.revenue(),
     ).orderBy(F.desc("avg_rating"), "category")
 
 
@@ -313,11 +317,11 @@ def format_by_tier(outlets: DataFrame) -> DataFrame:
 
 
 @report("q22_assortment_breadth")
-def assortment_breadth(fact: DataFrame, shelves: DataFrame) -> DataFrame:
+def assortment_breadth(stocks: DataFrame, shelves: DataFrame) -> DataFrame:
     keys = {"outlet": "outlet_identifier", "outlet_type": "outlet_type"}
     summary = summarise(
         shelves, keys, R.distinct("item_type", "categories_stocked"), R.total("sales").alias("_sales"))
-    return with_products(summary, fact, keys).select(
+    return with_products(summary, stocks, keys).select(
         *keys, "categories_stocked", "products_stocked", F.round("_sales", 2).alias("revenue"),
         F.round(quotient(F.col("_sales"), F.col("products_stocked")), 2).alias("revenue_per_product"),
     ).orderBy(F.desc("revenue_per_product"), "outlet", "outlet_type")
@@ -372,9 +376,9 @@ def fat_content_by_category(cells: DataFrame) -> DataFrame:
 
 
 @report("q27_rating_vs_sales")
-def rating_against_sales(fact: DataFrame) -> DataFrame:
-    label = bands.band(F.col("rating"), bands.RATING_LIMITS_5, bands.RATING_LABELS_5)
-    summary = fact.groupBy(label.alias("rating_band")).agg(M.records(), M.avg_sale(), total("sales").alias("_sales"))
+def rating_against_sales(ratings: DataFrame) -> DataFrame:
+    label = bands.band(F.col("stars"), bands.RATING_LIMITS_5, bands.RATING_LABELS_5)
+    summary = ratings.groupBy(label.alias("rating_band")).agg(R.records(), R.avg_sale(), R.total("sales").alias("_sales"))
     return summary.select(
         "rating_band", "records", "avg_sale", F.round("_sales", 2).alias("revenue"),
         share_of_all("_sales").alias("pct_of_revenue")).orderBy("rating_band")

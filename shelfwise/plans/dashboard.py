@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..catalog import report
-from ..functions import bands, measures as M
-from ..functions.exact import quotient, total
-from ..operators.rollups import outlet_rollup, product_rollup
+from ..functions import bands, rolled as R
+from ..functions.exact import quotient
+from ..operators.rollups import cell_rollup, outlet_rollup, product_rollup, rating_rollup
 from ..operators.segments import apply_filters, summarise
 from .kpis import totals
 
 
-def dashboard_rating_band() -> Column:
-    return bands.band(F.col("rating"), bands.RATING_LIMITS_5, bands.RATING_LABELS_5_COMPACT)
+def dashboard_rating_band(column: str = "rating") -> Column:
+    return bands.band(F.col(column), bands.RATING_LIMITS_5, bands.RATING_LABELS_5_COMPACT)
 
 
 @report("d_rating_band")
@@ -21,53 +21,41 @@ def rating_bands(fact: DataFrame) -> DataFrame:
     return fact.select("item_identifier", "outlet_identifier", "order_date", "rating", dashboard_rating_band().alias("rating_band"))
 
 
-def pivot_fields() -> dict[str, tuple[Column, str]]:
-    """Row field of each plain pivot and what it adds up."""
-    return {
-        "monthly": (F.col("order_year_month"), "sum"),
-        "category": (F.col("item_type"), "sum"),
-        "outlet_type": (F.col("outlet_type"), "sum"),
-        "tier": (F.col("outlet_location_type"), "sum"),
-        "size": (F.col("outlet_size"), "sum"),
-        "rating": (dashboard_rating_band(), "count"),
-        "fat": (F.col("item_fat_content"), "sum"),
-    }
+# Row field of each pivot that adds up sales; the rating pivot counts records.
+PIVOT_FIELDS = {
+    "monthly": "order_year_month", "category": "item_type", "outlet_type": "outlet_type", "tier": "outlet_location_type",
+    "size": "outlet_size", "fat": "item_fat_content",
+}
 
 
-def top_bottom(fact: DataFrame, field: str, n: int) -> DataFrame:
+def top_bottom(rollup: DataFrame, field: str, n: int) -> DataFrame:
     """First and last n values of a field by revenue: list, label, value."""
-    summed = summarise(fact, {"label": field}, total("sales").alias("value"))
+    summed = summarise(rollup, {"label": field}, R.total("sales").cast("decimal(28,4)").alias("value"))
     best = summed.orderBy(F.desc("value"), "label").limit(n).withColumn("list", F.lit("top"))
     worst = summed.orderBy("value", "label").limit(n).withColumn("list", F.lit("bottom"))
     return best.unionByName(worst).select("list", "label", "value")
 
 
 @report("d_top_bottom_n")
-def top_bottom_products(fact: DataFrame, n: int = 10) -> DataFrame:
-    return top_bottom(fact, "item_identifier", n)
+def top_bottom_products(products: DataFrame, n: int = 10) -> DataFrame:
+    return top_bottom(products, "item_identifier", n)
 
 
 @report("d_pivots")
-def pivots(fact: DataFrame, n: int = 10) -> DataFrame:
-    """Nine pivots in long form: pivot, label, value. The plain ones share one pass over the fact."""
-    fields = pivot_fields()
-    rows = F.array(*[F.struct(F.lit(name).alias("pivot"), F.col(name).alias("label")) for name in fields])
-    counted = [name for name, (_, how) in fields.items() if how == "count"]
-    # Rows are summed per combination of labels first; months, categories and enumerated labels
-    # allow only so many, and just these are multiplied by the pivots.
-    labels = fact.select("sales", *[field.alias(name) for name, (field, _) in fields.items()])
-    cells = labels.groupBy(*fields).agg(total("sales").alias("sales"), F.count(F.lit(1)).alias("records"))
-    plain = cells.select("sales", "records", F.inline(rows)).groupBy("pivot", "label").agg(
-        F.sum("sales").cast("decimal(28,4)").alias("_sales"), F.sum("records").alias("_rows"))
-    value = F.when(F.col("pivot").isin(counted), F.col("_rows").cast("decimal(28,4)")).otherwise(F.col("_sales"))
-    products = top_bottom(fact, "item_identifier", n)
-    named = F.concat("list", F.lit("_prod")).alias("pivot")
-    return plain.select("pivot", "label", value.alias("value")).unionByName(products.select(named, "label", "value"))
+def pivots(cells: DataFrame, ratings: DataFrame, products: DataFrame, n: int = 10) -> DataFrame:
+    """Nine pivots in long form: pivot, label, value."""
+    labels = F.array(*[F.struct(F.lit(name).alias("pivot"), F.col(c).alias("label")) for name, c in PIVOT_FIELDS.items()])
+    sums = cells.select("sales", F.inline(labels)).groupBy("pivot", "label").agg(
+        F.sum("sales").cast("decimal(28,4)").alias("value"))
+    counts = ratings.groupBy(dashboard_rating_band("stars").alias("label")).agg(F.sum("records").cast("decimal(28,4)").alias("value"))
+    lists = top_bottom(products, "item_identifier", n)
+    return sums.unionByName(counts.select(F.lit("rating").alias("pivot"), "label", "value")).unionByName(
+        lists.select(F.concat("list", F.lit("_prod")).alias("pivot"), "label", "value"))
 
 
 @report("d_kpi_pivot")
-def kpi_pivot(fact: DataFrame) -> DataFrame:
-    return fact.agg(M.revenue("sum_sales"), M.avg_sale("avg_sales"), M.avg_rating(), M.records("count_sales"))
+def kpi_pivot(cells: DataFrame) -> DataFrame:
+    return cells.agg(R.revenue("sum_sales"), R.avg_sale("avg_sales"), R.avg_rating(), R.records("count_sales"))
 
 
 # Label and hint of each card.
@@ -112,7 +100,10 @@ def filtered_dashboard(fact: DataFrame, choice: dict[str, list]) -> dict[str, Da
     if unknown:
         raise ValueError(f"no filter for {sorted(unknown)}")
     chosen = apply_filters(fact, choice)
-    return {"pivots": pivots(chosen), "kpis": kpi_pivot(chosen), "cards": kpi_cards(product_rollup(chosen), outlet_rollup(chosen))}
+    cells, products = cell_rollup(chosen), product_rollup(chosen)
+    return {
+        "pivots": pivots(cells, rating_rollup(chosen), products), "kpis": kpi_pivot(cells),
+        "cards": kpi_cards(products, outlet_rollup(chosen))}
 
 
 @report("d_cross_filter")

@@ -11,13 +11,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .. import catalog
 from ..catalog import report
 from ..functions import bands, measures as M, rolled as R
-from ..functions.exact import growth, growth_of_means, mean, mean_from, percent, quotient, quotient_of_means, total
+from ..functions.exact import growth, growth_of_means, mean, mean_from, percent, quotient, quotient_of_means
 from ..operators.order_stats import quantiles_interpolated
 from ..operators.ranking import with_row_number
 from ..operators.segments import mean_of, one_row, share_of_all, summarise, top
 from ..schema import OUTLET_ATTRIBUTES
 from ..sources import files
-from .advanced import SEGMENTS, product_bench, quadrant
+from ..sources.store import written
+from .advanced import SEGMENT_NAMES, product_bench, quadrant
 from .business import SO_FAR, FORMAT_COLUMNS, abc_classes, year_columns
 from .kpis import day_type, totals, with_products
 
@@ -75,13 +76,17 @@ def category(products: DataFrame) -> DataFrame:
     }).orderBy(F.desc("revenue"), "item_type")
 
 
-@report("p_outlet")
-def outlet(fact: DataFrame, shelves: DataFrame) -> DataFrame:
-    keys = {c: c for c in OUTLET_ATTRIBUTES}
+def outlet_shares(shelves: DataFrame) -> DataFrame:
     summary = summarise(
-        shelves, keys, R.records(), revenue4(R), *averages4("sales", "rating", mean=R.mean),
+        shelves, {c: c for c in OUTLET_ATTRIBUTES}, R.records(), revenue4(R), *averages4("sales", "rating", mean=R.mean),
         R.distinct("item_type", "categories_stocked"))
-    return share_of_total(with_products(summary, fact, keys), "revenue", "pct_of_revenue").orderBy(F.desc("revenue"), "outlet_identifier")
+    return share_of_total(summary, "revenue", "pct_of_revenue")
+
+
+@report("p_outlet")
+def outlet(stocks: DataFrame, shelves: DataFrame) -> DataFrame:
+    keys = {c: c for c in OUTLET_ATTRIBUTES}
+    return with_products(outlet_shares(shelves), stocks, keys).orderBy(F.desc("revenue"), "outlet_identifier")
 
 
 # Name of each segment table and its column.
@@ -91,23 +96,12 @@ SEGMENT_TABLES = {
 }
 
 
-def _segment_measures() -> list[Column]:
-    return [M.stores(), M.records(), revenue4(), *averages4("sales", "rating")]
-
-
-def segment_table(fact: DataFrame, column: str) -> DataFrame:
-    summary = summarise(fact, [column], *_segment_measures())
-    return summary.withColumns({
-        "pct_of_revenue": share_of_all("revenue"),
-        "revenue_per_store": F.round(quotient(F.col("revenue"), F.col("stores")), 2)}).orderBy(F.desc("revenue"), column)
-
-
 @report("p_segments_4")
-def segment_tables(fact: DataFrame) -> DataFrame:
-    """All four segment tables from one pass over the fact."""
+def segment_tables(stocks: DataFrame) -> DataFrame:
+    """All four segment tables from one pass over the product x outlet roll-up."""
     labels = F.array(*[F.struct(F.lit(t).alias("dimension"), F.col(c).alias("label")) for t, c in SEGMENT_TABLES.items()])
     keys = ["outlet_identifier", *SEGMENT_TABLES.values()]
-    stores = fact.groupBy(*keys).agg(M.records(), total("sales").alias("sales"), total("rating").alias("rating"))
+    stores = stocks.groupBy(*keys).agg(R.records(), R.total("sales").alias("sales"), R.total("rating").alias("rating"))
     # Rows are summed per store first, so only that small table is multiplied by the four dimensions.
     summary = stores.select("outlet_identifier", "records", "sales", "rating", F.inline(labels)).groupBy("dimension", "label").agg(
         R.stores(), R.records(), revenue4(R), *averages4("sales", "rating", mean=R.mean))
@@ -118,6 +112,11 @@ def segment_tables(fact: DataFrame) -> DataFrame:
     }).orderBy("dimension", F.desc("revenue"), "label")
 
 
+def segment_table(tables: DataFrame, name: str) -> DataFrame:
+    """One of the four, with its own column name instead of `label`."""
+    return tables.where(F.col("dimension") == name).withColumnRenamed("label", SEGMENT_TABLES[name]).drop("dimension")
+
+
 @report("p_monthly")
 def monthly(cells: DataFrame) -> DataFrame:
     summary = summarise(cells, ["order_year_month"], R.records(), revenue4(R), *averages4("sales", "rating", mean=R.mean))
@@ -154,9 +153,6 @@ def seasonality(cells: DataFrame) -> DataFrame:
     }).orderBy("order_month")
 
 
-SHORT_SEGMENTS = {k: v[0][3:].split(" (")[0] for k, v in SEGMENTS.items()}
-
-
 def product_stats(products: DataFrame) -> DataFrame:
     """One row per (item, category) with its quadrant."""
     sums = ["records", "sales", "rating", "item_visibility"]
@@ -166,7 +162,7 @@ def product_stats(products: DataFrame) -> DataFrame:
         "item_identifier", "item_type", F.col("records").alias("outlets_stocked"), F.round("sales", 4).alias("revenue"),
         *[mean_from(F.col(c), F.col("records"), c, 4).alias(a) for a, c in averages.items()])
     bench = product_bench(stats, "revenue", "avg_rating", (10, 10))
-    return stats.withColumn("segment", quadrant(F.col("revenue"), F.col("avg_rating"), bench, SHORT_SEGMENTS))
+    return stats.withColumn("segment", quadrant(F.col("revenue"), F.col("avg_rating"), bench, SEGMENT_NAMES))
 
 
 @report("p_products")
@@ -210,9 +206,9 @@ def sales_bands(fact: DataFrame) -> DataFrame:
 
 
 @report("p_rating_dist")
-def rating_distribution(fact: DataFrame) -> DataFrame:
-    label = bands.band(F.col("rating"), bands.RATING_LIMITS, bands.RATING_LABELS_COMPACT)
-    summary = fact.groupBy(label.alias("rating_band")).agg(M.records(), M.revenue(), M.avg_sale())
+def rating_distribution(ratings: DataFrame) -> DataFrame:
+    label = bands.band(F.col("stars"), bands.RATING_LIMITS, bands.RATING_LABELS_COMPACT)
+    summary = ratings.groupBy(label.alias("rating_band")).agg(R.records(), R.revenue(), R.avg_sale())
     return summary.withColumn("pct_of_records", share_of_all("records")).orderBy("rating_band")
 
 
@@ -269,7 +265,7 @@ def weekday(cells: DataFrame) -> DataFrame:
 
 def aggregate_tables(workspace) -> dict[str, DataFrame]:
     """All aggregate tables by name."""
-    fact = workspace.fact()
+    segment_rows = written(segment_tables(workspace.stocks()), "segments")
     lists = top_and_bottom(workspace.products())
     builders = {
         "kpis": kpis, "category": category, "outlet": outlet, "monthly": monthly, "yearly": yearly,
@@ -280,7 +276,7 @@ def aggregate_tables(workspace) -> dict[str, DataFrame]:
     formats = {f: f.lower().replace(" ", "_") for f in FORMAT_COLUMNS}
     return {
         **{name: catalog.call(build, workspace) for name, build in builders.items()},
-        **{name: segment_table(fact, column) for name, column in SEGMENT_TABLES.items()},
+        **{name: segment_table(segment_rows, name) for name in SEGMENT_TABLES},
         "top_products": lists.where(F.col("list") == "top").drop("list"),
         "bottom_products": lists.where(F.col("list") == "bottom").drop("list"),
         "cat_by_outlet_type": category_by_format(workspace.cells()).withColumnsRenamed(formats),
@@ -289,21 +285,24 @@ def aggregate_tables(workspace) -> dict[str, DataFrame]:
 
 @report("sink_aggregates")
 def stored_aggregates(workspace) -> DataFrame:
-    """Write every aggregate table, read each back and count it."""
+    """Write every aggregate table, read each back, count it and add up its revenue where it has one."""
     folder = workspace.path("aggregates")
     tables = aggregate_tables(workspace)
     files.write_aggregates(tables, folder)
     result = None
     for name in tables:
-        counted = workspace.spark.read.parquet(f"{folder}/{name}").agg(
-            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
+        table = workspace.spark.read.parquet(f"{folder}/{name}")
+        revenue = F.sum(F.col("revenue").cast("decimal(30,4)")) if "revenue" in table.columns else F.lit(None).cast("decimal(30,4)")
+        counted = table.agg(
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"),
+            F.round(revenue, 0).cast("decimal(30,0)").alias("revenue"))
         result = counted if result is None else result.unionByName(counted)
     return result
 
 
 @report("p_facts")
 def headline_facts(
-    fact: DataFrame, products: DataFrame, outlets: DataFrame, shelves: DataFrame, cells: DataFrame,
+    fact: DataFrame, products: DataFrame, outlets: DataFrame, stocks: DataFrame, shelves: DataFrame, cells: DataFrame,
 ) -> DataFrame:
     """One record of headline figures, each taken from one of the aggregate tables."""
     # The first field is the label; it decides between equal amounts.
@@ -313,8 +312,10 @@ def headline_facts(
     def last(by: Column, *fields: str) -> list[Column]:
         return [F.min_by(f, F.struct(by, F.col(fields[0]))).alias(f"end_{f}") for f in fields]
 
-    cat, out, types = category(products), outlet(fact, shelves), segment_table(fact, "outlet_type")
-    tiers, sizes, fat = (segment_table(fact, SEGMENT_TABLES[t]) for t in ("tier", "outlet_size", "fat_content"))
+    segment_rows = written(segment_tables(stocks), "segments")
+    types, tiers, sizes, fat = (segment_table(segment_rows, name) for name in SEGMENT_TABLES)
+    # Products per store are not asked for here, so the stores come from the smaller roll-up.
+    cat, out = category(products), outlet_shares(shelves)
     months, years, vis = seasonality(cells), yearly(cells), visibility_quintiles(fact)
     stats = product_stats(products)
     revenue, per_store = F.col("revenue"), F.col("revenue_per_store")

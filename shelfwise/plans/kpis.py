@@ -100,9 +100,9 @@ def outlet_master(shelves: DataFrame) -> DataFrame:
     ).orderBy(F.desc("revenue"), "outlet")
 
 
-def with_products(summary: DataFrame, fact: DataFrame, keys: dict[str, str]) -> DataFrame:
-    """Add the distinct products of each group: the only count a roll-up cannot give, so the only pass over the fact."""
-    return summary.join(summarise(fact, keys, M.products("products_stocked")), list(keys))
+def with_products(summary: DataFrame, stocks: DataFrame, keys: dict[str, str]) -> DataFrame:
+    """Add the distinct products of each group, which only the product x outlet roll-up can tell."""
+    return summary.join(summarise(stocks, keys, M.products("products_stocked")), list(keys))
 
 
 def _segment(rollup: DataFrame, keys: dict[str, str], *measures) -> DataFrame:
@@ -142,7 +142,7 @@ def sales_band():
 
 
 def rating_band():
-    return bands.band(F.col("rating"), bands.RATING_LIMITS, bands.RATING_LABELS)
+    return bands.band(F.col("stars"), bands.RATING_LIMITS, bands.RATING_LABELS)
 
 
 @report("eda_sales_bands")
@@ -155,8 +155,8 @@ def sales_bands(fact: DataFrame) -> DataFrame:
 
 
 @report("eda_rating_bands")
-def rating_bands(fact: DataFrame) -> DataFrame:
-    summary = fact.groupBy(rating_band().alias("rating_band")).agg(M.records(), M.revenue(), M.avg_sale())
+def rating_bands(ratings: DataFrame) -> DataFrame:
+    summary = ratings.groupBy(rating_band().alias("rating_band")).agg(R.records(), R.revenue(), R.avg_sale())
     return summary.select(
         "rating_band", "records", share_of_all("records").alias("pct_of_records"), "revenue", "avg_sale",
     ).orderBy("rating_band")

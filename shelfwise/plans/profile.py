@@ -124,7 +124,8 @@ def range_defects() -> dict[str, Column]:
         "visibility_out_of_range": ~visibility.between(0, 1),
         "non_positive_sales": sales <= 0,
         "rating_out_of_range": ~rating.between(1, 5),
-        "rating_over_precise": rating != F.round(rating, 1),
+        # A matter of the text: `3.50` has two decimals.
+        "rating_over_precise": F.col("rating").contains(".") & (F.length(F.substring_index(F.trim("rating"), ".", -1)) > 1),
         "non_positive_weight": weight <= 0,
         "unparseable_dates": day.isNull(),
     }

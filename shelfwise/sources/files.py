@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..schema import FACT_SCHEMA, RAW_HEADER, RAW_SCHEMA, REPORT_COLUMNS
+from ..schema import FACT_SCHEMA, RAW_COLUMNS, RAW_HEADER, REPORT_COLUMNS
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Raw extract: 13 text columns, header skipped, blank cells missing, nothing inferred."""
+def _strict(spark: SparkSession):
+    """A silent NULL is worse than a loud failure: any other header, a short line or a bad value fails the job."""
     return (
-        spark.read.schema(RAW_SCHEMA)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
-    )
+        spark.read.option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
+        .option("columnPruning", False).option("quote", '"').option("escape", '"'))
+
+
+def read_raw(spark: SparkSession, path: str) -> DataFrame:
+    """Raw extract: 13 text columns, blank cells missing, nothing inferred.
+
+    The header must name the columns in their order, and every line must have all of them.
+    """
+    titled = T.StructType([T.StructField(title, T.StringType()) for title in RAW_HEADER])
+    return _strict(spark).schema(titled).csv(path).toDF(*RAW_COLUMNS)
 
 
 def write_raw(raw: DataFrame, path: str) -> None:
@@ -58,14 +62,7 @@ def write_clean_csv(fact: DataFrame, path: str) -> None:
 
 def read_clean_csv(spark: SparkSession, path: str, columns: list[str] = REPORT_COLUMNS) -> DataFrame:
     """Typed columns of the report layer from the flat clean extract."""
-    return (
-        spark.read.schema(FACT_SCHEMA)
-        .option("header", True)
-        .option("escape", '"')
-        .option("dateFormat", "yyyy-MM-dd")
-        .csv(path)
-        .select(columns)
-    )
+    return _strict(spark).option("dateFormat", "yyyy-MM-dd").schema(FACT_SCHEMA).csv(path).select(columns)
 
 
 def write_aggregates(tables: dict[str, DataFrame], folder: str) -> None:

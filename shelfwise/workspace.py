@@ -2,28 +2,49 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from .operators import cleaning, rollups
-from .schema import FACT_COLUMNS
+from .schema import FACT_COLUMNS, RAW_COLUMNS
+from .sources.files import read_raw
 from .sources.store import stage, stage_path
 from .sources.tables import raw_from_tables
 
 
 class Workspace:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    """All reports run on any extract: derived from the order tables of a folder, or given by `extract`.
+
+    A given extract is read where it lies; only the derived one is stored as a table of its own.
+    """
+
+    def __init__(self, spark: SparkSession, source: str, extract: Callable[[], DataFrame] | None = None):
         self.spark = spark
-        self.sf_dir = sf_dir.rstrip("/")
+        self.source = source.rstrip("/")
+        self.extract = extract
+
+    @classmethod
+    def from_csv(cls, spark: SparkSession, path: str) -> Workspace:
+        """Workspace on a dirty CSV extract, read strictly."""
+        return cls(spark, path, lambda: read_raw(spark, path))
+
+    @classmethod
+    def from_table(cls, spark: SparkSession, name: str) -> Workspace:
+        """Workspace on a table of the 13 raw text columns."""
+        return cls(spark, f"table:{name}", lambda: spark.table(name).select(RAW_COLUMNS))
 
     def path(self, name: str) -> str:
-        return stage_path(self.spark, self.sf_dir, name)
+        return stage_path(self.spark, self.source, name)
 
     def _stage(self, name, build, partition_by=None) -> DataFrame:
-        return stage(self.spark, self.sf_dir, name, build, partition_by)
+        return stage(self.spark, self.source, name, build, partition_by)
 
     def raw(self) -> DataFrame:
         """Staging: the untouched text extract."""
-        return self._stage("raw", lambda: raw_from_tables(self.spark, self.sf_dir))
+        if self.extract:
+            return self.extract()
+        return self._stage("raw", lambda: raw_from_tables(self.spark, self.source))
 
     def unique(self) -> DataFrame:
         """Typed rows without copies, before imputation."""
@@ -57,6 +78,14 @@ class Workspace:
         """Measures per outlet and category."""
         return self._stage("shelves", lambda: rollups.shelf_rollup(self.fact()))
 
+    def stocks(self) -> DataFrame:
+        """Measures per product and outlet."""
+        return self._stage("stocks", lambda: rollups.stock_rollup(self.fact()))
+
+    def ratings(self) -> DataFrame:
+        """Measures per category and rating."""
+        return self._stage("ratings", lambda: rollups.rating_rollup(self.fact()))
+
     def cells(self) -> DataFrame:
         """Measures per month, category and segment."""
         return self._stage("cells", lambda: rollups.cell_rollup(self.fact()))

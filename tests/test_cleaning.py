@@ -10,6 +10,7 @@ from fixtures import raw
 from shelfwise.operators import cleaning as C
 from shelfwise.operators.medians import grouped_median
 from shelfwise.plans.quality import assert_clean, split_by_rules
+from shelfwise.schema import RAW_HEADER
 from shelfwise.sources import files
 
 SPELLINGS = ["Low Fat", "low fat", "Low Fat ", "LF", "Regular", "reg", " Regular"]
@@ -93,7 +94,7 @@ def test_csv_round_trip_keeps_spaces_and_windows_line_ends(spark, tmp_path):
     row = files.read_raw(spark, path).first()
     assert (row.item_fat_content, row.item_weight, row.item_type) == (" Regular", None, 'a "b", c')
     crlf = tmp_path / "crlf.csv"
-    crlf.write_bytes(b"h1,h2,h3,h4,h5,h6,h7,h8,h9,h10,h11,h12,h13\r\nA,1,LF,0.1,T,O,1990,,Tier 1,G,5,4,2022-01-02\r\n")
+    crlf.write_bytes(",".join(RAW_HEADER).encode() + b"\r\nA,1,LF,0.1,T,O,1990,,Tier 1,G,5,4,2022-01-02\r\n")
     assert C.clean(files.read_raw(spark, str(crlf))).first().order_year == 2022
 
 

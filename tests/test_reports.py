@@ -8,7 +8,8 @@ from pyspark.sql import Window, functions as F
 
 from fixtures import fact, raw
 from shelfwise.operators.pairs import widest_pairs
-from shelfwise.operators.rollups import cell_rollup as cells, product_rollup as products, shelf_rollup as shelves
+from shelfwise.operators.rollups import (
+    cell_rollup as cells, product_rollup as products, rating_rollup as ratings, shelf_rollup as shelves, stock_rollup as stocks)
 from shelfwise.operators.segments import apply_filters
 from shelfwise.plans import advanced as A, business as B, dashboard as D, frames as P, kpis as K, profile as R
 
@@ -21,7 +22,37 @@ def test_band_edges_differ_between_the_two_sets(spark):
     f = fact(spark, {"sales": 500, "rating": 3.5})
     assert K.sales_bands(f).first()["sales_band"] == "B. 500 - 1K"
     assert P.sales_bands(f).first()["sales_band"] == "A. Under 500"
-    assert K.rating_bands(f).first()["rating_band"] == "3.5 - 3.9  Acceptable"
+    assert K.rating_bands(ratings(f)).first()["rating_band"] == "3.5 - 3.9  Acceptable"
+
+
+@pytest.mark.parametrize("limit,below,at", [
+    (500, "A. Under 500", "B. 500 - 1K"), (1000, "B. 500 - 1K", "C. 1K - 2K"), (2000, "C. 1K - 2K", "D. 2K - 3K"),
+    (3000, "D. 2K - 3K", "E. 3K - 5K"), (5000, "E. 3K - 5K", "F. 5K - 8K"), (8000, "F. 5K - 8K", "G. 8K+")])
+def test_sales_on_each_side_of_a_limit(spark, limit, below, at):
+    """The first set gives a limit to the band above it, the second to the band below it."""
+    f = fact(spark, {"sales": f"{limit - 0.0001:.4f}"}, {"sales": limit}, {"sales": f"{limit + 0.0001:.4f}"})
+    compact = {r["sales_band"]: r["records"] for r in P.sales_bands(f).collect()}
+    assert {r["sales_band"]: r["records"] for r in K.sales_bands(f).collect()} == {below: 1, at: 2}
+    assert compact == {below.replace(" - ", "-"): 2, at.replace(" - ", "-"): 1}
+
+
+@pytest.mark.parametrize("below,at,labels", [
+    ("1.9", "2.0", ("1.0 - 1.9  Critical", "2.0 - 2.9  Poor")), ("2.9", "3.0", ("2.0 - 2.9  Poor", "3.0 - 3.4  Below par")),
+    ("3.4", "3.5", ("3.0 - 3.4  Below par", "3.5 - 3.9  Acceptable")), ("3.9", "4.0", ("3.5 - 3.9  Acceptable", "4.0 - 4.4  Good")),
+    ("4.4", "4.5", ("4.0 - 4.4  Good", "4.5 - 5.0  Excellent"))])
+def test_ratings_on_each_side_of_a_limit(spark, below, at, labels):
+    rolled = ratings(fact(spark, {"rating": below}, {"rating": at}))
+    assert sorted(r["rating_band"] for r in K.rating_bands(rolled).collect()) == sorted(labels)
+    assert sorted(r["rating_band"] for r in P.rating_distribution(rolled).collect()) == sorted(
+        x.replace(" - ", "-").replace("  ", " ") for x in labels)
+
+
+def test_rating_spread_from_the_roll_up(spark):
+    values = ["1.0", "4.5", "3.9", "3.9", "2.2"]
+    f = fact(spark, *[{"rating": v} for v in values])
+    want = f.agg(F.round(F.stddev_samp("rating"), 2)).first()[0]
+    assert B.category_ratings(ratings(f)).first()["rating_consistency"] == want
+    assert B.category_ratings(ratings(fact(spark, {}))).first()["rating_consistency"] is None
 
 
 def test_equal_revenue_ranks(spark):
@@ -58,15 +89,16 @@ def test_worst_category_is_the_last_one(spark):
 
 def test_unknown_category(spark):
     f = fact(spark, {"item_type": "Meat"}, {"item_type": "Dairy"})
-    assert list(A.category_deep_dive(f, "Dairy")) == ["headline", "top_products", "stores", "trend"]
-    error = A.category_deep_dive(f, "Nope")["error"].first()
+    rolled = products(f), shelves(f), cells(f)
+    assert list(A.category_deep_dive(*rolled, "Dairy")) == ["headline", "top_products", "stores", "trend"]
+    error = A.category_deep_dive(*rolled, "Nope")["error"].first()
     assert tuple(error) == ("Category not found: Nope", "Dairy, Meat")
 
 
 def test_distribution_gap(spark):
     f = fact(spark, *[{"item_identifier": i, "outlet_identifier": o} for i, o in (
         ("A", "O1"), ("A", "O2"), ("A", "O3"), ("B", "O1"), ("B", "O3"))])
-    got = A.missing_products(f, products(f)).collect()
+    got = A.missing_products(stocks(f), products(f)).collect()
     assert [(r["proven_product"], r["missing_from_outlet"]) for r in got] == [("B", "O2")]
 
 
@@ -74,14 +106,14 @@ def test_distribution_gap_beyond_any_word_size(spark):
     """40 leaders; one store lacks the last two, the other has all."""
     stocked = [{"item_identifier": f"I{i:02d}", "sales": 1000 - i, "outlet_identifier": "FULL"} for i in range(40)]
     f = fact(spark, *stocked, *[{**r, "outlet_identifier": "GAP", "sales": 1} for r in stocked[:38]])
-    got = A.missing_products(f, products(f), leaders=40).select("proven_product", "missing_from_outlet")
+    got = A.missing_products(stocks(f), products(f), leaders=40).select("proven_product", "missing_from_outlet")
     assert rows(got) == [("I38", "GAP"), ("I39", "GAP")]
 
 
 def test_pair_needs_three_times_the_sales(spark):
     for strong, want in ((31, 1), (30, 0)):
         f = fact(spark, {"outlet_identifier": "O1", "sales": 10}, {"outlet_identifier": "O2", "sales": strong})
-        assert A.store_pairs(f).count() == want
+        assert A.store_pairs(f, stocks(f)).count() == want
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -99,7 +131,7 @@ def test_widest_pairs_equal_the_full_self_join(spark, seed):
     full = a.join(b, (F.col("aitem_identifier") == F.col("bitem_identifier")) & (F.col("aoutlet_identifier") != F.col("boutlet_identifier"))
                   & (F.col("asales") > F.col("bsales") * 3)).withColumn("gap", F.col("asales") - F.col("bsales"))
     want = full.orderBy(F.desc("gap"), "aitem_identifier", "aoutlet_identifier", "aitem_visibility", "boutlet_identifier", "bitem_visibility").limit(12)
-    got = widest_pairs(f, 12)
+    got = widest_pairs(f, stocks(f), 12)
     keys = ["aitem_identifier", "aoutlet_identifier", "aitem_visibility", "boutlet_identifier", "bitem_visibility", "gap"]
     assert rows(got.select([c if c == "gap" else c[0] + "_" + c[1:] for c in keys])) == rows(want.select(keys))
     f.unpersist()
