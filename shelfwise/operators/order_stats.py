@@ -193,3 +193,13 @@ def tile_summary(
             *[F.max(f"_max_{c}").alias(f"max_{c}") for c in bounds],
         )
     )
+
+
+# Order of the rows inside a visibility tile: ties on all three columns are interchangeable.
+VISIBILITY_KEYS = ["item_visibility", "sales", "rating"]
+
+
+def visibility_tiles(fact: DataFrame, tiles: int) -> DataFrame:
+    """Tiles by shelf visibility. A proportion with six decimals has at most 10^6 + 1 values: one level is enough."""
+    levels = [("item_visibility", F.col("item_visibility")), *amount_levels("sales"), ("rating", F.col("rating"))]
+    return tile_summary(fact, levels, VISIBILITY_KEYS, tiles, ["sales", "rating", "item_visibility"], ["item_visibility"])

@@ -143,19 +143,28 @@ def pivots(table: str) -> str:
 
 oracle("d_top_bottom_n", top_bottom("fact"))
 oracle("d_pivots", pivots("fact"))
-oracle("d_kpi_pivot", f"SELECT {REV} AS sum_sales, {avg('sales')} AS avg_sales, {avg('rating')} AS avg_rating, {N} AS count_sales FROM fact")
-cards = [
-    f"(SELECT format('{{:.2f}}', {ratio('sum(sales)', 'CAST(1000000 AS BIGINT)')}) || 'M' FROM fact)",
-    grouped_digits(f"(SELECT {mean('sales')} FROM fact)", 0),
-    grouped_digits(f"(SELECT {mean('rating')} FROM fact)", 2) + " || ' / 5'",
-    grouped_digits(f"(SELECT {N} FROM fact)", 0), grouped_digits(f"(SELECT {PRODUCTS} FROM fact)", 0),
-    "(SELECT CAST(count(DISTINCT item_type) AS VARCHAR) FROM fact)",
-]
-oracle("d_kpi_cards", " UNION ALL ".join(
-    f"SELECT '{card}' AS card, {value} AS value, '{hint}' AS hint" for (card, hint), value in zip(CARDS.items(), cards)))
+def kpi_pivot(table: str) -> str:
+    return f"SELECT {REV} AS sum_sales, {avg('sales')} AS avg_sales, {avg('rating')} AS avg_rating, {N} AS count_sales FROM {table}"
+
+
+def kpi_cards(table: str) -> str:
+    cards = [
+        f"(SELECT format('{{:.2f}}', {ratio('sum(sales)', 'CAST(1000000 AS BIGINT)')}) || 'M' FROM {table})",
+        grouped_digits(f"(SELECT {mean('sales')} FROM {table})", 0),
+        grouped_digits(f"(SELECT {mean('rating')} FROM {table})", 2) + " || ' / 5'",
+        grouped_digits(f"(SELECT {N} FROM {table})", 0), grouped_digits(f"(SELECT {PRODUCTS} FROM {table})", 0),
+        f"(SELECT CAST(count(DISTINCT item_type) AS VARCHAR) FROM {table})",
+    ]
+    return " UNION ALL ".join(
+        f"SELECT '{card}' AS card, {value} AS value, '{hint}' AS hint" for (card, hint), value in zip(CARDS.items(), cards))
+
+
+oracle("d_kpi_pivot", kpi_pivot("fact"))
+oracle("d_kpi_cards", kpi_cards("fact"))
 chosen = " AND ".join(
     f"{field} IN ({', '.join(repr(v) for v in values)})" for field, values in EXAMPLE_CHOICE.items())
-oracle("d_cross_filter", pivots("chosen"), f"chosen AS (SELECT * FROM fact WHERE {chosen})")
+for _key, _tile in {"d_cross_filter": pivots, "d_cross_filter_kpis": kpi_pivot, "d_cross_filter_cards": kpi_cards}.items():
+    oracle(_key, _tile("chosen"), f"chosen AS (SELECT * FROM fact WHERE {chosen})")
 
 # ---------------------------------------------------------------- aggregates, facts
 

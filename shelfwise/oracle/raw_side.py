@@ -120,6 +120,10 @@ def _profile() -> None:
         AS conflicting_outlets FROM (SELECT count(DISTINCT outlet_size) AS a, count(DISTINCT outlet_location_type) AS b,
         count(DISTINCT outlet_type) AS c, count(DISTINCT outlet_establishment_year) AS d FROM raw
         GROUP BY outlet_identifier)""", base="raw")
+    oracle("prof_ref_outlet_list", """SELECT outlet_identifier, a AS distinct_sizes, b AS distinct_tiers, c AS distinct_types,
+        d AS distinct_years, CAST(greatest(a, b, c, d) > 1 AS VARCHAR) AS conflicting FROM (SELECT outlet_identifier,
+        count(DISTINCT outlet_size) AS a, count(DISTINCT outlet_location_type) AS b, count(DISTINCT outlet_type) AS c,
+        count(DISTINCT outlet_establishment_year) AS d FROM raw GROUP BY outlet_identifier)""", base="raw")
     oracle("prof_ref_item", """SELECT count(*) AS items, count(*) FILTER (w > 1) AS items_with_several_weights,
         count(*) FILTER (t > 1) AS items_in_several_categories FROM (SELECT count(DISTINCT nullif(trim(item_weight), '')) AS w,
         count(DISTINCT item_type) AS t FROM raw GROUP BY item_identifier)""", base="raw")
@@ -177,6 +181,8 @@ def _integrity() -> None:
         FROM (SELECT (SELECT count(*) FROM raw) AS r, (SELECT count(*) FROM fact) AS c)""")
     oracle("val_revenue_recon", f"""SELECT {rnd('r')} AS raw_revenue, {rnd('c')} AS clean_revenue, {rnd('r - c')} AS revenue_removed
         FROM (SELECT (SELECT sum(CAST(sales AS DECIMAL(10,4))) FROM raw) AS r, (SELECT sum(sales) FROM fact) AS c)""")
+    oracle("val_quarantine", f"""SELECT CASE WHEN sales > 50000 THEN 'quarantined' ELSE 'accepted' END AS part, count(*) AS rows,
+        {rnd('sum(sales)')} AS revenue FROM fact GROUP BY 1""")
     oracle("val_defects_zero", """SELECT count(*) FILTER (item_weight IS NULL) AS null_weights,
         count(*) FILTER (item_visibility = 0) AS zero_visibility,
         count(*) FILTER (item_visibility NOT BETWEEN 0 AND 1) AS bad_visibility, count(*) FILTER (sales <= 0) AS bad_sales,

@@ -13,7 +13,7 @@ from ..operators.calendar import month_spine
 from ..operators.ranking import running_before, with_rank
 from ..operators.segments import join_lookup, mean_of, one_row, share_of_all, summarise, top
 from ..schema import ALLOWED_VALUES
-from .kpis import totals, visibility_tiles, with_products
+from .kpis import totals, with_products
 
 # The two full years that the growth questions compare.
 COMPARED_YEARS = (1999, 2000)
@@ -334,9 +334,9 @@ QUINTILE_LABELS = ["1 - Lowest visibility", "2", "3 - Middle", "4", "5 - Highest
 
 
 @report("q23_visibility_quintiles")
-def visibility_quintiles(fact: DataFrame) -> DataFrame:
+def visibility_quintiles(quintile_tiles: DataFrame) -> DataFrame:
     rows = F.col("records")
-    return visibility_tiles(fact, 5).select(
+    return quintile_tiles.select(
         F.element_at(F.array(*map(F.lit, QUINTILE_LABELS)), F.col("tile")).alias("visibility_band"), "records",
         F.round(quotient(F.col("sum_item_visibility"), rows), 4).alias("avg_visibility"),
         F.round(quotient(F.col("sum_sales"), rows), 2).alias("avg_sale"),
@@ -346,8 +346,8 @@ def visibility_quintiles(fact: DataFrame) -> DataFrame:
 
 
 @report("q24_visibility_uplift")
-def visibility_uplift(fact: DataFrame) -> DataFrame:
-    averages = visibility_tiles(fact, 5).withColumn("_avg", F.round(quotient(F.col("sum_sales"), F.col("records")), 8))
+def visibility_uplift(quintile_tiles: DataFrame) -> DataFrame:
+    averages = quintile_tiles.withColumn("_avg", F.round(quotient(F.col("sum_sales"), F.col("records")), 8))
     ends = averages.agg(*[F.max(F.when(F.col("tile") == t, F.col("_avg"))).alias(n) for n, t in (("low", 1), ("high", 5))])
     low, high = F.col("low"), F.col("high")
     return ends.select(

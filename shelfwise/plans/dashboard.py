@@ -106,6 +106,16 @@ def filtered_dashboard(fact: DataFrame, choice: dict[str, list]) -> dict[str, Da
         "cards": kpi_cards(products, outlet_rollup(chosen))}
 
 
+@report("d_cross_filter_kpis")
+def filtered_kpis(fact: DataFrame) -> DataFrame:
+    return filtered_dashboard(fact, EXAMPLE_CHOICE)["kpis"]
+
+
+@report("d_cross_filter_cards")
+def filtered_cards(fact: DataFrame) -> DataFrame:
+    return filtered_dashboard(fact, EXAMPLE_CHOICE)["cards"]
+
+
 @report("d_cross_filter")
 def cross_filter(fact: DataFrame) -> DataFrame:
     return filtered_dashboard(fact, EXAMPLE_CHOICE)["pivots"]

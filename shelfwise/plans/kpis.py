@@ -7,25 +7,10 @@ from pyspark.sql import DataFrame, functions as F
 from ..catalog import report
 from ..functions import bands, measures as M, rolled as R
 from ..functions.exact import percent, quotient, total
-from ..operators.order_stats import amount_levels, quantiles_by_rank, tile_summary
+from ..operators.order_stats import quantiles_by_rank
 from ..operators.segments import one_row, share_of_all, summarise
 from ..schema import UNKNOWN
 
-# Order of the rows inside a visibility tile: ties on all three columns are interchangeable.
-VISIBILITY_KEYS = ["item_visibility", "sales", "rating"]
-
-
-def visibility_levels():
-    """A proportion with six decimals has at most 10^6 + 1 values, so one level is enough for it."""
-    visibility = [("item_visibility", F.col("item_visibility"))]
-    return [*visibility, *amount_levels("sales"), ("rating", F.col("rating"))]
-
-
-def visibility_tiles(fact: DataFrame, tiles: int) -> DataFrame:
-    return tile_summary(
-        fact, visibility_levels(), VISIBILITY_KEYS, tiles, ["sales", "rating", "item_visibility"], ["item_visibility"])
-
-
 def totals(products: DataFrame, outlets: DataFrame) -> DataFrame:
     """One row: sums of all measures and the distinct counts of both dimensions, from the two roll-ups."""
     summed = ["records", "sales", "rating", "item_visibility", "item_weight", "weighed", "item_weight_imputed",
@@ -163,8 +148,8 @@ def rating_bands(ratings: DataFrame) -> DataFrame:
 
 
 @report("eda_visibility_deciles")
-def visibility_deciles(fact: DataFrame) -> DataFrame:
-    return visibility_tiles(fact, 10).select(
+def visibility_deciles(decile_tiles: DataFrame) -> DataFrame:
+    return decile_tiles.select(
         F.col("tile").alias("visibility_decile"), "records",
         F.round("min_item_visibility", 4).alias("min_visibility"),
         F.round("max_item_visibility", 4).alias("max_visibility"),

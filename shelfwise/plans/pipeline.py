@@ -90,18 +90,18 @@ def unique_rows(raw: DataFrame) -> DataFrame:
 
 
 @report("cln_median_by_item")
-def item_medians(unique: DataFrame) -> DataFrame:
-    return C.median_weight_by_item(unique)
+def item_medians(weight_by_item: DataFrame) -> DataFrame:
+    return weight_by_item
 
 
 @report("cln_median_by_type")
-def type_medians(unique: DataFrame) -> DataFrame:
-    return C.medians_by_type(unique).select("item_type", "type_median_weight")
+def type_medians(medians_by_type: DataFrame) -> DataFrame:
+    return medians_by_type.select("item_type", "type_median_weight")
 
 
 @report("cln_median_visibility")
-def visibility_medians(unique: DataFrame) -> DataFrame:
-    return C.medians_by_type(unique).select("item_type", "type_median_visibility")
+def visibility_medians(medians_by_type: DataFrame) -> DataFrame:
+    return medians_by_type.select("item_type", "type_median_visibility")
 
 
 @report("cln_impute")

@@ -10,6 +10,7 @@ from ..operators.cleaning import canonical_fat_content
 from ..operators.order_stats import quantiles_by_rank, quantiles_interpolated
 from ..operators.segments import one_row
 from ..schema import COLUMN_ROLES, GRAIN, RAW_COLUMNS
+from ..sources.store import written
 
 
 def is_blank(column: str) -> Column:
@@ -69,12 +70,18 @@ def keys_without_value(raw: DataFrame, key: str = "outlet_identifier", attribute
 
 @report("prof_duplicates")
 def duplicates(raw: DataFrame) -> DataFrame:
-    """Copies of whole rows and repeats of the (item, outlet) grain."""
-    copies = raw.groupBy(*RAW_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
-    again = F.when(F.col("n") > 1, F.col("n"))
+    """Copies of whole rows and repeats of the (item, outlet) grain.
+
+    All rows are counted by a hash; only rows whose hash repeats are compared in full.
+    """
+    hashed = [F.xxhash64(*RAW_COLUMNS).alias("_h"), F.hash(*reversed(RAW_COLUMNS)).alias("_g")]
+    repeated = written(raw.select(*hashed).groupBy("_h", "_g").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "repeated")
+    again = raw.select("*", *hashed).join(repeated, ["_h", "_g"], "left_semi")
+    copies = again.groupBy(*RAW_COLUMNS).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    whole = one_row(raw.agg(F.count(F.lit(1)).alias("n")))["n"]
     counted = copies.agg(
-        F.sum("n").alias("total_rows"), F.count(again).alias("dup_groups"),
-        F.coalesce(F.sum(again), F.lit(0)).alias("rows_in_groups"), F.sum(F.col("n") - 1).alias("redundant_copies"))
+        F.count(F.lit(1)).alias("dup_groups"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows_in_groups"),
+        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("redundant_copies")).select(whole.alias("total_rows"), "*")
     grain = raw.groupBy(*GRAIN).agg(F.count(F.lit(1)).alias("n")).agg(F.sum(F.col("n") - 1).alias("grain_duplicates"))
     return counted.withColumn("grain_duplicates", one_row(grain)["grain_duplicates"])
 
@@ -176,6 +183,12 @@ def outlet_consistency(raw: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("outlets"), F.count_if(F.greatest(*OUTLET_FACTS) > 1).alias("conflicting_outlets"))
 
 
+@report("prof_ref_outlet_list")
+def outlet_conflicts(raw: DataFrame) -> DataFrame:
+    """The four counts of every outlet, those that conflict marked."""
+    return distinct_per_outlet(raw).withColumn("conflicting", (F.greatest(*OUTLET_FACTS) > 1).cast("string"))
+
+
 @report("prof_ref_item")
 def item_consistency(raw: DataFrame) -> DataFrame:
     weight = F.nullif(F.trim("item_weight"), F.lit(""))

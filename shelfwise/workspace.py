@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .operators import cleaning, rollups
+from .operators import cleaning, order_stats, rollups
 from .schema import FACT_COLUMNS, RAW_COLUMNS
 from .sources.files import read_raw
 from .sources.store import stage, stage_path
@@ -86,6 +86,14 @@ class Workspace:
         """Measures per category and rating."""
         return self._stage("ratings", lambda: rollups.rating_rollup(self.fact()))
 
+    def quintile_tiles(self) -> DataFrame:
+        """Sums per fifth of the rows by shelf visibility."""
+        return self._stage("quintile_tiles", lambda: order_stats.visibility_tiles(self.fact(), 5))
+
+    def decile_tiles(self) -> DataFrame:
+        """Sums per tenth of the rows by shelf visibility."""
+        return self._stage("decile_tiles", lambda: order_stats.visibility_tiles(self.fact(), 10))
+
     def cells(self) -> DataFrame:
         """Measures per month, category and segment."""
         return self._stage("cells", lambda: rollups.cell_rollup(self.fact()))

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from fixtures import fact, raw
+from shelfwise.operators.order_stats import visibility_tiles
 from shelfwise.operators.pairs import widest_pairs
 from shelfwise.operators.rollups import (
     cell_rollup as cells, product_rollup as products, rating_rollup as ratings, shelf_rollup as shelves, stock_rollup as stocks)
@@ -64,7 +65,7 @@ def test_equal_revenue_ranks(spark):
 
 def test_more_tiles_than_rows(spark):
     f = fact(spark, *[{"item_visibility": v} for v in ("0.1", "0.2", "0.3")])
-    assert [r["visibility_band"] for r in B.visibility_quintiles(f).collect()] == ["1 - Lowest visibility", "2", "3 - Middle"]
+    assert [r["visibility_band"] for r in B.visibility_quintiles(visibility_tiles(f, 5)).collect()] == ["1 - Lowest visibility", "2", "3 - Middle"]
 
 
 def test_missing_month_shows_and_yoy_uses_the_calendar(spark):
