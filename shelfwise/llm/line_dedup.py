@@ -49,7 +49,7 @@ def _lines(text: Column) -> Column:
 
 def _digest(line: Column) -> Column:
     """What makes lines equal: their characters without outer white space; null for a blank line."""
-    bare = F.regexp_replace(line, r"^[ \t\r]+|[ \t\r]+$", "")
+    bare = F.trim(line, F.lit(" \t\r"))
     return F.when(bare != "", F.unhex(F.md5(bare)))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import chat, decontaminate, embedding_dedup, langid, line_dedup, pii, sentencepiece_bpe, simhash, token_counts, toxicity
-from .common import LOWER, UPPER, fold, hex_digest, model_path, table
+from .common import LOWER, UPPER, fold, hex_digest, model_path, table, written
 
 CONVERSATION = "<|im_end|><|im_start|>assistant ok"
 
@@ -70,7 +70,9 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select(
         "page_id", line_dedup.host(F.col("url")).alias("host"), line_dedup.html_text(F.col("html")).alias("text"))
-    return line_dedup.drop_boilerplate(pages, "host", "text").select("page_id", "host", "n_lines", "n_dropped", "text")
+    # Lines are counted and dropped in two passes; the markup is taken out once.
+    return line_dedup.drop_boilerplate(written(pages, "page-texts"), "host", "text").select(
+        "page_id", "host", "n_lines", "n_dropped", "text")
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
