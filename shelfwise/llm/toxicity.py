@@ -11,7 +11,7 @@ normalised by length, over the whole text and over its best windows of several l
 in a long text is lost in the mean). A logistic curve over these ratios, fitted on labelled rows
 that no count was taken from, turns them into a score.
 
-Class counts come from a bounded sample of labelled rows, at most `ROWS` of a class; the shared
+Class counts come from a bounded sample of labelled rows, some `ROWS` of a class; the shared
 counts cover the whole corpus. There a word's neighbours are counted in CELLS cells per word
 (linear counting), which is close for the rare words that depend on them, needs a fixed number of
 bytes per word and combines before the shuffle.
@@ -25,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import fold, written
 
@@ -37,6 +37,7 @@ CALIBRATION = 7
 WINDOWS = (1, 2, 5, 20)
 CELLS, WORD_BITS = 256, 64
 RIDGE, STEPS = 1.0, 50
+_PLACES = 1 << 30
 WORD = r"\p{L}+"
 
 
@@ -63,16 +64,20 @@ def shared_counts(texts: DataFrame, text_column: str) -> DataFrame:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str, rows: int) -> DataFrame:
-    """(id, toxic, words, calibrates) of at most `rows` labelled rows of a class, chosen by the ids' hashes.
+    """(id, toxic, words, calibrates) of labelled rows, chosen by the ids' hashes: some `rows` of a class.
+
+    A class is cut at the share of hashes that gives `rows` on average, so none is ranked or gathered.
 
     Ids without a label, text or word are left out, as is one whose fold is that of the held-out
     rows; of equal texts one row stays. An id labelled twice is toxic if one label says so.
     """
     known = labels.where(F.col("toxic").isin(0, 1) & (fold("doc_id") % 5 != 0)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    ranked = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = written(known.withColumn("_rank", F.row_number().over(ranked)).where(F.col("_rank") <= rows)
-                     .select(F.col("doc_id").alias("id"), "toxic"), "labelled")
-    # At most 2 * rows pairs of numbers are broadcast.
+    known = written(known, "labels")
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(_PLACES))
+    share = {row["toxic"]: min(1.0, rows / row["count"]) for row in known.groupBy("toxic").count().collect()}
+    cut = sum((F.when(F.col("toxic") == side, int(part * _PLACES)).otherwise(0) for side, part in share.items()), F.lit(0))
+    chosen = known.where(place < cut).select(F.col("doc_id").alias("id"), "toxic")
+    # Some 2 * rows pairs of numbers are broadcast.
     own = docs.select(F.col(id_column).alias("id"), words(F.col(text_column)).alias("words"))
     texts = own.join(F.broadcast(chosen), "id").where(F.size("words") > 0)
     return texts.groupBy(F.xxhash64("words").alias("hash")).agg(
@@ -114,7 +119,11 @@ def discounts(counts: list[int]) -> list[float]:
 
 
 def word_ratios(counts: dict[str, tuple[int, int]], contexts: dict[str, float], total: float, vocabulary: int) -> tuple[dict[str, float], float]:
-    """Ratios from the classes' continuation counts (ordinary, toxic) and the shared contexts."""
+    """Ratios from the classes' continuation counts (ordinary, toxic) and the shared contexts.
+
+    A word that neither class has gets 0: both give it the same shared likelihood, and how much mass
+    a class has left for such words tells the size of its sample, not the text.
+    """
     models = []
     for side in (0, 1):
         own = [c[side] for c in counts.values() if c[side]]
@@ -129,7 +138,7 @@ def word_ratios(counts: dict[str, tuple[int, int]], contexts: dict[str, float],
         return held + free * (contexts.get(word, 0.0) + 1.0) / (total + vocabulary)
 
     ratios = {word: math.log(likelihood(1, word) / likelihood(0, word)) for word in counts}
-    return ratios, math.log(models[1][2] / models[0][2])
+    return ratios, 0.0
 
 
 def _fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
