@@ -1,0 +1,120 @@
+"""Near copies by the exact Jaccard similarity of their word shingles, met by MinHash bands.
+
+A text's shingles give BANDS * ROWS MinHash values; texts that agree in a whole band meet in that
+band's bucket. Two texts of similarity s miss each other with the chance (1 - s ** ROWS) ** BANDS:
+0.0004 at 0.8, less above. Whatever meets is verified by the shingles themselves.
+
+Buckets aren't paired off at once. In each of a few rounds every member of a bucket is compared
+with the bucket's first text only; what is similar goes, and the first has met all of its bucket
+and leaves it. So a large group of copies costs a comparison a member, not one a pair. The members
+then left in a bucket are compared in pairs, so no two texts that met stay uncompared.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from functools import lru_cache
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+
+from .common import fresh, written
+from .simhash import _lowercase, _word_pattern
+
+#: Texts are near copies from this share of common shingles on.
+SHINGLE, JACCARD = 5, 0.8
+BANDS, ROWS = 20, 5
+SEED = 42
+#: Rounds of comparisons with the first of a bucket, before pairs are compared.
+ROUNDS = 3
+#: Shingles whose MinHash values are computed at once: bounds memory, whatever the length of a text.
+BATCH = 2_000
+
+
+def shingles(text: str | None, size: int = SHINGLE) -> set[str]:
+    """Word shingles of a text, ASCII letters in lower case; a shorter text is one shingle, one without words has none."""
+    words = _word_pattern().findall((text or "").translate(_lowercase()))
+    return {" ".join(words[i:i + size]) for i in range(max(len(words) - size + 1, 1))} if words else set()
+
+
+def jaccard(a: set[str], b: set[str]) -> float:
+    common = len(a & b)
+    return common / max(len(a) + len(b) - common, 1)
+
+
+def bands(text: str | None, size: int = SHINGLE) -> list[int]:
+    """The bucket of each band, as signed 64-bit numbers; none for a text without words."""
+    import numpy as np
+    from xxhash import xxh64_intdigest
+
+    own = shingles(text, size)
+    if not own:
+        return []
+    hashes = np.fromiter((xxh64_intdigest(s, SEED) for s in own), dtype=np.uint64, count=len(own))
+    seeds = np.random.default_rng(SEED).integers(0, 1 << 64, BANDS * ROWS, dtype=np.uint64, endpoint=False)
+    least = np.full(BANDS * ROWS, (1 << 64) - 1, dtype=np.uint64)
+    for start in range(0, len(hashes), BATCH):
+        mixed = hashes[start:start + BATCH, None] ^ seeds
+        for factor in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB):
+            mixed *= np.uint64(factor)
+            mixed ^= mixed >> np.uint64(31)
+        np.minimum(least, mixed.min(axis=0), out=least)
+    rows = least.reshape(BANDS, ROWS)
+    return [xxh64_intdigest(rows[k].tobytes(), k) - (1 << 63) for k in range(BANDS)]
+
+
+def _signed(df: DataFrame, text_column: str, name: str, size: int) -> DataFrame:
+    """`df` with the buckets of its texts."""
+    schema = StructType([*df.schema.fields, StructField(name, ArrayType(LongType()))])
+    at = df.columns.index(text_column)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            buckets = pa.array([bands(t.as_py(), size) for t in batch.column(at)], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, buckets], names=[*batch.schema.names, name])
+
+    return df.mapInArrow(each, schema)
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, least: float, size: int) -> DataFrame:
+    """The pairs (a, b) whose texts have at least the similarity `least`."""
+    first = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    other = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut = lru_cache(64)(lambda text: shingles(text, size))
+        for batch in batches:
+            close = [jaccard(cut(a.as_py()), cut(b.as_py())) >= least for a, b in zip(batch.column("text_a"), batch.column("text_b"))]
+            yield batch.select(["a", "b"]).filter(pa.array(close, pa.bool_()))
+
+    return pairs.join(other, "b").join(first, "a").mapInArrow(each, "a bigint, b bigint")
+
+
+def drop_similar(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", least: float = JACCARD, size: int = SHINGLE) -> DataFrame:
+    """The rows of `df`, all columns, without those similar to an earlier row that met them.
+
+    Rows are ordered by id, those without one last, then by text hash. A row that goes is similar to a
+    row that stays or is tied to it by a chain of similar rows; of two rows that stay, none is similar
+    to the other (but for the chance above). A text without words is similar to nothing.
+    """
+    node, buckets = fresh(df, "_node", "_buckets")
+    rows = written(_signed(df, text_column, buckets, size).withColumn(node, F.monotonically_increasing_id()), "buckets")
+    place = F.struct(F.col(id_column).isNull().alias("no_id"), F.col(id_column).alias("id"), F.xxhash64(text_column).alias("hash"), F.col(node).alias("node"))
+    texts = rows.select(F.col(node).alias("node"), F.col(text_column).alias("text"))
+    members = rows.select(place.alias("member"), F.explode(buckets).alias("bucket"))
+    gone = []
+    for number in range(ROUNDS + 1):
+        if number < ROUNDS:
+            first = members.groupBy("bucket").agg(F.min("member").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+        else:
+            first = members.withColumnRenamed("member", "first")
+        met = written(members.join(first, "bucket").where("first < member"), "met")
+        pairs = written(met.select(F.col("first.node").alias("a"), F.col("member.node").alias("b")).distinct(), "met-pairs")
+        if pairs.isEmpty():
+            break
+        gone.append(written(_similar(pairs, texts, least, size).select("b").distinct(), "similar"))
+        members = met.join(gone[-1], F.col("member.node") == F.col("b"), "left_anti").select("bucket", "member")
+    for some in gone:
+        rows = rows.join(some, rows[node] == some["b"], "left_anti")
+    return rows.drop(node, buckets)

@@ -1,0 +1,102 @@
+"""Near copies against a comparison of all pairs."""
+
+import random
+
+import pytest
+
+import corpus_pipeline
+from shelfwise.llm import similar
+
+
+def words(rng, n):
+    return [f"w{rng.randrange(5_000)}" for _ in range(n)]
+
+
+def corpus():
+    """Texts, each with copies in which single words are edited: some similar by 0.8 or more, some less."""
+    rng = random.Random(4)
+    texts = []
+    for _ in range(40):
+        base = words(rng, rng.randint(60, 250))
+        texts.append(" ".join(base))
+        for edits in (1, 2, 3, 4, 6):
+            near = list(base)
+            for at in rng.sample(range(len(near)), edits):
+                near[at] = "edited"
+            texts.append(" ".join(near))
+    return [(i, t) for i, t in enumerate(texts + ["two words", "Two Words", "", None, " "])] + [(None, texts[0] + " end")]
+
+
+def plain_shingles(text):
+    found = (text or "").lower().split()
+    return {tuple(found[i:i + 5]) for i in range(max(len(found) - 4, 1))} if found else set()
+
+
+def similarity(a, b):
+    return len(a & b) / max(len(a | b), 1)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame([(i, t, "en", f"s{(i or 0) % 3}", len(t or "")) for i, t in corpus()],
+                                 "doc_id bigint, text string, lang string, source string, n_chars bigint").repartition(3)
+
+
+def check(got):
+    cut = {i: plain_shingles(t) for i, t in corpus()}
+    kept = [r.doc_id for r in got]
+    links = [(a, b) for a in cut for b in cut if a != b and similarity(cut[a], cut[b]) >= 0.8]
+    assert len(links) > 100
+    assert not [1 for a, b in links if a in kept and b in kept]
+    # What goes is tied by links to something that stays, and what has no link stays.
+    near = {}
+    for a, b in links:
+        near.setdefault(a, set()).add(b)
+    for i, shingles in cut.items():
+        reach, more = {i}, {i}
+        while more:
+            more = set().union(*(near.get(k, set()) for k in more)) - reach
+            reach |= more
+        if shingles:
+            assert reach & set(kept)
+
+
+def test_near_copies_go_in_the_pipeline_stage(spark, docs):
+    got = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    assert len({r.doc_id for r in got}) == len(got)
+    check(got)
+
+
+@pytest.mark.parametrize("rounds", [0, 3])
+def test_drop_similar(monkeypatch, docs, rounds):
+    monkeypatch.setattr(similar, "ROUNDS", rounds)
+    kept = similar.drop_similar(docs)
+    assert kept.columns == docs.columns
+    got = kept.collect()
+    check(got)
+    assert {242, 243, 244} <= {r.doc_id for r in got}
+
+
+def test_a_band_is_missed_as_seldom_as_computed():
+    rng = random.Random(8)
+    met = total = 0
+    while total < 300:
+        base = words(rng, 104)
+        near = list(base)
+        for at in rng.sample(range(104), 2):
+            near[at] = "edited"
+        if 0.8 <= similarity(plain_shingles(" ".join(base)), plain_shingles(" ".join(near))) < 0.85:
+            total += 1
+            met += bool(set(similar.bands(" ".join(base))) & set(similar.bands(" ".join(near))))
+    assert met >= 0.99 * total
+
+
+def test_long_texts_are_hashed_in_batches(monkeypatch):
+    text = " ".join(f"t{i % 997}" for i in range(3_000))
+    want = similar.bands(text)
+    monkeypatch.setattr(similar, "BATCH", 64)
+    assert similar.bands(text) == want
+
+
+def test_empty_table(docs):
+    assert similar.drop_similar(docs.limit(0)).count() == 0
