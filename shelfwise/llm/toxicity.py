@@ -12,9 +12,9 @@ in a long text is lost in the mean). A logistic curve over these ratios, fitted
 that no count was taken from, turns them into a score.
 
 Class counts come from a bounded sample of labelled rows, some `ROWS` of a class; the shared
-counts cover the whole corpus. There a word's neighbours are counted in CELLS cells per word
-(linear counting), which is close for the rare words that depend on them, needs a fixed number of
-bytes per word and combines before the shuffle.
+counts cover the whole corpus. There a word's neighbours are counted by HyperLogLog++, whose relative
+error CONTEXT_ERROR holds at every size, which needs a bounded number of bytes per word and combines
+before the shuffle.
 """
 
 from __future__ import annotations
@@ -35,7 +35,8 @@ ROWS = 12_000
 CALIBRATION = 7
 #: Lengths, in words, of the windows whose best ratio counts.
 WINDOWS = (1, 2, 5, 20)
-CELLS, WORD_BITS = 256, 64
+#: Relative standard error of the shared counts.
+CONTEXT_ERROR = 0.05
 RIDGE, STEPS = 1.0, 50
 _PLACES = 1 << 30
 WORD = r"\p{L}+"
@@ -54,13 +55,8 @@ def _bigrams(df: DataFrame) -> DataFrame:
 
 def shared_counts(texts: DataFrame, text_column: str) -> DataFrame:
     """(word, contexts): estimated number of different words in front of each word of all texts."""
-    cell = F.pmod(F.col("before"), F.lit(CELLS))
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (cell % WORD_BITS).cast("int"))
-    masks = [F.bit_or(F.when(F.floor(cell / WORD_BITS) == k, bit)).alias(f"m{k}") for k in range(CELLS // WORD_BITS)]
-    per_word = _bigrams(texts.select(words(F.col(text_column)).alias("words"))).groupBy("word").agg(*masks)
-    used = sum((F.coalesce(F.bit_count(f"m{k}"), F.lit(0)) for k in range(CELLS // WORD_BITS)), F.lit(0))
-    free = F.greatest(F.lit(CELLS) - used, F.lit(0.5))
-    return per_word.select("word", (-CELLS * F.log(free / CELLS)).alias("contexts"))
+    return _bigrams(texts.select(words(F.col(text_column)).alias("words"))).groupBy("word").agg(
+        F.approx_count_distinct("before", CONTEXT_ERROR).cast("double").alias("contexts"))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str, rows: int) -> DataFrame:

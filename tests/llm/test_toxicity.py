@@ -68,6 +68,15 @@ def test_shared_counts_are_close_to_the_number_of_neighbours(spark, tables):
             assert abs(got[word] - len(before)) <= max(1.0, 0.25 * len(before))
 
 
+def test_shared_counts_have_no_cap(spark):
+    """Words with up to 20,000 neighbours, beside rare ones."""
+    sizes = {"rare": 3, "some": 300, "often": 4_000, "hot": 20_000}
+    name = lambda k: "".join(chr(97 + k // 26 ** p % 26) for p in range(4))
+    docs = spark.createDataFrame([(f"{name(k)} {w}",) for w, n in sizes.items() for k in range(n)], "text string")
+    got = {r.word: r.contexts for r in toxicity.shared_counts(docs, "text").where(f"word in {tuple(sizes)}").collect()}
+    assert all(abs(got[w] - n) <= max(1.0, 0.15 * n) for w, n in sizes.items())
+
+
 def test_sample_leaves_out_the_held_out_fold_and_copies(spark):
     docs = spark.createDataFrame([(i, "same text" if i < 50 else f"text {chr(97 + i % 26)} {'x' * i}") for i in range(100)], "doc_id bigint, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(100)] + [(4, 1)], "doc_id bigint, toxic int")
