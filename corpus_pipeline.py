@@ -14,9 +14,9 @@ def ordinary(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines on many documents of a source go; n_chars follows the text. No document goes."""
-    cleaned = line_dedup.drop_boilerplate(docs, "source", "text")
-    changed = F.when(F.col("n_dropped") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    """Lines on many documents of a source go, long ones stay in one document of all; n_chars follows the text. No document goes."""
+    cleaned = line_dedup.drop_repeats(written(line_dedup.drop_boilerplate(docs, "source", "text"), "without-boilerplate"), "doc_id", "text")
+    changed = F.when(F.col("n_dropped") + F.col("n_repeats") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return cleaned.withColumn("n_chars", changed).select(docs.columns)
 
 

@@ -21,6 +21,8 @@ RATIO, MIN_LINE_PAGES = 0.05, 5
 MIN_PAGES = 10
 #: Boilerplate lines (16 bytes each) up to which the lists are broadcast; beyond, they are joined by a shuffle.
 BROADCAST_LINES = 500_000
+#: A line of more words than this is a passage: it is kept in one document only.
+PASSAGE_WORDS = 50
 
 _DROPPED_ELEMENTS = r"(?is)<!--.*?-->|<(?:script|style)\b.*?</(?:script|style)\s*>"
 _BREAKS = r"(?i)<br\s*/?>|</?(?:p|div|li|ul|ol|nav|article|section|header|footer|aside|main|h[1-6]|table|tr|td|th|title|body|head|html|blockquote|pre|form)\b[^>]*>"
@@ -86,3 +88,32 @@ def drop_boilerplate(df: DataFrame, site: str, text: str, ratio: float = RATIO,
     cleaned = cleaned.withColumns({"n_lines": n_lines, "n_dropped": n_lines - n_kept})
     cleaned = cleaned.withColumn(text, F.when(F.col(text).isNotNull(), F.array_join(kept, "\n")))
     return cleaned.drop(place, drop, all_lines, kept)
+
+
+def _passages(text: Column, min_words: int) -> Column:
+    """Digests of the lines of more than `min_words` words, each once."""
+    # A line with so many words has a character and a gap for each, at least.
+    long = F.filter(_lines(text), lambda line: (F.length(line) > 2 * min_words) & (F.regexp_count(line, F.lit(r"\S+")) > min_words))
+    return F.array_distinct(F.transform(long, _digest))
+
+
+def drop_repeats(df: DataFrame, id_column: str, text: str, min_words: int = PASSAGE_WORDS) -> DataFrame:
+    """`df` with `text` without the passages that an earlier row has, and the column n_repeats of lines dropped.
+
+    A passage is a line of more than `min_words` words. Rows are ordered by id, those without one last,
+    then by text hash; the first row with a passage keeps it, also twice, and a row that repeats it does, too.
+    Lines are counted by digest with map-side combining; no list of them is broadcast. No row is dropped.
+    """
+    own_id, own_hash, drop, all_lines, kept = fresh(df, "_id", "_hash", "_drop", "_lines", "_kept")
+    doc = F.struct(F.col(id_column).isNull().alias("no_id"), F.col(id_column).alias("id"), F.xxhash64(text).alias("hash"))
+    passages = written(df.select(doc.alias("doc"), F.explode(_passages(F.col(text), min_words)).alias("digest")), "passages")
+    first = passages.groupBy("digest").agg(F.min("doc").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    later = passages.join(first, "digest").where("first < doc").groupBy("doc").agg(F.collect_set("digest").alias(drop))
+    later = written(later.select(F.col("doc.id").alias(own_id), F.col("doc.hash").alias(own_hash), drop), "repeats")
+    same = [df[id_column].eqNullSafe(later[own_id]), F.xxhash64(df[text]) == later[own_hash]]
+    joined = df.join(later, same, "left").withColumn(all_lines, F.when(F.col(drop).isNotNull(), _lines(F.col(text))))
+    cleaned = joined.withColumn(kept, F.filter(all_lines, lambda line: ~F.coalesce(F.array_contains(drop, _digest(line)), F.lit(False))))
+    n_repeats = F.when(F.col(drop).isNull(), F.lit(0)).otherwise(F.size(all_lines) - F.size(kept))
+    cleaned = cleaned.withColumn("n_repeats", n_repeats.cast("bigint"))
+    cleaned = cleaned.withColumn(text, F.when(F.col(drop).isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")))
+    return cleaned.drop(own_id, own_hash, drop, all_lines, kept)

@@ -66,3 +66,25 @@ def test_html_and_hosts(spark):
     got = frame.select(line_dedup.host(frame.url).alias("h"), line_dedup.html_text(frame.html).alias("t")).collect()
     assert [r.h for r in got] == ["www.example.com", None, None, "h"]
     assert [r.t for r in got] == ["\na &lt; b\n c\nd e", None, "plain < text", " \nt\n"]
+
+
+def test_long_lines_stay_in_the_first_document_only(spark):
+    passage, other = (" ".join(f"{w}{k}" for k in range(51)) for w in "pq")
+    fifty = " ".join(f"r{k}" for k in range(50))
+    given = [(1, "a", "own 1\n" + passage), (2, "b", f"own 2\n {passage}\t\n{fifty}\n\nend"), (None, None, f"{passage}\n{other}"),
+             (4, "a", f"{other}\n{other}\nshort"), (5, "a", None), (6, "a", ""), (7, "b", f"{fifty}\nshort"), (4, "a", f"{other}\n{other}\nshort")]
+    given += [(100 + i, f"s{i}", f"only {i}\n{passage}") for i in range(60)]
+    frame = spark.createDataFrame([(*r, len(r[2] or "")) for r in given], "doc_id bigint, source string, text string, n_chars bigint").repartition(5)
+    want = [(1, given[0][2]), (2, f"own 2\n{fifty}\n\nend"), (None, ""), (4, given[3][2]), (4, given[3][2]), (5, None), (6, ""), (7, given[6][2])]
+    want += [(100 + i, f"only {i}") for i in range(60)]
+    out = line_dedup.drop_repeats(frame, "doc_id", "text")
+    assert out.columns == [*frame.columns, "n_repeats"]
+    assert sorted(map(str, [(r.doc_id, r.text) for r in out.collect()])) == sorted(map(str, want))
+    assert {r.doc_id: r.n_repeats for r in out.collect()} == {i: 2 if i is None else int(i == 2 or i >= 100) for i in [r[0] for r in given]}
+
+    import corpus_pipeline
+
+    staged = corpus_pipeline.without_boilerplate(spark, frame, "")
+    assert sorted(map(str, [(r.doc_id, r.text, r.n_chars) for r in staged.collect()])) == sorted(
+        str((i, t, len(t or ""))) for i, t in want)
+    assert line_dedup.drop_repeats(frame.limit(0), "doc_id", "text").count() == 0
