@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import decontaminate, line_dedup, sentencepiece_bpe, similar, simhash, toxicity
+from shelfwise.llm import decontaminate, line_dedup, sentencepiece_bpe, simhash, toxicity
 from shelfwise.llm.common import model_path, table, written
 
 
@@ -21,8 +21,8 @@ def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of the copies by fingerprint one stays; of the rest, documents go that share 0.8 of their five-word shingles with an earlier one."""
-    return similar.drop_similar(simhash.keep_one(docs))
+    """Of each group of copies by fingerprint, three-word shingles and two bits, one document stays."""
+    return simhash.keep_one(docs)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
