@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, embedding_dedup, langid, line_dedup, pii, sentencepiece_bpe, simhash, token_counts, toxicity
+from . import chat, decontaminate, embedding_dedup, langid, line_dedup, periodic_runs, pii, sentencepiece_bpe, simhash, token_counts, toxicity
 from .common import LOWER, UPPER, fold, hex_digest, model_path, table, written
 
 CONVERSATION = "<|im_end|><|im_start|>assistant ok"
@@ -81,6 +81,32 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _repeated(docs: DataFrame) -> DataFrame:
+    """Every tenth document by its id's checksum repeats a part of its words up to its end."""
+    h = fold("doc_id")
+    g, n = F.expr("crc32(cast(doc_id as string)) div 10"), F.greatest(F.size("w"), F.lit(1))
+    a = (g % n).cast("int")
+    period = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8)).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("w", a + 1, period), F.ceil((n - a) / period).cast("int"))), F.lit(1), n - a)
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(periodic_runs.WORD), F.lit(0))
+    chosen = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("w"))
+    joined = F.array_join(F.concat(F.slice("w", F.lit(1), a), tail), " ")
+    return chosen.select("doc_id", F.when(F.size("w") > 0, joined).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(_repeated(table(spark, sf_dir, "documents")))
+    none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    # Runs come by start and period, so the first of equal quotients stays.
+    best = F.reduce("runs", none, lambda x, r: F.when(
+        x.isNull() | (r["length"] * x["period"] > x["length"] * r["period"]), r).otherwise(x))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(r[f].cast("string") for f in ("start", "length", "period"))), F.lit("\n")))
+    return found.select("*", best.alias("best")).select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        hex_digest(F.array_join(lines, "")).alias("runs_sha256"), hex_digest(F.col("collapsed")).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_sentencepiece": op2_sentencepiece,
@@ -92,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_simhash": op10_simhash,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 _WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
