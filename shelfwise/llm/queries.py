@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, embedding_dedup, langid, line_dedup, periodic_runs, pii, sentencepiece_bpe, simhash, token_counts, toxicity
+from . import chat, decontaminate, embedding_dedup, langid, line_dedup, periodic_runs, pii, quality, sentencepiece_bpe, simhash, token_counts, toxicity
 from .common import LOWER, UPPER, fold, hex_digest, model_path, table, written
 
 CONVERSATION = "<|im_end|><|im_start|>assistant ok"
@@ -107,6 +107,13 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         hex_digest(F.array_join(lines, "")).alias("runs_sha256"), hex_digest(F.col("collapsed")).alias("collapsed_sha256"))
 
 
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    found = quality.score(docs, quality.train(docs, labels.where(fold("doc_id") % 4 != 2)))
+    held_out = F.coalesce(fold("id") % 4 == 2, F.lit(False)).alias("held_out")
+    return found.select(F.col("id").alias("doc_id"), held_out, "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_sentencepiece": op2_sentencepiece,
@@ -119,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_simhash": op10_simhash,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_quality": op13_quality,
 }
 
 _WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
