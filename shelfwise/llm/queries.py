@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, embedding_dedup, langid, line_dedup, periodic_runs, pii, quality, sentencepiece_bpe, simhash, token_counts, toxicity
+from . import chat, decontaminate, embedding_dedup, langid, lexical_search, line_dedup, periodic_runs, pii, quality, sentencepiece_bpe, simhash, token_counts, toxicity
 from .common import LOWER, UPPER, fold, hex_digest, model_path, table, written
 
 CONVERSATION = "<|im_end|><|im_start|>assistant ok"
@@ -81,6 +81,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("query_id").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
 def _repeated(docs: DataFrame) -> DataFrame:
     """Every tenth document by its id's checksum repeats a part of its words up to its end."""
     h = fold("doc_id")
@@ -125,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_simhash": op10_simhash,
+    "op11_lexical_search": op11_lexical_search,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_quality": op13_quality,
 }
@@ -171,4 +177,20 @@ SELECT page_id, host, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coal
 FROM placed LEFT JOIN cleaned USING (r)
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_decontamination": _OP1, "op9_line_dedup": _OP9}
+_TERMS = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+_OP11 = rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+items AS (SELECT row_number() OVER () AS q, item_id, {_TERMS} AS w FROM benchmark),
+corpus AS (SELECT count_if(len(w) > 0) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM docs),
+damped AS (SELECT r, doc_id, 25 + (75 * len(w) * n_docs) // greatest(n_terms, 1) AS m FROM docs, corpus),
+found AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM docs) GROUP BY r, t),
+asked AS (SELECT q, item_id, t, count(*) AS often FROM (SELECT q, item_id, unnest(w) AS t FROM items) GROUP BY q, item_id, t),
+weights AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM found, corpus GROUP BY t, n_docs),
+scored AS (SELECT q, item_id, r, doc_id, CAST(sum(often * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (t) JOIN found USING (t) JOIN damped USING (r) GROUP BY q, item_id, r, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_decontamination": _OP1, "op9_line_dedup": _OP9, "op11_lexical_search": _OP11}
