@@ -60,3 +60,41 @@ def rating_rollup(fact: DataFrame) -> DataFrame:
 
 def cell_rollup(fact: DataFrame) -> DataFrame:
     return roll_up(fact, CELL_KEYS)
+
+
+# Fields that the tiles of the dashboard can be filtered on; all are enumerated or calendar years.
+FILTER_FIELDS = ["item_type", "outlet_type", "outlet_location_type", "outlet_size", "order_year", "item_fat_content"]
+# Filter fields that a product doesn't fix.
+STORE_FIELDS = [c for c in FILTER_FIELDS if c not in PRODUCT_KEYS]
+
+
+def star_rollup(fact: DataFrame) -> DataFrame:
+    """Filter fields x rating: rows only. No more rows than combinations of labels, years and some 40 ratings."""
+    return fact.groupBy(*FILTER_FIELDS, F.col("rating").alias("stars")).agg(F.count(F.lit(1)).alias("records"))
+
+
+def assortment_rollup(fact: DataFrame) -> DataFrame:
+    """Product x filter fields: sums per product under any choice of the other fields."""
+    return fact.groupBy(*PRODUCT_KEYS, *STORE_FIELDS).agg(F.count(F.lit(1)).alias("records"), total("sales").alias("sales"))
+
+
+def number_items(products: DataFrame) -> DataFrame:
+    """(item_identifier, item_number): a number per item. The numbers of a task are dense, so they fill whole bitmaps."""
+    return products.select("item_identifier").distinct().withColumn("item_number", F.monotonically_increasing_id())
+
+
+def item_bitmaps(assortment: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Filter fields x bucket of item numbers: which items of the bucket are sold there.
+
+    Bitmaps of any cells can be united, so distinct items are counted under every choice without their names.
+    A cell has a bitmap of 4 KB per 32,768 item numbers it meets.
+    """
+    numbered = assortment.join(numbers, "item_identifier")
+    return numbered.groupBy(*FILTER_FIELDS, F.bitmap_bucket_number("item_number").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("item_number")).alias("items"))
+
+
+def count_items(bitmaps: DataFrame) -> DataFrame:
+    """One row: `products`, the distinct items in the given bitmaps."""
+    united = bitmaps.groupBy("bucket").agg(F.bitmap_or_agg("items").alias("items"))
+    return united.agg(F.coalesce(F.sum(F.bitmap_count("items")), F.lit(0)).alias("products"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from . import values as bands
 from .base import N, N_SHARE, PARTS, PRODUCTS, REV, SHARE, STORES, avg, dbl, hu, mean, nested, oracle, pct, ratio, rnd
 from .fact_side import DAY, abc, cases, group, grouped_digits, quadrant
-from .values import CARDS, EXAMPLE_CHOICE, FORMAT_COLUMNS, SEGMENT_TABLES, SHORT
+from .values import CARDS, EMPTY_CHOICE, EXAMPLE_CHOICE, FORMAT_COLUMNS, SEGMENT_TABLES, SHORT, SINGLE_CHOICE
 
 YEARS = range(1995, 2002)
 REV4 = rnd("sum(sales)", 4)
@@ -161,10 +161,10 @@ def kpi_cards(table: str) -> str:
 
 oracle("d_kpi_pivot", kpi_pivot("fact"))
 oracle("d_kpi_cards", kpi_cards("fact"))
-chosen = " AND ".join(
-    f"{field} IN ({', '.join(repr(v) for v in values)})" for field, values in EXAMPLE_CHOICE.items())
-for _key, _tile in {"d_cross_filter": pivots, "d_cross_filter_kpis": kpi_pivot, "d_cross_filter_cards": kpi_cards}.items():
-    oracle(_key, _tile("chosen"), f"chosen AS (SELECT * FROM fact WHERE {chosen})")
+for _suffix, _choice in {"": EXAMPLE_CHOICE, "_single": SINGLE_CHOICE, "_empty": EMPTY_CHOICE}.items():
+    chosen = " AND ".join(f"{field} IN ({', '.join(repr(v) for v in values)})" for field, values in _choice.items())
+    for _key, _tile in {"d_cross_filter": pivots, "d_cross_filter_kpis": kpi_pivot, "d_cross_filter_cards": kpi_cards}.items():
+        oracle(_key + _suffix, _tile("chosen"), f"chosen AS (SELECT * FROM fact WHERE {chosen})")
 
 # ---------------------------------------------------------------- aggregates, facts
 

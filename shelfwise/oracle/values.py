@@ -64,6 +64,8 @@ EXAMPLE_CHOICE = {'item_type': ['LARGE', 'PROMO'],
  'outlet_size': ['Small', 'Unknown'],
  'order_year': [1999, 2000],
  'item_fat_content': ['Low Fat']}
+SINGLE_CHOICE = {'outlet_location_type': ['Tier 2']}
+EMPTY_CHOICE = {'order_year': [1899], 'outlet_type': ['Grocery Store']}
 
 SEGMENT_TABLES = {'outlet_type': 'outlet_type',
  'tier': 'outlet_location_type',

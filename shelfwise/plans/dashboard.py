@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..catalog import report
 from ..functions import bands, rolled as R
 from ..functions.exact import quotient
-from ..operators.rollups import cell_rollup, outlet_rollup, product_rollup, rating_rollup
-from ..operators.segments import apply_filters, summarise
+from ..operators.rollups import FILTER_FIELDS, count_items
+from ..operators.segments import apply_filters, one_row, summarise
 from .kpis import totals
 
 
@@ -55,7 +55,8 @@ def pivots(cells: DataFrame, ratings: DataFrame, products: DataFrame, n: int = 1
 
 @report("d_kpi_pivot")
 def kpi_pivot(cells: DataFrame) -> DataFrame:
-    return cells.agg(R.revenue("sum_sales"), R.avg_sale("avg_sales"), R.avg_rating(), R.records("count_sales"))
+    rows = F.coalesce(F.sum("records"), F.lit(0)).alias("count_sales")
+    return cells.agg(R.revenue("sum_sales"), R.avg_sale("avg_sales"), R.avg_rating(), rows)
 
 
 # Label and hint of each card.
@@ -65,8 +66,8 @@ CARDS = {
 }
 
 
-@report("d_kpi_cards")
-def kpi_cards(products: DataFrame, outlets: DataFrame) -> DataFrame:
+def cards(sums: DataFrame) -> DataFrame:
+    """Cards from one row of records, sales, rating, products and categories."""
     rows = F.col("records")
 
     def text(value: Column, digits: int) -> Column:
@@ -80,42 +81,50 @@ def kpi_cards(products: DataFrame, outlets: DataFrame) -> DataFrame:
         text(F.col("products"), 0),
         F.col("categories").cast("string"),
     ]
-    cards = F.array(*[
+    made = F.array(*[
         F.struct(F.lit(label).alias("card"), value.alias("value"), F.lit(hint).alias("hint"))
         for (label, hint), value in zip(CARDS.items(), values)])
-    return totals(products, outlets).select(F.inline(cards))
+    return sums.select(F.inline(made))
+
+
+@report("d_kpi_cards")
+def kpi_cards(products: DataFrame, outlets: DataFrame) -> DataFrame:
+    return cards(totals(products, outlets))
 
 
-FILTER_FIELDS = ["item_type", "outlet_type", "outlet_location_type", "outlet_size", "order_year", "item_fat_content"]
 # A choice on four of the six fields; the others keep everything.
 EXAMPLE_CHOICE = {
     "item_type": ["LARGE", "PROMO"], "outlet_size": ["Small", "Unknown"], "order_year": [1999, 2000],
     "item_fat_content": ["Low Fat"],
 }
+# One field alone, and labels that no row has together.
+SINGLE_CHOICE = {"outlet_location_type": ["Tier 2"]}
+EMPTY_CHOICE = {"order_year": [1899], "outlet_type": ["Grocery Store"]}
 
 
-def filtered_dashboard(fact: DataFrame, choice: dict[str, list]) -> dict[str, DataFrame]:
-    """Every tile under one filter state; unknown fields are refused."""
+def filtered_dashboard(cells: DataFrame, stars: DataFrame, assortment: DataFrame, bitmaps: DataFrame, choice: dict[str, list]) -> dict[str, DataFrame]:
+    """Every tile under one filter state, from stored sums, ratings and bitmaps; unknown fields are refused.
+
+    The fact isn't read, whatever the choice: `cells`, `stars` and `bitmaps` have no more rows than there are
+    combinations of labels (times buckets of items), and only the product lists read sums per product.
+    """
     unknown = set(choice) - set(FILTER_FIELDS)
     if unknown:
         raise ValueError(f"no filter for {sorted(unknown)}")
-    chosen = apply_filters(fact, choice)
-    cells, products = cell_rollup(chosen), product_rollup(chosen)
-    return {
-        "pivots": pivots(cells, rating_rollup(chosen), products), "kpis": kpi_pivot(cells),
-        "cards": kpi_cards(products, outlet_rollup(chosen))}
-
+    cells, stars, assortment, bitmaps = (apply_filters(df, choice) for df in (cells, stars, assortment, bitmaps))
+    sums = cells.agg(
+        F.coalesce(F.sum("records"), F.lit(0)).alias("records"), R.total("sales").alias("sales"), R.total("rating").alias("rating"),
+        R.distinct("item_type", "categories")).withColumn("products", one_row(count_items(bitmaps))["products"])
+    return {"pivots": pivots(cells, stars, assortment), "kpis": kpi_pivot(cells), "cards": cards(sums)}
 
-@report("d_cross_filter_kpis")
-def filtered_kpis(fact: DataFrame) -> DataFrame:
-    return filtered_dashboard(fact, EXAMPLE_CHOICE)["kpis"]
 
+def _register(suffix: str, choice: dict[str, list]) -> None:
+    for key, tile in {"d_cross_filter": "pivots", "d_cross_filter_kpis": "kpis", "d_cross_filter_cards": "cards"}.items():
+        def tile_of(cells: DataFrame, stars: DataFrame, assortment: DataFrame, bitmaps: DataFrame, tile: str = tile) -> DataFrame:
+            return filtered_dashboard(cells, stars, assortment, bitmaps, choice)[tile]
 
-@report("d_cross_filter_cards")
-def filtered_cards(fact: DataFrame) -> DataFrame:
-    return filtered_dashboard(fact, EXAMPLE_CHOICE)["cards"]
+        report(key + suffix)(tile_of)
 
 
-@report("d_cross_filter")
-def cross_filter(fact: DataFrame) -> DataFrame:
-    return filtered_dashboard(fact, EXAMPLE_CHOICE)["pivots"]
+for _suffix, _choice in {"": EXAMPLE_CHOICE, "_single": SINGLE_CHOICE, "_empty": EMPTY_CHOICE}.items():
+    _register(_suffix, _choice)

@@ -97,3 +97,19 @@ class Workspace:
     def cells(self) -> DataFrame:
         """Measures per month, category and segment."""
         return self._stage("cells", lambda: rollups.cell_rollup(self.fact()))
+
+    def stars(self) -> DataFrame:
+        """Rows per filter field and rating."""
+        return self._stage("stars", lambda: rollups.star_rollup(self.fact()))
+
+    def assortment(self) -> DataFrame:
+        """Rows and sales per product and filter field."""
+        return self._stage("assortment", lambda: rollups.assortment_rollup(self.fact()))
+
+    def item_numbers(self) -> DataFrame:
+        """The number of every item in the bitmaps."""
+        return self._stage("item_numbers", lambda: rollups.number_items(self.products()))
+
+    def bitmaps(self) -> DataFrame:
+        """The items sold per filter field, as bitmaps."""
+        return self._stage("bitmaps", lambda: rollups.item_bitmaps(self.assortment(), self.item_numbers()))

@@ -64,7 +64,8 @@ def test_first_rows_need_no_global_sort(spark, key):
 @pytest.mark.parametrize("key", [
     "eda_rating_bands", "q13_category_ratings", "q22_assortment_breadth", "q27_rating_vs_sales", "a10_distribution_gaps",
     "v2_outlet_scorecard", "a13_headline", "a13_top_products", "a13_stores", "a13_trend", "a13_deep_dive", "p_outlet",
-    "p_segments_4", "p_rating_dist", "d_top_bottom_n", "d_pivots", "d_kpi_pivot", "d_kpi_cards"])
+    "p_segments_4", "p_rating_dist", "d_top_bottom_n", "d_pivots", "d_kpi_pivot", "d_kpi_cards",
+    *[k for k in catalog.REPORTS if k.startswith("d_cross_filter")]])
 def test_reports_on_roll_ups_leave_the_fact_alone(spark, key):
     assert "/fact" not in plan(entry.queries()[key](spark, SF_DIR))
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from fixtures import fact, raw
+from shelfwise.operators import rollups
 from shelfwise.operators.order_stats import visibility_tiles
 from shelfwise.operators.pairs import widest_pairs
 from shelfwise.operators.rollups import (
@@ -172,14 +173,63 @@ def test_sums_survive_large_totals(spark):
     assert rolled.agg(K.R.total("sales").alias("s")).schema["s"].dataType.precision == 38
 
 
+def stored_for_filters(f):
+    sold = rollups.assortment_rollup(f)
+    return cells(f), rollups.star_rollup(f), sold, rollups.item_bitmaps(sold, rollups.number_items(products(f)))
+
+
 def test_filters_apply_to_every_tile(spark):
     f = fact(spark, {"item_type": "Meat"}, {"item_type": "Dairy", "outlet_type": "Supermarket Type1"})
-    tiles = D.filtered_dashboard(f, {"item_type": ["Meat"]})
+    tiles = D.filtered_dashboard(*stored_for_filters(f), {"item_type": ["Meat"]})
     assert tiles["kpis"].first()["count_sales"] == 1
     assert {r["label"] for r in tiles["pivots"].where("pivot = 'outlet_type'").collect()} == {"Grocery Store"}
     assert apply_filters(f, {"item_type": []}).count() == 2
     with pytest.raises(ValueError):
-        D.filtered_dashboard(f, {"colour": ["red"]})
+        D.filtered_dashboard(*stored_for_filters(f), {"colour": ["red"]})
+
+
+def test_tiles_of_any_choice_equal_the_filtered_rows(spark):
+    """Items sold in many cells count once; some items have two categories."""
+    rnd = random.Random(3)
+    labels = {"item_type": ["Meat", "Dairy", "Soft"], "outlet_type": ["Grocery Store", "Supermarket Type1"], "outlet_size": ["Small", "High"],
+              "outlet_location_type": ["Tier 1", "Tier 2"], "item_fat_content": ["Low Fat", "Regular"]}
+    data = [{**{c: rnd.choice(v) for c, v in labels.items()}, "item_identifier": f"I{rnd.randrange(40)}", "rating": rnd.choice(["1.5", "3.9", "4.5"]),
+             "sales": rnd.randrange(1, 900), "order_date": f"{rnd.choice([2020, 2021])}-0{rnd.randrange(1, 4)}-05"} for _ in range(400)]
+    f = fact(spark, *data).cache()
+    stored = [df.cache() for df in stored_for_filters(f)]
+    choices = [{}, {"order_year": [2020]}, {"item_type": ["Meat"], "outlet_size": ["Small"]}, {"item_type": ["Meat", "Soft"], "outlet_type": ["Grocery Store"],
+               "outlet_location_type": ["Tier 2"], "order_year": [2021], "item_fat_content": ["Regular"]}, {"order_year": [1999]}]
+    for choice in choices:
+        kept = [r for r in apply_filters(f, choice).collect()]
+        tiles = D.filtered_dashboard(*stored, choice)
+        shown = {r["card"]: r["value"] for r in tiles["cards"].collect()}
+        assert shown["PRODUCTS"] == str(len({r["item_identifier"] for r in kept})) and shown["SALES RECORDS"] == str(len(kept))
+        assert shown["CATEGORIES"] == str(len({r["item_type"] for r in kept}))
+        pivot = {(r["pivot"], r["label"]): r["value"] for r in tiles["pivots"].collect()}
+        assert {k[1]: v for k, v in pivot.items() if k[0] == "rating"} == {
+            b: sum(lo <= r["rating"] < hi for r in kept) for b, lo, hi in (("Under 3.0", 0, 3), ("3.5-3.9", Decimal("3.5"), 4), ("4.5-5.0", Decimal("4.5"), 6))
+            if any(lo <= r["rating"] < hi for r in kept)}
+        per_item = {}
+        for r in kept:
+            per_item[r["item_identifier"]] = per_item.get(r["item_identifier"], 0) + r["sales"]
+        best = sorted(per_item.items(), key=lambda x: (-x[1], x[0]))[:10]
+        assert {k[1]: v for k, v in pivot.items() if k[0] == "top_prod"} == dict(best)
+    for df in (f, *stored):
+        df.unpersist()
+
+
+def test_items_are_counted_across_buckets(spark):
+    """Numbers of several buckets and tasks; an item in every cell counts once."""
+    sold = spark.range(100_000).select(
+        F.format_string("I%06d", F.col("id")).alias("item_identifier"),
+        *[F.lit("x").alias(c) for c in rollups.FILTER_FIELDS if c != "order_year"], F.explode(F.array(F.lit(1), F.lit(2))).alias("order_year"))
+    numbers = rollups.number_items(sold.select("item_identifier").repartition(3)).cache()
+    assert numbers.select("item_number").distinct().count() == 100_000
+    bitmaps = rollups.item_bitmaps(sold, numbers).cache()
+    assert rollups.count_items(bitmaps).first()["products"] == 100_000
+    assert bitmaps.select("bucket").distinct().count() >= 4
+    assert rollups.count_items(bitmaps.where("order_year = 3")).first()["products"] == 0
+    numbers.unpersist(), bitmaps.unpersist()
 
 
 def test_shares_and_classes_cover_everything(spark):
