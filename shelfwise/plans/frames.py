@@ -218,8 +218,7 @@ QUINTILES = {"e1": 20, "e2": 40, "e3": 60, "e4": 80}
 @report("p_visibility_quintiles")
 def visibility_quintiles(fact: DataFrame) -> DataFrame:
     """Fifths of the value range by interpolated quantiles; an edge belongs to the fifth below it."""
-    levels = [("item_visibility", F.col("item_visibility"))]
-    edges = one_row(quantiles_interpolated(fact, "item_visibility", QUINTILES, levels))
+    edges = one_row(quantiles_interpolated(fact, "item_visibility", QUINTILES))
     banded = fact.select("sales", "rating", "item_visibility").withColumn("_edges", edges)
     fifth = sum((F.when(F.col("item_visibility") > F.col(f"_edges.{e}"), 1).otherwise(0) for e in QUINTILES), F.lit(1))
     return banded.groupBy(fifth.cast("string").alias("vis_quintile")).agg(

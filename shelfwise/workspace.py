@@ -86,13 +86,15 @@ class Workspace:
         """Measures per category and rating."""
         return self._stage("ratings", lambda: rollups.rating_rollup(self.fact()))
 
+    def visibility_tiles(self) -> DataFrame:
+        """Sums per fifth and per tenth of the rows by shelf visibility."""
+        return self._stage("visibility_tiles", lambda: order_stats.visibility_tiles(self.fact(), [5, 10]))
+
     def quintile_tiles(self) -> DataFrame:
-        """Sums per fifth of the rows by shelf visibility."""
-        return self._stage("quintile_tiles", lambda: order_stats.visibility_tiles(self.fact(), 5))
+        return self.visibility_tiles().where("tiles = 5").drop("tiles")
 
     def decile_tiles(self) -> DataFrame:
-        """Sums per tenth of the rows by shelf visibility."""
-        return self._stage("decile_tiles", lambda: order_stats.visibility_tiles(self.fact(), 10))
+        return self.visibility_tiles().where("tiles = 10").drop("tiles")
 
     def cells(self) -> DataFrame:
         """Measures per month, category and segment."""

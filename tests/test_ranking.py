@@ -5,8 +5,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import Window, functions as F
 
-from shelfwise.operators.order_stats import (
-    amount_levels, quantiles_by_rank, quantiles_interpolated, rows_at_ranks, tile_summary)
+from shelfwise.operators import order_stats
+from shelfwise.operators.order_stats import quantiles_by_rank, quantiles_interpolated, rows_at_ranks, tile_summary
 from shelfwise.operators.ranking import Rank, running_before, with_rank, with_ranks, with_row_number, with_tile
 
 
@@ -77,8 +77,7 @@ def test_tile_summary_splits_ties(spark, n, tiles):
     df = spark.range(n).select(
         F.when(F.col("id") % 3 == 0, F.lit("0.05")).otherwise((F.col("id") % 11) / 100).cast("decimal(9,6)").alias("v"),
         (F.col("id") * 7919 % 13 + 0.25).cast("decimal(10,4)").alias("sales"))
-    levels = [("v", F.col("v")), *amount_levels("sales")]
-    got = tile_summary(df, levels, ["v", "sales"], tiles, ["sales", "v"], ["v"])
+    got = tile_summary(df, ["v", "sales"], [tiles], ["sales", "v"], ["v"]).drop("tiles")
     tiled = df.withColumn("tile", F.ntile(tiles).over(Window.orderBy("v", "sales")))
     want = tiled.groupBy("tile").agg(
         F.count(F.lit(1)), F.sum("sales"), F.sum("v"), F.min("v"), F.max("v"))
@@ -86,11 +85,60 @@ def test_tile_summary_splits_ties(spark, n, tiles):
 
 
 def test_ranks_inside_ties(spark):
-    found = rows_at_ranks(amounts(spark, [1, 2, 2, 2, 3]), amount_levels("sales"), {"x": lambda n: F.lit(3), "y": lambda n: n})
+    found = rows_at_ranks(amounts(spark, [1, 2, 2, 2, 3]), ["sales"], {"x": lambda n: 3, "y": lambda n: n})
     assert (found["x"].values["sales"], found["x"].rank_in_ties, found["x"].n) == (2, 2, 5)
     assert found["y"].values["sales"] == 3
 
 
+def keyed(spark, n=20_000):
+    """Three sort keys; a third of the rows share the first, some share all."""
+    return spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("0.05")).otherwise((F.col("id") * 7919 % 997) / 1000).cast("decimal(9,6)").alias("v"),
+        ((F.col("id") * 104729 % 1009 - 300) / 7).cast("decimal(10,4)").alias("sales"), (F.col("id") % 4).cast("decimal(3,2)").alias("r"))
+
+
+@pytest.mark.parametrize("size, reach", [(8, 1e-6), (8, 0.2), (65_535, order_stats.REACH)])
+def test_ranks_of_any_place_whatever_the_sketch(spark, monkeypatch, size, reach):
+    """A coarse sketch with brackets too narrow is found out and widened; the answer stays exact."""
+    monkeypatch.setattr(order_stats, "SKETCH_SIZE", size)
+    monkeypatch.setattr(order_stats, "REACH", reach)
+    df = keyed(spark).cache()
+    want = sorted((r["v"], r["sales"], r["r"]) for r in df.collect())
+    places = [1, 2, 333, 5_000, 6_000, 6_001, 9_999, 12_345, 19_999, 20_000]
+    found = rows_at_ranks(df, ["v", "sales", "r"], {str(k): (lambda n, k=k: k) for k in places})
+    assert list(found) == [str(k) for k in places]
+    for k in places:
+        own = found[str(k)]
+        assert tuple(own.values.values()) == want[k - 1] and own.n == 20_000
+        assert own.rank_in_ties == sum(x == want[k - 1] for x in want[:k])
+    df.unpersist()
+
+
+def test_two_reads_whatever_the_number_of_ranks(spark, monkeypatch):
+    made = []
+    counted = order_stats._counted
+    monkeypatch.setattr(order_stats, "_counted", lambda *a: made.append(1) or counted(*a))
+    got = quantiles_by_rank(keyed(spark, 5_000), "sales", {f"p{p}": p for p in range(1, 100)})
+    assert len(made) == 1
+    assert "RDD" not in got._jdf.queryExecution().optimizedPlan().toString()
+    ranked = sorted(r["sales"] for r in keyed(spark, 5_000).collect())
+    assert [got.first()[f"p{p}"] for p in (1, 50, 99)] == [ranked[4_999 * p // 100] for p in (1, 50, 99)]
+
+
+def test_the_guide_never_falls(spark):
+    df = keyed(spark).withColumn("g", order_stats.guide(keyed(spark).schema, ["v", "sales", "r"]))
+    rows = sorted((r["v"], r["sales"], r["g"]) for r in df.distinct().collect())
+    assert all(a[2] <= b[2] for a, b in zip(rows, rows[1:]))
+
+
+def test_tilings_together_equal_each_alone(spark):
+    df = keyed(spark, 1_003)
+    both = tile_summary(df, ["v", "sales"], [5, 10], ["sales", "v"], ["v"]).collect()
+    for tiles in (5, 10):
+        alone = tile_summary(df, ["v", "sales"], [tiles], ["sales", "v"], ["v"]).collect()
+        assert sorted(r for r in both if r["tiles"] == tiles) == sorted(alone) and len(alone) == tiles
+
+
 def test_several_ranks_read_their_input_once_each_and_once_more(spark, tmp_path):
     path = str(tmp_path / "entities")
     entities(spark, 50).write.parquet(path)

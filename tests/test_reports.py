@@ -66,7 +66,7 @@ def test_equal_revenue_ranks(spark):
 
 def test_more_tiles_than_rows(spark):
     f = fact(spark, *[{"item_visibility": v} for v in ("0.1", "0.2", "0.3")])
-    assert [r["visibility_band"] for r in B.visibility_quintiles(visibility_tiles(f, 5)).collect()] == ["1 - Lowest visibility", "2", "3 - Middle"]
+    assert [r["visibility_band"] for r in B.visibility_quintiles(visibility_tiles(f, [5])).collect()] == ["1 - Lowest visibility", "2", "3 - Middle"]
 
 
 def test_missing_month_shows_and_yoy_uses_the_calendar(spark):
