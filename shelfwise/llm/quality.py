@@ -10,8 +10,8 @@ with the model's weights.
 
 The weights are learnt by follow-the-regularised-leader updates, one labelled text after another, with
 a learning rate of its own per place. The labelled rows are dealt into SHARDS shards by their ids'
-hashes. In each round every shard starts from the same state and goes through its rows once, streaming
-them; then Spark averages, place by place, the states of the shards that met the place. State and
+hashes and stored, a file each. In each round every shard starts from the same state and goes through
+its rows once, streaming them; then Spark averages, place by place, the states of the shards that met the place. State and
 weights have 2 ** BITS numbers, whatever the size of the data. The intercept isn't learnt: it is the
 logarithm of the odds of the sample's labels, so a text that says nothing scores the share of label 1.
 
@@ -33,12 +33,12 @@ from pyspark.sql import DataFrame, functions as F
 from .common import written
 
 #: Places of the n-grams, as a power of two, and the longest n-grams of words and of forms.
-BITS, LONGEST, LONGEST_FORMS = 18, 2, 3
+BITS, LONGEST, LONGEST_FORMS = 17, 2, 3
 #: Added to a reading's squared length before it is scaled.
 SHORT = 4.0
 #: Bound of the sample of labelled rows.
-ROWS = 12_000
-SHARDS, ROUNDS = 8, 6
+ROWS = 6_000
+SHARDS, ROUNDS = 4, 6
 #: Learning rate and its offset, and the penalties on the weights' size and square.
 ALPHA, BETA, L1, L2 = 1.5, 1.0, 0.02, 0.02
 #: Hashes of words that a task remembers.
@@ -150,17 +150,20 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_column: str, text_col
 
 
 def _vectors(sample: DataFrame, bits: int) -> DataFrame:
-    """(place, quality, places, weights) of the sampled texts."""
+    """(shard, place, quality, places, weights) of the sampled texts, a shard's rows one after another."""
+    dealt = sample.select(
+        F.pmod("place", F.lit(SHARDS)).alias("shard"), "place", F.col("quality").cast("int").alias("quality"), "text",
+    ).repartition(SHARDS, "shard").sortWithinPartitions("shard", "place")
+
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(bits)
         for batch in batches:
             coded = [hasher.vector(t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([
-                batch.column("place"), batch.column("quality"), pa.array([p.astype(np.int32) for p, _ in coded], pa.list_(pa.int32())),
-                pa.array([w for _, w in coded], pa.list_(pa.float64()))], names=["place", "quality", "places", "weights"])
+                *(batch.column(c) for c in ("shard", "place", "quality")), pa.array([p.astype(np.int32) for p, _ in coded], pa.list_(pa.int32())),
+                pa.array([w for _, w in coded], pa.list_(pa.float64()))], names=["shard", "place", "quality", "places", "weights"])
 
-    return sample.withColumn("quality", F.col("quality").cast("int")).mapInArrow(
-        each, "place bigint, quality int, places array<int>, weights array<double>")
+    return dealt.mapInArrow(each, "shard bigint, place bigint, quality int, places array<int>, weights array<double>")
 
 
 def _round(rows: DataFrame, state: State) -> State:
@@ -172,7 +175,7 @@ def _round(rows: DataFrame, state: State) -> State:
 
         def result() -> pa.RecordBatch:
             at = np.flatnonzero(met)
-            return pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(own.z[at]), pa.array(own.n[at])], names=["at", "z", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(own.z[at]), pa.array(own.n[at])], names=["at", "z", "n"])
 
         for batch in batches:
             for k, y, p, v in zip(batch.column("shard"), batch.column("quality"), batch.column("places"), batch.column("weights")):
@@ -186,8 +189,8 @@ def _round(rows: DataFrame, state: State) -> State:
         if shard is not None:
             yield result()
 
-    dealt = rows.repartition(SHARDS, "shard").sortWithinPartitions("shard", "place")
-    found = dealt.mapInArrow(each, "at bigint, z double, n double").groupBy("at").agg(F.avg("z").alias("z"), F.avg("n").alias("n")).toArrow()
+    # A shard is a file, of one row group up to 128 MB, which no two tasks share; a task that has several files takes them in turn.
+    found = rows.mapInArrow(each, "at int, z double, n double").groupBy("at").agg(F.avg("z").alias("z"), F.avg("n").alias("n")).toArrow()
     # A row per place at most.
     after, at = state.copy(), found.column("at").to_numpy()
     after.z[at], after.n[at] = found.column("z").to_numpy(), found.column("n").to_numpy()
@@ -201,8 +204,7 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     Without labelled texts all are zero. The labels decide which rows are learnt from: leave those
     of held-out documents out. The result doesn't depend on how the tables are cut into files.
     """
-    sample = _vectors(labelled_sample(docs, labels, id_column, text_column, rows), bits)
-    coded = written(sample.withColumn("shard", F.pmod(F.col("place"), F.lit(SHARDS))), "quality-sample")
+    coded = written(_vectors(labelled_sample(docs, labels, id_column, text_column, rows), bits), "quality-sample")
     of_quality, total = coded.agg(F.coalesce(F.sum("quality"), F.lit(0)), F.count("*")).first()
     state = State(np.zeros(1 << bits), np.zeros(1 << bits), math.log((of_quality + 1) / (total - of_quality + 1)))
     for _ in range(ROUNDS):
