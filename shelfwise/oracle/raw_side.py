@@ -177,6 +177,9 @@ def _integrity() -> None:
     repeats = "(SELECT count(*) AS n FROM fact GROUP BY item_identifier, outlet_identifier HAVING count(*) > 1)"
     oracle("val_unique", f"""SELECT count(*) AS repeated_groups, {big('coalesce(sum(n - 1), 0)')} AS surplus_rows FROM {repeats}""")
     oracle("surrogate_key", "SELECT count(*) AS records, count(*) AS distinct_ids, CAST(0 AS BIGINT) AS missing_ids FROM fact")
+    parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), chr(30))" for c in RAW_COLUMNS)
+    oracle("surrogate_key_rows", f"""SELECT item_identifier, outlet_identifier, strftime(order_date, '%Y-%m-%d') AS order_date,
+        CAST(sales AS DOUBLE) AS sales, md5(concat_ws(chr(31), {parts})) AS sale_id FROM uniq""", base="uniq")
     oracle("val_row_recon", """SELECT r AS raw_rows, c AS clean_rows, r - c AS rows_removed
         FROM (SELECT (SELECT count(*) FROM raw) AS r, (SELECT count(*) FROM fact) AS c)""")
     oracle("val_revenue_recon", f"""SELECT {rnd('r')} AS raw_revenue, {rnd('c')} AS clean_revenue, {rnd('r - c')} AS revenue_removed

@@ -286,11 +286,9 @@ def aggregate_tables(workspace) -> dict[str, DataFrame]:
 def stored_aggregates(workspace) -> DataFrame:
     """Write every aggregate table, read each back, count it and add up its revenue where it has one."""
     folder = workspace.path("aggregates")
-    tables = aggregate_tables(workspace)
-    files.write_aggregates(tables, folder)
+    files.write_aggregates(aggregate_tables(workspace), folder)
     result = None
-    for name in tables:
-        table = workspace.spark.read.parquet(f"{folder}/{name}")
+    for name, table in files.read_aggregates(workspace.spark, folder).items():
         revenue = F.sum(F.col("revenue").cast("decimal(30,4)")) if "revenue" in table.columns else F.lit(None).cast("decimal(30,4)")
         counted = table.agg(
             F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"),
@@ -383,7 +381,6 @@ def headline_facts(
 
 @report("sink_facts_json")
 def stored_facts(workspace) -> DataFrame:
-    facts = catalog.call(headline_facts, workspace)
     path = workspace.path("facts_json")
-    files.write_facts(facts, path)
-    return files.read_facts(workspace.spark, path, facts.schema)
+    files.write_facts(catalog.call(headline_facts, workspace), path)
+    return files.read_facts(workspace.spark, path)

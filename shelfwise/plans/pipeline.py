@@ -8,6 +8,7 @@ from ..catalog import report
 from ..operators import cleaning as C
 from ..schema import FACT_COLUMNS, GRAIN, REPORT_COLUMNS
 from ..sources import files
+from .quality import row_rules
 
 ROW = [*GRAIN, "order_date"]  # columns that let a reader find a row again
 MEASURED = [c for c in FACT_COLUMNS if c != "sale_id"]
@@ -35,7 +36,7 @@ def report_columns_from_csv(workspace) -> DataFrame:
 @report("sink_fact")
 def stored_fact(workspace) -> DataFrame:
     path = workspace.path("fact_sink")
-    files.write_fact(workspace.fact(), path)
+    files.write_fact(workspace.fact(), path, row_rules())
     return files.read_fact(workspace.spark, path).select(MEASURED)
 
 

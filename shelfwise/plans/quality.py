@@ -12,6 +12,7 @@ from ..functions.exact import percent, total
 from ..operators.cleaning import number
 from ..operators.segments import one_row
 from ..schema import ALLOWED_VALUES, CHECKS, GRAIN, REQUIRED_COLUMNS
+from ..sources.publish import Part, publish, published
 
 
 def violations(df: DataFrame, rules: dict[str, Column], label: str, alias: str) -> DataFrame:
@@ -48,29 +49,33 @@ def null_violations(fact: DataFrame) -> DataFrame:
     return violations(fact, not_null_rules(), "column_name", "null_rows")
 
 
+def row_rules() -> dict[str, Column]:
+    """All rules that a single row can break."""
+    return {**enum_rules(), **check_rules(), **not_null_rules()}
+
+
+def broken(rules: dict[str, Column] | None = None) -> Column:
+    """Whether a row breaks a rule."""
+    return reduce(lambda a, b: a | b, [F.coalesce(r, F.lit(False)) for r in (rules or row_rules()).values()])
+
+
 def split_by_rules(fact: DataFrame, rules: dict[str, Column] | None = None) -> tuple[DataFrame, DataFrame]:
     """(accepted, quarantined): rows that meet all row rules, and the others."""
-    rules = rules or {**enum_rules(), **check_rules(), **not_null_rules()}
-    broken = reduce(lambda a, b: a | b, [F.coalesce(r, F.lit(False)) for r in rules.values()])
-    return fact.where(~broken), fact.where(broken)
+    return fact.where(~broken(rules)), fact.where(broken(rules))
 
 
 @report("val_quarantine")
 def quarantined(workspace) -> DataFrame:
-    """Store the rows that meet all row rules and the others apart, and count what was stored.
+    """Store the rows that meet all row rules and the others apart, in one pass, and count what was stored.
 
     The rules hold for the fact as cleaned; a price cap that a user adds is stood in for by
     sales above 50,000, so that both sides have rows.
     """
     strict = {**enum_rules(), **check_rules(), **not_null_rules(), "price_cap": F.col("sales") > 50_000}
-    result = None
-    for name, rows in zip(("accepted", "quarantined"), split_by_rules(workspace.fact(), strict)):
-        path = workspace.path(f"quality_{name}")
-        rows.write.mode("overwrite").parquet(path)
-        counted = workspace.spark.read.schema(rows.schema).parquet(path).agg(
-            F.lit(name).alias("part"), M.records("rows"), M.revenue())
-        result = counted if result is None else result.unionByName(counted)
-    return result
+    path = workspace.path("quality_parts")
+    marked = workspace.fact().withColumn("part", F.when(broken(strict), "quarantined").otherwise("accepted"))
+    publish(path, {"rows": Part(marked, ["part"])})
+    return published(workspace.spark, path, "rows").groupBy("part").agg(M.records("rows"), M.revenue())
 
 
 @report("val_unique")
@@ -87,6 +92,11 @@ def surrogate_key(fact: DataFrame) -> DataFrame:
         F.count_if(F.col("sale_id").isNull()).alias("missing_ids"))
 
 
+@report("surrogate_key_rows")
+def keys_of_rows(fact: DataFrame) -> DataFrame:
+    return fact.select(*GRAIN, "order_date", "sales", "sale_id")
+
+
 @report("val_row_recon")
 def row_reconciliation(raw: DataFrame, fact: DataFrame) -> DataFrame:
     kept = one_row(fact.agg(M.records("n")))["n"]

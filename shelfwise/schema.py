@@ -74,7 +74,7 @@ OUTLET_ATTRIBUTES = [
 ]
 
 FACT_SCHEMA = T.StructType([
-    T.StructField("sale_id", T.LongType()),
+    T.StructField("sale_id", T.StringType()),
     T.StructField("item_identifier", T.StringType()),
     T.StructField("item_type", T.StringType()),
     T.StructField("item_fat_content", T.StringType()),

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..schema import FACT_SCHEMA, RAW_COLUMNS, RAW_HEADER, REPORT_COLUMNS
+from .publish import Part, names, publish, published
+
+CSV = {"header": "true", "escape": '"', "dateFormat": "yyyy-MM-dd"}
 
 
 def _strict(spark: SparkSession):
@@ -41,41 +44,38 @@ def row_count(raw: DataFrame) -> DataFrame:
     return raw.agg(F.count(F.lit(1)).alias("rows_loaded"))
 
 
-def write_fact(fact: DataFrame, path: str) -> None:
-    """Replace the fact table; one folder per order year, so year ranges prune files."""
-    fact.hint("rebalance", "order_year").write.mode("overwrite").partitionBy("order_year").parquet(path)
+def write_fact(fact: DataFrame, path: str, rules: dict[str, Column] | None = None) -> None:
+    """Publish the fact table; one folder per order year, so year ranges prune files. A row that breaks a rule rejects the load."""
+    publish(path, {"fact": Part(fact.hint("rebalance", "order_year"), ["order_year"], rules=rules or {})})
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(FACT_SCHEMA).parquet(path).select(FACT_SCHEMA.fieldNames())
+    return published(spark, path, "fact").select(FACT_SCHEMA.fieldNames())
 
 
 def write_clean_csv(fact: DataFrame, path: str) -> None:
-    (
-        fact.write.mode("overwrite")
-        .option("header", True)
-        .option("escape", '"')
-        .option("dateFormat", "yyyy-MM-dd")
-        .csv(path)
-    )
+    publish(path, {"clean": Part(fact, format="csv", options=CSV)})
 
 
 def read_clean_csv(spark: SparkSession, path: str, columns: list[str] = REPORT_COLUMNS) -> DataFrame:
-    """Typed columns of the report layer from the flat clean extract."""
-    return _strict(spark).option("dateFormat", "yyyy-MM-dd").schema(FACT_SCHEMA).csv(path).select(columns)
+    """Typed columns of the report layer from the flat clean extract; a bad value fails the job."""
+    strict = {"mode": "FAILFAST", "enforceSchema": "false", "columnPruning": "false", "quote": '"'}
+    return published(spark, path, "clean", CSV | strict, FACT_SCHEMA).select(columns)
 
 
 def write_aggregates(tables: dict[str, DataFrame], folder: str) -> None:
-    """One Parquet folder per aggregate table."""
-    for name, table in tables.items():
-        table.write.mode("overwrite").parquet(f"{folder}/{name}")
+    """Publish all aggregate tables together, so that no reader mixes two loads."""
+    publish(folder, {name: Part(table) for name, table in tables.items()})
+
+
+def read_aggregates(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return {name: published(spark, folder, name) for name in names(spark, folder)}
 
 
 def write_facts(facts: DataFrame, path: str) -> None:
     """One JSON record; the frame has one row, so one task is enough."""
-    facts.coalesce(1).write.mode("overwrite").json(path)
-
+    publish(path, {"facts": Part(facts.coalesce(1), format="json")})
 
-def read_facts(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).json(path)
 
+def read_facts(spark: SparkSession, path: str) -> DataFrame:
+    return published(spark, path, "facts")

@@ -61,9 +61,8 @@ class Workspace:
         def build():
             rows = cleaning.finish(self.unique(), self.weight_by_item(), self.medians_by_type())
             # Evenly sized files per year, a large year split by AQE; sorted inside, so that category
-            # filters skip row groups; the key is added after this shuffle.
-            spread = rows.hint("rebalance", "order_year").sortWithinPartitions("order_year", "item_type")
-            return spread.transform(cleaning.add_sale_id).select(FACT_COLUMNS)
+            # filters skip row groups.
+            return rows.hint("rebalance", "order_year").sortWithinPartitions("order_year", "item_type").select(FACT_COLUMNS)
         return self._stage("fact", build, ["order_year"]).select(FACT_COLUMNS)
 
     def products(self) -> DataFrame:
