@@ -32,9 +32,10 @@ def blank_to_null(column: str) -> Column:
     return F.nullif(F.trim(F.col(column)), F.lit(""))
 
 
-def number(column: str, type_name: str) -> Column:
-    """Typed number of a text column, blank as NULL; any other bad text fails the job."""
-    return blank_to_null(column).cast(type_name)
+def number(column: str, type_name: str, strict: bool = True) -> Column:
+    """Typed number of a text column, blank as NULL; any other bad text fails the job, or is NULL too if not `strict`."""
+    text = blank_to_null(column)
+    return text.cast(type_name) if strict else text.try_cast(type_name)
 
 
 def zero_to_null(value: Column) -> Column:
@@ -46,36 +47,44 @@ def blank_to_unknown(column: str) -> Column:
     return F.coalesce(blank_to_null(column), F.lit(UNKNOWN))
 
 
-def bounded_rating(column: str) -> Column:
+def bounded_rating(column: str, strict: bool = True) -> Column:
     """One decimal, forced into 1..5."""
-    one_decimal = F.round(number(column, "decimal(4,3)"), 1)
+    one_decimal = F.round(number(column, NUMBERS["rating"], strict), 1)
     low, high = F.lit("1.0").cast("decimal(3,2)"), F.lit("5.0").cast("decimal(3,2)")
     return F.when(one_decimal.isNotNull(), F.least(high, F.greatest(low, one_decimal))).cast("decimal(3,2)")
 
 
-def parsed_date(column: str) -> Column:
-    return F.to_date(blank_to_null(column), "yyyy-MM-dd")
+def parsed_date(column: str, strict: bool = True) -> Column:
+    parse = F.to_date if strict else F.try_to_date
+    return parse(blank_to_null(column), "yyyy-MM-dd")
 
 
-def type_columns(raw: DataFrame, strict: bool = True) -> DataFrame:
-    """Trim, map and cast every column; with `strict`, an unknown fat-content label fails the job."""
+# Types of the numbers in the extract, as text is cast to them.
+NUMBERS = {
+    "item_weight": "decimal(6,3)", "item_visibility": "decimal(9,6)", "outlet_establishment_year": "int", "sales": "decimal(10,4)",
+    "rating": "decimal(4,3)",
+}
+
+
+def type_columns(raw: DataFrame, strict: bool = True, *more: Column) -> DataFrame:
+    """Trim, map and cast every column; `more` columns are added.
+
+    With `strict`, a bad value or an unknown fat-content label fails the job; else it becomes NULL.
+    """
     unmapped = fail_on("unmapped fat content: ", "item_fat_content") if strict else None
-    typed = {
+    typed = {c: number(c, kind, strict) for c, kind in NUMBERS.items()} | {
         "item_identifier": F.trim("item_identifier"),
-        "item_weight": number("item_weight", "decimal(6,3)"),
         "item_fat_content": canonical_fat_content("item_fat_content", unmapped),
-        "item_visibility": zero_to_null(number("item_visibility", "decimal(9,6)")),
+        "item_visibility": zero_to_null(number("item_visibility", NUMBERS["item_visibility"], strict)),
         "item_type": F.trim("item_type"),
         "outlet_identifier": F.trim("outlet_identifier"),
-        "outlet_establishment_year": number("outlet_establishment_year", "int"),
         "outlet_size": blank_to_unknown("outlet_size"),
         "outlet_location_type": F.trim("outlet_location_type"),
         "outlet_type": F.trim("outlet_type"),
-        "sales": number("sales", "decimal(10,4)"),
-        "rating": bounded_rating("rating"),
-        "order_date": parsed_date("order_date"),
+        "rating": bounded_rating("rating", strict),
+        "order_date": parsed_date("order_date", strict),
     }
-    return raw.select([typed[c].alias(c) for c in RAW_COLUMNS])
+    return raw.select(*[typed[c].alias(c) for c in RAW_COLUMNS], *more)
 
 
 def drop_copies(typed: DataFrame) -> DataFrame:

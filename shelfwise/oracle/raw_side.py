@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .base import LABEL, big, dbl, oracle, pct, ratio, rnd
 from .values import (
-    ALLOWED_VALUES, CHECKS, COLUMN_ROLES, DECISIONS, GAP_NOTES, LISTED_COLUMNS, RAW_COLUMNS, REPORT_COLUMNS, REQUIRED_COLUMNS)
+    ALLOWED_VALUES, CHECKS, COERCED_TYPES, COLUMN_ROLES, DECISIONS, GAP_NOTES, LISTED_COLUMNS, RAW_COLUMNS, REPORT_COLUMNS, REQUIRED_COLUMNS, SPOILED)
 
 DECIMALS = {"item_weight", "item_visibility", "sales", "rating"}
 INTEGERS = {
@@ -57,6 +57,7 @@ def register() -> None:
     oracle("cln_median_by_item", "SELECT item_identifier, m AS item_median_weight FROM item_median", base="uniq")
     oracle("cln_median_by_type", "SELECT item_type, w AS type_median_weight FROM type_median", base="uniq")
     oracle("cln_median_visibility", "SELECT item_type, v AS type_median_visibility FROM type_median", base="uniq")
+    _coerced()
     keys = ["item_identifier", "outlet_identifier", "order_date"]
     for key, columns in {
         "cln_impute": ["item_weight", "item_visibility"],
@@ -71,6 +72,29 @@ def register() -> None:
     _integrity()
 
 
+def _coerced() -> None:
+    spoiled = ", ".join(
+        f"CASE WHEN CAST(item_identifier AS BIGINT) % {SPOILED[c][0]} = {SPOILED[c][1]} THEN '{SPOILED[c][2]}' ELSE {c} END AS {c}"
+        if c in SPOILED else c for c in RAW_COLUMNS)
+    bad = f"spoiled AS (SELECT {spoiled} FROM raw)"
+    text = "nullif(trim({}), '')".format
+    day = "CAST(TRY_STRPTIME({}, '%Y-%m-%d') AS DATE)".format
+    typed = {c: f"TRY_CAST({text(c)} AS {t})" for c, t in COERCED_TYPES.items()} | {
+        "item_fat_content": LABEL, "outlet_size": f"coalesce({text('outlet_size')}, 'Unknown')", "order_date": day(text("order_date")),
+        "item_visibility": f"nullif(TRY_CAST({text('item_visibility')} AS DECIMAL(9,6)), 0)",
+        "rating": f"CAST(CASE WHEN r > 5 THEN 5 WHEN r < 1 THEN 1 ELSE r END AS DECIMAL(3,2))"}
+    rounded = f"SELECT *, round(TRY_CAST({text('rating')} AS DECIMAL(4,3)), 1) AS r FROM spoiled"
+    columns = ", ".join(f"{typed.get(c, f'trim({c})')} AS {c}" for c in RAW_COLUMNS)
+    oracle("cln_coerce_typed", rows(RAW_COLUMNS, "typed"), f"{bad}, typed AS (SELECT {columns} FROM ({rounded}))", base="raw")
+    checks = [
+        f"""SELECT '{c}' AS column_name, {c} AS value, CASE WHEN TRY_CAST({text(c)} AS DOUBLE) IS NULL THEN 'not a number' ELSE 'out of range' END AS reason
+        FROM spoiled WHERE {text(c)} IS NOT NULL AND TRY_CAST({text(c)} AS {t}) IS NULL""" for c, t in COERCED_TYPES.items()]
+    checks.append(f"SELECT 'order_date', order_date, 'not a date' FROM spoiled WHERE {text('order_date')} IS NOT NULL AND {day(text('order_date'))} IS NULL")
+    checks.append(f"SELECT 'item_fat_content', item_fat_content, 'unknown label' FROM spoiled WHERE {text('item_fat_content')} IS NOT NULL AND {LABEL} IS NULL")
+    oracle("cln_coerce_rejects", """SELECT column_name, reason, count(*) AS rejected_values, count(DISTINCT value) AS distinct_values
+        FROM rejects GROUP BY column_name, reason""", f"{bad}, rejects AS ({_union(checks)})", base="raw")
+
+
 def _union(parts: list[str]) -> str:
     return " UNION ALL ".join(parts)
 

@@ -175,3 +175,15 @@ REQUIRED_COLUMNS = ['sale_id',
  'order_year_month',
  'order_weekday',
  'is_weekend']
+
+SPOILED = {'sales': (97, 5, 'n/a'),
+ 'order_date': (89, 3, '2021-13-40'),
+ 'item_weight': (83, 7, '12,5'),
+ 'rating': (79, 11, '99999.5'),
+ 'item_fat_content': (73, 2, 'xx')}
+
+COERCED_TYPES = {'item_weight': 'DECIMAL(6,3)',
+ 'item_visibility': 'DECIMAL(9,6)',
+ 'outlet_establishment_year': 'INTEGER',
+ 'sales': 'DECIMAL(10,4)',
+ 'rating': 'DECIMAL(4,3)'}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..catalog import report
-from ..operators import cleaning as C
+from ..operators import cleaning as C, coerce
 from ..schema import FACT_COLUMNS, GRAIN, REPORT_COLUMNS
 from ..sources import files
 from .quality import row_rules
@@ -65,6 +65,35 @@ def typed_numbers(raw: DataFrame) -> DataFrame:
         C.number("sales", "decimal(10,4)").alias("sales"))
 
 
+# Every so-manieth item has such a value in the extract that the lenient load is shown on.
+SPOILED = {
+    "sales": (97, 5, "n/a"), "order_date": (89, 3, "2021-13-40"), "item_weight": (83, 7, "12,5"), "rating": (79, 11, "99999.5"),
+    "item_fat_content": (73, 2, "xx"),
+}
+
+
+def spoiled(raw: DataFrame) -> DataFrame:
+    """The extract with values that can't be typed; a strict load refuses it."""
+    item = F.col("item_identifier").cast("bigint")
+    return raw.withColumns({c: F.when(item % every == rest, text).otherwise(F.col(c)) for c, (every, rest, text) in SPOILED.items()})
+
+
+def _lenient(workspace) -> str:
+    root = workspace.path("coerced")
+    coerce.load(spoiled(workspace.raw()), root, max_share=0.1)
+    return root
+
+
+@report("cln_coerce_typed")
+def leniently_typed(workspace) -> DataFrame:
+    return coerce.typed_rows(workspace.spark, _lenient(workspace))
+
+
+@report("cln_coerce_rejects")
+def rejected_values(workspace) -> DataFrame:
+    return coerce.rejects_by_reason(workspace.spark, _lenient(workspace))
+
+
 @report("cln_zero_as_null")
 def zeros_as_missing(raw: DataFrame) -> DataFrame:
     return raw.select(*ROW, C.zero_to_null(C.number("item_visibility", "decimal(9,6)")).alias("item_visibility"))

@@ -26,6 +26,25 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return _strict(spark).schema(titled).csv(path).toDF(*RAW_COLUMNS)
 
 
+# Columns that the lenient reader adds: the text of a malformed line, and where a row stands.
+LINE = "_line"
+PLACE = ["file", "block_start"]
+
+
+def read_raw_lenient(spark: SparkSession, path: str) -> DataFrame:
+    """The extract with short and long lines kept apart: their text is in `_line`, which is NULL for a good line.
+
+    A row's place is its file and where the part of the file starts that was read with it. The header must
+    be right here, too.
+    """
+    titled = T.StructType([*[T.StructField(title, T.StringType()) for title in RAW_HEADER], T.StructField(LINE, T.StringType())])
+    read = (
+        spark.read.option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", LINE)
+        .option("columnPruning", False).option("quote", '"').option("escape", '"').schema(titled).csv(path))
+    placed = read.select("*", F.col("_metadata.file_path").alias(PLACE[0]), F.col("_metadata.file_block_start").cast("string").alias(PLACE[1]))
+    return placed.toDF(*RAW_COLUMNS, LINE, *PLACE)
+
+
 def write_raw(raw: DataFrame, path: str) -> None:
     """Write an extract as the readers expect it, outer spaces kept."""
     titled = raw.select([F.col(c).alias(h) for h, c in RAW_HEADER.items()])

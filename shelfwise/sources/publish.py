@@ -30,13 +30,14 @@ class Rejected(Exception):
 
 @dataclass
 class Part:
-    """A table of a load. A rule counts the rows it holds for; one such row rejects the load."""
+    """A table of a load. A rule counts the rows it holds for; more than the tolerated share of the rows reject the load."""
 
     rows: DataFrame
     partition_by: list[str] = field(default_factory=list)
     format: str = "parquet"
     options: dict[str, str] = field(default_factory=dict)
     rules: dict[str, Column] = field(default_factory=dict)
+    tolerated: float = 0.0
 
 
 def _records(spark: SparkSession, root: str) -> list:
@@ -69,7 +70,7 @@ def publish(root: str, parts: dict[str, Part]) -> str:
     for name, part in parts.items():
         path = f"{root}/data/{load}/{name}"
         rows, bad = _write(part, path)
-        broken += [f"{name}, {rule}: {count} rows" for rule, count in bad.items() if count]
+        broken += [f"{name}, {rule}: {count} rows of {rows}" for rule, count in bad.items() if count > part.tolerated * rows]
         stored = _reader(spark, part.format, part.options, part.rows.schema).load(path).count()
         if stored != rows:
             broken.append(f"{name}: {rows} rows written, {stored} stored")

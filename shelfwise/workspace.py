@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .operators import cleaning, order_stats, rollups
+from .operators import cleaning, coerce, order_stats, rollups
 from .schema import FACT_COLUMNS, RAW_COLUMNS
-from .sources.files import read_raw
+from .sources.files import read_raw, read_raw_lenient
+from .sources.publish import names
 from .sources.store import stage, stage_path
 from .sources.tables import raw_from_tables
 
@@ -19,15 +20,22 @@ class Workspace:
     A given extract is read where it lies; only the derived one is stored as a table of its own.
     """
 
-    def __init__(self, spark: SparkSession, source: str, extract: Callable[[], DataFrame] | None = None):
+    def __init__(self, spark: SparkSession, source: str, extract: Callable[[], DataFrame] | None = None, max_rejects: float | None = None):
         self.spark = spark
         self.source = source.rstrip("/")
         self.extract = extract
+        self.max_rejects = max_rejects
 
     @classmethod
-    def from_csv(cls, spark: SparkSession, path: str) -> Workspace:
-        """Workspace on a dirty CSV extract, read strictly."""
-        return cls(spark, path, lambda: read_raw(spark, path))
+    def from_csv(cls, spark: SparkSession, path: str, max_rejects: float | None = None) -> Workspace:
+        """Workspace on a dirty CSV extract, read strictly.
+
+        With `max_rejects`, values that can't be typed become NULL and malformed lines are left out, as long as
+        no larger share of the rows than that is concerned; `rejects` lists them.
+        """
+        if max_rejects is None:
+            return cls(spark, path, lambda: read_raw(spark, path))
+        return cls(spark, path, lambda: read_raw_lenient(spark, path), max_rejects)
 
     @classmethod
     def from_table(cls, spark: SparkSession, name: str) -> Workspace:
@@ -48,8 +56,23 @@ class Workspace:
 
     def unique(self) -> DataFrame:
         """Typed rows without copies, before imputation."""
+        if self.max_rejects is not None:
+            return self._stage("unique", lambda: coerce.unique_rows(self.spark, self._lenient()))
         return self._stage("unique", lambda: self.raw().transform(cleaning.type_columns).transform(cleaning.drop_copies))
 
+    def _lenient(self) -> str:
+        """Root of the lenient load, made on first use."""
+        root = self.path("lenient")
+        if not names(self.spark, root):
+            coerce.load(self.raw(), root, self.max_rejects)
+        return root
+
+    def rejects(self) -> DataFrame:
+        """Every value that couldn't be typed, with its place and reason."""
+        if self.max_rejects is None:
+            raise ValueError("a strict load has no rejects: it fails on the first one")
+        return coerce.rejected(self.spark, self._lenient())
+
     def weight_by_item(self) -> DataFrame:
         return self._stage("weight_by_item", lambda: cleaning.median_weight_by_item(self.unique()))
 
