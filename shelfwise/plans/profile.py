@@ -8,34 +8,24 @@ from ..catalog import report
 from ..functions.exact import percent, quotient
 from ..operators.cleaning import canonical_fat_content
 from ..operators.order_stats import quantiles_by_rank, quantiles_interpolated
+from ..operators.rules import ROWS, counted, parsed, range_defects
 from ..operators.segments import one_row
-from ..schema import COLUMN_ROLES, GRAIN, RAW_COLUMNS
-from ..sources.store import written
-
-
-def is_blank(column: str) -> Column:
-    return F.col(column).isNull() | (F.trim(column) == "")
-
-
-def parsed(column: str, type_name: str) -> Column:
-    """Number of a text column; text that is no number counts as missing here."""
-    return F.expr(f"try_cast(nullif(trim({column}), '') AS {type_name})")
+from ..schema import COLUMN_ROLES, RAW_COLUMNS
 
 
 def amounts(raw: DataFrame) -> DataFrame:
     return raw.select(parsed("sales", "decimal(10,4)").alias("sales"))
 
 
-def per_column(raw: DataFrame, test, alias: str, columns: list[str] = RAW_COLUMNS) -> DataFrame:
-    """Rows per column that meet a test, all columns counted in one pass: column_name, total_rows, <alias>."""
-    counted = raw.agg(F.count(F.lit(1)).alias("total_rows"), *[F.count_if(test(c)).alias(c) for c in columns])
-    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias(alias)) for c in columns])
-    return counted.select("total_rows", F.inline(pairs))
+def per_column(raw_figures: DataFrame, kind: str, alias: str) -> DataFrame:
+    """A figure of every column in long form: total_rows, column_name, <alias>."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{counted(kind, c)}`").alias(alias)) for c in RAW_COLUMNS])
+    return raw_figures.select(ROWS, F.inline(pairs))
 
 
 @report("prof_schema")
-def column_roles(raw: DataFrame) -> DataFrame:
-    filled = per_column(raw, lambda c: ~is_blank(c), "filled_rows")
+def column_roles(raw_figures: DataFrame) -> DataFrame:
+    filled = per_column(raw_figures, "filled", "filled_rows")
     known = {c: (i, *roles) for i, (c, roles) in enumerate(COLUMN_ROLES.items(), 1)}
 
     def of(position: int) -> Column:
@@ -54,9 +44,10 @@ GAP_NOTES = {
 
 
 @report("prof_missing")
-def missing_values(raw: DataFrame) -> DataFrame:
+def missing_values(raw_figures: DataFrame) -> DataFrame:
     note = F.create_map(*[F.lit(x) for pair in GAP_NOTES.items() for x in pair])[F.col("column_name")]
-    return per_column(raw, is_blank, "missing").where(F.col("missing") > 0).select(
+    gaps = per_column(raw_figures, "filled", "filled").withColumn("missing", F.col(ROWS) - F.col("filled"))
+    return gaps.where(F.col("missing") > 0).select(
         "column_name", "missing", percent(F.col("missing"), F.col("total_rows")).alias("pct_of_rows"),
         F.coalesce(note, F.lit("Unexpected - investigate.")).alias("interpretation"))
 
@@ -69,38 +60,29 @@ def keys_without_value(raw: DataFrame, key: str = "outlet_identifier", attribute
 
 
 @report("prof_duplicates")
-def duplicates(raw: DataFrame) -> DataFrame:
-    """Copies of whole rows and repeats of the (item, outlet) grain.
-
-    All rows are counted by a hash; only rows whose hash repeats are compared in full.
-    """
-    hashed = [F.xxhash64(*RAW_COLUMNS).alias("_h"), F.hash(*reversed(RAW_COLUMNS)).alias("_g")]
-    repeated = written(raw.select(*hashed).groupBy("_h", "_g").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "repeated")
-    again = raw.select("*", *hashed).join(repeated, ["_h", "_g"], "left_semi")
-    copies = again.groupBy(*RAW_COLUMNS).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    whole = one_row(raw.agg(F.count(F.lit(1)).alias("n")))["n"]
-    counted = copies.agg(
+def duplicates(raw_figures: DataFrame, copies: DataFrame, grain_sizes: DataFrame) -> DataFrame:
+    """Copies of whole rows and repeats of the (item, outlet) grain."""
+    total = one_row(raw_figures.select(ROWS))[ROWS]
+    grain = one_row(grain_sizes.agg(F.sum((F.col("n") - 1) * F.col("groups")).alias("n")))["n"]
+    return copies.agg(
         F.count(F.lit(1)).alias("dup_groups"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows_in_groups"),
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("redundant_copies")).select(whole.alias("total_rows"), "*")
-    grain = raw.groupBy(*GRAIN).agg(F.count(F.lit(1)).alias("n")).agg(F.sum(F.col("n") - 1).alias("grain_duplicates"))
-    return counted.withColumn("grain_duplicates", one_row(grain)["grain_duplicates"])
+        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("redundant_copies"),
+    ).withColumns({"total_rows": total, "grain_duplicates": grain})
 
 
 @report("prof_grain")
-def grain_violations(raw: DataFrame) -> DataFrame:
-    repeated = raw.groupBy(*GRAIN).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    return repeated.agg(F.count(F.lit(1)).alias("grain_violations"))
+def grain_violations(grain_sizes: DataFrame) -> DataFrame:
+    return grain_sizes.where("n > 1").agg(F.coalesce(F.sum("groups"), F.lit(0)).alias("grain_violations"))
 
 
 UNMAPPED = "UNMAPPED - INVESTIGATE"
 
 
 @report("prof_category_values")
-def category_values(raw: DataFrame) -> DataFrame:
-    counted = raw.groupBy("item_fat_content").agg(F.count(F.lit(1)).alias("row_count"))
+def category_values(spellings: DataFrame) -> DataFrame:
     quoted = F.concat(F.lit('"'), F.col("item_fat_content"), F.lit('"'))
-    return counted.select(
-        quoted.alias("raw_value_quoted"), "row_count",
+    return spellings.select(
+        quoted.alias("raw_value_quoted"), F.col("count").alias("row_count"),
         canonical_fat_content("item_fat_content", F.lit(UNMAPPED)).alias("maps_to"),
     ).orderBy(F.desc("row_count"), "raw_value_quoted")
 
@@ -111,53 +93,32 @@ LISTED_COLUMNS = ["item_type", "outlet_size", "outlet_location_type", "outlet_ty
 @report("prof_domain_lists")
 def domains(raw: DataFrame) -> DataFrame:
     """Distinct values per dimension, one row each, so that a long list never sits in one cell."""
+    # Rows are counted by combination first, of which there are few; only these are spread over the columns.
+    combinations = raw.groupBy(*LISTED_COLUMNS).agg(F.count(F.lit(1)).alias("_n"))
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in LISTED_COLUMNS])
-    listed = raw.select(F.inline(pairs)).where(F.trim("value") != "")
-    return listed.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("row_count")).orderBy("column_name", "value")
+    listed = combinations.select("_n", F.inline(pairs)).where(F.trim("value") != "")
+    return listed.groupBy("column_name", "value").agg(F.sum("_n").alias("row_count")).orderBy("column_name", "value")
 
 
 @report("prof_whitespace")
-def outer_spaces(raw: DataFrame) -> DataFrame:
-    spaced = per_column(raw, lambda c: F.col(c) != F.trim(c), "row_count")
-    return spaced.where(F.col("row_count") > 0).select("column_name", "row_count")
-
-
-def range_defects() -> dict[str, Column]:
-    visibility, sales = parsed("item_visibility", "decimal(9,6)"), parsed("sales", "decimal(10,4)")
-    rating, weight = parsed("rating", "decimal(6,3)"), parsed("item_weight", "decimal(6,3)")
-    day = F.expr("try_to_date(trim(order_date), 'yyyy-MM-dd')")
-    return {
-        "zero_visibility": visibility == 0,
-        "visibility_out_of_range": ~visibility.between(0, 1),
-        "non_positive_sales": sales <= 0,
-        "rating_out_of_range": ~rating.between(1, 5),
-        # A matter of the text: `3.50` has two decimals.
-        "rating_over_precise": F.col("rating").contains(".") & (F.length(F.substring_index(F.trim("rating"), ".", -1)) > 1),
-        "non_positive_weight": weight <= 0,
-        "unparseable_dates": day.isNull(),
-    }
+def outer_spaces(raw_figures: DataFrame) -> DataFrame:
+    return per_column(raw_figures, "spaced", "row_count").where(F.col("row_count") > 0).select("column_name", "row_count")
 
 
 @report("prof_ranges")
-def impossible_values(raw: DataFrame) -> DataFrame:
-    counted = raw.agg(
-        F.count(F.lit(1)).alias("total_rows"), *[F.count_if(test).alias(name) for name, test in range_defects().items()])
-    return counted.withColumn("pct_zero_visibility", percent(F.col("zero_visibility"), F.col("total_rows")))
+def impossible_values(raw_figures: DataFrame) -> DataFrame:
+    found = raw_figures.select(ROWS, *[F.col(f"`{counted('defect', name)}`").alias(name) for name in range_defects()])
+    return found.withColumn("pct_zero_visibility", percent(F.col("zero_visibility"), F.col(ROWS)))
 
 
 @report("prof_cross_field")
-def sold_before_opening(raw: DataFrame) -> DataFrame:
-    day = F.expr("try_to_date(trim(order_date), 'yyyy-MM-dd')")
-    opened = parsed("outlet_establishment_year", "int")
-    return raw.agg(F.count_if(F.year(day) < opened).alias("orders_before_opening"))
+def sold_before_opening(raw_figures: DataFrame) -> DataFrame:
+    return raw_figures.select("orders_before_opening")
 
 
 @report("prof_min_max")
-def covered_span(raw: DataFrame) -> DataFrame:
-    opened, day = parsed("outlet_establishment_year", "int"), F.expr("try_to_date(trim(order_date), 'yyyy-MM-dd')")
-    return raw.agg(
-        F.min(opened).alias("first_year"), F.max(opened).alias("last_year"), F.min(day).alias("first_date"),
-        F.max(day).alias("last_date"))
+def covered_span(raw_figures: DataFrame) -> DataFrame:
+    return raw_figures.select("first_year", "last_year", "first_date", "last_date")
 
 
 OUTLET_FACTS = {
@@ -252,12 +213,13 @@ DECISIONS = [
 
 
 @report("prof_decisions")
-def decisions(raw: DataFrame) -> DataFrame:
-    tests = range_defects()
-    copies = one_row(duplicates(raw).select("redundant_copies"))["redundant_copies"]
-    measured = raw.agg(
-        F.count_distinct("item_fat_content").alias("spellings"), F.count_if(is_blank("item_weight")).alias("missing_weight"),
-        F.count_if(tests["zero_visibility"]).alias("zero_visibility")).withColumn("copies", copies)
+def decisions(raw_figures: DataFrame, copies: DataFrame, spellings: DataFrame) -> DataFrame:
+    more = one_row(copies.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n")))["n"]
+    labels = one_row(spellings.agg(F.count("item_fat_content").alias("n")))["n"]
+    gaps = F.col(ROWS) - F.col(f"`{counted('filled', 'item_weight')}`")
+    measured = raw_figures.select(
+        labels.alias("spellings"), gaps.alias("missing_weight"), F.col(f"`{counted('defect', 'zero_visibility')}`").alias("zero_visibility"),
+        more.alias("copies"))
     lines = F.array(*[
         F.struct(
             F.lit(i).alias("position"),

@@ -2,56 +2,41 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..catalog import report
 from ..functions import measures as M
-from ..functions.exact import percent, total
-from ..operators.cleaning import number
+from ..functions.exact import percent
+from ..operators.rollups import stock_rollup
+from ..operators.rules import (
+    ROWS, assertion_rules, check_rules, counted, enum_rules, fact_figures, not_null_rules, row_rules)
 from ..operators.segments import one_row
-from ..schema import ALLOWED_VALUES, CHECKS, GRAIN, REQUIRED_COLUMNS
+from ..schema import GRAIN
 from ..sources.publish import Part, publish, published
 
 
-def violations(df: DataFrame, rules: dict[str, Column], label: str, alias: str) -> DataFrame:
-    """Rows that break each rule, all rules counted in one pass. A rule says what is wrong."""
-    counted = df.agg(*[F.count_if(wrong).alias(name) for name, wrong in rules.items()])
-    pairs = F.array(*[F.struct(F.lit(n).alias(label), F.col(n).alias(alias)) for n in rules])
-    return counted.select(F.inline(pairs))
-
-
-def enum_rules() -> dict[str, Column]:
-    return {c: ~F.coalesce(F.col(c).isin(v), F.lit(False)) for c, v in ALLOWED_VALUES.items()}
-
-
-def check_rules() -> dict[str, Column]:
-    return {name: ~F.expr(test) for name, test in CHECKS.items()}
-
-
-def not_null_rules() -> dict[str, Column]:
-    return {c: F.col(c).isNull() for c in REQUIRED_COLUMNS}
+def figures(table: DataFrame, kind: str, names: Iterable[str], label: str, alias: str) -> DataFrame:
+    """The stored figures of some rules in long form."""
+    pairs = F.array(*[F.struct(F.lit(n).alias(label), F.col(f"`{counted(kind, n)}`").alias(alias)) for n in names])
+    return table.select(F.inline(pairs))
 
 
 @report("val_enum")
-def enum_violations(fact: DataFrame) -> DataFrame:
-    return violations(fact, enum_rules(), "column_name", "bad_rows")
+def enum_violations(fact_figures: DataFrame) -> DataFrame:
+    return figures(fact_figures, "label", enum_rules(), "column_name", "bad_rows")
 
 
 @report("val_checks")
-def check_violations(fact: DataFrame) -> DataFrame:
-    return violations(fact, check_rules(), "rule", "bad_rows")
+def check_violations(fact_figures: DataFrame) -> DataFrame:
+    return figures(fact_figures, "check", check_rules(), "rule", "bad_rows")
 
 
 @report("val_not_null")
-def null_violations(fact: DataFrame) -> DataFrame:
-    return violations(fact, not_null_rules(), "column_name", "null_rows")
-
-
-def row_rules() -> dict[str, Column]:
-    """All rules that a single row can break."""
-    return {**enum_rules(), **check_rules(), **not_null_rules()}
+def null_violations(fact_figures: DataFrame) -> DataFrame:
+    return figures(fact_figures, "null", not_null_rules(), "column_name", "null_rows")
 
 
 def broken(rules: dict[str, Column] | None = None) -> Column:
@@ -79,8 +64,9 @@ def quarantined(workspace) -> DataFrame:
 
 
 @report("val_unique")
-def grain_repeats(fact: DataFrame) -> DataFrame:
-    repeated = fact.groupBy(*GRAIN).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+def grain_repeats(stocks: DataFrame) -> DataFrame:
+    """Item-outlet pairs with several rows, from the counts per product and outlet."""
+    repeated = stocks.groupBy(*GRAIN).agg(F.sum("records").alias("n")).where(F.col("n") > 1)
     return repeated.agg(
         F.count(F.lit(1)).alias("repeated_groups"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("surplus_rows"))
 
@@ -98,47 +84,39 @@ def keys_of_rows(fact: DataFrame) -> DataFrame:
 
 
 @report("val_row_recon")
-def row_reconciliation(raw: DataFrame, fact: DataFrame) -> DataFrame:
-    kept = one_row(fact.agg(M.records("n")))["n"]
-    return raw.agg(M.records("raw_rows")).select(
-        "raw_rows", kept.alias("clean_rows"), (F.col("raw_rows") - kept).alias("rows_removed"))
+def row_reconciliation(raw_figures: DataFrame, fact_figures: DataFrame) -> DataFrame:
+    kept = one_row(fact_figures.select(ROWS))[ROWS]
+    return raw_figures.select(F.col(ROWS).alias("raw_rows"), kept.alias("clean_rows"), (F.col(ROWS) - kept).alias("rows_removed"))
 
 
 @report("val_revenue_recon")
-def revenue_reconciliation(raw: DataFrame, fact: DataFrame) -> DataFrame:
-    kept = one_row(fact.agg(total("sales").alias("s")))["s"]
-    loaded = raw.agg(F.sum(number("sales", "decimal(18,4)")).alias("_raw"))
-    return loaded.select(
-        F.round("_raw", 2).alias("raw_revenue"), F.round(kept, 2).alias("clean_revenue"),
-        F.round(F.col("_raw") - kept, 2).alias("revenue_removed"))
+def revenue_reconciliation(raw_figures: DataFrame, fact_figures: DataFrame) -> DataFrame:
+    kept, loaded = one_row(fact_figures.select("revenue"))["revenue"], F.col("revenue")
+    return raw_figures.select(
+        F.round(loaded, 2).alias("raw_revenue"), F.round(kept, 2).alias("clean_revenue"),
+        F.round(loaded - kept, 2).alias("revenue_removed"))
 
 
 @report("val_defects_zero")
-def remaining_defects(fact: DataFrame) -> DataFrame:
-    rules = check_rules()
-    # The grain is counted on the tuple, so that joined-up keys cannot collide.
-    repeats = one_row(grain_repeats(fact))["surplus_rows"]
-    # Whatever labels there are, they are counted on the table of their combinations.
-    combinations = fact.groupBy("item_fat_content", "outlet_size").agg(F.count(F.lit(1)).alias("n"))
-    labels = one_row(combinations.agg(
+def remaining_defects(fact_figures: DataFrame, stocks: DataFrame, cells: DataFrame) -> DataFrame:
+    def of(kind: str, name: str, alias: str) -> Column:
+        return F.col(f"`{counted(kind, name)}`").alias(alias)
+
+    labels = one_row(cells.agg(
         F.count_distinct("item_fat_content").alias("fat"), F.count_distinct("outlet_size").alias("size")))
-    return fact.agg(
-        F.count_if(F.col("item_weight").isNull()).alias("null_weights"),
-        F.count_if(F.col("item_visibility") == 0).alias("zero_visibility"),
-        F.count_if(rules["visibility_range"]).alias("bad_visibility"),
-        F.count_if(rules["sales_positive"]).alias("bad_sales"),
-        F.count_if(rules["rating_range"]).alias("bad_rating"),
-    ).withColumns({"fat_categories": labels["fat"], "size_categories": labels["size"], "grain_violations": repeats})
+    return fact_figures.select(
+        of("assertion", "weight present", "null_weights"), "zero_visibility", of("check", "visibility_range", "bad_visibility"),
+        of("check", "sales_positive", "bad_sales"), of("check", "rating_range", "bad_rating"),
+    ).withColumns({
+        "fat_categories": labels["fat"], "size_categories": labels["size"],
+        "grain_violations": one_row(grain_repeats(stocks))["surplus_rows"]})
 
 
 @report("val_imputation_share")
-def imputation_share(fact: DataFrame) -> DataFrame:
-    counted = fact.agg(
-        M.records("total_rows"), F.sum("item_weight_imputed").alias("weights_imputed"),
-        F.sum("item_visibility_imputed").alias("visibility_imputed"))
-    rows = F.col("total_rows")
-    return counted.select(
-        "total_rows", "weights_imputed", percent(F.col("weights_imputed"), rows).alias("pct_weight_imputed"),
+def imputation_share(fact_figures: DataFrame) -> DataFrame:
+    rows = F.col(ROWS)
+    return fact_figures.select(
+        ROWS, "weights_imputed", percent(F.col("weights_imputed"), rows).alias("pct_weight_imputed"),
         "visibility_imputed", percent(F.col("visibility_imputed"), rows).alias("pct_visibility_imputed"))
 
 
@@ -147,28 +125,16 @@ def category_collapse(fact: DataFrame) -> DataFrame:
     return fact.groupBy("item_fat_content").agg(M.records("rows"), M.revenue()).orderBy("item_fat_content")
 
 
-# Statements a clean table must meet and what breaks them.
-def assertion_rules() -> dict[str, Column]:
-    rules = check_rules()
-    return {
-        "weight present": F.col("item_weight").isNull(),
-        "visibility above zero": ~F.coalesce(F.col("item_visibility") > 0, F.lit(False)),
-        "sales positive": rules["sales_positive"],
-        "rating within 1 to 5": rules["rating_range"],
-        "fat content canonical": enum_rules()["item_fat_content"],
-    }
-
-
 @report("val_assertions")
-def assertions(fact: DataFrame) -> DataFrame:
-    counted = violations(fact, assertion_rules(), "assertion", "failures")
-    grain = grain_repeats(fact).select(F.lit("one row per item and outlet").alias("assertion"), F.col("surplus_rows").alias("failures"))
-    return counted.unionByName(grain).withColumn("passed", (F.col("failures") == 0).cast("string"))
+def assertions(fact_figures: DataFrame, stocks: DataFrame) -> DataFrame:
+    rules = figures(fact_figures, "assertion", assertion_rules(), "assertion", "failures")
+    grain = grain_repeats(stocks).select(F.lit("one row per item and outlet").alias("assertion"), F.col("surplus_rows").alias("failures"))
+    return rules.unionByName(grain).withColumn("passed", (F.col("failures") == 0).cast("string"))
 
 
 def assert_clean(fact: DataFrame, grain: bool = True) -> None:
     """Raise if a statement fails. The handful of counted rules is all that reaches the driver."""
-    failed = assertions(fact).where(F.col("failures") > 0).collect()
+    failed = assertions(fact.agg(*fact_figures()), stock_rollup(fact)).where(F.col("failures") > 0).collect()
     failed = [r for r in failed if grain or not r["assertion"].startswith("one row")]
     if failed:
         raise AssertionError("; ".join(f"{r['assertion']}: {r['failures']} rows" for r in failed))

@@ -59,10 +59,6 @@ def write_raw(raw: DataFrame, path: str) -> None:
     )
 
 
-def row_count(raw: DataFrame) -> DataFrame:
-    return raw.agg(F.count(F.lit(1)).alias("rows_loaded"))
-
-
 def write_fact(fact: DataFrame, path: str, rules: dict[str, Column] | None = None) -> None:
     """Publish the fact table; one folder per order year, so year ranges prune files. A row that breaks a rule rejects the load."""
     publish(path, {"fact": Part(fact.hint("rebalance", "order_year"), ["order_year"], rules=rules or {})})

@@ -13,7 +13,7 @@ import threading
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _written: set[str] = set()
 _local_dirs: dict[str, str] = {}
@@ -41,12 +41,22 @@ def stage_path(spark: SparkSession, source: str, name: str) -> str:
 
 def stage(
     spark: SparkSession, source: str, name: str, build: Callable[[], DataFrame], partition_by: list[str] | None = None,
+    figures: list[Column] | None = None,
 ) -> DataFrame:
-    """Write `build()` as Parquet on first use in this application, then read it."""
+    """Write `build()` as Parquet on first use in this application, then read it.
+
+    `figures` are aggregates that the writing tasks compute on the way; they are stored as one row, the
+    stage `<name>_figures`.
+    """
     path = stage_path(spark, source, name)
     with _lock:
         if path not in _written:
-            build().write.mode("overwrite").partitionBy(*partition_by or []).parquet(path)
+            rows, seen = build(), Observation()
+            (rows.observe(seen, *figures) if figures else rows).write.mode("overwrite").partitionBy(*partition_by or []).parquet(path)
+            if figures:
+                found, schema = seen.get, rows.agg(*figures).schema
+                row = spark.createDataFrame([tuple(found[c] for c in schema.fieldNames())], schema)
+                row.coalesce(1).write.mode("overwrite").parquet(stage_path(spark, source, f"{name}_figures"))
             _written.add(path)
     return spark.read.parquet(path)
 

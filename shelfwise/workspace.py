@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .operators import cleaning, coerce, order_stats, rollups
+from .operators import cleaning, coerce, order_stats, rollups, rules
 from .schema import FACT_COLUMNS, RAW_COLUMNS
 from .sources.files import read_raw, read_raw_lenient
 from .sources.publish import names
-from .sources.store import stage, stage_path
+from .sources.store import stage, stage_path, written
 from .sources.tables import raw_from_tables
 
 
@@ -45,14 +45,33 @@ class Workspace:
     def path(self, name: str) -> str:
         return stage_path(self.spark, self.source, name)
 
-    def _stage(self, name, build, partition_by=None) -> DataFrame:
-        return stage(self.spark, self.source, name, build, partition_by)
+    def _stage(self, name, build, partition_by=None, figures=None) -> DataFrame:
+        return stage(self.spark, self.source, name, build, partition_by, figures)
 
     def raw(self) -> DataFrame:
         """Staging: the untouched text extract."""
         if self.extract:
             return self.extract()
-        return self._stage("raw", lambda: raw_from_tables(self.spark, self.source))
+        return self._stage("raw", lambda: raw_from_tables(self.spark, self.source), figures=rules.raw_figures())
+
+    def raw_figures(self) -> DataFrame:
+        """Gaps and defects of the extract in one row: counted while it is staged, or in one scan where it lies."""
+        if self.extract:
+            return self._stage("raw_figures", lambda: self.raw().agg(*rules.raw_figures()))
+        self.raw()
+        return self.spark.read.parquet(self.path("raw_figures"))
+
+    def copies(self) -> DataFrame:
+        """Rows that the extract has more than once."""
+        return self._stage("copies", lambda: rules.copied_rows(self.raw(), written))
+
+    def grain_sizes(self) -> DataFrame:
+        """How many item-outlet pairs of the extract have how many rows."""
+        return self._stage("grain_sizes", lambda: rules.grain_sizes(self.raw()))
+
+    def spellings(self) -> DataFrame:
+        """Rows per spelling of the fat content."""
+        return self._stage("spellings", lambda: self.raw().groupBy("item_fat_content").count())
 
     def unique(self) -> DataFrame:
         """Typed rows without copies, before imputation."""
@@ -86,7 +105,12 @@ class Workspace:
             # Evenly sized files per year, a large year split by AQE; sorted inside, so that category
             # filters skip row groups.
             return rows.hint("rebalance", "order_year").sortWithinPartitions("order_year", "item_type").select(FACT_COLUMNS)
-        return self._stage("fact", build, ["order_year"]).select(FACT_COLUMNS)
+        return self._stage("fact", build, ["order_year"], rules.fact_figures()).select(FACT_COLUMNS)
+
+    def fact_figures(self) -> DataFrame:
+        """Broken rules and sums of the fact table in one row, counted while it is written."""
+        self.fact()
+        return self.spark.read.parquet(self.path("fact_figures"))
 
     def products(self) -> DataFrame:
         """Measures per item, category and fat content."""

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from fixtures import fact, raw
 from shelfwise.operators import cleaning
-from shelfwise.plans.quality import row_rules
+from shelfwise.operators.rules import row_rules
 from shelfwise.schema import FACT_SCHEMA
 from shelfwise.sources import files, publish as P
 

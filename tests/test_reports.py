@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from fixtures import fact, raw
-from shelfwise.operators import rollups
+from shelfwise.operators import rollups, rules
 from shelfwise.operators.order_stats import visibility_tiles
 from shelfwise.operators.pairs import widest_pairs
 from shelfwise.operators.rollups import (
@@ -159,7 +159,7 @@ def test_profile_finds_conflicts(spark):
 
 def test_profile_counts_bad_text(spark):
     r = raw(spark, {"rating": "9", "order_date": "soon"}, {"rating": "3.25", "sales": "-1", "item_visibility": "1.5"}, {"item_visibility": "0"}, {})
-    got = R.impossible_values(r).first().asDict()
+    got = R.impossible_values(r.agg(*rules.raw_figures())).first().asDict()
     assert got == {
         "total_rows": 4, "zero_visibility": 1, "visibility_out_of_range": 1, "non_positive_sales": 1, "rating_out_of_range": 1,
         "rating_over_precise": 1, "non_positive_weight": 0, "unparseable_dates": 1, "pct_zero_visibility": Decimal("25.00")}
