@@ -10,9 +10,8 @@ from ..functions import measures as M, rolled as R
 from ..functions.exact import growth, growth_of_means, mean_from, percent, quotient, quotient_of_means
 from ..operators.calendar import month_spine
 from ..operators.pairs import distribution_gaps, widest_pairs
-from ..operators.ranking import Rank, with_ranks, with_tile
+from ..operators.ranking import Order, Place, with_places
 from ..operators.segments import join_lookup, mean_of, one_row, share_of_all, summarise, top
-from ..sources.store import written
 from .business import CATEGORY, COMPARED_YEARS, SO_FAR, by_month, by_product, first_per_category, in_month_order, moving_average
 from .kpis import OUTLET_KEYS, outlet_master, totals, with_products
 
@@ -75,15 +74,15 @@ def outlet_scorecard(outlets: DataFrame) -> DataFrame:
     stores = rolled.select(
         *keys, "_sales", mean_from(F.col("_sales"), F.col("_rows"), "sales").alias("_sale"),
         mean_from(F.col("_rating"), F.col("_rows"), "rating").alias("_rate"))
-    stores = written(stores, "stores")
-    n = stores.count()
-    tiled = with_tile(stores, [-F.col("_sales"), *[F.col(k) for k in keys]], 4, "revenue_quartile", rows=n)
-    ranked = with_ranks(
-        written(tiled, "stores"), Rank(-F.col("_sales"), "_place", ties="_ties"), Rank(-F.col("_sale"), "basket_rank"),
-        Rank(-F.col("_rate"), "rating_rank"))
+    ranked = with_places(
+        stores,
+        Order(-F.col("_sales"), {
+            "_place": Place.rank, "revenue_quartile": lambda p: p.tile(4), "_below": Place.below, "_n": lambda p: p.rows,
+        }, [F.col(k) for k in keys]),
+        Order(-F.col("_sale"), {"basket_rank": Place.rank}), Order(-F.col("_rate"), {"rating_rank": Place.rank}))
     # Counted from the bottom: stores with less revenue, and stores with at most this revenue.
-    at_most = F.lit(n) - F.col("_place") + 1
-    below = at_most - F.col("_ties")
+    below, n = F.col("_below"), F.col("_n")
+    at_most = n - F.col("_place") + 1
     verdict = (
         F.when((F.col("_place") <= 3) & (F.col("rating_rank") <= 5), "Benchmark store - replicate")
         .when(F.col("_place") <= 3, "High revenue, weak satisfaction - audit service")
@@ -92,8 +91,8 @@ def outlet_scorecard(outlets: DataFrame) -> DataFrame:
     return ranked.select(
         F.col("outlet_identifier").alias("outlet"), "outlet_type", F.col("outlet_location_type").alias("tier"),
         F.round("_sales", 2).alias("revenue"), "revenue_quartile",
-        F.coalesce(percent(below, F.lit(n - 1), 1), F.lit(0)).alias("revenue_percentile"),
-        percent(at_most, F.lit(n), 1).alias("cumulative_dist"),
+        F.coalesce(percent(below, n - 1, 1), F.lit(0)).alias("revenue_percentile"),
+        percent(at_most, n, 1).alias("cumulative_dist"),
         F.round("_sale", 2).alias("avg_sale"), "basket_rank", F.round("_rate", 2).alias("avg_rating"), "rating_rank",
         verdict.alias("verdict"),
     ).orderBy(F.desc("revenue"), "outlet")
@@ -265,10 +264,10 @@ def product_master(products: DataFrame) -> DataFrame:
         mean_from(F.col("item_visibility"), rows, "item_visibility", 4).alias("avg_visibility"))
     bench = product_bench(stats, "_sales", "_rate")
     down = -F.col("_sales")
-    order = [down, F.col("item_identifier"), F.col("item_type"), F.col("item_fat_content")]
-    tiled = written(with_tile(stats, order, 4, "revenue_quartile"), "products")
-    ranked = with_ranks(
-        tiled, Rank(down, "revenue_rank_overall"), Rank(down, "revenue_rank_in_category", ["item_type"]))
+    keys = [F.col("item_identifier"), F.col("item_type"), F.col("item_fat_content")]
+    ranked = with_places(
+        stats, Order(down, {"revenue_quartile": lambda p: p.tile(4), "revenue_rank_overall": Place.rank}, keys),
+        Order(down, {"revenue_rank_in_category": Place.rank}, keys, ["item_type"]))
     return ranked.select(
         F.col("item_identifier").alias("product"), F.col("item_type").alias("category"),
         F.col("item_fat_content").alias("fat_content"), F.col("records").alias("outlets_stocked"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..schema import FACT_SCHEMA, RAW_COLUMNS, RAW_HEADER, REPORT_COLUMNS
-from .publish import Part, names, publish, published
+from .publish import Part, publish, published, published_all
 
 CSV = {"header": "true", "escape": '"', "dateFormat": "yyyy-MM-dd"}
 
@@ -84,7 +84,7 @@ def write_aggregates(tables: dict[str, DataFrame], folder: str) -> None:
 
 
 def read_aggregates(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {name: published(spark, folder, name) for name in names(spark, folder)}
+    return published_all(spark, folder)
 
 
 def write_facts(facts: DataFrame, path: str) -> None:

@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
@@ -60,21 +61,27 @@ def _write(part: Part, path: str) -> tuple[int, dict[str, int]]:
     return found["rows"], {name: found[f"rule {k}"] for k, name in enumerate(part.rules)}
 
 
+def _open(spark: SparkSession, root: str, load: str, name: str, kind: str, schema: T.StructType, options: dict[str, str]) -> DataFrame:
+    stored = spark.read.format(kind).options(**options).schema(schema).load(f"{root}/data/{load}/{name}")
+    return stored.select(schema.fieldNames())
+
+
 def publish(root: str, parts: dict[str, Part]) -> str:
     """Write the tables, check them, and make them the published ones; the name of the load.
 
-    Raises `Rejected` if a row breaks a rule or a table that is read back has other rows than were written.
+    Raises `Rejected` if too many rows break a rule, or if a table that is read back has other rows than were
+    written.
     """
     spark = next(iter(parts.values())).rows.sparkSession
-    load, tables, broken = uuid.uuid4().hex, [], []
+    load, tables, broken, stored = uuid.uuid4().hex, [], [], []
     for name, part in parts.items():
-        path = f"{root}/data/{load}/{name}"
-        rows, bad = _write(part, path)
+        rows, bad = _write(part, f"{root}/data/{load}/{name}")
         broken += [f"{name}, {rule}: {count} rows of {rows}" for rule, count in bad.items() if count > part.tolerated * rows]
-        stored = _reader(spark, part.format, part.options, part.rows.schema).load(path).count()
-        if stored != rows:
-            broken.append(f"{name}: {rows} rows written, {stored} stored")
         tables.append((name, part.format, rows, part.rows.schema.json()))
+        back = _open(spark, root, load, name, part.format, part.rows.schema, part.options)
+        stored.append(back.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows")))
+    back = {r["name"]: r["rows"] for r in reduce(DataFrame.unionAll, stored).collect()}
+    broken += [f"{name}: {rows} rows written, {back[name]} stored" for name, _, rows, _ in tables if back[name] != rows]
     if broken:
         raise Rejected("; ".join(broken))
     last = _records(spark, root)
@@ -83,8 +90,11 @@ def publish(root: str, parts: dict[str, Part]) -> str:
     return load
 
 
-def _reader(spark: SparkSession, kind: str, options: dict[str, str], schema: T.StructType):
-    return spark.read.format(kind).options(**options).schema(schema)
+def published_all(spark: SparkSession, root: str, options: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """The tables of the last published load by name, with the types they were written with; none before the first."""
+    return {
+        table["name"]: _open(spark, root, record["load"], table["name"], table["format"], T.StructType.fromJson(json.loads(table["schema"])), options or {})
+        for record in _records(spark, root)[:1] for table in record["tables"]}
 
 
 def published(
@@ -95,8 +105,7 @@ def published(
         for table in record["tables"]:
             if table["name"] == name:
                 schema = types or T.StructType.fromJson(json.loads(table["schema"]))
-                stored = _reader(spark, table["format"], options or {}, schema).load(f"{root}/data/{record['load']}/{name}")
-                return stored.select(schema.fieldNames())
+                return _open(spark, root, record["load"], name, table["format"], schema, options or {})
     raise LookupError(f"no table {name} is published under {root}")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import Window, functions as F
 
 from shelfwise.operators import order_stats
 from shelfwise.operators.order_stats import quantiles_by_rank, quantiles_interpolated, rows_at_ranks, tile_summary
-from shelfwise.operators.ranking import Rank, running_before, with_rank, with_ranks, with_row_number, with_tile
+from shelfwise.operators.ranking import Order, Place, running_before, with_places, with_rank, with_row_number, with_tile
 
 
 def entities(spark, n=500):
@@ -139,15 +139,45 @@ def test_tilings_together_equal_each_alone(spark):
         assert sorted(r for r in both if r["tiles"] == tiles) == sorted(alone) and len(alone) == tiles
 
 
-def test_several_ranks_read_their_input_once_each_and_once_more(spark, tmp_path):
+def test_orders_deal_their_input_once_each(spark, tmp_path):
     path = str(tmp_path / "entities")
     entities(spark, 50).write.parquet(path)
-    got = with_ranks(spark.read.parquet(path), Rank(F.col("value"), "a"), Rank(-F.col("value"), "b", ties="t"))
-    assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation") <= 2 + 2
+    got = with_places(spark.read.parquet(path), Order(F.col("value"), {"a": Place.rank}), Order(-F.col("value"), {"b": Place.rank, "t": Place.ties}))
+    # The result reads the last deal only, once for its rows and once for its ranges.
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 2
     plain = Window.orderBy(F.col("value").asc_nulls_last())
     want = entities(spark, 50).select("key", F.rank().over(plain).alias("a"))
     assert sorted(want.collect()) == sorted(got.select("key", "a").collect())
 
 
+@pytest.mark.parametrize("partitions", ["1", "3", "17"])
+@pytest.mark.parametrize("within", [[], ["part"]])
+def test_all_functions_of_one_deal(spark, partitions, within):
+    """Values and groups that fill many ranges, ranges that hold many values."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        df = entities(spark, 700)
+        order = Order(F.col("value"), {
+            "row": lambda p: p.row, "rank": Place.rank, "ties": Place.ties, "tile": lambda p: p.tile(6), "below": Place.below,
+            "cume": lambda p: p.end / p.rows, "percent": lambda p: (p.start - 1) / (p.rows - 1)}, [F.col("key")], within)
+        got = {r["key"]: r for r in with_places(df, order).collect()}
+        assert len(got) == 700
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    level = [*within, F.col("value").asc_nulls_last()]
+    all_rows, group = Window.orderBy(*level, "key"), Window.partitionBy(*within).orderBy(F.col("value").asc_nulls_last())
+    want = df.select(
+        "key", F.row_number().over(all_rows).alias("row"), F.rank().over(group).alias("rank"),
+        F.count(F.lit(1)).over(Window.partitionBy(*within, "value")).alias("ties"), F.ntile(6).over(all_rows).alias("tile"),
+        F.cume_dist().over(Window.orderBy(*level)).alias("cume"), F.percent_rank().over(Window.orderBy(*level)).alias("percent"))
+    for r in want.collect():
+        assert all(abs(got[r["key"]][c] - r[c]) < 1e-12 for c in want.columns if c != "key"), (r, got[r["key"]])
+        assert got[r["key"]]["below"] == 700 - round(r["cume"] * 700)
+
+
 def test_ranks_of_an_empty_table(spark):
-    assert with_ranks(entities(spark, 0), Rank(F.col("value"), "a"), Rank(F.col("value"), "b", ["part"])).count() == 0
+    empty = Order(F.col("value"), {"a": Place.rank, "t": lambda p: p.tile(3)})
+    assert with_places(entities(spark, 0), empty, Order(F.col("value"), {"b": Place.rank}, within=["part"])).count() == 0
