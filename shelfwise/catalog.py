@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .workspace import Workspace
 
 REPORTS: dict[str, Callable[..., DataFrame]] = {}
+# Tables that several reports start from, stored by the workspace on first use.
+TABLES: dict[str, Callable[..., DataFrame]] = {}
 
 
 def report(key: str):
@@ -25,6 +27,14 @@ def report(key: str):
     return register
 
 
+def table(name: str):
+    """Register a stored table; reports and other tables name it as a parameter."""
+    def register(fn):
+        TABLES[name] = fn
+        return fn
+    return register
+
+
 def run(key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run a report on the tables of a source folder."""
     return call(REPORTS[key], Workspace(spark, sf_dir))
@@ -32,5 +42,11 @@ def run(key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def call(fn: Callable[..., DataFrame], workspace: Workspace) -> DataFrame:
     """Call a report with the workspace tables its parameters name."""
-    needs = [n for n, p in inspect.signature(fn).parameters.items() if p.default is inspect.Parameter.empty]
-    return fn(**{n: workspace if n == "workspace" else getattr(workspace, n)() for n in needs})
+    def given(name: str):
+        if name == "workspace":
+            return workspace
+        if name in TABLES:
+            return workspace.stored(name, lambda: call(TABLES[name], workspace))
+        return getattr(workspace, name)()
+
+    return fn(**{n: given(n) for n, p in inspect.signature(fn).parameters.items() if p.default is inspect.Parameter.empty})

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import catalog
-from ..catalog import report
+from ..catalog import report, table
 from ..functions import bands, measures as M, rolled as R
 from ..functions.exact import growth, growth_of_means, mean, mean_from, percent, quotient, quotient_of_means
 from ..operators.order_stats import quantiles_interpolated
@@ -17,7 +17,6 @@ from ..operators.ranking import with_row_number
 from ..operators.segments import mean_of, one_row, share_of_all, summarise, top
 from ..schema import OUTLET_ATTRIBUTES
 from ..sources import files
-from ..sources.store import written
 from .advanced import SEGMENT_NAMES, product_bench, quadrant
 from .business import SO_FAR, FORMAT_COLUMNS, abc_classes, year_columns
 from .kpis import day_type, totals, with_products
@@ -153,8 +152,9 @@ def seasonality(cells: DataFrame) -> DataFrame:
     }).orderBy("order_month")
 
 
-def product_stats(products: DataFrame) -> DataFrame:
-    """One row per (item, category) with its quadrant."""
+@table("product_stats")
+def ranked_products(products: DataFrame) -> DataFrame:
+    """One row per (item, category) with its quadrant and its place by revenue."""
     sums = ["records", "sales", "rating", "item_visibility"]
     rolled = products.groupBy("item_identifier", "item_type").agg(*[F.sum(c).alias(c) for c in sums])
     averages = {"avg_sale": "sales", "avg_rating": "rating", "avg_visibility": "item_visibility"}
@@ -162,35 +162,34 @@ def product_stats(products: DataFrame) -> DataFrame:
         "item_identifier", "item_type", F.col("records").alias("outlets_stocked"), F.round("sales", 4).alias("revenue"),
         *[mean_from(F.col(c), F.col("records"), c, 4).alias(a) for a, c in averages.items()])
     bench = product_bench(stats, "revenue", "avg_rating", (10, 10))
-    return stats.withColumn("segment", quadrant(F.col("revenue"), F.col("avg_rating"), bench, SEGMENT_NAMES))
+    labelled = stats.withColumn("segment", quadrant(F.col("revenue"), F.col("avg_rating"), bench, SEGMENT_NAMES))
+    return with_row_number(labelled, [-F.col("revenue"), F.col("item_identifier"), F.col("item_type")], "revenue_rank")
 
 
 @report("p_products")
-def products(products: DataFrame) -> DataFrame:
-    order = [-F.col("revenue"), F.col("item_identifier"), F.col("item_type")]
-    return with_row_number(product_stats(products), order, "revenue_rank")
+def products(product_stats: DataFrame) -> DataFrame:
+    return product_stats
 
 
 @report("p_top_bottom")
-def top_and_bottom(products: DataFrame, n: int = 10, min_outlets: int = 3) -> DataFrame:
-    stats = product_stats(products)
+def top_and_bottom(product_stats: DataFrame, n: int = 10, min_outlets: int = 3) -> DataFrame:
+    stats = product_stats.drop("revenue_rank")
     best = top(stats, n, F.desc("revenue"), "item_identifier", "item_type")
     worst = top(stats.where(F.col("outlets_stocked") >= min_outlets), n, "revenue", "item_identifier", "item_type")
     return best.withColumn("list", F.lit("top")).unionByName(worst.withColumn("list", F.lit("bottom")))
 
 
 @report("p_segments")
-def segments(products: DataFrame) -> DataFrame:
-    summary = product_stats(products).groupBy("segment").agg(
+def segments(product_stats: DataFrame) -> DataFrame:
+    summary = product_stats.groupBy("segment").agg(
         F.count(F.lit(1)).alias("products"), F.round(F.sum("revenue"), 2).alias("revenue"),
         mean_of("avg_rating", 2).alias("avg_rating"))
     return summary.withColumn("pct_of_revenue", share_of_all("revenue")).orderBy("segment")
 
 
 @report("p_abc")
-def abc(products: DataFrame) -> DataFrame:
-    rolled = products.groupBy("item_identifier", "item_type").agg(F.sum("sales").alias("_sales"))
-    return abc_classes(rolled).select(
+def abc(product_stats: DataFrame) -> DataFrame:
+    return abc_classes(product_stats.select("item_identifier", "item_type", F.col("revenue").alias("_sales"))).select(
         F.col("abc_class").alias("abc"), "products", F.col("_sales").alias("revenue"),
         share_of_all("products").alias("pct_of_products"), share_of_all("_sales").alias("pct_of_revenue"),
     ).orderBy("abc")
@@ -264,8 +263,8 @@ def weekday(cells: DataFrame) -> DataFrame:
 
 def aggregate_tables(workspace) -> dict[str, DataFrame]:
     """All aggregate tables by name."""
-    segment_rows = written(segment_tables(workspace.stocks()), "segments")
-    lists = top_and_bottom(workspace.products())
+    segment_rows = catalog.call(every_segment, workspace)
+    lists = catalog.call(top_and_bottom, workspace)
     builders = {
         "kpis": kpis, "category": category, "outlet": outlet, "monthly": monthly, "yearly": yearly,
         "seasonality": seasonality, "products": products, "segments": segments, "abc": abc, "sales_bands": sales_bands,
@@ -297,9 +296,25 @@ def stored_aggregates(workspace) -> DataFrame:
     return result
 
 
+@table("segment_rows")
+def all_segments(stocks: DataFrame) -> DataFrame:
+    """The four segment tables in one, from one pass over the stocks."""
+    return segment_tables(stocks)
+
+
+def every_segment(segment_rows: DataFrame) -> DataFrame:
+    return segment_rows
+
+
 @report("p_facts")
-def headline_facts(
-    fact: DataFrame, products: DataFrame, outlets: DataFrame, stocks: DataFrame, shelves: DataFrame, cells: DataFrame,
+def headline_facts(facts: DataFrame) -> DataFrame:
+    return facts
+
+
+@table("facts")
+def facts_row(
+    fact: DataFrame, products: DataFrame, outlets: DataFrame, shelves: DataFrame, cells: DataFrame, product_stats: DataFrame,
+    segment_rows: DataFrame,
 ) -> DataFrame:
     """One record of headline figures, each taken from one of the aggregate tables."""
     # The first field is the label; it decides between equal amounts.
@@ -309,12 +324,11 @@ def headline_facts(
     def last(by: Column, *fields: str) -> list[Column]:
         return [F.min_by(f, F.struct(by, F.col(fields[0]))).alias(f"end_{f}") for f in fields]
 
-    segment_rows = written(segment_tables(stocks), "segments")
     types, tiers, sizes, fat = (segment_table(segment_rows, name) for name in SEGMENT_TABLES)
     # Products per store are not asked for here, so the stores come from the smaller roll-up.
     cat, out = category(products), outlet_shares(shelves)
     months, years, vis = seasonality(cells), yearly(cells), visibility_quintiles(fact)
-    stats = product_stats(products)
+    stats = product_stats
     revenue, per_store = F.col("revenue"), F.col("revenue_per_store")
     place = F.row_number().over(Window.orderBy(F.desc("revenue"), "item_type"))
     low = F.col("avg_rating") < F.lit("3.5").cast("decimal(3,2)")
@@ -334,7 +348,7 @@ def headline_facts(
         "tier": tiers.agg(*first(per_store, "outlet_location_type", "revenue_per_store"), *last(per_store, "outlet_location_type")),
         "size": sizes.agg(*first(per_store, "outlet_size")),
         "vis": vis.agg(where("vis_quintile", "1", "avg_sale", "q1"), where("vis_quintile", "5", "avg_sale", "q5")),
-        "abc": abc(products).agg(*[
+        "abc": abc(product_stats).agg(*[
             F.max(F.when(F.col("abc").startswith("A"), F.col(c))).alias(c) for c in ("products", "pct_of_products", "pct_of_revenue")]),
         "month": months.agg(*first(revenue, "order_month_name", "seasonality_index"), *last(revenue, "order_month_name", "seasonality_index")),
         "year": years.agg(F.max_by("yoy_growth_pct", "order_year").alias("yoy"), F.max_by("basket_growth_pct", "order_year").alias("basket")),

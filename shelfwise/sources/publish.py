@@ -16,12 +16,15 @@ from __future__ import annotations
 
 import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
+#: Tables of a load that are written at the same time; small ones don't fill a cluster.
+WRITERS = 4
 RECORD = "number bigint, load string, tables array<struct<name:string,format:string,rows:bigint,schema:string>>"
 
 
@@ -74,8 +77,9 @@ def publish(root: str, parts: dict[str, Part]) -> str:
     """
     spark = next(iter(parts.values())).rows.sparkSession
     load, tables, broken, stored = uuid.uuid4().hex, [], [], []
-    for name, part in parts.items():
-        rows, bad = _write(part, f"{root}/data/{load}/{name}")
+    with ThreadPoolExecutor(WRITERS) as pool:
+        counts = list(pool.map(lambda name: _write(parts[name], f"{root}/data/{load}/{name}"), parts))
+    for (name, part), (rows, bad) in zip(parts.items(), counts):
         broken += [f"{name}, {rule}: {count} rows of {rows}" for rule, count in bad.items() if count > part.tolerated * rows]
         tables.append((name, part.format, rows, part.rows.schema.json()))
         back = _open(spark, root, load, name, part.format, part.rows.schema, part.options)

@@ -48,6 +48,10 @@ class Workspace:
     def _stage(self, name, build, partition_by=None, figures=None) -> DataFrame:
         return stage(self.spark, self.source, name, build, partition_by, figures)
 
+    def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A table of the reports' own, written on first use."""
+        return self._stage(name, build)
+
     def raw(self) -> DataFrame:
         """Staging: the untouched text extract."""
         if self.extract:
