@@ -83,6 +83,7 @@ def outlet_scorecard(outlets: DataFrame) -> DataFrame:
     # Counted from the bottom: stores with less revenue, and stores with at most this revenue.
     below, n = F.col("_below"), F.col("_n")
     at_most = n - F.col("_place") + 1
+    # Limits and texts of the verdict.
     verdict = (
         F.when((F.col("_place") <= 3) & (F.col("rating_rank") <= 5), "Benchmark store - replicate")
         .when(F.col("_place") <= 3, "High revenue, weak satisfaction - audit service")
@@ -134,6 +135,7 @@ def best_and_worst_category(shelves: DataFrame) -> DataFrame:
         F.max(F.struct(-F.col("_sales"), F.col("category"))).alias("_bottom"),
         F.sum("_sales").alias("_store"))
     best, worst = -F.col("_top.col1"), -F.col("_bottom.col1")
+    # Limit and texts of the flag.
     risk = F.when(percent(best, F.col("_store"), 10) > 15, "Concentration risk - one category carries the store")
     return ends.select(
         "outlet", F.col("_top.category").alias("top_category"), F.round(best, 2).alias("top_revenue"),
@@ -146,6 +148,7 @@ def best_and_worst_category(shelves: DataFrame) -> DataFrame:
 @report("a06_timeline")
 def timeline(cells: DataFrame) -> DataFrame:
     now, back, ahead = F.col("_sales"), F.lag("_sales").over(in_month_order()), F.lead("_sales").over(in_month_order())
+    # Texts of the position.
     above = F.when(now > moving_average(-2, 0, 8), "Above trend").otherwise("Below trend")
     return by_month(cells).select(
         "year_month", F.round(now, 2).alias("revenue"), F.round(back, 2).alias("prev_month"),
@@ -161,6 +164,7 @@ def against_network(cells: DataFrame) -> DataFrame:
     network = one_row(cells.agg(R.mean("sales").alias("sale"), R.mean("rating").alias("rate")))
     summary = summarise(cells, CATEGORY, R.revenue(), R.mean("sales").alias("_sale"), R.mean("rating").alias("_rate"))
     dear, liked = F.col("_sale") > network["sale"], F.col("_rate") > network["rate"]
+    # Texts of the assessment.
     assessment = (
         F.when(dear & liked, "Outperforms on both").when(dear, "Commercially strong, satisfaction lags")
         .when(liked, "Well liked, commercially weak").otherwise("Underperforms on both"))
@@ -188,6 +192,7 @@ def against_own_category(products: DataFrame, n: int = 15) -> DataFrame:
 @report("a09_store_pairs")
 def store_pairs(fact: DataFrame, stocks: DataFrame, n: int = 15, factor: int = 3) -> DataFrame:
     shelf = F.col("a_item_visibility") > F.col("b_item_visibility") * F.lit("1.5").cast("decimal(2,1)")
+    # Texts of the cause.
     cause = (
         F.when(shelf, "Likely shelf placement - weak store gives it far less space")
         .when(F.col("a_outlet_type") != F.col("b_outlet_type"), "Store format difference - may be structural")

@@ -518,6 +518,7 @@ def year_columns(cells: DataFrame, keys: dict[str, str], years: tuple[int, ...])
 def category_growth(cells: DataFrame, years: tuple[int, int] = COMPARED_YEARS) -> DataFrame:
     first, second = (F.col(f"rev_{y}") for y in years)
     change = growth(second, first, 10)
+    # Limits and texts of the verdict.
     verdict = (
         F.when(change >= 25, "Accelerating - invest").when(change >= 10, "Growing - maintain")
         .when(change >= 0, "Flat - review").otherwise("Declining - act now"))
@@ -550,6 +551,7 @@ def store_against_network(shelves: DataFrame, n: int = 20, min_records: int = 15
         R.mean("sales").alias("_sale"))
     network = cells.groupBy("category").agg(mean_of("_sale", 12).alias("_network"))
     own, bench = F.col("_sale"), F.col("_network")
+    # Limits and texts of the flag.
     flag = (
         F.when(own < bench * F.lit("0.80").cast("decimal(3,2)"), "Underperforming - investigate")
         .when(own > bench * F.lit("1.20").cast("decimal(3,2)"), "Outperforming - learn from it")

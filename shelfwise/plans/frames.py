@@ -236,24 +236,26 @@ def all_years(fact: DataFrame) -> tuple[int, ...]:
     return tuple(sorted(r[0] for r in fact.select("order_year").distinct().collect()))
 
 
-def _growth_table(pivoted: DataFrame, keys: list[str], years: tuple[int, ...]) -> DataFrame:
-    """Growth from the first to the second year; NULL if the table covers one year only."""
-    change = growth(F.col(f"rev_{years[1]}"), F.col(f"rev_{years[0]}")) if len(years) > 1 else F.lit(None).cast("decimal(38,2)")
+def _growth_table(pivoted: DataFrame, keys: list[str], years: tuple[int, ...], compared: tuple[int, int] | None) -> DataFrame:
+    """Growth between the compared years, by default the first two; NULL if the table lacks one of them."""
+    old, new = compared or (*years, None, None)[:2]
+    known = old in years and new in years
+    change = growth(F.col(f"rev_{new}"), F.col(f"rev_{old}")) if known else F.lit(None).cast("decimal(38,2)")
     return pivoted.select(*keys, *[F.round(f"rev_{y}", 2).alias(f"rev_{y}") for y in years], change.alias("growth_pct")).orderBy(
         F.desc("growth_pct"), *keys)
 
 
 @report("p_outlet_growth")
-def outlet_growth(outlets: DataFrame) -> DataFrame:
+def outlet_growth(outlets: DataFrame, compared: tuple[int, int] | None = None) -> DataFrame:
     years, keys = all_years(outlets), ["outlet_identifier", "outlet_type"]
     revenue = [F.sum(F.when(F.col("order_year") == y, F.col("sales"))).alias(f"rev_{y}") for y in years]
-    return _growth_table(outlets.groupBy(*keys).agg(*revenue), keys, years)
+    return _growth_table(outlets.groupBy(*keys).agg(*revenue), keys, years, compared)
 
 
 @report("p_category_growth")
-def category_growth(cells: DataFrame) -> DataFrame:
+def category_growth(cells: DataFrame, compared: tuple[int, int] | None = None) -> DataFrame:
     years = all_years(cells)
-    return _growth_table(year_columns(cells, {"item_type": "item_type"}, years), ["item_type"], years)
+    return _growth_table(year_columns(cells, {"item_type": "item_type"}, years), ["item_type"], years, compared)
 
 
 @report("p_weekday")

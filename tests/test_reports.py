@@ -82,6 +82,12 @@ def test_growth_on_zero_base_is_null(spark):
     assert B.month_on_month(cells(f)).collect()[1]["mom_pct_change"] is None
 
 
+def test_growth_between_the_years_asked_for(spark):
+    f = fact(spark, *[{"order_date": f"{y}-05-01", "sales": s} for y, s in ((2019, 50), (2020, 100), (2021, 150))])
+    assert [P.category_growth(cells(f), compared=c).first()["growth_pct"] for c in (None, (2020, 2021), (2019, 2021), (2021, 2022))] == [100, 50, 200, None]
+    assert P.outlet_growth(rollups.outlet_rollup(f), compared=(2020, 2021)).first()["growth_pct"] == 50
+
+
 def test_worst_category_is_the_last_one(spark):
     f = fact(spark, *[{"item_type": t, "sales": s} for t, s in (("X", 50), ("Y", 30), ("Z", 10))])
     got = A.best_and_worst_category(shelves(f)).first()
