@@ -115,6 +115,16 @@ def copied_rows(raw: DataFrame, store) -> DataFrame:
     return again.groupBy(*RAW_COLUMNS).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
+# The extract's label columns: enumerated text, and the outlet.
+LABELS = [
+    "outlet_identifier", "outlet_establishment_year", "outlet_size", "outlet_location_type", "outlet_type", "item_type", "item_fat_content"]
+
+
+def label_rows(raw: DataFrame) -> DataFrame:
+    """Rows `n` per combination of labels as they are written in the extract."""
+    return raw.groupBy(*LABELS).agg(F.count(F.lit(1)).alias("n"))
+
+
 def grain_sizes(raw: DataFrame) -> DataFrame:
     """(n, groups): how many item-outlet pairs have n rows."""
     return raw.groupBy(*GRAIN).agg(F.count(F.lit(1)).alias("n")).groupBy("n").agg(F.count(F.lit(1)).alias("groups"))

@@ -53,10 +53,10 @@ def missing_values(raw_figures: DataFrame) -> DataFrame:
 
 
 @report("prof_missing_by_key")
-def keys_without_value(raw: DataFrame, key: str = "outlet_identifier", attribute: str = "outlet_size") -> DataFrame:
+def keys_without_value(labels: DataFrame, key: str = "outlet_identifier", attribute: str = "outlet_size") -> DataFrame:
     known = F.count(F.nullif(F.trim(attribute), F.lit("")))
-    counted = raw.groupBy(key).agg(known.alias("_known"), F.count(F.lit(1)).alias("row_count"))
-    return counted.where(F.col("_known") == 0).drop("_known").orderBy(key)
+    per_key = labels.groupBy(key).agg(known.alias("_known"), F.sum("n").alias("row_count"))
+    return per_key.where(F.col("_known") == 0).drop("_known").orderBy(key)
 
 
 @report("prof_duplicates")
@@ -79,10 +79,11 @@ UNMAPPED = "UNMAPPED - INVESTIGATE"
 
 
 @report("prof_category_values")
-def category_values(spellings: DataFrame) -> DataFrame:
+def category_values(labels: DataFrame) -> DataFrame:
+    spellings = labels.groupBy("item_fat_content").agg(F.sum("n").alias("row_count"))
     quoted = F.concat(F.lit('"'), F.col("item_fat_content"), F.lit('"'))
     return spellings.select(
-        quoted.alias("raw_value_quoted"), F.col("count").alias("row_count"),
+        quoted.alias("raw_value_quoted"), "row_count",
         canonical_fat_content("item_fat_content", F.lit(UNMAPPED)).alias("maps_to"),
     ).orderBy(F.desc("row_count"), "raw_value_quoted")
 
@@ -91,13 +92,11 @@ LISTED_COLUMNS = ["item_type", "outlet_size", "outlet_location_type", "outlet_ty
 
 
 @report("prof_domain_lists")
-def domains(raw: DataFrame) -> DataFrame:
+def domains(labels: DataFrame) -> DataFrame:
     """Distinct values per dimension, one row each, so that a long list never sits in one cell."""
-    # Rows are counted by combination first, of which there are few; only these are spread over the columns.
-    combinations = raw.groupBy(*LISTED_COLUMNS).agg(F.count(F.lit(1)).alias("_n"))
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in LISTED_COLUMNS])
-    listed = combinations.select("_n", F.inline(pairs)).where(F.trim("value") != "")
-    return listed.groupBy("column_name", "value").agg(F.sum("_n").alias("row_count")).orderBy("column_name", "value")
+    listed = labels.select("n", F.inline(pairs)).where(F.trim("value") != "")
+    return listed.groupBy("column_name", "value").agg(F.sum("n").alias("row_count")).orderBy("column_name", "value")
 
 
 @report("prof_whitespace")
@@ -127,27 +126,26 @@ OUTLET_FACTS = {
 }
 
 
-def distinct_per_outlet(raw: DataFrame) -> DataFrame:
+def distinct_per_outlet(labels: DataFrame) -> DataFrame:
     """Distinct attribute values per outlet; a blank counts as a value."""
-    # Rows collapse to the attribute combinations first; the counts then see little data.
-    combos = raw.select("outlet_identifier", *[F.coalesce(c, F.lit("")).alias(c) for c in OUTLET_FACTS.values()]).distinct()
+    combos = labels.select("outlet_identifier", *[F.coalesce(c, F.lit("")).alias(c) for c in OUTLET_FACTS.values()]).distinct()
     return combos.groupBy("outlet_identifier").agg(*[F.count_distinct(c).alias(n) for n, c in OUTLET_FACTS.items()])
 
 
-def conflicting_outlets(raw: DataFrame) -> DataFrame:
-    return distinct_per_outlet(raw).where(F.greatest(*OUTLET_FACTS) > 1)
+def conflicting_outlets(labels: DataFrame) -> DataFrame:
+    return distinct_per_outlet(labels).where(F.greatest(*OUTLET_FACTS) > 1)
 
 
 @report("prof_ref_outlet")
-def outlet_consistency(raw: DataFrame) -> DataFrame:
-    return distinct_per_outlet(raw).agg(
+def outlet_consistency(labels: DataFrame) -> DataFrame:
+    return distinct_per_outlet(labels).agg(
         F.count(F.lit(1)).alias("outlets"), F.count_if(F.greatest(*OUTLET_FACTS) > 1).alias("conflicting_outlets"))
 
 
 @report("prof_ref_outlet_list")
-def outlet_conflicts(raw: DataFrame) -> DataFrame:
+def outlet_conflicts(labels: DataFrame) -> DataFrame:
     """The four counts of every outlet, those that conflict marked."""
-    return distinct_per_outlet(raw).withColumn("conflicting", (F.greatest(*OUTLET_FACTS) > 1).cast("string"))
+    return distinct_per_outlet(labels).withColumn("conflicting", (F.greatest(*OUTLET_FACTS) > 1).cast("string"))
 
 
 @report("prof_ref_item")
@@ -213,12 +211,12 @@ DECISIONS = [
 
 
 @report("prof_decisions")
-def decisions(raw_figures: DataFrame, copies: DataFrame, spellings: DataFrame) -> DataFrame:
+def decisions(raw_figures: DataFrame, copies: DataFrame, labels: DataFrame) -> DataFrame:
     more = one_row(copies.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n")))["n"]
-    labels = one_row(spellings.agg(F.count("item_fat_content").alias("n")))["n"]
+    spellings = one_row(labels.agg(F.count_distinct("item_fat_content").alias("n")))["n"]
     gaps = F.col(ROWS) - F.col(f"`{counted('filled', 'item_weight')}`")
     measured = raw_figures.select(
-        labels.alias("spellings"), gaps.alias("missing_weight"), F.col(f"`{counted('defect', 'zero_visibility')}`").alias("zero_visibility"),
+        spellings.alias("spellings"), gaps.alias("missing_weight"), F.col(f"`{counted('defect', 'zero_visibility')}`").alias("zero_visibility"),
         more.alias("copies"))
     lines = F.array(*[
         F.struct(

@@ -73,9 +73,9 @@ class Workspace:
         """How many item-outlet pairs of the extract have how many rows."""
         return self._stage("grain_sizes", lambda: rules.grain_sizes(self.raw()))
 
-    def spellings(self) -> DataFrame:
-        """Rows per spelling of the fat content."""
-        return self._stage("spellings", lambda: self.raw().groupBy("item_fat_content").count())
+    def labels(self) -> DataFrame:
+        """Rows of the extract per combination of its labels."""
+        return self._stage("labels", lambda: rules.label_rows(self.raw()))
 
     def unique(self) -> DataFrame:
         """Typed rows without copies, before imputation."""

@@ -157,10 +157,11 @@ def test_abc_with_many_equal_products(spark):
 
 def test_profile_finds_conflicts(spark):
     r = raw(spark, {}, {"outlet_size": "High"}, {"item_weight": "11", "outlet_identifier": "OUT2"}, {"item_type": "Meat", "outlet_identifier": "OUT3", "outlet_size": ""})
-    assert tuple(R.outlet_consistency(r).first()) == (3, 1)
-    assert [x["outlet_identifier"] for x in R.conflicting_outlets(r).collect()] == ["OUT010"]
+    labels = rules.label_rows(r)
+    assert tuple(R.outlet_consistency(labels).first()) == (3, 1)
+    assert [x["outlet_identifier"] for x in R.conflicting_outlets(labels).collect()] == ["OUT010"]
     assert tuple(R.item_consistency(r).first()) == (1, 1, 1)
-    assert rows(R.keys_without_value(r)) == [("OUT3", 1)]
+    assert rows(R.keys_without_value(labels)) == [("OUT3", 1)]
 
 
 def test_profile_counts_bad_text(spark):

@@ -13,7 +13,9 @@ from shelfwise.workspace import Workspace
 FROM_FIGURES = [
     "src_row_count", "prof_schema", "prof_missing", "prof_whitespace", "prof_ranges", "prof_cross_field", "prof_min_max", "val_enum",
     "val_checks", "val_not_null", "val_imputation_share", "val_row_recon", "val_revenue_recon"]
-FROM_SMALL_TABLES = ["prof_duplicates", "prof_decisions", "prof_grain", "prof_category_values", "val_unique", "val_assertions", "val_defects_zero"]
+FROM_SMALL_TABLES = [
+    "prof_duplicates", "prof_decisions", "prof_grain", "prof_category_values", "prof_domain_lists", "prof_missing_by_key", "prof_ref_outlet",
+    "prof_ref_outlet_list", "val_unique", "val_assertions", "val_defects_zero"]
 
 
 def plan(df):
