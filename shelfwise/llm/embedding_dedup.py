@@ -8,9 +8,14 @@
    class got in its shards are united.
 4. Each shard searches the united graph for every class in it: greedily from the medoid and the
    class itself until the best are settled, then outwards through everything within range.
-5. What was found is verified by the cosine in double precision. A pair that meets in several
-   shards counts in the first one only, so no list of pairs is built or shuffled; per class the
-   links are counted and one link towards the shard's least class in reach is kept.
+5. The search goes on in other shards: a class enters the united graph at the medoids of its next
+   `VISITS` nearest shards as well, as a guest that has no node there. A shard is left out if no
+   vector within range of the class can have that shard as its nearest: its centroid's angle to the
+   class exceeds that of the nearest centroid by more than twice the threshold's angle.
+6. What was found is verified by the cosine in double precision. A pair that meets in several
+   shards counts in the first one only, one that meets on visits alone in the first visit, so no
+   list of pairs is built or shuffled; per class the links are counted and one link towards the
+   task's least class in reach is kept.
 
 The graph search can miss pairs, so `audit_recall` compares it with brute force.
 """
@@ -21,13 +26,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import written
 from .components import components
 
 COSINE = 0.9
 OVERLAP = 3
+#: Further shards that a class visits, and guests of one task.
+VISITS, GUESTS = 6, 2_000
 #: Classes of one search task, and of a block when a shard has more.
 SHARD, BLOCK = 2_000, 1_000
 #: Classes that a shard should have on average.
@@ -61,13 +68,16 @@ def _expand(x: np.ndarray, adjacency: np.ndarray, vectors: np.ndarray, seen: np.
     flat[keys] = _similarities(x, vectors[keys // seen.shape[1]], keys % seen.shape[1])
 
 
-def _greedy(x: np.ndarray, adjacency: np.ndarray, own: np.ndarray, medoid: int) -> tuple[np.ndarray, np.ndarray]:
-    """(similarities of evaluated nodes, expanded) per query, from the medoid and the query's own node."""
-    vectors, count = x[own], len(own)
+def _greedy(
+    x: np.ndarray, adjacency: np.ndarray, vectors: np.ndarray, medoid: int, own: np.ndarray | None,
+) -> tuple[np.ndarray, np.ndarray]:
+    """(similarities of evaluated nodes, expanded) per query, from the medoid and the query's own node if it has one."""
+    count = len(vectors)
     seen, expanded = np.full((count, len(x)), -2.0), np.zeros((count, len(x)), dtype=bool)
     everyone = np.arange(count)
     seen[everyone, medoid] = _similarities(x, vectors, np.full(count, medoid))
-    seen[everyone, own] = 1.0
+    if own is not None:
+        seen[everyone, own] = 1.0
     beam = min(BEAM, len(x))
     active = everyone
     while len(active):
@@ -85,10 +95,11 @@ def _greedy(x: np.ndarray, adjacency: np.ndarray, own: np.ndarray, medoid: int)
     return seen, expanded
 
 
-def _range(x: np.ndarray, adjacency: np.ndarray, own: np.ndarray, medoid: int, cosine: float) -> np.ndarray:
+def _range(
+    x: np.ndarray, adjacency: np.ndarray, vectors: np.ndarray, medoid: int, cosine: float, own: np.ndarray | None = None,
+) -> np.ndarray:
     """Boolean (query, node): nodes within range that a greedy search and its expansion reach."""
-    seen, expanded = _greedy(x, adjacency, own, medoid)
-    vectors = x[own]
+    seen, expanded = _greedy(x, adjacency, vectors, medoid, own)
     while True:
         rows, nodes = np.nonzero((seen >= cosine) & ~expanded)
         if not len(rows):
@@ -146,7 +157,7 @@ def build_graph(x: np.ndarray, seed: int = 0) -> list[np.ndarray]:
     medoid, order = medoid_of(x), random.permutation(count)
     for k in range(0, count, QUERIES):
         batch = order[k:k + QUERIES]
-        seen, _ = _greedy(x, _padded(lists), batch, medoid)
+        seen, _ = _greedy(x, _padded(lists), x[batch], medoid, batch)
         seen[np.arange(len(batch)), batch] = -2.0
         keep = min(CANDIDATES, count)
         top = np.argpartition(seen, -keep, axis=1)[:, -keep:]
@@ -176,7 +187,7 @@ def range_links(x: np.ndarray, lists: list[np.ndarray], cosine: float = COSINE)
     found = np.zeros((len(x), len(x)), dtype=bool)
     for k in range(0, len(x), QUERIES):
         own = np.arange(k, min(k + QUERIES, len(x)))
-        found[own] = _range(x, adjacency, own, medoid, cosine)
+        found[own] = _range(x, adjacency, x[own], medoid, cosine, own)
     found |= found.T
     np.fill_diagonal(found, False)
     return found
@@ -194,10 +205,9 @@ def _first_met(found: np.ndarray, tasks: list[list[int]], task: int) -> np.ndarr
     return found & (member @ member.T < 0.5)
 
 
-def _roots(found: np.ndarray) -> np.ndarray:
-    """Least node in reach of each node."""
-    label = np.arange(len(found))
-    rows, columns = np.nonzero(found)
+def _roots(count: int, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Least node in reach of each node, by links from `rows` to `columns` given in both directions."""
+    label = np.arange(count)
     while True:
         lower = label.copy()
         np.minimum.at(lower, rows, label[columns])
@@ -227,15 +237,15 @@ def _unit(values: pd.Series) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def centroids(classes: DataFrame, seed: int = 0) -> dict[int, np.ndarray]:
-    """Centroids per vector length, by Lloyd steps on a sample of at most MAX_CENTROIDS * SAMPLE classes."""
+def centroids(classes: DataFrame, limit: int = MAX_CENTROIDS, seed: int = 0) -> dict[int, np.ndarray]:
+    """At most `limit` centroids per vector length, by Lloyd steps on a sample of SAMPLE classes for each."""
     out = {}
     for size, count in classes.groupBy(F.size("unit")).count().collect():
-        k = int(min(MAX_CENTROIDS, max(1, -(-OVERLAP * count // TARGET))))
+        k = int(min(limit, max(1, -(-OVERLAP * count // TARGET))))
         share = min(1.0, k * SAMPLE * 1.2 / count)
         bound = int(share * (1 << 31))
         rows = classes.where((F.size("unit") == size) & (F.pmod(F.xxhash64("unit"), F.lit(1 << 31)) <= bound)).select("unit")
-        x = _unit(rows.limit(MAX_CENTROIDS * SAMPLE).toPandas()["unit"])
+        x = _unit(rows.limit(limit * SAMPLE).toPandas()["unit"])
         means = x[np.random.default_rng(seed).permutation(len(x))[:k]]
         for _ in range(8):
             nearest = np.argmax(x @ means.T, axis=1)
@@ -247,25 +257,40 @@ def centroids(classes: DataFrame, seed: int = 0) -> dict[int, np.ndarray]:
     return out
 
 
-def shards(classes: DataFrame, model: dict[int, np.ndarray]) -> DataFrame:
-    """(task, tasks, class, n, unit): every class with each task that it belongs to."""
+def place(classes: DataFrame, model: dict[int, np.ndarray], cosine: float = COSINE, visits: int = VISITS) -> DataFrame:
+    """(class, n, unit, cells, visits): the shards that a class belongs to, nearest first, and those it visits."""
     first = dict(zip(model, np.cumsum([0, *(len(m) for m in model.values())]).tolist()))
+    reach, overlap = 2 * np.arccos(cosine) + 1e-9, OVERLAP
 
     def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for size, part in frame.groupby(frame["unit"].map(len)):
-                means = model[size]
-                order = np.argsort(-(_unit(part["unit"]) @ means.T), axis=1, kind="stable")[:, :OVERLAP]
-                yield pd.DataFrame({"class": part["class"], "n": part["n"], "unit": part["unit"],
-                                    "cells": (order + first[size]).tolist()})
-
-    placed = written(classes.select("class", "n", "unit").mapInPandas(
-        assign, "class bigint, n bigint, unit array<double>, cells array<bigint>"), "cells")
-    blocks = (placed.select(F.explode("cells").alias("cell")).groupBy("cell").count()
-              .select("cell", F.when(F.col("count") <= SHARD, 1).otherwise(F.ceil(F.col("count") / BLOCK)).cast("bigint").alias("blocks")))
-    # One row per centroid: a bounded table.
-    each = placed.select("class", F.explode("cells").alias("cell")).join(F.broadcast(blocks), "cell")
-    part = F.pmod(F.xxhash64("class"), F.col("blocks"))
+                sims = _unit(part["unit"]) @ model[size].T
+                order = np.argsort(-sims, axis=1, kind="stable")[:, :overlap + visits]
+                angles = np.arccos(np.clip(np.take_along_axis(sims, order, axis=1), -1.0, 1.0))
+                near = angles[:, overlap:] <= angles[:, :1] + reach
+                cells = order + first[size]
+                yield pd.DataFrame({"class": part["class"], "n": part["n"], "unit": part["unit"], "cells": cells[:, :overlap].tolist(),
+                                    "visits": [row[use].tolist() for row, use in zip(cells[:, overlap:], near)]})
+
+    return classes.select("class", "n", "unit").mapInPandas(
+        assign, "class bigint, n bigint, unit array<double>, cells array<bigint>, visits array<bigint>")
+
+
+def _blocks(placed: DataFrame) -> DataFrame:
+    """(cell, blocks): one row per centroid, a bounded table."""
+    return (placed.select(F.explode("cells").alias("cell")).groupBy("cell").count()
+            .select("cell", F.when(F.col("count") <= SHARD, 1).otherwise(F.ceil(F.col("count") / BLOCK)).cast("bigint").alias("blocks")))
+
+
+def _part(blocks: str) -> Column:
+    return F.pmod(F.xxhash64("class"), F.col(blocks))
+
+
+def shards(placed: DataFrame) -> DataFrame:
+    """(task, tasks, class, n, unit): every class with each task that it belongs to."""
+    each = placed.select("class", F.explode("cells").alias("cell")).join(F.broadcast(_blocks(placed)), "cell")
+    part = _part("blocks")
     others = F.when(F.col("blocks") == 1, F.array(F.lit(0).cast("bigint"))).otherwise(
         F.array_except(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1), F.array(part)))
     task = F.transform(others, lambda other: F.col("cell") * F.lit(1 << 40) + F.least(part, other) * F.lit(1 << 20) + F.greatest(part, other))
@@ -286,6 +311,16 @@ def united_graph(sharded: DataFrame) -> DataFrame:
     return built.groupBy("class").agg(F.array_distinct(F.flatten(F.collect_list("neighbours"))).alias("neighbours"))
 
 
+def _local(names: np.ndarray, neighbours: pd.Series) -> list[np.ndarray]:
+    """The united lists as places in the sorted `names`, without classes that aren't there."""
+    lists = []
+    for near in neighbours:
+        at = np.searchsorted(names, near)
+        at = at[at < len(names)] if len(near) == 0 else np.where(at < len(names), at, 0)
+        lists.append(at[names[at] == np.asarray(near)] if len(near) else np.empty(0, dtype=np.int64))
+    return lists
+
+
 def search(sharded: DataFrame, graph: DataFrame, cosine: float = COSINE) -> DataFrame:
     """(class, weight, least) per class and task: rows linked to it, counted where the pair meets first,
     and the least class of the task in reach."""
@@ -293,21 +328,90 @@ def search(sharded: DataFrame, graph: DataFrame, cosine: float = COSINE) -> Data
         frame = frame.sort_values("class")
         names, weights = frame["class"].to_numpy(), frame["n"].to_numpy()
         x = _unit(frame["unit"])
-        lists = []
-        for near in frame["neighbours"]:
-            at = np.searchsorted(names, near)
-            at = at[at < len(names)] if len(near) == 0 else np.where(at < len(names), at, 0)
-            lists.append(at[names[at] == np.asarray(near)] if len(near) else np.empty(0, dtype=np.int64))
-        found = range_links(x, lists, cosine)
+        found = range_links(x, _local(names, frame["neighbours"]), cosine)
         first = _first_met(found, frame["tasks"].tolist(), int(frame["task"].iloc[0]))
         return pd.DataFrame({"class": names, "weight": (first @ weights.astype(np.float64)).round().astype(np.int64),
-                             "least": names[_roots(found)]})
+                             "least": names[_roots(len(found), *np.nonzero(found))]})
 
     joined = sharded.join(graph, "class")
     return joined.groupBy("task").applyInPandas(find, "class bigint, weight bigint, least bigint")
 
 
-def near_duplicates(df: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", cosine: float = COSINE) -> DataFrame:
+def _shared(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Per row, the least cell that both padded lists name; a very large number if there is none."""
+    same = (left[:, :, None] == right[:, None, :]) & (left[:, :, None] >= 0)
+    return np.where(same, left[:, :, None], np.iinfo(np.int64).max).min(axis=(1, 2))
+
+
+def visiting_links(guests: pd.DataFrame, members: pd.DataFrame, cell: int, cosine: float = COSINE) -> pd.DataFrame:
+    """(class, weight, least) of the guests and members of one task that a guest's search links.
+
+    A pair that shares a shard was counted there; of the others each counts in the least cell where one
+    end is a guest of the other's.
+    """
+    nobody = pd.DataFrame({"class": [], "weight": [], "least": []}, dtype="int64")
+    if guests.empty or members.empty:
+        return nobody
+    members = members.sort_values("class")
+    names, hosts = guests["class"].to_numpy(), members["class"].to_numpy()
+    x, vectors = _unit(members["unit"]), _unit(guests["unit"])
+    adjacency, medoid = _padded(_local(hosts, members["neighbours"])), medoid_of(x)
+    cells, visits = ([_padded([np.asarray(v, dtype=np.int64) for v in part[column]]) for part in (guests, members)]
+                     for column in ("cells", "visits"))
+    counts = [part["n"].to_numpy(dtype=np.int64) for part in (guests, members)]
+    weights = [np.zeros(len(part), dtype=np.int64) for part in (guests, members)]
+    links = []
+    for k in range(0, len(names), QUERIES):
+        rows, nodes = np.nonzero(_range(x, adjacency, vectors[k:k + QUERIES], medoid, cosine))
+        rows += k
+        links.append((rows, nodes))
+        none = np.iinfo(np.int64).max
+        apart = _shared(cells[0][rows], cells[1][nodes]) == none
+        met = np.minimum(_shared(visits[0][rows], cells[1][nodes]), _shared(cells[0][rows], visits[1][nodes]))
+        rows, nodes = rows[apart & (met == cell)], nodes[apart & (met == cell)]
+        np.add.at(weights[0], rows, counts[1][nodes])
+        np.add.at(weights[1], nodes, counts[0][rows])
+    rows, nodes = (np.concatenate(side) for side in zip(*links))
+    if not len(rows):
+        return nobody
+    everyone = np.unique(np.concatenate([names[rows], hosts[nodes]]))
+    a, b = np.searchsorted(everyone, names[rows]), np.searchsorted(everyone, hosts[nodes])
+    least = everyone[_roots(len(everyone), np.concatenate([a, b]), np.concatenate([b, a]))]
+    weight = np.zeros(len(everyone), dtype=np.int64)
+    for side, own, found in ((0, names, rows), (1, hosts, nodes)):
+        used = np.unique(found)
+        weight[np.searchsorted(everyone, own[used])] = weights[side][used]
+    return pd.DataFrame({"class": everyone, "weight": weight, "least": least})
+
+
+def visit(placed: DataFrame, graph: DataFrame, cosine: float = COSINE) -> DataFrame:
+    """(class, weight, least) of what the searches find outside a class's own shards.
+
+    A task has at most a block of a cell and some `GUESTS` guests: a cell with more of them is repeated, and
+    each guest meets each member of a cell once.
+    """
+    # One row per centroid: a bounded table.
+    rooms = F.broadcast(placed.select(F.explode("visits").alias("cell")).groupBy("cell").count()
+                        .select("cell", F.ceil(F.col("count") / GUESTS).cast("bigint").alias("rooms")).join(_blocks(placed), "cell"))
+    zero = F.lit(0).cast("bigint")
+    every = lambda column: F.explode(F.sequence(zero, F.col(column) - 1))
+    columns = ["cell", "block", "room", "class", "n", "unit", "cells", "visits"]
+    guests = (placed.withColumn("cell", F.explode("visits")).join(rooms, "cell")
+              .withColumn("room", _part("rooms")).withColumn("block", every("blocks")))
+    members = (placed.withColumn("cell", F.explode("cells")).join(rooms, "cell")
+               .withColumn("block", _part("blocks")).withColumn("room", every("rooms")))
+    met = (guests.select(*columns, F.lit(None).cast("array<bigint>").alias("neighbours"))
+           .unionByName(members.join(graph, "class").select(*columns, "neighbours")))
+
+    def find(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        guest = frame["neighbours"].isna()
+        return visiting_links(frame[guest], frame[~guest], int(key[0]), cosine)
+
+    return met.groupBy("cell", "block", "room").applyInPandas(find, "class bigint, weight bigint, least bigint")
+
+
+def near_duplicates(df: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", cosine: float = COSINE,
+                    visits: int = VISITS, max_centroids: int = MAX_CENTROIDS) -> DataFrame:
     """(id, n_links, component_id, kept) per row of `df`.
 
     n_links counts the other rows with a cosine of at least `cosine`, component_id is the smallest id
@@ -315,13 +419,17 @@ def near_duplicates(df: DataFrame, id_column: str = "vec_id", vector_column: str
     component, links with nothing and is its own component. Vectors of different lengths don't link.
     Rows that repeat a vector are linked rows. A null id counts, but names a component only (as
     null) if it has no other. An empty table gives an empty table.
+
+    The search is approximate: more `visits` (shards searched besides a vector's own) find more of the links, and
+    more than some 1,000 * `max_centroids` distinct vectors want more centroids.
     """
     if not 0 < cosine <= 1:
         raise ValueError("cosine must be above 0 and at most 1")
     classes = written(classes_of(df, id_column, vector_column), "vectors")
-    sharded = written(shards(classes, centroids(classes)), "shards")
+    placed = written(place(classes, centroids(classes, max_centroids), cosine, visits), "cells")
+    sharded = written(shards(placed), "shards")
     graph = written(united_graph(sharded), "graph")
-    found = written(search(sharded, graph, cosine), "found")
+    found = written(search(sharded, graph, cosine).unionByName(visit(placed, graph, cosine)), "found")
     counts = found.groupBy("class").agg(F.sum("weight").alias("others"))
     labels = components(found.select(F.col("least").alias("a"), F.col("class").alias("b"))).withColumnRenamed("node", "class")
     named = classes.join(labels, "class", "left").join(counts, "class", "left").select(

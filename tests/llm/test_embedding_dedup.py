@@ -123,3 +123,44 @@ def test_pairs_across_shards_at_the_threshold(spark, monkeypatch):
     assert true >= 380 and found >= 0.9 * true
     some = ed.audit_recall(df, result, divisor=20, block=7)
     assert 0 < some[1] <= some[0] < true
+
+
+@pytest.mark.parametrize("guests,shard,block", [(2_000, 2_000, 1_000), (25, 60, 30)])
+def test_visits_find_pairs_that_share_no_shard(spark, monkeypatch, guests, shard, block):
+    """Unclustered vectors, pairs right at the threshold; rooms and blocks are split in the second case.
+
+    Centroids of few samples each, as on a large table, where they don't follow single pairs.
+    """
+    for name, value in (("TARGET", 40), ("OVERLAP", 2), ("SAMPLE", 2), ("GUESTS", guests), ("SHARD", shard), ("BLOCK", block)):
+        monkeypatch.setattr(ed, name, value)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(1_600, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for i in range(0, 1_200, 2):
+        other = rng.normal(size=64)
+        other -= (other @ x[i]) * x[i]
+        x[i + 1] = 0.902 * x[i] + math.sqrt(1 - 0.902 ** 2) * other / np.linalg.norm(other)
+    rows = list(enumerate(as_float32(x))) + [(2_000 + i, v) for i, v in enumerate(as_float32(x[:40]))]
+    df = frame(spark, rows)
+    got = sorted(tuple(r) for r in ed.near_duplicates(df).collect())
+    want = sorted(plain(rows))
+    assert all(g[1] <= w[1] for g, w in zip(got, want))
+    assert sum(g[1] for g in got) >= 0.99 * sum(w[1] for w in want)
+    assert sum(a == b for a, b in zip(got, want)) >= 0.99 * len(want)
+    without = ed.near_duplicates(df, visits=0)
+    assert without.agg({"n_links": "sum"}).first()[0] < 0.97 * sum(w[1] for w in want)
+
+
+def test_a_pair_met_on_several_visits_counts_once():
+    """0 and 1 link; each visits the other's shards, and both rows of a shared shard are left to it."""
+    import pandas as pd
+    unit = [[1.0, 0.0], [0.95, math.sqrt(1 - 0.95 ** 2)]]
+    row = lambda c, cells, visits, near: {"class": c, "n": c + 1, "unit": unit[c], "cells": cells, "visits": visits, "neighbours": near}
+    a, b = row(0, [4, 5], [2, 7], []), row(1, [2, 3], [5], [])
+    at_two = ed.visiting_links(pd.DataFrame([a]), pd.DataFrame([b]), 2)
+    at_five = ed.visiting_links(pd.DataFrame([b]), pd.DataFrame([a]), 5)
+    assert at_two.values.tolist() == [[0, 2, 0], [1, 1, 0]]
+    assert at_five.values.tolist() == [[0, 0, 0], [1, 0, 0]]
+    b = row(1, [2, 5], [], [])
+    assert ed.visiting_links(pd.DataFrame([a]), pd.DataFrame([b]), 2).values.tolist() == [[0, 0, 0], [1, 0, 0]]
+    assert ed.visiting_links(pd.DataFrame([a]).iloc[:0], pd.DataFrame([b]), 2).empty
