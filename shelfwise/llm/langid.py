@@ -6,7 +6,8 @@ compressed in blocks, each with a fresh dictionary, so that a long text doesn't
 dictionary and memory stays bounded; the whole text counts, in lower case.
 
 The dictionaries are the fitted model: a bounded sample of labelled texts, at most `ROWS` texts
-and `DICTIONARY` bytes a language, chosen by the order of the texts' hashes, each distinct text once.
+and `DICTIONARY` bytes a language, chosen by the texts' hashes, each distinct text once. A text
+fills at most a fiftieth of a dictionary; of a longer one `PIECES` pieces are taken, spread over it.
 """
 
 from __future__ import annotations
@@ -16,12 +17,12 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
-
-from .common import written
+from pyspark.sql import Column, DataFrame, functions as F
 
 #: Bounds of the sample a language's dictionary is made of.
 ROWS, DICTIONARY = 400, 250_000
+#: Part of a dictionary that one text may fill, and the pieces taken of a longer text.
+PART, PIECES = 50, 5
 #: Bytes compressed at once, and the compressor's level.
 BLOCK, LEVEL = 2_048, 9
 #: Share by which the second best must be larger, or the prediction is marked as rejected.
@@ -30,25 +31,33 @@ UNKNOWN = "und"
 _STEEPNESS = 40.0
 
 
+def extract(text: Column, length: int) -> Column:
+    """`text`, or of a longer one `length` characters: equal pieces from its start to its end."""
+    piece = length // PIECES
+    step = (F.length(text) - piece) / (PIECES - 1)
+    pieces = [F.substring(text, F.floor(step * i).cast("int") + 1, F.lit(piece)) for i in range(PIECES)]
+    return F.when(F.length(text) <= length, text).otherwise(F.concat(*pieces))
+
+
 def dictionaries(labelled: DataFrame, text_column: str = "text", lang_column: str = "lang", rows: int = ROWS,
                  size: int = DICTIONARY) -> dict[str, bytes]:
     """Dictionary of each language of `labelled`, from texts with a letter; empty without any.
 
-    Only hashes are ranked and shuffled; copies of a text count once, however many there are.
+    A language is cut at the share of hashes that gives some `rows` distinct texts, so none is ranked or
+    gathered, and only the chosen texts' pieces are shuffled. Copies of a text count once, however many there
+    are; of different texts with the same hash the least counts.
     """
     texts = labelled.select(F.col(lang_column).alias("lang"), F.col(text_column).alias("text")).where(
-        F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).withColumn("hash", F.xxhash64("text"))
-    ranked = (texts.groupBy("lang", "hash").agg(F.max(F.octet_length("text")).alias("bytes"))
-              .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("hash"))).where(F.col("rank") <= rows))
-    before = Window.partitionBy("lang").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-    chosen = written(ranked.withColumn("before", F.coalesce(F.sum("bytes").over(before), F.lit(0)))
-                     .where(F.col("before") < size).select("lang", "hash", "rank"), "dictionary-rows")
-    # At most `rows` short rows a language are broadcast, and as many texts come back.
-    found = (texts.join(F.broadcast(chosen), ["lang", "hash"]).groupBy("lang", "rank").agg(F.min("text").alias("text"))
-             .select("lang", "rank", F.substring("text", 1, size).alias("text")))
+        F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).withColumn("hash", F.shiftrightunsigned(F.xxhash64("text"), 1))
+    # A dictionary is kept per language, so a row per language may be broadcast, too.
+    shares = texts.groupBy("lang").agg(F.least(F.lit(1.0), rows / F.approx_count_distinct("hash", 0.02)).alias("share"))
+    chosen = texts.join(F.broadcast(shares), "lang").where(F.col("hash") <= F.col("share") * float(1 << 63))
+    found = chosen.groupBy("lang", "hash").agg(F.min(extract(F.col("text"), max(PIECES, size // PART))).alias("text"))
     out: dict[str, list[str]] = {}
-    for row in found.orderBy("lang", "rank").toLocalIterator():
-        out.setdefault(row["lang"], []).append(row["text"])
+    for row in found.orderBy("lang", "hash").toLocalIterator():
+        own = out.setdefault(row["lang"], [])
+        if len(own) < rows:
+            own.append(row["text"])
     return {lang: "\n".join(texts).lower().encode()[:size] for lang, texts in out.items()}
 
 
@@ -91,6 +100,7 @@ def predict(df: DataFrame, contents: dict[str, bytes], id_column: str = "doc_id"
 
     A text that is null or has no letter, and any text if no language was learnt, is `und` with
     score 0 and not accepted. score is 0.5 where the two best are equal and rises with the margin.
+    Repeated rows each get their own; an empty table gives an empty table.
     """
     kind = df.schema[id_column].dataType.simpleString()
     frozen = tuple(sorted(contents.items()))
