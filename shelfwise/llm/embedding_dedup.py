@@ -58,40 +58,55 @@ def _similarities(x: np.ndarray, queries: np.ndarray, nodes: np.ndarray) -> np.n
     return out
 
 
-def _expand(x: np.ndarray, adjacency: np.ndarray, vectors: np.ndarray, seen: np.ndarray, rows: np.ndarray, nodes: np.ndarray) -> None:
-    """Evaluate the unseen neighbours of `nodes` for the queries in `rows`; `seen` has -2 where not evaluated."""
+def _expand(
+    x: np.ndarray, adjacency: np.ndarray, vectors: np.ndarray, seen: np.ndarray, rows: np.ndarray, nodes: np.ndarray,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Evaluate the unseen neighbours of `nodes` for the queries in `rows`; `seen` has -2 where not evaluated.
+
+    Returns (query, node, similarity) of the new ones, by query.
+    """
     near = adjacency[nodes]
     keys = (rows[:, None] * seen.shape[1] + near)[near >= 0]
-    keys = np.unique(keys)
     flat = seen.reshape(-1)
-    keys = keys[flat[keys] < -1.5]
-    flat[keys] = _similarities(x, vectors[keys // seen.shape[1]], keys % seen.shape[1])
+    keys = np.unique(keys[flat[keys] < -1.5])
+    new = keys // seen.shape[1], keys % seen.shape[1]
+    flat[keys] = _similarities(x, vectors[new[0]], new[1])
+    return *new, flat[keys]
 
 
 def _greedy(
     x: np.ndarray, adjacency: np.ndarray, vectors: np.ndarray, medoid: int, own: np.ndarray | None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """(similarities of evaluated nodes, expanded) per query, from the medoid and the query's own node if it has one."""
-    count = len(vectors)
+    count, everyone = len(vectors), np.arange(len(vectors))
     seen, expanded = np.full((count, len(x)), -2.0), np.zeros((count, len(x)), dtype=bool)
-    everyone = np.arange(count)
     seen[everyone, medoid] = _similarities(x, vectors, np.full(count, medoid))
+    # The best nodes of each query; -2 marks a free place, and an expanded node is not taken again.
+    nodes, sims = np.zeros((count, BEAM), dtype=np.int64), np.full((count, BEAM), -2.0)
+    nodes[:, 0], sims[:, 0] = medoid, seen[:, medoid]
     if own is not None:
         seen[everyone, own] = 1.0
-    beam = min(BEAM, len(x))
+        other = own != medoid
+        nodes[:, 1], sims[other, 1] = own, 1.0
     active = everyone
     while len(active):
-        now = seen[active]
-        worst = np.maximum(np.partition(now, -beam, axis=1)[:, -beam], -1.5)
-        now[expanded[active]] = -2.0
-        width = min(WIDTH, len(x))
-        best = np.argpartition(now, -width, axis=1)[:, -width:]
-        use = np.take_along_axis(now, best, axis=1) >= worst[:, None]
-        at, column = np.nonzero(use)
-        nodes, rows = best[at, column], active[at]
-        expanded[rows, nodes] = True
-        _expand(x, adjacency, vectors, seen, rows, nodes)
-        active = active[use.any(axis=1)]
+        waiting = np.where(expanded[active[:, None], nodes[active]], -2.0, sims[active])
+        best = np.argpartition(waiting, -WIDTH, axis=1)[:, -WIDTH:]
+        at, column = np.nonzero(np.take_along_axis(waiting, best, axis=1) > -1.5)
+        rows, chosen = active[at], nodes[active[at], best[at, column]]
+        expanded[rows, chosen] = True
+        active = np.unique(rows)
+        rows, near, found = _expand(x, adjacency, vectors, seen, rows, chosen)
+        if not len(rows):
+            continue
+        into, start = np.unique(rows, return_index=True)
+        sizes = np.diff([*start, len(rows)])
+        place = np.repeat(np.arange(len(into)), sizes), BEAM + np.arange(len(rows)) - np.repeat(start, sizes)
+        wide = np.zeros((len(into), BEAM + sizes.max()), dtype=np.int64), np.full((len(into), BEAM + sizes.max()), -2.0)
+        wide[0][:, :BEAM], wide[1][:, :BEAM] = nodes[into], sims[into]
+        wide[0][place], wide[1][place] = near, found
+        top = np.argpartition(wide[1], -BEAM, axis=1)[:, -BEAM:]
+        nodes[into], sims[into] = np.take_along_axis(wide[0], top, axis=1), np.take_along_axis(wide[1], top, axis=1)
     return seen, expanded
 
 
