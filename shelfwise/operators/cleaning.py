@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..schema import BASE_YEAR, FACT_COLUMNS, FAT_CONTENT_LABELS, RAW_COLUMNS, UNKNOWN
+from ..schema import BASE_YEAR, FACT_COLUMNS, FAT_CONTENT_LABELS, GRAIN, RAW_COLUMNS, UNKNOWN
 from .medians import grouped_median
 
 
@@ -92,6 +93,26 @@ def drop_copies(typed: DataFrame) -> DataFrame:
     return typed.dropDuplicates()
 
 
+# Of so many hashes a broadcast table takes some tens of MB.
+MOST_REPEATED = 1_000_000
+
+
+def unique_rows(typed: DataFrame, store: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """The same rows as `drop_copies` gives, where copies are few, as in most extracts.
+
+    Copies agree in item, outlet, sales and date, so only hashes of these are shuffled. A row that has its hash to itself
+    is unique and stays where it is; the others are compared in full. With more repeated hashes than a broadcast may
+    hold, all rows are compared. `typed` is read several times; `store` keeps the repeated hashes.
+    """
+    hashed = typed.withColumn("_h", F.xxhash64(*GRAIN, "sales", "order_date"))
+    repeated = store(hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_h"), "repeated")
+    if repeated.count() > MOST_REPEATED:
+        return drop_copies(typed)
+    single = hashed.join(F.broadcast(repeated), "_h", "left_anti").select(typed.columns)
+    again = hashed.join(F.broadcast(repeated), "_h", "left_semi").select(typed.columns)
+    return single.unionAll(drop_copies(again))
+
+
 def median_weight_by_item(rows: DataFrame) -> DataFrame:
     return grouped_median(rows, ["item_identifier"], "item_weight", "item_median_weight")
 
@@ -106,13 +127,16 @@ def medians_by_type(rows: DataFrame) -> DataFrame:
 def impute(rows: DataFrame, by_item: DataFrame, by_type: DataFrame) -> DataFrame:
     """Fill weight (own median, else the category's) and visibility; flag what was filled.
 
-    No side is hinted. With stored lookups the planner knows their size: it broadcasts a
-    small one and else sort-merge joins, where adaptive execution splits a hot item.
+    Only rows without a weight meet their item's median. No side is hinted. With stored lookups the planner knows
+    their size: it broadcasts a small one and else sort-merge joins, where adaptive execution splits a hot item.
     """
+    weighed = rows.where(F.col("item_weight").isNotNull()).withColumn(
+        "item_median_weight", F.lit(None).cast(by_item.schema["item_median_weight"].dataType))
+    unweighed = rows.where(F.col("item_weight").isNull()).join(by_item, "item_identifier", "left")
     weight = F.coalesce(F.col("item_weight"), F.col("item_median_weight"), F.col("type_median_weight"))
     visibility = F.coalesce(F.col("item_visibility"), F.col("type_median_visibility"))
     return (
-        rows.join(by_item, "item_identifier", "left")
+        weighed.unionByName(unweighed)
         .join(by_type, "item_type", "left")
         .withColumns({
             "item_weight_imputed": F.col("item_weight").isNull().cast("int"),
@@ -128,9 +152,9 @@ def add_age(df: DataFrame, base_year: int = BASE_YEAR) -> DataFrame:
     return df.withColumn("outlet_age_years", F.lit(base_year) - F.col("outlet_establishment_year"))
 
 
-def add_date_parts(df: DataFrame) -> DataFrame:
+def date_parts() -> dict[str, Column]:
     day = F.col("order_date")
-    return df.withColumns({
+    return {
         "order_year": F.year(day),
         "order_month": F.month(day),
         "order_month_name": F.date_format(day, "MMM"),
@@ -138,7 +162,11 @@ def add_date_parts(df: DataFrame) -> DataFrame:
         "order_year_month": F.date_format(day, "yyyy-MM"),
         "order_weekday": F.date_format(day, "EEE"),
         "is_weekend": F.dayofweek(day).isin(1, 7).cast("int"),
-    })
+    }
+
+
+def add_date_parts(df: DataFrame) -> DataFrame:
+    return df.withColumns(date_parts())
 
 
 def add_sale_id(df: DataFrame) -> DataFrame:
@@ -148,8 +176,18 @@ def add_sale_id(df: DataFrame) -> DataFrame:
     same key in every load, whatever its place and its neighbours. Two of 10^12 rows share one of the 2^128
     digests with a chance of 10^-15; `surrogate_key` counts them.
     """
-    content = [F.coalesce(F.col(c).cast("string"), F.lit("\x1e")) for c in RAW_COLUMNS]
-    return df.withColumn("sale_id", F.md5(F.concat_ws("\x1f", *content).cast("binary")))
+    return df.withColumn("sale_id", _digest({c: F.col(c) for c in RAW_COLUMNS}))
+
+
+def _digest(source: dict[str, Column]) -> Column:
+    content = [F.coalesce(source[c].cast("string"), F.lit("\x1e")) for c in RAW_COLUMNS]
+    return F.md5(F.concat_ws("\x1f", *content).cast("binary"))
+
+
+def restore_sale_id(rows: DataFrame) -> DataFrame:
+    """The key of rows that are filled in: what was filled in counts as missing, as it was before."""
+    given = {c: F.when(F.col(f"{c}_imputed") == 0, F.col(c)) for c in ("item_weight", "item_visibility")}
+    return rows.withColumn("sale_id", _digest({c: given.get(c, F.col(c)) for c in RAW_COLUMNS}))
 
 
 def finish(rows: DataFrame, by_item: DataFrame, by_type: DataFrame, base_year: int = BASE_YEAR) -> DataFrame:
@@ -157,6 +195,18 @@ def finish(rows: DataFrame, by_item: DataFrame, by_type: DataFrame, base_year: i
     return add_sale_id(rows).transform(impute, by_item, by_type).transform(add_age, base_year).transform(add_date_parts)
 
 
+def finish_by_year(rows: DataFrame, by_item: DataFrame, by_type: DataFrame, base_year: int = BASE_YEAR) -> DataFrame:
+    """The same rows, dealt out by order year and sorted by category inside.
+
+    Only source columns, the flags and the year are shuffled and sorted; the rest is derived afterwards. Evenly sized
+    partitions per year, a large year split by AQE.
+    """
+    filled = impute(rows, by_item, by_type).withColumn("order_year", date_parts()["order_year"])
+    dealt = filled.hint("rebalance", "order_year").sortWithinPartitions("order_year", "item_type")
+    derived = {name: part for name, part in date_parts().items() if name != "order_year"}
+    return dealt.withColumns(derived).transform(add_age, base_year).transform(restore_sale_id)
+
+
 def clean(raw: DataFrame, base_year: int = BASE_YEAR, strict: bool = True) -> DataFrame:
     """The whole pipeline as one lazy plan; the planner reuses the de-duplication shuffle where it can.
 

@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..schema import RAW_COLUMNS
 from ..sources.files import LINE, PLACE
 from ..sources.publish import Part, publish, published
-from .cleaning import NUMBERS, blank_to_null, canonical_fat_content, drop_copies, type_columns
+from ..sources.store import written
+from . import cleaning
+from .cleaning import NUMBERS, blank_to_null, canonical_fat_content, type_columns
 
 NOT_A_NUMBER, OUT_OF_RANGE, NOT_A_DATE, NO_LABEL, NOT_A_ROW = "not a number", "out of range", "not a date", "unknown label", "malformed line"
 
@@ -61,7 +63,7 @@ def typed_rows(spark: SparkSession, root: str) -> DataFrame:
 
 
 def unique_rows(spark: SparkSession, root: str) -> DataFrame:
-    return drop_copies(typed_rows(spark, root))
+    return cleaning.unique_rows(typed_rows(spark, root), written)
 
 
 def rejected(spark: SparkSession, root: str) -> DataFrame:

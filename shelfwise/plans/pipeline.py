@@ -10,6 +10,7 @@ from ..operators.rules import ROWS, row_rules
 from ..schema import FACT_COLUMNS, GRAIN, REPORT_COLUMNS
 from ..sources import files
 from ..sources.publish import names
+from ..sources.store import written
 
 ROW = [*GRAIN, "order_date"]  # columns that let a reader find a row again
 MEASURED = [c for c in FACT_COLUMNS if c != "sale_id"]
@@ -119,7 +120,7 @@ def parsed_dates(raw: DataFrame) -> DataFrame:
 
 @report("cln_dedup_exact")
 def unique_rows(raw: DataFrame) -> DataFrame:
-    return raw.transform(C.type_columns).transform(C.drop_copies)
+    return C.unique_rows(C.type_columns(raw), written)
 
 
 @report("cln_median_by_item")

@@ -41,18 +41,18 @@ def stage_path(spark: SparkSession, source: str, name: str) -> str:
 
 def stage(
     spark: SparkSession, source: str, name: str, build: Callable[[], DataFrame], partition_by: list[str] | None = None,
-    figures: list[Column] | None = None,
+    figures: list[Column] | None = None, unstored: list[str] | None = None,
 ) -> DataFrame:
     """Write `build()` as Parquet on first use in this application, then read it.
 
     `figures` are aggregates that the writing tasks compute on the way; they are stored as one row, the
-    stage `<name>_figures`.
+    stage `<name>_figures`. Columns that are `unstored` count there, but aren't written.
     """
     path = stage_path(spark, source, name)
     with _lock:
         if path not in _written:
             rows, seen = build(), Observation()
-            (rows.observe(seen, *figures) if figures else rows).write.mode("overwrite").partitionBy(*partition_by or []).parquet(path)
+            (rows.observe(seen, *figures) if figures else rows).drop(*unstored or []).write.mode("overwrite").partitionBy(*partition_by or []).parquet(path)
             if figures:
                 found, schema = seen.get, rows.agg(*figures).schema
                 row = spark.createDataFrame([tuple(found[c] for c in schema.fieldNames())], schema)

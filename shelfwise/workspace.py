@@ -45,8 +45,8 @@ class Workspace:
     def path(self, name: str) -> str:
         return stage_path(self.spark, self.source, name)
 
-    def _stage(self, name, build, partition_by=None, figures=None) -> DataFrame:
-        return stage(self.spark, self.source, name, build, partition_by, figures)
+    def _stage(self, name, build, partition_by=None, figures=None, unstored=None) -> DataFrame:
+        return stage(self.spark, self.source, name, build, partition_by, figures, unstored)
 
     def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """A table of the reports' own, written on first use."""
@@ -56,14 +56,11 @@ class Workspace:
         """Staging: the untouched text extract."""
         if self.extract:
             return self.extract()
-        return self._stage("raw", lambda: raw_from_tables(self.spark, self.source), figures=rules.raw_figures())
+        return self._stage("raw", lambda: raw_from_tables(self.spark, self.source))
 
     def raw_figures(self) -> DataFrame:
-        """Gaps and defects of the extract in one row: counted while it is staged, or in one scan where it lies."""
-        if self.extract:
-            return self._stage("raw_figures", lambda: self.raw().agg(*rules.raw_figures()))
-        self.raw()
-        return self.spark.read.parquet(self.path("raw_figures"))
+        """Gaps and defects of the extract in one row, counted in one scan when a report first asks for them."""
+        return self._stage("raw_figures", lambda: self.raw().agg(*rules.raw_figures()))
 
     def copies(self) -> DataFrame:
         """Rows that the extract has more than once."""
@@ -81,7 +78,7 @@ class Workspace:
         """Typed rows without copies, before imputation."""
         if self.max_rejects is not None:
             return self._stage("unique", lambda: coerce.unique_rows(self.spark, self._lenient()))
-        return self._stage("unique", lambda: self.raw().transform(cleaning.type_columns).transform(cleaning.drop_copies))
+        return self._stage("unique", lambda: cleaning.unique_rows(cleaning.type_columns(self.raw()), written))
 
     def _lenient(self) -> str:
         """Root of the lenient load, made on first use."""
@@ -103,19 +100,24 @@ class Workspace:
         return self._stage("medians_by_type", lambda: cleaning.medians_by_type(self.unique()))
 
     def fact(self) -> DataFrame:
-        """The clean fact table, partitioned by order year."""
+        """The clean fact table, partitioned by order year; sorted inside, so that category filters skip row groups.
+
+        The digest of a row is half of its stored size and few reports read it, so it is made when it is read.
+        """
         def build():
-            rows = cleaning.finish(self.unique(), self.weight_by_item(), self.medians_by_type())
-            # Evenly sized files per year, a large year split by AQE; sorted inside, so that category
-            # filters skip row groups.
-            return rows.hint("rebalance", "order_year").sortWithinPartitions("order_year", "item_type").select(FACT_COLUMNS)
-        return self._stage("fact", build, ["order_year"], rules.fact_figures()).select(FACT_COLUMNS)
+            return cleaning.finish_by_year(self.unique(), self.weight_by_item(), self.medians_by_type()).select(FACT_COLUMNS)
+        stored = self._stage("fact", build, ["order_year"], rules.fact_figures(), ["sale_id"])
+        return stored.transform(cleaning.restore_sale_id).select(FACT_COLUMNS)
 
     def fact_figures(self) -> DataFrame:
         """Broken rules and sums of the fact table in one row, counted while it is written."""
         self.fact()
         return self.spark.read.parquet(self.path("fact_figures"))
 
+    def pair_sizes(self) -> DataFrame:
+        """How many item-outlet pairs of the fact table have how many rows."""
+        return self._stage("pair_sizes", lambda: rules.grain_sizes(self.fact()))
+
     def products(self) -> DataFrame:
         """Measures per item, category and fat content."""
         return self._stage("products", lambda: rollups.product_rollup(self.fact()))
@@ -160,7 +162,7 @@ class Workspace:
 
     def item_numbers(self) -> DataFrame:
         """The number of every item in the bitmaps."""
-        return self._stage("item_numbers", lambda: rollups.number_items(self.products()))
+        return self._stage("item_numbers", lambda: rollups.number_items(self.assortment()))
 
     def bitmaps(self) -> DataFrame:
         """The items sold per filter field, as bitmaps."""

@@ -10,7 +10,7 @@ from fixtures import raw
 from shelfwise.operators import cleaning as C
 from shelfwise.operators.medians import grouped_median
 from shelfwise.plans.quality import assert_clean, split_by_rules
-from shelfwise.schema import RAW_HEADER
+from shelfwise.schema import FACT_COLUMNS, RAW_HEADER
 from shelfwise.sources import files
 
 SPELLINGS = ["Low Fat", "low fat", "Low Fat ", "LF", "Regular", "reg", " Regular"]
@@ -131,3 +131,34 @@ def test_hot_item_is_split_in_the_imputation_join(spark, tmp_path):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_only_hashes_are_shuffled_to_find_copies(spark):
+    """Copies in other spellings, NULLs, and rows that differ outside the hashed columns."""
+    given = raw(
+        spark, {}, {"item_fat_content": "LF"}, {"rating": "2"}, {"item_weight": ""}, {"item_weight": " "}, {"sales": "7"},
+        {"item_identifier": None, "sales": ""}, {"item_identifier": None, "sales": None})
+    typed = C.type_columns(given)
+    unique = C.unique_rows(typed, lambda df, name: df)
+    text = unique._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in text and text.count("BroadcastHashJoin") == 2
+    assert sorted(map(repr, unique.collect())) == sorted(map(repr, C.drop_copies(typed).collect())) and unique.count() == 5
+
+
+def test_many_copies_are_all_compared(spark, monkeypatch):
+    monkeypatch.setattr(C, "MOST_REPEATED", 0)
+    typed = C.type_columns(raw(spark, {}, {}, {"sales": "7"}))
+    assert C.unique_rows(typed, lambda df, name: df).count() == 2
+
+
+def test_rows_with_a_weight_are_not_joined_and_few_columns_are_dealt_out(spark):
+    rows = C.type_columns(raw(
+        spark, {}, {"item_weight": "", "item_visibility": "0"}, {"item_identifier": "B", "item_weight": "", "order_date": "2023-01-01"}))
+    lookups = C.median_weight_by_item(rows), C.medians_by_type(rows)
+    done = C.finish_by_year(rows, *lookups).select(FACT_COLUMNS)
+    want = C.finish(rows, *lookups).select(FACT_COLUMNS)
+    assert sorted(map(repr, done.collect())) == sorted(map(repr, want.collect()))
+    dealt = next(line for line in done._jdf.queryExecution().optimizedPlan().toString().splitlines()[::-1] if "RebalancePartitions" in line)
+    assert "order_year" in dealt
+    below = done._jdf.queryExecution().optimizedPlan().toString().split("RebalancePartitions")[1]
+    assert "sale_id" not in below and "order_month_name" not in below and "Union" in below

@@ -53,3 +53,21 @@ def test_rollups_add_up_to_the_fact(spark):
     want = workspace.fact().agg(F.count("*"), F.sum("sales"), F.sum("rating")).first()
     for rollup in (workspace.products(), workspace.outlets(), workspace.shelves(), workspace.cells()):
         assert tuple(rollup.agg(F.sum("records"), F.sum("sales"), F.sum("rating")).first()) == tuple(want)
+
+
+def test_stores_are_broadcast_and_lines_are_narrow_before_they_are_joined(spark):
+    from shelfwise.sources.tables import raw_from_tables
+
+    text = raw_from_tables(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("strategy=broadcast") == 2
+    lowest = text.splitlines()[[" Join Inner" in line or "- Join Inner" in line for line in text.splitlines()].index(True):]
+    assert "l_linestatus" not in lowest[0] and "AS _low_fat" in "".join(lowest)
+
+
+def test_the_key_is_made_when_the_fact_is_read(spark):
+    workspace = Workspace(spark, "/root/testdata/sf0.001")
+    fact = workspace.fact()
+    assert "sale_id" not in spark.read.parquet(workspace.path("fact")).columns
+    assert fact.select("sale_id").distinct().count() == fact.count()
+    from shelfwise.operators.cleaning import add_sale_id
+    assert fact.select("sale_id").exceptAll(add_sale_id(workspace.unique()).select("sale_id")).isEmpty()
