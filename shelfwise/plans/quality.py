@@ -10,9 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..catalog import report
 from ..functions import measures as M
 from ..functions.exact import percent
-from ..operators.rollups import stock_rollup
 from ..operators.rules import (
-    ROWS, assertion_rules, check_rules, counted, enum_rules, fact_figures, not_null_rules, row_rules)
+    ROWS, assertion_rules, check_rules, counted, enum_rules, fact_figures, grain_sizes, not_null_rules, row_rules)
 from ..operators.segments import one_row
 from ..schema import GRAIN
 from ..sources.publish import Part, publish, published
@@ -64,11 +63,12 @@ def quarantined(workspace) -> DataFrame:
 
 
 @report("val_unique")
-def grain_repeats(stocks: DataFrame) -> DataFrame:
-    """Item-outlet pairs with several rows, from the counts per product and outlet."""
-    repeated = stocks.groupBy(*GRAIN).agg(F.sum("records").alias("n")).where(F.col("n") > 1)
+def grain_repeats(pair_sizes: DataFrame) -> DataFrame:
+    """Item-outlet pairs with several rows, from the number of pairs per size."""
+    repeated = pair_sizes.where(F.col("n") > 1)
     return repeated.agg(
-        F.count(F.lit(1)).alias("repeated_groups"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("surplus_rows"))
+        F.coalesce(F.sum("groups"), F.lit(0)).alias("repeated_groups"),
+        F.coalesce(F.sum((F.col("n") - 1) * F.col("groups")), F.lit(0)).alias("surplus_rows"))
 
 
 @report("surrogate_key")
@@ -98,7 +98,7 @@ def revenue_reconciliation(raw_figures: DataFrame, fact_figures: DataFrame) -> D
 
 
 @report("val_defects_zero")
-def remaining_defects(fact_figures: DataFrame, stocks: DataFrame, cells: DataFrame) -> DataFrame:
+def remaining_defects(fact_figures: DataFrame, pair_sizes: DataFrame, cells: DataFrame) -> DataFrame:
     def of(kind: str, name: str, alias: str) -> Column:
         return F.col(f"`{counted(kind, name)}`").alias(alias)
 
@@ -109,7 +109,7 @@ def remaining_defects(fact_figures: DataFrame, stocks: DataFrame, cells: DataFra
         of("check", "sales_positive", "bad_sales"), of("check", "rating_range", "bad_rating"),
     ).withColumns({
         "fat_categories": labels["fat"], "size_categories": labels["size"],
-        "grain_violations": one_row(grain_repeats(stocks))["surplus_rows"]})
+        "grain_violations": one_row(grain_repeats(pair_sizes))["surplus_rows"]})
 
 
 @report("val_imputation_share")
@@ -126,15 +126,15 @@ def category_collapse(fact: DataFrame) -> DataFrame:
 
 
 @report("val_assertions")
-def assertions(fact_figures: DataFrame, stocks: DataFrame) -> DataFrame:
+def assertions(fact_figures: DataFrame, pair_sizes: DataFrame) -> DataFrame:
     rules = figures(fact_figures, "assertion", assertion_rules(), "assertion", "failures")
-    grain = grain_repeats(stocks).select(F.lit("one row per item and outlet").alias("assertion"), F.col("surplus_rows").alias("failures"))
+    grain = grain_repeats(pair_sizes).select(F.lit("one row per item and outlet").alias("assertion"), F.col("surplus_rows").alias("failures"))
     return rules.unionByName(grain).withColumn("passed", (F.col("failures") == 0).cast("string"))
 
 
 def assert_clean(fact: DataFrame, grain: bool = True) -> None:
     """Raise if a statement fails. The handful of counted rules is all that reaches the driver."""
-    failed = assertions(fact.agg(*fact_figures()), stock_rollup(fact)).where(F.col("failures") > 0).collect()
+    failed = assertions(fact.agg(*fact_figures()), grain_sizes(fact)).where(F.col("failures") > 0).collect()
     failed = [r for r in failed if grain or not r["assertion"].startswith("one row")]
     if failed:
         raise AssertionError("; ".join(f"{r['assertion']}: {r['failures']} rows" for r in failed))

@@ -59,3 +59,12 @@ def test_copies_and_grain(spark):
     assert sorted(map(tuple, rules.grain_sizes(given).collect())) == [(1, 1), (5, 1)]
     empty = given.where(F.lit(False))
     assert rules.copied_rows(empty, lambda df, name: df).count() == 0 and rules.grain_sizes(empty).count() == 0
+
+
+def test_pairs_are_counted_without_the_stocks(spark):
+    """The sizes of item-outlet pairs come from two columns, and the extract is not profiled by reports that don't ask."""
+    from shelfwise.plans import quality
+
+    given = fact(spark, {}, {}, {"sales": 7}, {"outlet_identifier": "O2"}, {"outlet_identifier": "O3"}, {"outlet_identifier": "O3"})
+    assert tuple(quality.grain_repeats(rules.grain_sizes(given)).first()) == (2, 3)
+    assert tuple(quality.grain_repeats(rules.grain_sizes(given.limit(0))).first()) == (0, 0)
