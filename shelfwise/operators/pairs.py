@@ -15,7 +15,7 @@ def _first_rows(df: DataFrame, within: list[str], order: list, n: int) -> DataFr
     return df.withColumn("_rn", F.row_number().over(window)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def widest_pairs(fact: DataFrame, stocks: DataFrame, n: int = 15, factor: int = 3) -> DataFrame:
+def widest_pairs(fact: DataFrame, stocks: DataFrame | None = None, n: int = 15, factor: int = 3) -> DataFrame:
     """The n pairs (strong row, weak row) of one item in two stores with the largest gap in
     sales, where strong > factor * weak. Columns carry the prefixes `a_` and `b_`.
 
@@ -26,18 +26,23 @@ def widest_pairs(fact: DataFrame, stocks: DataFrame, n: int = 15, factor: int =
       so n rows per item and store are enough.
     * A partner rules out one store, thus at most n of those, so the 2n best (weakest) rows
       per item are enough.
-    The result is the exact top n of all pairs. `stocks` is the product x outlet roll-up, which
-    settles the items; the fact is read for these few only.
+    The result is the exact top n of all pairs. Sums per item and store settle the items, from the
+    product x outlet roll-up `stocks` if there is one; the rows are read again for these few only.
     """
-    stores = stocks.groupBy(ITEM, OUTLET).agg(F.max("high").alias("high"), F.min("low").alias("low"))
-    best = _first_rows(stores, [ITEM], [F.desc("high"), OUTLET], 2).select(
-        ITEM, F.col(OUTLET).alias("a_store"), "high")
-    weakest = _first_rows(stores, [ITEM], ["low", OUTLET], 2).select(ITEM, F.col(OUTLET).alias("b_store"), "low")
-    gaps = (
-        best.join(weakest, ITEM)
-        .where((F.col("a_store") != F.col("b_store")) & (F.col("high") > F.col("low") * factor))
-        .groupBy(ITEM).agg(F.max(F.col("high") - F.col("low")).alias("gap"))
-    )
+    sums = fact.select(ITEM, OUTLET, F.col(SALES).alias("high"), F.col(SALES).alias("low")) if stocks is None else stocks
+    stores = sums.groupBy(ITEM, OUTLET).agg(F.max("high").alias("high"), F.min("low").alias("low"))
+    # Both orders follow from one shuffle by item; a store may be among the best and the weakest.
+    item = Window.partitionBy(ITEM)
+    placed = stores.select(
+        ITEM, OUTLET, "high", "low", F.row_number().over(item.orderBy(F.desc("high"), OUTLET)).alias("_best"),
+        F.row_number().over(item.orderBy("low", OUTLET)).alias("_weakest"))
+    ends = placed.groupBy(ITEM).agg(*[
+        F.max(F.when(F.col(place) == k, F.struct(F.col(OUTLET).alias("store"), F.col(value).alias("sales")))).alias(f"{place}{k}")
+        for place, value in (("_best", "high"), ("_weakest", "low")) for k in (1, 2)])
+    pairs = [(F.col(f"_best{i}"), F.col(f"_weakest{j}")) for i in (1, 2) for j in (1, 2)]
+    wide = [
+        F.when((a["store"] != b["store"]) & (a["sales"] > b["sales"] * factor), a["sales"] - b["sales"]) for a, b in pairs]
+    gaps = ends.select(ITEM, F.greatest(*wide).alias("gap")).where(F.col("gap").isNotNull() & F.col(ITEM).isNotNull())
     # n items at most reach the driver.
     chosen = [r[ITEM] for r in gaps.orderBy(F.desc("gap"), ITEM).limit(n).collect()]
     rows = fact.select(ROW_COLUMNS).where(F.col(ITEM).isin(chosen))

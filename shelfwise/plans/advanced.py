@@ -190,7 +190,7 @@ def against_own_category(products: DataFrame, n: int = 15) -> DataFrame:
 
 
 @report("a09_store_pairs")
-def store_pairs(fact: DataFrame, stocks: DataFrame, n: int = 15, factor: int = 3) -> DataFrame:
+def store_pairs(fact: DataFrame, stocks: DataFrame | None = None, n: int = 15, factor: int = 3) -> DataFrame:
     shelf = F.col("a_item_visibility") > F.col("b_item_visibility") * F.lit("1.5").cast("decimal(2,1)")
     # Texts of the cause.
     cause = (
