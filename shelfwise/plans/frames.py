@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .. import catalog
 from ..catalog import report, table
 from ..functions import bands, measures as M, rolled as R
-from ..functions.exact import growth, growth_of_means, mean, mean_from, percent, quotient, quotient_of_means
+from ..functions.exact import growth, growth_of_means, mean, mean_from, percent, quotient, quotient_of_means, total
 from ..operators.order_stats import quantiles_interpolated
 from ..operators.ranking import with_row_number
 from ..operators.segments import mean_of, one_row, share_of_all, summarise, top
@@ -96,11 +96,11 @@ SEGMENT_TABLES = {
 
 
 @report("p_segments_4")
-def segment_tables(stocks: DataFrame) -> DataFrame:
-    """All four segment tables from one pass over the product x outlet roll-up."""
+def segment_tables(segment_stores: DataFrame) -> DataFrame:
+    """All four segment tables from one pass over the sums per store and segment."""
     labels = F.array(*[F.struct(F.lit(t).alias("dimension"), F.col(c).alias("label")) for t, c in SEGMENT_TABLES.items()])
     keys = ["outlet_identifier", *SEGMENT_TABLES.values()]
-    stores = stocks.groupBy(*keys).agg(R.records(), R.total("sales").alias("sales"), R.total("rating").alias("rating"))
+    stores = segment_stores.groupBy(*keys).agg(R.records(), R.total("sales").alias("sales"), R.total("rating").alias("rating"))
     # Rows are summed per store first, so only that small table is multiplied by the four dimensions.
     summary = stores.select("outlet_identifier", "records", "sales", "rating", F.inline(labels)).groupBy("dimension", "label").agg(
         R.stores(), R.records(), revenue4(R), *averages4("sales", "rating", mean=R.mean))
@@ -299,9 +299,16 @@ def stored_aggregates(workspace) -> DataFrame:
 
 
 @table("segment_rows")
-def all_segments(stocks: DataFrame) -> DataFrame:
-    """The four segment tables in one, from one pass over the stocks."""
-    return segment_tables(stocks)
+def all_segments(segment_stores: DataFrame) -> DataFrame:
+    """The four segment tables in one, from one pass over the sums per store and segment."""
+    return segment_tables(segment_stores)
+
+
+@table("segment_stores")
+def sums_per_store_and_segment(fact: DataFrame) -> DataFrame:
+    """Rows, sales and rating per store and labels of the segment tables: a row or two per store, whatever it sells."""
+    return fact.groupBy("outlet_identifier", *SEGMENT_TABLES.values()).agg(
+        M.records(), total("sales").alias("sales"), total("rating").alias("rating"))
 
 
 def every_segment(segment_rows: DataFrame) -> DataFrame:
