@@ -6,7 +6,9 @@ All carry the same additive measures, so averages stay exact at any coarser grai
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.exact import total
 from ..schema import OUTLET_ATTRIBUTES
@@ -78,20 +80,28 @@ def assortment_rollup(fact: DataFrame) -> DataFrame:
     return fact.groupBy(*PRODUCT_KEYS, *STORE_FIELDS).agg(F.count(F.lit(1)).alias("records"), total("sales").alias("sales"))
 
 
-def number_items(products: DataFrame) -> DataFrame:
+def number_items(sold: DataFrame) -> DataFrame:
     """(item_identifier, item_number): a number per item. The numbers of a task are dense, so they fill whole bitmaps."""
-    return products.select("item_identifier").distinct().withColumn("item_number", F.monotonically_increasing_id())
+    return sold.select("item_identifier").distinct().withColumn("item_number", F.monotonically_increasing_id())
 
 
 def item_bitmaps(assortment: DataFrame, numbers: DataFrame) -> DataFrame:
     """Filter fields x bucket of item numbers: which items of the bucket are sold there.
 
     Bitmaps of any cells can be united, so distinct items are counted under every choice without their names.
-    A cell has a bitmap of 4 KB per 32,768 item numbers it meets.
+    A cell has a bitmap of 4 KB per 32,768 item numbers it meets. The numbers are dealt out by cell and bucket before
+    any bitmap is made: made where the rows lie, every task would shuffle bitmaps of 4 KB for a few items each. A
+    number stands for a cell's labels meanwhile; there are no more cells than combinations of labels and years.
     """
-    numbered = assortment.join(numbers, "item_identifier")
-    return numbered.groupBy(*FILTER_FIELDS, F.bitmap_bucket_number("item_number").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("item_number")).alias("items"))
+    labels = assortment.select(FILTER_FIELDS).distinct()
+    cells = F.broadcast(labels.withColumn("cell", F.row_number().over(Window.orderBy(*FILTER_FIELDS))))
+    same = reduce(lambda a, b: a & b, [F.col(f"sold.{c}").eqNullSafe(F.col(f"cells.{c}")) for c in FILTER_FIELDS])
+    sold = assortment.alias("sold").join(cells.alias("cells"), same).select("sold.item_identifier", "cells.cell")
+    bucket, bit = F.bitmap_bucket_number("item_number"), F.bitmap_bit_position("item_number")
+    dealt = sold.join(numbers, "item_identifier").select(
+        "cell", bucket.alias("bucket"), bit.cast("int").alias("bit")).repartition("cell", "bucket")
+    made = dealt.groupBy("cell", "bucket").agg(F.bitmap_construct_agg(F.col("bit").cast("bigint")).alias("items"))
+    return made.join(cells, "cell").select(*FILTER_FIELDS, "bucket", "items")
 
 
 def count_items(bitmaps: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """Reports on small tables where the answer is known or can be found by brute force."""
 
+import inspect
 import random
 from decimal import Decimal
 
@@ -247,3 +248,24 @@ def test_shares_and_classes_cover_everything(spark):
     assert abs(K.category_inventory(products(f)).agg(F.sum("pct_of_revenue")).first()[0] - 100) < Decimal("0.05")
     assert B.abc_pareto(products(f)).agg(F.sum("products")).first()[0] == f.select("item_identifier").distinct().count()
     assert A.contribution_curve(cells(f)).collect()[-1]["cumulative_pct"] == 100
+
+
+def test_bitmaps_are_made_after_the_shuffle(spark):
+    """No bitmap is shuffled: a partial one per task, cell and bucket grows with tasks times buckets."""
+    sold = spark.range(1000).select(
+        F.format_string("I%04d", F.col("id")).alias("item_identifier"),
+        *[F.when(F.col("id") % 7 > 0, "x").alias(c) for c in rollups.FILTER_FIELDS if c != "order_year"], (F.col("id") % 3).alias("order_year"))
+    bitmaps = rollups.item_bitmaps(sold, rollups.number_items(sold))
+    text = bitmaps._jdf.queryExecution().executedPlan().toString()
+    below = text[text.index("partial_bitmap_construct_agg"):]
+    above = text[:text.index("partial_bitmap_construct_agg")]
+    assert "REPARTITION_BY_COL" in below and "hashpartitioning" not in above
+    assert rollups.count_items(bitmaps).first()["products"] == 1000
+    assert rollups.count_items(bitmaps.where("item_type IS NULL")).first()["products"] == 143
+
+
+def test_pairs_need_no_roll_up(spark):
+    f = fact(spark, *[{"outlet_identifier": f"O{k}", "sales": v, "item_fat_content": fat} for k, v, fat in (
+        (1, 1, "Low Fat"), (1, 90, "Regular"), (2, 2, "Low Fat"), (3, 60, "Low Fat"))])
+    assert rows(widest_pairs(f)) == rows(widest_pairs(f, stocks(f))) and widest_pairs(f).first()["gap"] == 88
+    assert "stocks" not in [n for n, p in inspect.signature(A.store_pairs).parameters.items() if p.default is p.empty]
