@@ -36,14 +36,14 @@ def _reason(column: str) -> Column:
 def rejects(raw: DataFrame) -> Column:
     """The values of a row that can't be typed: column_name, value and reason of each. A malformed line is one reject, itself."""
     def reject(name: str, value: Column, reason: Column) -> Column:
-        one = F.array(F.struct(F.lit(name).alias("column_name"), value.alias("value"), reason.alias("reason")))
-        return F.when(reason.isNotNull(), one).otherwise(F.array().cast("array<struct<column_name:string,value:string,reason:string>>"))
+        return F.struct(F.lit(name).alias("column_name"), value.alias("value"), reason.alias("reason"))
 
     checked = [c for c in RAW_COLUMNS if c in NUMBERS or c in ("order_date", "item_fat_content")]
-    found = F.concat(*[reject(c, F.col(c), _reason(c)) for c in checked])
+    # Each reason is named once, so it is worked out once per row.
+    found = F.filter(F.array(*[reject(c, F.col(c), _reason(c)) for c in checked]), lambda r: r["reason"].isNotNull())
     if LINE not in raw.columns:
         return found
-    return F.when(F.col(LINE).isNull(), found).otherwise(reject("line", F.col(LINE), F.lit(NOT_A_ROW)))
+    return F.when(F.col(LINE).isNull(), found).otherwise(F.array(reject("line", F.col(LINE), F.lit(NOT_A_ROW))))
 
 
 def load(raw: DataFrame, root: str, max_share: float = 0.01) -> None:

@@ -86,3 +86,9 @@ def test_reports_run_on_a_lenient_workspace(spark, tmp_path):
     workspace = Workspace.from_csv(spark, extract(tmp_path / "in", "a.csv", *lines, "broken"), max_rejects=0.1)
     assert catalog.call(catalog.REPORTS["eda_kpis"], workspace).first()["total_sales_records"] == 60
     assert catalog.call(catalog.REPORTS["prof_duplicates"], workspace).count() == 1
+
+
+def test_a_reason_is_worked_out_once(spark):
+    given = raw(spark, {}, {"order_date": "x"})
+    text = given.select(coerce.rejects(given).alias("r"))._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count(coerce.NOT_A_DATE) == 1 and text.count(coerce.NO_LABEL) == 1
