@@ -102,15 +102,16 @@ def unique_rows(typed: DataFrame, store: Callable[[DataFrame, str], DataFrame])
 
     Copies agree in item, outlet, sales and date, so only hashes of these are shuffled. A row that has its hash to itself
     is unique and stays where it is; the others are compared in full. With more repeated hashes than a broadcast may
-    hold, all rows are compared. `typed` is read several times; `store` keeps the repeated hashes.
+    hold, all rows are compared. `store` keeps the typed rows with their hashes, so that text is parsed once, the
+    repeated hashes, and what is left of the rows that were compared.
     """
-    hashed = typed.withColumn("_h", F.xxhash64(*GRAIN, "sales", "order_date"))
+    hashed = store(typed.withColumn("_h", F.xxhash64(*GRAIN, "sales", "order_date")), "typed")
     repeated = store(hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_h"), "repeated")
     if repeated.count() > MOST_REPEATED:
-        return drop_copies(typed)
+        return store(drop_copies(hashed.select(typed.columns)), "compared")
     single = hashed.join(F.broadcast(repeated), "_h", "left_anti").select(typed.columns)
     again = hashed.join(F.broadcast(repeated), "_h", "left_semi").select(typed.columns)
-    return single.unionAll(drop_copies(again))
+    return single.unionAll(store(drop_copies(again), "compared"))
 
 
 def median_weight_by_item(rows: DataFrame) -> DataFrame:
@@ -152,15 +153,27 @@ def add_age(df: DataFrame, base_year: int = BASE_YEAR) -> DataFrame:
     return df.withColumn("outlet_age_years", F.lit(base_year) - F.col("outlet_establishment_year"))
 
 
+# The names `date_format` gives months (from January) and weekdays (from Sunday).
+MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
+WEEKDAYS = ["Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat"]
+
+
+def _named(names: list[str], place: Column) -> Column:
+    return F.element_at(F.array(*map(F.lit, names)), place)
+
+
 def date_parts() -> dict[str, Column]:
+    """Parts of the order date. Names are looked up by number, as formatting a date costs more than all the rest."""
     day = F.col("order_date")
+    year, month = F.year(day), F.month(day)
+    padded = F.concat(F.lpad(year.cast("string"), 4, "0"), F.lit("-"), F.lpad(month.cast("string"), 2, "0"))
     return {
-        "order_year": F.year(day),
-        "order_month": F.month(day),
-        "order_month_name": F.date_format(day, "MMM"),
+        "order_year": year,
+        "order_month": month,
+        "order_month_name": _named(MONTHS, month),
         "order_quarter": F.quarter(day),
-        "order_year_month": F.date_format(day, "yyyy-MM"),
-        "order_weekday": F.date_format(day, "EEE"),
+        "order_year_month": F.when(year.between(1, 9999), padded).otherwise(F.date_format(day, "yyyy-MM")),
+        "order_weekday": _named(WEEKDAYS, F.dayofweek(day)),
         "is_weekend": F.dayofweek(day).isin(1, 7).cast("int"),
     }
 
@@ -195,16 +208,24 @@ def finish(rows: DataFrame, by_item: DataFrame, by_type: DataFrame, base_year: i
     return add_sale_id(rows).transform(impute, by_item, by_type).transform(add_age, base_year).transform(add_date_parts)
 
 
-def finish_by_year(rows: DataFrame, by_item: DataFrame, by_type: DataFrame, base_year: int = BASE_YEAR) -> DataFrame:
-    """The same rows, dealt out by order year and sorted by category inside.
+def deal_by_year(rows: DataFrame, by_item: DataFrame, by_type: DataFrame) -> DataFrame:
+    """Filled rows, dealt out by order year and sorted by category inside: source columns, the flags and the year.
 
-    Only source columns, the flags and the year are shuffled and sorted; the rest is derived afterwards. Evenly sized
-    partitions per year, a large year split by AQE.
+    Evenly sized partitions per year, a large year split by AQE.
     """
     filled = impute(rows, by_item, by_type).withColumn("order_year", date_parts()["order_year"])
-    dealt = filled.hint("rebalance", "order_year").sortWithinPartitions("order_year", "item_type")
-    derived = {name: part for name, part in date_parts().items() if name != "order_year"}
-    return dealt.withColumns(derived).transform(add_age, base_year).transform(restore_sale_id)
+    return filled.hint("rebalance", "order_year").sortWithinPartitions("order_year", "item_type")
+
+
+def derive(dealt: DataFrame, base_year: int = BASE_YEAR) -> DataFrame:
+    """The columns of the fact that follow from others."""
+    parts = {name: part for name, part in date_parts().items() if name != "order_year"}
+    return dealt.withColumns(parts).transform(add_age, base_year).transform(restore_sale_id)
+
+
+def finish_by_year(rows: DataFrame, by_item: DataFrame, by_type: DataFrame, base_year: int = BASE_YEAR) -> DataFrame:
+    """The rows of `finish`, dealt out by order year; only what `deal_by_year` gives is shuffled and sorted."""
+    return deal_by_year(rows, by_item, by_type).transform(derive, base_year)
 
 
 def clean(raw: DataFrame, base_year: int = BASE_YEAR, strict: bool = True) -> DataFrame:

@@ -39,6 +39,11 @@ def stage_path(spark: SparkSession, source: str, name: str) -> str:
     return f"{shared_dir(spark)}/shelfwise/{spark.sparkContext.applicationId}/{tag}/{name}"
 
 
+def staged(spark: SparkSession, source: str, name: str) -> bool:
+    """Whether this application has written the stage."""
+    return stage_path(spark, source, name) in _written
+
+
 def stage(
     spark: SparkSession, source: str, name: str, build: Callable[[], DataFrame], partition_by: list[str] | None = None,
     figures: list[Column] | None = None, unstored: list[str] | None = None,

@@ -10,7 +10,7 @@ from .operators import cleaning, coerce, order_stats, rollups, rules
 from .schema import FACT_COLUMNS, RAW_COLUMNS
 from .sources.files import read_raw, read_raw_lenient
 from .sources.publish import names
-from .sources.store import stage, stage_path, written
+from .sources.store import stage, stage_path, staged, written
 from .sources.tables import raw_from_tables
 
 
@@ -58,6 +58,12 @@ class Workspace:
             return self.extract()
         return self._stage("raw", lambda: raw_from_tables(self.spark, self.source))
 
+    def raw_once(self) -> DataFrame:
+        """The extract for a report that reads it once: an extract that isn't stored yet is not stored for that."""
+        if self.extract or staged(self.spark, self.source, "raw"):
+            return self.raw()
+        return raw_from_tables(self.spark, self.source)
+
     def raw_figures(self) -> DataFrame:
         """Gaps and defects of the extract in one row, counted in one scan when a report first asks for them."""
         return self._stage("raw_figures", lambda: self.raw().agg(*rules.raw_figures()))
@@ -75,10 +81,10 @@ class Workspace:
         return self._stage("labels", lambda: rules.label_rows(self.raw()))
 
     def unique(self) -> DataFrame:
-        """Typed rows without copies, before imputation."""
+        """Typed rows without copies, before imputation. The typed rows are stored once; the copies are left out as they are read."""
         if self.max_rejects is not None:
             return self._stage("unique", lambda: coerce.unique_rows(self.spark, self._lenient()))
-        return self._stage("unique", lambda: cleaning.unique_rows(cleaning.type_columns(self.raw()), written))
+        return cleaning.unique_rows(cleaning.type_columns(self.raw_once()), lambda rows, name: self._stage(f"unique_{name}", lambda: rows))
 
     def _lenient(self) -> str:
         """Root of the lenient load, made on first use."""
@@ -102,17 +108,16 @@ class Workspace:
     def fact(self) -> DataFrame:
         """The clean fact table, partitioned by order year; sorted inside, so that category filters skip row groups.
 
-        The digest of a row is half of its stored size and few reports read it, so it is made when it is read.
+        The digest of a row is half of its stored size, and few reports read it or all parts of the date, so what follows
+        from other columns is made when it is read.
         """
         def build():
-            return cleaning.finish_by_year(self.unique(), self.weight_by_item(), self.medians_by_type()).select(FACT_COLUMNS)
-        stored = self._stage("fact", build, ["order_year"], rules.fact_figures(), ["sale_id"])
-        return stored.transform(cleaning.restore_sale_id).select(FACT_COLUMNS)
+            return cleaning.deal_by_year(self.unique(), self.weight_by_item(), self.medians_by_type())
+        return self._stage("fact", build, ["order_year"]).transform(cleaning.derive).select(FACT_COLUMNS)
 
     def fact_figures(self) -> DataFrame:
-        """Broken rules and sums of the fact table in one row, counted while it is written."""
-        self.fact()
-        return self.spark.read.parquet(self.path("fact_figures"))
+        """Broken rules and sums of the fact table in one row, counted in one scan when a report first asks for them."""
+        return self._stage("fact_figures", lambda: self.fact().agg(*rules.fact_figures()))
 
     def pair_sizes(self) -> DataFrame:
         """How many item-outlet pairs of the fact table have how many rows."""

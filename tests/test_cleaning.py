@@ -162,3 +162,19 @@ def test_rows_with_a_weight_are_not_joined_and_few_columns_are_dealt_out(spark):
     assert "order_year" in dealt
     below = done._jdf.queryExecution().optimizedPlan().toString().split("RebalancePartitions")[1]
     assert "sale_id" not in below and "order_month_name" not in below and "Union" in below
+
+
+def test_parts_of_a_date_are_looked_up_and_equal_its_formatted_parts(spark):
+    days = spark.sql("SELECT explode(sequence(date'1999-12-25', date'2001-01-08')) AS order_date UNION ALL SELECT date'0007-02-03' UNION ALL SELECT NULL UNION ALL SELECT date_add(date'9999-12-31', 40)")
+    parts = C.add_date_parts(days)
+    formatted = {"order_month_name": "MMM", "order_weekday": "EEE", "order_year_month": "yyyy-MM"}
+    wrong = parts.where(" OR ".join(f"NOT {c} <=> date_format(order_date, '{f}')" for c, f in formatted.items()))
+    assert wrong.count() == 0 and parts.count() == days.count()
+    names = parts.select("order_month_name", "order_weekday")._jdf.queryExecution().optimizedPlan().toString()
+    assert "date_format" not in names
+
+
+def test_text_is_parsed_once_to_find_copies(spark):
+    stored = {}
+    C.unique_rows(C.type_columns(raw(spark, {}, {}, {"sales": "7"})), lambda df, name: stored.setdefault(name, df.localCheckpoint()))
+    assert sorted(stored) == ["compared", "repeated", "typed"] and stored["compared"].count() == 1
