@@ -50,18 +50,18 @@ def stored_clean_csv(workspace) -> DataFrame:
 
 
 @report("cln_trim")
-def trimmed(raw: DataFrame) -> DataFrame:
-    return C.trim_text(raw)
+def trimmed(raw_once: DataFrame) -> DataFrame:
+    return C.trim_text(raw_once)
 
 
 @report("cln_map_category")
-def mapped_category(raw: DataFrame) -> DataFrame:
-    return raw.select(*ROW, F.col("item_fat_content").alias("raw_label"), C.canonical_fat_content("item_fat_content").alias("label"))
+def mapped_category(raw_once: DataFrame) -> DataFrame:
+    return raw_once.select(*ROW, F.col("item_fat_content").alias("raw_label"), C.canonical_fat_content("item_fat_content").alias("label"))
 
 
 @report("cln_blank_null_cast")
-def typed_numbers(raw: DataFrame) -> DataFrame:
-    return raw.select(
+def typed_numbers(raw_once: DataFrame) -> DataFrame:
+    return raw_once.select(
         *ROW, C.number("item_weight", "decimal(6,3)").alias("item_weight"),
         C.number("item_visibility", "decimal(9,6)").alias("item_visibility"),
         C.number("sales", "decimal(10,4)").alias("sales"))
@@ -99,28 +99,28 @@ def rejected_values(workspace) -> DataFrame:
 
 
 @report("cln_zero_as_null")
-def zeros_as_missing(raw: DataFrame) -> DataFrame:
-    return raw.select(*ROW, C.zero_to_null(C.number("item_visibility", "decimal(9,6)")).alias("item_visibility"))
+def zeros_as_missing(raw_once: DataFrame) -> DataFrame:
+    return raw_once.select(*ROW, C.zero_to_null(C.number("item_visibility", "decimal(9,6)")).alias("item_visibility"))
 
 
 @report("cln_missing_band")
-def unknown_sizes(raw: DataFrame) -> DataFrame:
-    return raw.select(*ROW, C.blank_to_unknown("outlet_size").alias("outlet_size"))
+def unknown_sizes(raw_once: DataFrame) -> DataFrame:
+    return raw_once.select(*ROW, C.blank_to_unknown("outlet_size").alias("outlet_size"))
 
 
 @report("cln_round_clamp")
-def bounded_ratings(raw: DataFrame) -> DataFrame:
-    return raw.select(*ROW, F.col("rating").alias("raw_rating"), C.bounded_rating("rating").alias("rating"))
+def bounded_ratings(raw_once: DataFrame) -> DataFrame:
+    return raw_once.select(*ROW, F.col("rating").alias("raw_rating"), C.bounded_rating("rating").alias("rating"))
 
 
 @report("cln_parse_date")
-def parsed_dates(raw: DataFrame) -> DataFrame:
-    return raw.select(*GRAIN, F.col("order_date").alias("raw_date"), C.parsed_date("order_date").alias("order_date"))
+def parsed_dates(raw_once: DataFrame) -> DataFrame:
+    return raw_once.select(*GRAIN, F.col("order_date").alias("raw_date"), C.parsed_date("order_date").alias("order_date"))
 
 
 @report("cln_dedup_exact")
-def unique_rows(raw: DataFrame) -> DataFrame:
-    return C.unique_rows(C.type_columns(raw), written)
+def unique_rows(raw_once: DataFrame) -> DataFrame:
+    return C.unique_rows(C.type_columns(raw_once), written)
 
 
 @report("cln_median_by_item")

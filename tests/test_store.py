@@ -5,6 +5,8 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
+from shelfwise import catalog
+from shelfwise.operators import cleaning
 from shelfwise.sources import store
 from shelfwise.workspace import Workspace
 
@@ -71,3 +73,23 @@ def test_the_key_is_made_when_the_fact_is_read(spark):
     assert fact.select("sale_id").distinct().count() == fact.count()
     from shelfwise.operators.cleaning import add_sale_id
     assert fact.select("sale_id").exceptAll(add_sale_id(workspace.unique()).select("sale_id")).isEmpty()
+
+
+def test_what_is_read_once_or_follows_from_other_columns_is_not_stored(spark):
+    # Another name of the folder gives the test stages of its own.
+    workspace = Workspace(spark, "/root/testdata/../testdata/sf0.001")
+
+    def stored(name):
+        return store.staged(spark, workspace.source, name)
+
+    ratings = catalog.call(catalog.REPORTS["cln_round_clamp"], workspace)
+    assert not stored("raw") and "p_type" not in ratings._jdf.queryExecution().executedPlan().toString()
+    fact = workspace.fact()
+    assert not stored("raw") and not stored("fact_figures")
+    columns = spark.read.parquet(workspace.path("fact")).columns
+    assert not {"order_month_name", "order_year_month", "order_weekday", "outlet_age_years", "sale_id"} & set(columns)
+    made = cleaning.finish(workspace.unique(), workspace.weight_by_item(), workspace.medians_by_type()).select(fact.columns)
+    assert fact.exceptAll(made).isEmpty() and made.exceptAll(fact).isEmpty()
+    want = ratings.collect()
+    workspace.raw()
+    assert sorted(catalog.call(catalog.REPORTS["cln_round_clamp"], workspace).collect()) == sorted(want)
