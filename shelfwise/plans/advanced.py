@@ -242,10 +242,10 @@ def category_performance(products: DataFrame) -> DataFrame:
 
 
 @report("v2_outlet_scorecard")
-def outlet_view(stocks: DataFrame, shelves: DataFrame) -> DataFrame:
+def outlet_view(outlet_products: DataFrame, shelves: DataFrame) -> DataFrame:
     columns = [*OUTLET_KEYS, "records", "categories_stocked", "products_stocked", "revenue", "pct_of_revenue", "avg_sale",
                "avg_rating"]
-    return with_products(outlet_master(shelves), stocks, OUTLET_KEYS).select(columns)
+    return with_products(outlet_master(shelves), outlet_products, OUTLET_KEYS).select(columns)
 
 
 @report("v3_monthly_trend")

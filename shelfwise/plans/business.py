@@ -317,11 +317,11 @@ def format_by_tier(outlets: DataFrame) -> DataFrame:
 
 
 @report("q22_assortment_breadth")
-def assortment_breadth(stocks: DataFrame, shelves: DataFrame) -> DataFrame:
+def assortment_breadth(format_products: DataFrame, shelves: DataFrame) -> DataFrame:
     keys = {"outlet": "outlet_identifier", "outlet_type": "outlet_type"}
     summary = summarise(
         shelves, keys, R.distinct("item_type", "categories_stocked"), R.total("sales").alias("_sales"))
-    return with_products(summary, stocks, keys).select(
+    return with_products(summary, format_products, keys).select(
         *keys, "categories_stocked", "products_stocked", F.round("_sales", 2).alias("revenue"),
         F.round(quotient(F.col("_sales"), F.col("products_stocked")), 2).alias("revenue_per_product"),
     ).orderBy(F.desc("revenue_per_product"), "outlet", "outlet_type")

@@ -83,9 +83,9 @@ def outlet_shares(shelves: DataFrame) -> DataFrame:
 
 
 @report("p_outlet")
-def outlet(stocks: DataFrame, shelves: DataFrame) -> DataFrame:
+def outlet(outlet_products: DataFrame, shelves: DataFrame) -> DataFrame:
     keys = {c: c for c in OUTLET_ATTRIBUTES}
-    return with_products(outlet_shares(shelves), stocks, keys).orderBy(F.desc("revenue"), "outlet_identifier")
+    return with_products(outlet_shares(shelves), outlet_products, keys).orderBy(F.desc("revenue"), "outlet_identifier")
 
 
 # Name of each segment table and its column.

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
 
-from ..catalog import report
+from pyspark.sql import DataFrame, Window, functions as F
+
+from ..catalog import report, table
 from ..functions import bands, measures as M, rolled as R
 from ..functions.exact import percent, quotient, total
 from ..operators.order_stats import quantiles_by_rank
 from ..operators.segments import one_row, share_of_all, summarise
-from ..schema import UNKNOWN
+from ..schema import OUTLET_ATTRIBUTES, UNKNOWN
+from ..sources.tables import MOST_STORES
 
 def totals(products: DataFrame, outlets: DataFrame) -> DataFrame:
     """One row: sums of all measures and the distinct counts of both dimensions, from the two roll-ups."""
@@ -85,9 +88,33 @@ def outlet_master(shelves: DataFrame) -> DataFrame:
     ).orderBy(F.desc("revenue"), "outlet")
 
 
-def with_products(summary: DataFrame, stocks: DataFrame, keys: dict[str, str]) -> DataFrame:
-    """Add the distinct products of each group, which only the product x outlet roll-up can tell."""
-    return summary.join(summarise(stocks, keys, M.products("products_stocked")), list(keys))
+def products_per(fact: DataFrame, shelves: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct products per combination of store labels.
+
+    A number stands for the labels while the items are dealt out, as long as a broadcast may hold the stores.
+    """
+    labels = shelves.select(keys).distinct()
+    if labels.count() > MOST_STORES:
+        return summarise(fact, keys, M.products("products_stocked"))
+    numbered = F.broadcast(labels.withColumn("store", F.row_number().over(Window.orderBy(*keys))))
+    same = reduce(lambda a, b: a & b, [F.col(f"sold.{c}").eqNullSafe(F.col(f"stores.{c}")) for c in keys])
+    sold = fact.alias("sold").join(numbered.alias("stores"), same).select("item_identifier", "store")
+    return summarise(sold, ["store"], M.products("products_stocked")).join(numbered, "store").drop("store")
+
+
+@table("outlet_products")
+def outlet_products(fact: DataFrame, shelves: DataFrame) -> DataFrame:
+    return products_per(fact, shelves, OUTLET_ATTRIBUTES)
+
+
+@table("format_products")
+def format_products(fact: DataFrame, shelves: DataFrame) -> DataFrame:
+    return products_per(fact, shelves, ["outlet_identifier", "outlet_type"])
+
+
+def with_products(summary: DataFrame, counted: DataFrame, keys: dict[str, str]) -> DataFrame:
+    """Add the distinct products of each group."""
+    return summary.join(counted.select(*[F.col(c).alias(name) for name, c in keys.items()], "products_stocked"), list(keys))
 
 
 def _segment(rollup: DataFrame, keys: dict[str, str], *measures) -> DataFrame:

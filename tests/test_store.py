@@ -6,10 +6,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwise import catalog
-from shelfwise.operators import cleaning
+from shelfwise.functions import measures
+from shelfwise.operators import cleaning, rollups
+from shelfwise.operators.segments import summarise
+from shelfwise.plans import kpis
+from shelfwise.schema import OUTLET_ATTRIBUTES
 from shelfwise.sources import store
 from shelfwise.workspace import Workspace
 
+from fixtures import fact as rows
+
 
 def session(master, named=None):
     context = SimpleNamespace(
@@ -93,3 +99,21 @@ def test_what_is_read_once_or_follows_from_other_columns_is_not_stored(spark):
     want = ratings.collect()
     workspace.raw()
     assert sorted(catalog.call(catalog.REPORTS["cln_round_clamp"], workspace).collect()) == sorted(want)
+
+
+def test_views_need_no_roll_up_by_product_and_outlet(spark):
+    workspace = Workspace(spark, "/root/testdata/../testdata/../testdata/sf0.001")
+    assert catalog.call(catalog.REPORTS["v_smoke"], workspace).count() == 22
+    assert not store.staged(spark, workspace.source, "stocks")
+
+
+def test_products_per_outlet_equal_those_of_the_stocks(spark, monkeypatch):
+    f = rows(
+        spark, {}, {}, {"item_identifier": "B"}, {"item_identifier": None}, {"outlet_size": None, "item_identifier": "B"},
+        {"outlet_identifier": None}, {"outlet_type": "Supermarket Type1"}, {"outlet_identifier": "OUT013", "item_identifier": None})
+    for keys in (OUTLET_ATTRIBUTES, ["outlet_identifier", "outlet_type"]):
+        want = summarise(rollups.stock_rollup(f), keys, measures.products("products_stocked"))
+        for most in (1_000_000, 0):
+            monkeypatch.setattr(kpis, "MOST_STORES", most)
+            got = kpis.products_per(f, rollups.shelf_rollup(f), keys).select(want.columns)
+            assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
