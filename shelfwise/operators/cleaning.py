@@ -159,7 +159,8 @@ WEEKDAYS = ["Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat"]
 
 
 def _named(names: list[str], place: Column) -> Column:
-    return F.element_at(F.array(*map(F.lit, names)), place)
+    # Without the test, a missing place in an array of fixed names gives some name.
+    return F.when(place.isNotNull(), F.element_at(F.array(*map(F.lit, names)), place))
 
 
 def date_parts() -> dict[str, Column]:
