@@ -102,10 +102,10 @@ def unique_rows(typed: DataFrame, store: Callable[[DataFrame, str], DataFrame])
 
     Copies agree in item, outlet, sales and date, so only hashes of these are shuffled. A row that has its hash to itself
     is unique and stays where it is; the others are compared in full. With more repeated hashes than a broadcast may
-    hold, all rows are compared. `store` keeps the typed rows with their hashes, so that text is parsed once, the
-    repeated hashes, and what is left of the rows that were compared.
+    hold, all rows are compared. `store` keeps the typed rows, so that text is parsed once, the repeated hashes, and what
+    is left of the rows that were compared. A row's hash would be a third of its stored size, so it is made when it is read.
     """
-    hashed = store(typed.withColumn("_h", F.xxhash64(*GRAIN, "sales", "order_date")), "typed")
+    hashed = store(typed, "typed").withColumn("_h", F.xxhash64(*GRAIN, "sales", "order_date"))
     repeated = store(hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_h"), "repeated")
     if repeated.count() > MOST_REPEATED:
         return store(drop_copies(hashed.select(typed.columns)), "compared")

@@ -8,6 +8,9 @@ from ..schema import FACT_SCHEMA, RAW_COLUMNS, RAW_HEADER, REPORT_COLUMNS
 from .publish import Part, publish, published, published_all
 
 CSV = {"header": "true", "escape": '"', "dateFormat": "yyyy-MM-dd"}
+# As text the fact takes some ten times the room of its Parquet files, most of it repeated labels. A compressed file is read by
+# one task, so its rows are limited.
+STORED_CSV = CSV | {"compression": "gzip", "zlib.compress.level": "FOUR", "maxRecordsPerFile": "1000000"}
 
 
 def _strict(spark: SparkSession):
@@ -69,7 +72,7 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_clean_csv(fact: DataFrame, path: str) -> None:
-    publish(path, {"clean": Part(fact, format="csv", options=CSV)})
+    publish(path, {"clean": Part(fact, format="csv", options=STORED_CSV)})
 
 
 def read_clean_csv(spark: SparkSession, path: str, columns: list[str] = REPORT_COLUMNS) -> DataFrame:

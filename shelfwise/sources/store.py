@@ -12,12 +12,14 @@ import tempfile
 import threading
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _written: set[str] = set()
 _local_dirs: dict[str, str] = {}
 _lock = threading.RLock()
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -44,6 +46,22 @@ def staged(spark: SparkSession, source: str, name: str) -> bool:
     return stage_path(spark, source, name) in _written
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """What is written within leaves no shuffle files behind.
+
+    Spark deletes them once the driver has collected its garbage. A driver whose tasks run elsewhere makes so little of it
+    that the files of all stages would pile up on the executors' disks. A frame that another thread makes meanwhile
+    shuffles anew if it is collected twice.
+    """
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(DROP_SHUFFLES) if before is None else spark.conf.set(DROP_SHUFFLES, before)
+
+
 def stage(
     spark: SparkSession, source: str, name: str, build: Callable[[], DataFrame], partition_by: list[str] | None = None,
     figures: list[Column] | None = None, unstored: list[str] | None = None,
@@ -57,7 +75,9 @@ def stage(
     with _lock:
         if path not in _written:
             rows, seen = build(), Observation()
-            (rows.observe(seen, *figures) if figures else rows).drop(*unstored or []).write.mode("overwrite").partitionBy(*partition_by or []).parquet(path)
+            kept = (rows.observe(seen, *figures) if figures else rows).drop(*unstored or [])
+            with shuffles_dropped(spark):
+                kept.write.mode("overwrite").partitionBy(*partition_by or []).parquet(path)
             if figures:
                 found, schema = seen.get, rows.agg(*figures).schema
                 row = spark.createDataFrame([tuple(found[c] for c in schema.fieldNames())], schema)

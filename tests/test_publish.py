@@ -1,5 +1,7 @@
 """Loads that fail at any point leave the published tables as they are."""
 
+import gzip
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,6 +102,27 @@ def test_clean_csv_and_facts(spark, tmp_path):
     assert rows(files.read_facts(spark, str(tmp_path / "json"))) == rows(given.agg(F.sum("sales"), F.max("order_date")))
 
 
+def test_clean_csv_is_stored_small_and_in_parts(spark, tmp_path, monkeypatch):
+    odd = [{"item_identifier": f"I{i}", "sales": i + 1, "item_weight": None if i % 7 == 0 else "9.5", "item_type": ("Dairy", 'a "b", c', "d,e", None)[i % 4]}
+           for i in range(2000)]
+    given = fact(spark, *odd).coalesce(1)
+    monkeypatch.setitem(files.STORED_CSV, "maxRecordsPerFile", "300")
+    files.write_clean_csv(given, str(tmp_path))
+    parts = [p for p in tmp_path.rglob("part-*") if "/data/" in str(p)]
+    assert len(parts) == 7 and all(p.name.endswith(".csv.gz") for p in parts)
+    texts = [gzip.decompress(p.read_bytes()) for p in parts]
+    assert sum(p.stat().st_size for p in parts) < sum(map(len, texts)) / 3
+    assert len({t.splitlines()[0] for t in texts}) == 1 and sum(len(t.splitlines()) - 1 for t in texts) == 2000
+    read = files.read_clean_csv(spark, str(tmp_path), FACT_SCHEMA.fieldNames())
+    assert read.exceptAll(given).isEmpty() and given.exceptAll(read).isEmpty()
+
+
+def test_plain_text_of_an_earlier_load_is_read(spark, tmp_path):
+    given = some_fact(spark, [1, 2, 3])
+    P.publish(str(tmp_path), {"clean": P.Part(given, format="csv", options=files.CSV)})
+    assert rows(files.read_clean_csv(spark, str(tmp_path), FACT_SCHEMA.fieldNames())) == rows(given)
+
+
 def test_keys_survive_a_reload(spark):
     """The same extract in another order, in other files and with more copies."""
     lines = [{"item_identifier": f"I{i % 9}", "item_weight": "" if i % 4 == 0 else f"{i}.5", "sales": f"{i}.25", "outlet_size": "" if i % 5 else "High"} for i in range(60)]

@@ -1,5 +1,7 @@
 """Staged tables and the folder they live in."""
 
+import time
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -10,11 +12,11 @@ from shelfwise.functions import measures
 from shelfwise.operators import cleaning, rollups
 from shelfwise.operators.segments import summarise
 from shelfwise.plans import kpis
-from shelfwise.schema import OUTLET_ATTRIBUTES
+from shelfwise.schema import OUTLET_ATTRIBUTES, RAW_COLUMNS
 from shelfwise.sources import store
 from shelfwise.workspace import Workspace
 
-from fixtures import fact as rows
+from fixtures import fact as rows, raw as rows_of_text
 
 
 def session(master, named=None):
@@ -48,6 +50,41 @@ def test_stage_is_written_once(spark):
     assert len(calls) == 2
 
 
+def test_shuffle_files_go_when_a_stage_is_written(spark):
+    folders = [Path(d.getPath()) for d in spark._jsc.sc().env().blockManager().diskBlockManager().localDirs()]
+
+    def shuffled():
+        return {p.name for folder in folders for p in folder.rglob("shuffle_*")}
+
+    before, keyed = shuffled(), spark.range(1000).repartition(7, "id").withColumn("n", F.col("id") % 5)
+    written = store.stage(spark, "/some/source", "shuffled", lambda: keyed, ["n"])
+    until = time.time() + 5
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffled() - before
+    assert spark.conf.get(store.DROP_SHUFFLES) == "false"
+    assert written.count() == 1000 and len(keyed.collect()) == len(keyed.collect()) == 1000
+
+
+def test_the_setting_of_the_session_returns(spark):
+    spark.conf.set(store.DROP_SHUFFLES, "true")
+    try:
+        with pytest.raises(Exception, match="broken disk"):
+            store.stage(spark, "/some/source", "broken", lambda: spark.range(3).select(F.raise_error(F.lit("broken disk"))))
+        assert spark.conf.get(store.DROP_SHUFFLES) == "true"
+    finally:
+        spark.conf.unset(store.DROP_SHUFFLES)
+    with store.shuffles_dropped(spark):
+        assert spark.conf.get(store.DROP_SHUFFLES) == "true"
+    assert spark.conf.get(store.DROP_SHUFFLES) == "false"
+
+
+def test_typed_rows_are_stored_without_their_hash(spark):
+    workspace = Workspace(spark, "typed", lambda: rows_of_text(spark, {}, {}, {"sales": "7"}, {"sales": None}, {"sales": None}))
+    assert workspace.unique().count() == 3
+    assert spark.read.parquet(workspace.path("unique_typed")).columns == RAW_COLUMNS
+
+
 def test_staged_fact_prunes_years_and_keys_are_unique(spark):
     workspace = Workspace(spark, "/root/testdata/sf0.001")
     fact = workspace.fact()
